@@ -67,4 +67,16 @@ SELECT doc_id, size, source_size, target,
     THEN floor(size * least(1.0::DOUBLE, (rest - (upto - same))::DOUBLE / same)) ELSE 0 END)::BIGINT AS taken
 FROM budget"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op5_mixing": _OP5}
+_OP9 = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(t, r)),
+joined AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, encode(role), encode(text))) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, encode(role), encode(text)) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(26 + length(role) + length(text) + length(role || text) - length(regexp_replace(role || text, '[\\\\<\\[]', '', 'g')))::BIGINT AS formatted_chars
+  FROM rows GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM joined"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op5_mixing": _OP5, "op9_chat_format": _OP9}
