@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, toxicity
 from .chat_format import digests, format_conversations
 from .common import crc_mod, table
 from .mixing import mix
@@ -26,6 +26,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.predict(docs, model, held_out=held_out)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -56,5 +63,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_language_id, op5_mixing, op6_packing, op9_chat_format, op10_pii)
+    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op5_mixing, op6_packing, op9_chat_format, op10_pii)
 }
