@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import html_text, language_id, toxicity
 from .chat_format import digests, format_conversations
 from .common import crc_mod, table
+from .jaccard_join import jaccard_components
 from .mixing import mix
 from .packing import pack
 from .pii import find
@@ -40,6 +41,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, held_out=held_out)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -67,5 +72,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op5_mixing, op6_packing, op8_html_text, op9_chat_format, op10_pii)
+    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op8_html_text, op9_chat_format, op10_pii)
 }
