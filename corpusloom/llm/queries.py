@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language_id, toxicity
+from . import html_text, language_id, lattice_dedup, toxicity
 from .chat_format import digests, format_conversations
 from .common import crc_mod, table
 from .jaccard_join import jaccard_components
@@ -53,6 +53,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op7_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -72,5 +76,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op8_html_text, op9_chat_format, op10_pii)
+    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op7_lattice_dedup, op8_html_text, op9_chat_format, op10_pii)
 }
