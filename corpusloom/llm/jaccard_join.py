@@ -26,9 +26,10 @@ NUM, DEN = 3, 4
 #: Lists of up to so many sets are compared pair by pair at once.
 SHORT_LIST = 8
 #: Frequent shingles that are known to all tasks (16 bytes each): they come last in the order. A bound on speed, not on results.
-FREQUENT = 100_000
-#: A shingle counts as frequent from so many sets on; a task reports those that it meets so many times.
-FREQUENT_SETS, REPORTED = 32, 4
+FREQUENT = 1_000_000
+#: Shingles in more sets than this are frequent. Those whose hash is in the lowest share LOW are counted exactly, as
+#: prefixes come from there; of the others, those that a task meets REPORTED times in a chunk.
+FREQUENT_SETS, LOW, REPORTED = SHORT_LIST, 0.3, 4
 #: A frequent shingle's list is dealt into sublists of about so many sets, whose hubs meet in a list of their own.
 #: The low bits of a list's key number the sublist, 0 if it is the whole list.
 SUBLIST = 4096
@@ -46,7 +47,7 @@ class WordHash(dict):
         from xxhash import xxh64_intdigest
 
         h = xxh64_intdigest(word)
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h
         return h
@@ -93,51 +94,92 @@ def prefix_length(n: int) -> int:
 
 @dataclass
 class Frequent:
-    shingles: np.ndarray  # sorted
+    shingles: np.ndarray  # sorted, without their low bits
     rank: np.ndarray  # by frequency
     parts: np.ndarray  # sublists
 
 
+#: Bits of a shingle that are dropped where it is counted.
+_DROPPED = _U(16)
+_LOW_LIMIT = _U(int(LOW * 2**64))
+
+
 def ordered_prefix(s: np.ndarray, frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
     """The prefix of a set, rarest first (unknown frequencies by hash), and the number of sublists of each shingle."""
     n = prefix_length(len(s))
     if not len(frequent.shingles):
         return s[:n], np.ones(n, np.int64)
-    at = np.minimum(np.searchsorted(frequent.shingles, s), len(frequent.shingles) - 1)
-    is_frequent = frequent.shingles[at] == s
+    short = s >> _DROPPED
+    at = np.minimum(np.searchsorted(frequent.shingles, short), len(frequent.shingles) - 1)
+    is_frequent = frequent.shingles[at] == short
     rare = s[~is_frequent][:n]
     if len(rare) == n:
         return rare, np.ones(n, np.int64)
-    rest = at[is_frequent]
-    rest = rest[np.argsort(frequent.rank[rest], kind="stable")][: n - len(rare)]
-    return np.concatenate([rare, frequent.shingles[rest]]), np.concatenate([np.ones(len(rare), np.int64), frequent.parts[rest]])
+    rest = np.flatnonzero(is_frequent)
+    rest = rest[np.argsort(frequent.rank[at[rest]], kind="stable")][: n - len(rare)]
+    return np.concatenate([rare, s[rest]]), np.concatenate([np.ones(len(rare), np.int64), frequent.parts[at[rest]]])
+
+
+def odd_sketch(s: np.ndarray) -> bytes:
+    """A bit for each of 2 to 4 buckets a shingle, set if the bucket has an odd number of them. Of two sketches (the larger
+    folded to the smaller's size) no more bits differ than shingles do."""
+    bits = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).tobytes()
 
 
-def _scan(docs: DataFrame) -> DataFrame:
-    """docs (id, text) → (id, n, set, NULL) for each, and (NULL, sets with it, NULL, shingle) for what a task meets often."""
+def sketch_allows(x: bytes, size_x: int, y: bytes, size_y: int) -> bool:
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum()) <= size_x + size_y - 2 * least_overlap(size_x, size_y)
+
+
+def _scan(docs: DataFrame, buckets: int) -> DataFrame:
+    """docs (id, text) → three kinds of rows.
+
+    0: (id, n, set, sketch or NULL), one for each document; the sketch for a set that the task has not met before.
+    1: (bucket, blob) the low shingles of a batch's sets, 6 bytes each. 2: (shingle, n) for what a chunk has often."""
     kind = docs.schema["id"].dataType.simpleString()
+    names = ["kind", "id", "n", "set", "blob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, held, size = WordHash(), set(), [], 0
 
+        def rows(kind: int, n, keys, blobs) -> pa.RecordBatch:
+            k = len(n)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int32)), pa.nulls(k, id_kind), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=names)
+
         def often() -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(held), return_counts=True)
+            value, n = np.unique(np.concatenate(held) >> _DROPPED, return_counts=True)
             value, n = value[n >= REPORTED], n[n >= REPORTED]
-            none = pa.nulls(len(value), id_kind), pa.nulls(len(value), pa.int64())
-            return pa.RecordBatch.from_arrays([none[0], pa.array(n), none[1], pa.array(value.view(np.int64))], names=["id", "n", "set", "shingle"])
+            return rows(2, n, value.astype(np.int64), [None] * len(n))
 
         for b in batches:
             id_kind = b.column(0).type
-            n, ids = [], []
+            n, ids, sketches, low = [], [], [], []
             for text in b.column(1):
                 s = shingles(text.as_py(), words)
                 n.append(len(s))
                 ids.append(set_id(s))
-                if ids[-1] not in seen:
+                sketches.append(None)
+                if ids[-1] and ids[-1] not in seen:
                     seen.add(ids[-1])
+                    sketches[-1] = odd_sketch(s)
                     held.append(s)
+                    low.append(s[: np.searchsorted(s, _LOW_LIMIT)])
                     size += len(s)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.nulls(len(n), pa.int64())], names=["id", "n", "set", "shingle"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(sketches, pa.binary())], names=names)
+            if low:
+                s = np.concatenate(low) >> _DROPPED
+                to = (mixed(s) % _U(buckets)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                s, to = s[order], to[order]
+                edges = np.flatnonzero(np.diff(to, prepend=-1))
+                blobs = [x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in np.split(s, edges[1:])]
+                yield rows(1, np.zeros(len(blobs), np.int64), to[edges], blobs)
             if size > 2_000_000:
                 yield often()
                 held, size = [], 0
@@ -146,17 +188,30 @@ def _scan(docs: DataFrame) -> DataFrame:
         if held:
             yield often()
 
-    return docs.mapInArrow(run, f"id {kind}, n long, set long, shingle long")
+    return docs.mapInArrow(run, f"kind int, id {kind}, n long, set long, blob binary")
 
 
 def _frequent(scanned: DataFrame) -> Frequent:
-    counts = scanned.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_SETS)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [x.as_py() for b in batches for x in b.column(1)]
+        if blobs:
+            flat = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
+            s = np.zeros((len(flat), 8), np.uint8)
+            s[:, :6] = flat
+            value, n = np.unique(s.reshape(-1).view(np.int64), return_counts=True)
+            often = n > FREQUENT_SETS
+            yield pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(n[often])], names=["shingle", "n"])
+
+    spread = shuffle_partitions(scanned.sparkSession)
+    low = scanned.where("kind = 1").select(F.col("set").alias("bucket"), "blob").repartition(spread, "bucket").mapInArrow(count, "shingle long, n long")
+    other = scanned.where("kind = 2").groupBy(F.col("set").alias("shingle")).agg(F.sum("n").alias("n"))
+    counts = low.union(other.where((F.col("n") > FREQUENT_SETS) & (F.col("shingle") >= int(_LOW_LIMIT >> _DROPPED))))
     got = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
-    value, n = got.column("shingle").to_numpy().view(_U), got.column("n").to_numpy()
+    value, n = got.column("shingle").to_numpy().astype(_U), got.column("n").to_numpy()
     order = np.argsort(value)
-    rank = np.empty(len(n), np.int64)
+    rank = np.empty(len(n), np.int32)
     rank[np.lexsort((value, n))] = np.arange(len(n))
-    return Frequent(value[order], rank[order], np.minimum((1 << SALT_BITS) - 1, -(-n // SUBLIST))[order])
+    return Frequent(value[order], rank[order], np.minimum((1 << SALT_BITS) - 1, -(-n // SUBLIST)).astype(np.int16)[order])
 
 
 def _postings(docs: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
@@ -175,7 +230,7 @@ def _postings(docs: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
                     seen.add(own)
                     prefix, parts = ordered_prefix(s, shared.value)
                     p = np.empty(len(prefix), _POSTING)
-                    p["key"] = (prefix & ~low) | np.where(parts > 1, _U(1) + _U(own % 0x7FFFFFFF) % parts.astype(_U), _U(0))
+                    p["key"] = (prefix & ~low) | np.where(parts > 1, _U(1) + _U(own % 0x7FFFFFFF) % np.maximum(parts, 1).astype(_U), _U(0))
                     p["id"], p["size"], p["pos"] = own, len(s), np.arange(len(prefix))
                     held.append(p)
             if len(seen) > 200_000:
@@ -346,47 +401,63 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
                     seen.add(own)
                     ids.append(own)
                     blobs.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["set", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(x) // 8 for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["set", "n", "blob"])
 
     hashed = F.coalesce(F.xxhash64("id"), F.lit(0).cast("long")).bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int")
-    return docs.select("text", hashed.alias("bit")).mapInArrow(run, "set long, blob binary")
+    return docs.select("text", hashed.alias("bit")).mapInArrow(run, "set long, n long, blob binary")
 
 
-def _compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs (a, b) → those that are linked.
+#: Partners of one set that meet in a group.
+GROUP = 256
 
-    A pair goes to the task that its b is hashed to; each task gets every set that it needs once. So a hub goes to each task
-    at most once, however many pairs it has.
-    """
-    parts = 4 * shuffle_partitions(pairs.sparkSession)
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)).cast("int"))
-    need = pairs.select("part", F.explode(F.array("a", "b")).alias("set")).distinct()
-    sets = _sets(docs, classes, pairs).join(need, "set").select("part", F.lit(0).alias("kind"), F.col("set").alias("a"), F.lit(None).cast("long").alias("b"), "blob")
-    both = sets.union(pairs.select("part", F.lit(1), "a", "b", F.lit(None).cast("binary")))
+
+def _filtered(pairs: DataFrame, blobs: DataFrame, sketched: bool) -> DataFrame:
+    """The pairs (a, b) that pass a test of their blobs (set, n, blob): sketches, or the sets themselves.
+
+    Each group holds a set a and up to about GROUP of its partners, each with its blob; a task streams over its groups, so a
+    hub with very many partners is many groups."""
+    many = pairs.groupBy("a").agg(F.count("*").alias("many"))
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / GROUP).cast("long"))
+    dealt = pairs.join(many, "a").select("a", "b", part.alias("part"))
+    of = lambda k: blobs.select(F.col("set").alias(k), "n", "blob")
+    rows = dealt.join(of("b"), "b").select("a", "part", "b", "n", "blob")
+    hubs = dealt.select("a", "part").distinct().join(of("a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "n", "blob")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, known = None, {}
+        hub, size, own = None, 0, None
         for batch in batches:
             a, b = [], []
-            for of, kind, x, y, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                if of != part:
-                    part, known = of, {}
-                if not kind:
-                    known[x] = np.frombuffer(blob, _U)
+            for x, y, n, blob in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4))):
+                if y is None:
+                    hub, size, own = x, n, blob if sketched else np.frombuffer(blob, _U)
                     continue
-                s, t = known[x], known[y]
-                if len(s) > len(t):
-                    s, t = t, s
-                if len(s) < least_overlap(len(s), len(t)):
+                if x != hub:
+                    raise ValueError("a partner without its hub")
+                need = least_overlap(size, n)
+                if min(size, n) < need:
                     continue
-                at = np.searchsorted(t, s)
-                at[at == len(t)] = 0
-                if int((t[at] == s).sum()) >= least_overlap(len(s), len(t)):
+                if sketched:
+                    passed = sketch_allows(own, size, blob, n)
+                else:
+                    s, t = own, np.frombuffer(blob, _U)
+                    if len(s) > len(t):
+                        s, t = t, s
+                    at = np.searchsorted(t, s)
+                    at[at == len(t)] = 0
+                    passed = int((t[at] == s).sum()) >= need
+                if passed:
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, "a long, b long")
+    dealt = rows.union(hubs).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _compared(docs: DataFrame, classes: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked: sketches rule out most others, and the sets are compared of those that are left."""
+    likely = cut(_filtered(pairs, sketches, True))
+    return _filtered(likely, _sets(docs, classes, likely), False)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -397,15 +468,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with nothing: their component is their own id. Ids may repeat, and null ids come out null unless a
     document of their component has an id. Other columns are not read. Exact but for equal 64-bit hashes.
 
-    Shuffles: fingerprints by set; about a quarter of all shingles, as bytes; the sets that have to be compared; and
-    links between sets, never pairs of copies. Lists of a frequent shingle are dealt into sublists of SUBLIST sets.
+    Shuffles: fingerprints by set; about a quarter of all shingles, as bytes, once to count and once to index them; sketches
+    of pairs that meet in the index, and the sets of those that may be linked; never pairs of copies. Lists of a frequent shingle are dealt into sublists of SUBLIST sets.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scanned = stored(_scan(docs), "shingle-sets")
-    members = scanned.where("shingle IS NULL").select("id", "n", "set")
-    classes = cut(members.where(F.col("n") > 0).groupBy("set").agg(F.min("id").alias("rep")))
     buckets = 8 * shuffle_partitions(spark)
+    scanned = stored(_scan(docs, buckets), "shingle-sets")
+    members = scanned.where("kind = 0").select("id", "n", "set")
+    classes = cut(members.where("n > 0").groupBy("set").agg(F.min("id").alias("rep")))
+    sketches = scanned.where("kind = 0 AND blob IS NOT NULL").select("set", "n", "blob").dropDuplicates(["set"])
     first = stored(_first_pairs(_postings(docs, _frequent(scanned), buckets), buckets), "index-pairs")
     low = (1 << SALT_BITS) - 1
     hubs = first.where("kind = 2").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos").distinct()
@@ -413,7 +485,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = hubs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     met = _cross_pairs(hubs.join(several, "key", "left_semi").withColumn("root", F.col("a")))
     done = cut(first.where("kind = 0").select("a", "b").union(met).distinct())
-    links = cut(_compared(docs, classes, done))
+    links = cut(_compared(docs, classes, sketches, done))
     roots = components(links)
     #: Lists that were not compared pair by pair, and whose sets are not all of one component by now.
     entries = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
@@ -421,7 +493,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed_lists = entries.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     left = cut(_cross_pairs(entries.join(mixed_lists, "key", "left_semi")).join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
     if left.head():
-        links = cut(links.union(_compared(docs, classes, left)))
+        links = cut(links.union(_compared(docs, classes, sketches, left)))
         roots = components(links)
     labelled = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rep", F.coalesce("root", "set").alias("root"))
     labelled = cut(labelled)
