@@ -52,9 +52,9 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...], share: float, mo
 
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """docs → id, size, source_size, target, taken.
+    """docs → id, size, source_size, target, taken and the columns in carry.
 
     size: words of the text (null: 0). taken: words of the document in the mix, repeats counted:
     every document of a source is taken floor(target / source_size) times; the remaining budget takes the
@@ -65,10 +65,12 @@ def mix(
     rows with one id (or none) share a hash, so they are decided together. An empty table gives no rows.
 
     Cost: one pass over the texts, which leaves (id, source, size, hash) in the shared folder; three
-    aggregations of it, pre-aggregated before the shuffle; a hot source is at most 2^10 rows of its histogram.
+    aggregations of it, pre-aggregated before the shuffle; carried columns are read in one more pass, not stored; a hot source is at most 2^10 rows of its histogram.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_SQL)), F.lit(0)).cast("long").alias("size"), doc_hash(id_col).alias("h"))
-    rows = cut(rows)
+    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_SQL)), F.lit(0)).cast("long")
+    carried = {c: f"_carried_{k}" for k, c in enumerate(carry)}
+    whole = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), doc_hash(id_col).alias("h"), *(F.col(c).alias(k) for c, k in carried.items()))
+    rows = cut(whole.drop(*carried.values()))
     sums = cut(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     goal = source_targets(sums, weights, share, most)
     repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -101,4 +103,5 @@ def mix(
     partly = F.when(F.col("edge") > 0, F.floor(F.col("size") * F.least(F.lit(1.0), F.col("rest") / F.col("edge")))).otherwise(0).cast("long")
     more = F.when(F.col("h") < F.col("low"), F.col("size")).when(F.col("h") == F.col("low"), partly).otherwise(0)
     taken = F.least(F.col("repeats") * F.col("size") + more, most * F.col("size"))
-    return with_goal(rows, goal).select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
+    result = with_goal(whole if carry else rows, goal)
+    return result.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), *(F.col(k).alias(c) for c, k in carried.items()))

@@ -185,28 +185,27 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
     return best.where(F.col("share") >= rules.threshold)
 
 
-def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_id", text_col: str = "text", clean: bool = False) -> DataFrame:
-    """docs → id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans and, if asked for, clean_text.
+def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_id", text_col: str = "text", clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """docs → id, columns in carry, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans and, if asked for, clean_text.
 
     One row per input row. Null and empty texts have no spans. Spans are in code points, end exclusive; kinds in the
     order of KINDS, then by start. clean_text has [KIND] for each base span (overlapping ones as one) and
-    nothing for a disclosing term outside of them. Ids may be null or repeat; other columns are not read.
+    nothing for a disclosing term outside of them. Ids may be null or repeat; columns besides those named are not read.
     """
     spark = docs.sparkSession
-    id_type = docs.schema[id_col].dataType.simpleString()
     terms = cut(disclosing_terms(docs, rules, text_col))
     n = terms.count()
     passes = max(1, -(-n // TERMS_A_PASS))
     part = F.pmod(F.xxhash64("term"), F.lit(passes))
-    rows = docs.select(F.col(id_col), F.col(text_col), F.lit("").alias("terms"))
+    rows = docs.select(id_col, *carry, F.col(text_col), F.lit("").alias("terms"))
     for k in range(passes):
         got = terms.where(part == k).select("term").toArrow().column("term").to_pylist() if n else []
-        rows = _marked(rows, spark.sparkContext.broadcast(frozenset(got)), id_col, text_col, id_type, rules) if got else rows
+        rows = _marked(rows, spark.sparkContext.broadcast(frozenset(got)), rules) if got else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text, marked in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for text, marked in zip(*(c.to_pylist() for c in b.columns[-2:])):
                 text = text or ""
                 spans = base_spans(text)
                 own = sorted(tuple(map(int, x.split(":"))) for x in marked.split(",")) if marked else []
@@ -215,14 +214,15 @@ def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_i
                 out.append((*row, cleaned(text, [*spans, own])) if clean else row)
             cols = list(zip(*out)) or [()] * (8 if clean else 7)
             kinds = [pa.int64()] * 5 + [pa.string()] * 3
-            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, cols, kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], *map(pa.array, cols, kinds)], names=names)
 
-    names = [id_col, "n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans", *["clean_text"] * clean]
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_email long, n_ip long, n_card long, n_phone long, n_term long, base_sha256 string, spans string" + ", clean_text string" * clean)
+    names = [id_col, *carry, "n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans", *["clean_text"] * clean]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-2])
+    return rows.mapInArrow(run, f"{kept}, n_email long, n_ip long, n_card long, n_phone long, n_term long, base_sha256 string, spans string" + ", clean_text string" * clean)
 
 
-def _marked(rows: DataFrame, shared, id_col: str, text_col: str, id_type: str, rules: Disclosure) -> DataFrame:
-    """Adds the spans of the broadcast terms to the column terms."""
+def _marked(rows: DataFrame, shared, rules: Disclosure) -> DataFrame:
+    """Adds the spans of the broadcast terms to the last column; the one before is the text."""
 
     def spans(text: str) -> Iterator[str]:
         terms = shared.value
@@ -234,10 +234,10 @@ def _marked(rows: DataFrame, shared, id_col: str, text_col: str, id_type: str, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [",".join(filter(None, [old, *spans(t or "")])) for t, old in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.string())], names=[id_col, text_col, "terms"])
+            got = [",".join(filter(None, [old, *spans(t or "")])) for t, old in zip(*(c.to_pylist() for c in b.columns[-2:]))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.string())], names=b.schema.names)
 
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, `{text_col}` string, terms string")
+    return rows.mapInArrow(run, rows.schema)
 
 
 def cleaned(text: str, spans: list[list[Span]]) -> str:

@@ -102,23 +102,25 @@ def judge(text: str | None, rules: LineRules) -> tuple[tuple, str]:
     return (n, chars, symbols, dups, repeated, failed, kept, removed, lost), "\n".join(out)
 
 
-def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs → id, FACTS, clean_text (the text without its failing lines).
+def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """docs → id, columns in carry, FACTS, clean_text (the text without its failing lines; null for a null text).
 
     One row per input row, by a narrow map: no shuffle, memory of one Arrow batch.
     Null and empty texts have zero counts and fail the base rules. Ids may be null or
-    repeat; columns besides id and text are not read. An empty table gives no rows.
+    repeat; columns besides those named are not read. An empty table gives no rows.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(id_col, *carry, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [judge(t, rules) for t in b.column(1).to_pylist()]
+            texts = b.column(b.num_columns - 1).to_pylist()
+            got = [judge(t, rules) for t in texts]
             facts = list(zip(*(f for f, _ in got))) or [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.int64()] * 2
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(v, k) for v, k in zip(facts, kinds)), pa.array([t for _, t in got], pa.string())],
-                names=[id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "removed_chars", "clean_text"],
+                [*b.columns[:-1], *(pa.array(v, k) for v, k in zip(facts, kinds)), pa.array([None if t is None else c for t, (_, c) in zip(texts, got)], pa.string())],
+                names=[*b.schema.names[:-1], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "removed_chars", "clean_text"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {FACTS}, clean_text string")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
+    return rows.mapInArrow(run, f"{kept}, {FACTS}, clean_text string")

@@ -75,6 +75,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op7_lattice_dedup, op8_html_text, op9_chat_format, op10_pii)
+    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op7_lattice_dedup, op8_html_text, op9_chat_format, op10_pii, pipeline)
 }
