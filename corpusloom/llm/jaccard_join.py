@@ -42,12 +42,26 @@ _M, _F1, _F2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB1331
 _POSTING = np.dtype([("key", "<u8"), ("id", "<i8"), ("size", "<u4"), ("pos", "<u4")])
 
 
+#: Words whose hashes a worker keeps; documents whose entries it holds at once.
+CACHED_WORDS, CHUNK = 50_000, 2_000
+
+
+def chunks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, CHUNK):
+        yield b.slice(at, CHUNK)
+
+
+def release() -> None:
+    """Give back what Arrow holds for later; the worker process outlives the task."""
+    pa.default_memory_pool().release_unused()
+
+
 class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
         h = xxh64_intdigest(word)
-        if len(self) > 200_000:
+        if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = h
         return h
@@ -157,7 +171,7 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
             value, n = value[n >= REPORTED], n[n >= REPORTED]
             return rows(2, n, value.astype(np.int64), [None] * len(n))
 
-        for b in batches:
+        for b in (c for b in batches for c in chunks(b)):
             id_kind = b.column(0).type
             n, ids, sketches, low = [], [], [], []
             for text in b.column(1):
@@ -180,13 +194,15 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
                 edges = np.flatnonzero(np.diff(to, prepend=-1))
                 blobs = [x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in np.split(s, edges[1:])]
                 yield rows(1, np.zeros(len(blobs), np.int64), to[edges], blobs)
-            if size > 2_000_000:
+            if size > 1_000_000:
                 yield often()
                 held, size = [], 0
-            if len(seen) > 200_000:
+            if len(seen) > 100_000:
                 seen.clear()
         if held:
             yield often()
+        held.clear()
+        release()
 
     return docs.mapInArrow(run, f"kind int, id {kind}, n long, set long, blob binary")
 
@@ -221,7 +237,7 @@ def _postings(docs: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = WordHash(), set()
-        for b in batches:
+        for b in (c for b in batches for c in chunks(b)):
             held = []
             for text in b.column(1):
                 s = shingles(text.as_py(), words)
@@ -233,16 +249,18 @@ def _postings(docs: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
                     p["key"] = (prefix & ~low) | np.where(parts > 1, _U(1) + _U(own % 0x7FFFFFFF) % np.maximum(parts, 1).astype(_U), _U(0))
                     p["id"], p["size"], p["pos"] = own, len(s), np.arange(len(prefix))
                     held.append(p)
-            if len(seen) > 200_000:
+            if len(seen) > 100_000:
                 seen.clear()
             if held:
                 p = np.concatenate(held)
+                held.clear()
                 to = (mixed(p["key"] * _M) % _U(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 p, to = p[order], to[order]
                 edges = np.flatnonzero(np.diff(to, prepend=-1))
                 blobs = [x.tobytes() for x in np.split(p, edges[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(to[edges].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+        release()
 
     return docs.mapInArrow(run, "bucket int, blob binary")
 
@@ -390,7 +408,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = WordHash(), set()
-        for b in batches:
+        for b in (c for b in batches for c in chunks(b)):
             at = b.column(1).to_numpy(zero_copy_only=False)
             picked = shared.value[at >> 3] >> (at & 7) & 1
             ids, blobs = [], []
@@ -402,6 +420,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
                     ids.append(own)
                     blobs.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(x) // 8 for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["set", "n", "blob"])
+        release()
 
     hashed = F.coalesce(F.xxhash64("id"), F.lit(0).cast("long")).bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int")
     return docs.select("text", hashed.alias("bit")).mapInArrow(run, "set long, n long, blob binary")
