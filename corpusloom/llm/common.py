@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -55,3 +57,15 @@ def crc_mod(doc_id: Column, m: int) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release() -> None:
+    """Give memory back at the end of a task: the worker process outlives it, and holds what Arrow and malloc keep for later."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

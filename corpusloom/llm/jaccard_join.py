@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions, stored
+from .common import cut, release, shuffle_partitions, stored
 from .components import components
 
 WORDS = 5
@@ -51,11 +51,6 @@ def chunks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield b.slice(at, CHUNK)
 
 
-def release() -> None:
-    """Give back what Arrow holds for later; the worker process outlives the task."""
-    pa.default_memory_pool().release_unused()
-
-
 class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
@@ -167,8 +162,13 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int32)), pa.nulls(k, id_kind), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=names)
 
         def often() -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(held) >> _DROPPED, return_counts=True)
-            value, n = value[n >= REPORTED], n[n >= REPORTED]
+            value = np.concatenate(held)
+            held.clear()
+            value >>= _DROPPED
+            value.sort()
+            start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+            n = np.diff(start, append=len(value))
+            value, n = value[start[n >= REPORTED]], n[n >= REPORTED]
             return rows(2, n, value.astype(np.int64), [None] * len(n))
 
         for b in (c for b in batches for c in chunks(b)):
@@ -216,7 +216,9 @@ def _frequent(scanned: DataFrame) -> Frequent:
             s[:, :6] = flat
             value, n = np.unique(s.reshape(-1).view(np.int64), return_counts=True)
             often = n > FREQUENT_SETS
+            del blobs, flat, s
             yield pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(n[often])], names=["shingle", "n"])
+            release()
 
     spread = shuffle_partitions(scanned.sparkSession)
     low = scanned.where("kind = 1").select(F.col("set").alias("bucket"), "blob").repartition(spread, "bucket").mapInArrow(count, "shingle long, n long")
@@ -368,6 +370,8 @@ def _first_pairs(postings: DataFrame, buckets: int) -> DataFrame:
         if size:
             got = np.unique(np.concatenate(pairs), axis=0)
             yield _rows(0, got[:, 0], got[:, 1], 0, 0, 0)
+        del p, pairs
+        release()
 
     return postings.repartition(spread, "bucket").mapInArrow(run, _OUT)
 

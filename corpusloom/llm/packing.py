@@ -17,9 +17,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import release
+
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Words, and parts of words, that a worker keeps the ids of.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 #: Remainders shorter than capacity / MAX_CLASS share the last class.
 MAX_CLASS = 64
 
@@ -181,5 +183,6 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int =
         packer.finish()
         if packer.out:
             yield rows()
+        release()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {PIECES}")

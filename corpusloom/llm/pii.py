@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, release
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -215,6 +215,7 @@ def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_i
             cols = list(zip(*out)) or [()] * (8 if clean else 7)
             kinds = [pa.int64()] * 5 + [pa.string()] * 3
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], *map(pa.array, cols, kinds)], names=names)
+        release()
 
     names = [id_col, *carry, "n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans", *["clean_text"] * clean]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-2])

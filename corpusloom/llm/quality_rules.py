@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WORD
+from .common import WORD, release
 
 #: Fixed phrases of boilerplate lines.
 BOILERPLATE = (
@@ -41,13 +41,14 @@ class LineRules:
     """Thresholds; each is a ratio to the words of the line.
 
     separators: a navigation line has at least `min_separators` of | and at least that many per 100 words.
-    symbols, exclamations: a punctuation failure is more than that many per 100 words.
+    symbols, exclamations: a punctuation failure is at least `min_signs` and more than that many per 100 words.
     boilerplate_words: a boilerplate phrase fails a line of at most so many words.
     max_loss: a document losing more than so many percent of its word characters is rejected.
     """
 
     min_separators: int = 3
     separators: int = 25
+    min_signs: int = 3
     symbols: int = 50
     exclamations: int = 50
     boilerplate_words: int = 20
@@ -57,9 +58,10 @@ class LineRules:
         bars = line.count("|")
         if bars >= self.min_separators and 100 * bars >= self.separators * n_words:
             return True
-        if 100 * sum(map(line.count, SYMBOLS)) > self.symbols * n_words:
+        symbols, exclamations = sum(map(line.count, SYMBOLS)), line.count("!") + line.count("?")
+        if symbols >= self.min_signs and 100 * symbols > self.symbols * n_words:
             return True
-        if 100 * (line.count("!") + line.count("?")) > self.exclamations * n_words and n_words > 1:
+        if exclamations >= self.min_signs and 100 * exclamations > self.exclamations * n_words:
             return True
         return n_words <= self.boilerplate_words and _BOILERPLATE.search(line.lower()) is not None
 
@@ -121,6 +123,7 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), id_col: str =
                 [*b.columns[:-1], *(pa.array(v, k) for v, k in zip(facts, kinds)), pa.array([None if t is None else c for t, (_, c) in zip(texts, got)], pa.string())],
                 names=[*b.schema.names[:-1], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "removed_chars", "clean_text"],
             )
+        release()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return rows.mapInArrow(run, f"{kept}, {FACTS}, clean_text string")

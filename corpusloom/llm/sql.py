@@ -18,8 +18,8 @@ own AS (SELECT r, line, {_WORDS.format("line")} AS ws FROM lines),
 judged AS (
   SELECT r, line, len(ws) AS n, list_sum(list_transform(ws, lambda w: length(w))) AS chars,
     ({_times("line", "|")} >= 3 AND 100 * {_times("line", "|")} >= 25 * len(ws))
-    OR 100 * {_times("line", "#*$%&|<>")} > 50 * len(ws)
-    OR (100 * {_times("line", "!?")} > 50 * len(ws) AND len(ws) > 1)
+    OR ({_times("line", "#*$%&|<>")} >= 3 AND 100 * {_times("line", "#*$%&|<>")} > 50 * len(ws))
+    OR ({_times("line", "!?")} >= 3 AND 100 * {_times("line", "!?")} > 50 * len(ws))
     OR (len(ws) <= 20 AND regexp_matches(lower(line), '{"|".join(BOILERPLATE)}')) AS fails
   FROM own WHERE len(ws) > 0),
 by_line AS (
