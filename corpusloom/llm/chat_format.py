@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -108,7 +110,7 @@ def format_conversations(
     at a time, the unit that is rendered. Prefixes make this quadratic in the turns of one conversation, not in the table.
     """
     id_type = rows.schema[id_col].dataType.simpleString()
-    need = rows.select(F.col(id_col).alias("c"), F.col(turn_col).alias("n"), F.coalesce(F.col(role_col), F.lit("")).alias("r"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    need = small_batches(rows).select(F.col(id_col).alias("c"), F.col(turn_col).alias("n"), F.coalesce(F.col(role_col), F.lit("")).alias("r"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     need = need.repartition("c").sortWithinPartitions("c", "n", "r", "t").select("c", "r", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,6 +59,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Sees to it that the session sends batches of at most BATCH_BYTES (or one row) to Python workers, so that long texts do not add
+    up to batches of thousands; a smaller setting stays."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    given = conf.get(key, "64m").lower()
+    unit = given.rstrip("b").lstrip("0123456789")
+    if int(given.rstrip("bkmgt") or -1) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1 << 40) > BATCH_BYTES or given.startswith("-"):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def release() -> None:
     """Give memory back at the end of a task: the worker process outlives it, and holds what Arrow and malloc keep for later."""
     import pyarrow as pa

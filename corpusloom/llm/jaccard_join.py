@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release, shuffle_partitions, stored
+from .common import cut, release, shuffle_partitions, small_batches, stored
 from .components import components
 
 WORDS = 5
@@ -495,7 +495,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of pairs that meet in the index, and the sets of those that may be linked; never pairs of copies. Lists of a frequent shingle are dealt into sublists of SUBLIST sets.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     buckets = 8 * shuffle_partitions(spark)
     scanned = stored(_scan(docs, buckets), "shingle-sets")
     members = scanned.where("kind = 0").select("id", "n", "set")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Characters that are hashed at once.
@@ -107,7 +109,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothi
                     yield from rows()
         yield from rows()
 
-    counts = docs.where(F.col(lang_col).isNotNull()).select(text_col, lang_col).mapInArrow(count, "lang string, bucket int, n long")
+    counts = small_batches(docs).where(F.col(lang_col).isNotNull()).select(text_col, lang_col).mapInArrow(count, "lang string, bucket int, n long")
     sums = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("c")).orderBy("lang").limit(MAX_LANGUAGES + 1).toArrow()
     languages = got.column("lang").to_pylist()
@@ -152,7 +154,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     A narrow map: the texts are not shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(id_col, *(c.alias(k) for k, c in extra.items()), text_col)
+    rows = small_batches(docs).select(id_col, *(c.alias(k) for k, c in extra.items()), text_col)
     kept = rows.drop(text_col).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions, stored
+from .common import cut, shuffle_partitions, small_batches, stored
 from .components import components
 
 #: Tables, pieces of a cell, neighbouring cells that are looked into, and lattice units of a vector of 64 dimensions. With
@@ -175,7 +175,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_i
     """
     angle = float(np.arccos(least))
     inner = float(np.cos(angle / 2)) + 1e-12
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = small_batches(vectors).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(finite, F.lit(False)))
     rows = rows.withColumns({"h": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import release
+from .common import release, small_batches
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Words, and parts of words, that a worker keeps the ids of.
@@ -185,4 +185,4 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int =
             yield rows()
         release()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {PIECES}")
+    return small_batches(docs).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, {PIECES}")

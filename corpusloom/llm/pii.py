@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, release
+from .common import WORD, cut, release, small_batches
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -133,7 +133,7 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
     and an exact join follows. p(e,t) is counted in contexts, p(t) in documents (but no less
     than its contexts), p(e) by the most contexts that e has with any term.
     """
-    texts = docs.select(text_col)
+    texts = small_batches(docs).select(text_col)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WORD, release
+from .common import WORD, release, small_batches
 
 #: Fixed phrases of boilerplate lines.
 BOILERPLATE = (
@@ -111,7 +111,7 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules(), id_col: str =
     Null and empty texts have zero counts and fail the base rules. Ids may be null or
     repeat; columns besides those named are not read. An empty table gives no rows.
     """
-    rows = docs.select(id_col, *carry, text_col)
+    rows = small_batches(docs).select(id_col, *carry, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

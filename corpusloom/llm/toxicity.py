@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, small_batches, stored
 
 #: Letters that a written character may stand for (fixed values).
 LEET = {
@@ -90,7 +90,7 @@ def corpus_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["gram", "n"])
 
-    got = docs.select(text_col).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    got = small_batches(docs).select(text_col).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(SYMBOLS**3)
     total[got.column("gram").to_numpy()] = got.column("n").to_numpy()
     return total
@@ -312,7 +312,7 @@ def predict(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str =
     or repeat; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(id_col, *(c.alias(k) for k, c in extra.items()), text_col)
+    rows = small_batches(docs).select(id_col, *(c.alias(k) for k, c in extra.items()), text_col)
     kept = rows.drop(text_col).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
