@@ -10,28 +10,46 @@ from pyspark.sql import functions as F
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
 
-def outcomes(feed: DataFrame, key: str, seq: str, hash_col: str, stored: DataFrame | None = None) -> DataFrame:
+def outcomes(feed: DataFrame, key: str, seq: str, hash_col: str, stored: DataFrame | None = None, ranges: int = 1) -> DataFrame:
     """feed → feed with outcome, in order of seq within a key; equal hashes (also two NULLs) are unchanged.
 
-    stored: (key, hash_col) of the snapshot, of which each row precedes the feed.
+    stored: (key, hash_col) of the snapshot, of which each row precedes the feed. A row needs its predecessor only, so with
+    ranges > 1 the rows of a key are dealt by ranges of seq: a key that a third of the feed has is many groups, and the
+    first row of each takes its predecessor from the last one of the range before, of which there is one a range and key.
     """
     rows = feed.withColumn("_fed", F.lit(True))
     if stored is not None:
         rows = rows.unionByName(stored.select(key, hash_col, F.lit(False).alias("_fed")), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.col("_fed"), seq)
-    outcome = F.when(F.row_number().over(w) == 1, INSERTED).when(F.lag(hash_col).over(w).eqNullSafe(F.col(hash_col)), UNCHANGED).otherwise(UPDATED)
-    return rows.withColumn("outcome", outcome).where("_fed").drop("_fed")
-
-
-def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site: Sequence[str], carried: Sequence[str] = (), stored: DataFrame | None = None) -> DataFrame:
+    bounds = []
+    if ranges > 1:
+        shares = [i / ranges for i in range(1, ranges)]
+        bounds = sorted(set(feed.agg(F.percentile_approx(seq, shares).alias("b")).head()["b"] or []))
+    place = sum((F.when(F.col("_fed") & (F.col(seq) > b), 1).otherwise(0) for b in bounds), F.lit(0))
+    rows = rows.withColumn("_part", place)
+    order = (F.col("_fed"), F.col(seq))
+    w = Window.partitionBy(key, "_part").orderBy(*order)
+    rows = rows.withColumns({"_first": F.row_number().over(w) == 1, "_prev": F.lag(hash_col).over(w)})
+    none = F.lit(None).cast(rows.select(F.struct(F.col(hash_col).alias("h"))).schema[0].dataType)
+    if bounds:
+        last = rows.groupBy(key, "_part").agg(F.max_by(F.struct(F.col(hash_col).alias("h")), F.struct(*order)).alias("_last"))
+        last = last.select(F.col(key).alias("_k"), F.col("_part").alias("_q"), F.lag("_last").over(Window.partitionBy(key).orderBy("_part")).alias("_before"))
+        rows = rows.join(last, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_part") == F.col("_q")), "left").drop("_k", "_q")
+    else:
+        rows = rows.withColumn("_before", none)
+    before = F.when(F.col("_first"), F.col("_before")["h"]).otherwise(F.col("_prev"))
+    outcome = F.when(F.col("_first") & F.col("_before").isNull(), INSERTED).when(before.eqNullSafe(F.col(hash_col)), UNCHANGED).otherwise(UPDATED)
+    return rows.withColumn("outcome", outcome).where("_fed").drop("_fed", "_part", "_first", "_prev", "_before")
+
+
+def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site: Sequence[str], carried: Sequence[str] = (), stored: DataFrame | None = None, ranges: int = 1) -> DataFrame:
     """The snapshot after the feed: key, site fields, carried fields, first_seen_at, last_seen_at, updated_at.
 
     Site fields are those of the last row that was inserted or updated; carried fields keep their last non-null value, so a
     failed download never blanks a path; keys that the feed does not mention pass through. Nothing is deleted.
     Aggregations only: each key is reduced on the map side to a few values before the shuffle, whatever its rows;
-    whether a row changes anything needs its predecessor, which one window over the key provides.
+    whether a row changes anything needs its predecessor: see `outcomes`, also for ranges.
     """
-    rows = outcomes(feed, key, seq, hash_col, stored)
+    rows = outcomes(feed, key, seq, hash_col, stored, ranges)
     changed = F.col("outcome") != UNCHANGED
     order = F.col(seq)
 

@@ -17,6 +17,8 @@ from .streaming.ingest import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Ranges into which the feed of a key is dealt.
+RANGES = 16
 
 
 def query(f: Query) -> Query:
@@ -89,7 +91,7 @@ def context_block(spark, sf_dir):
 @query
 def upsert_outcomes(spark, sf_dir):
     feed = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return upsert.outcomes(feed, "user_id", "event_id", "event_type").select("event_id", "user_id", "outcome")
+    return upsert.outcomes(feed, "user_id", "event_id", "event_type", ranges=RANGES).select("event_id", "user_id", "outcome")
 
 
 def _feed(events: DataFrame) -> DataFrame:
@@ -98,7 +100,7 @@ def _feed(events: DataFrame) -> DataFrame:
 
 @query
 def upsert_snapshot(spark, sf_dir):
-    return upsert.snapshot(_feed(table(spark, sf_dir, "events")), "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"])
+    return upsert.snapshot(_feed(table(spark, sf_dir, "events")), "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"], ranges=RANGES)
 
 
 @query

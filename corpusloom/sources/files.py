@@ -26,7 +26,7 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """path, text of whole UTF-8 files."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def is_fresh(derived: Column, source: Column) -> Column:

@@ -71,6 +71,15 @@ def test_upsert_outcomes_and_snapshot(spark):
     assert {r.outcome for r in upsert.outcomes(again, "id", "seq", "h", first).collect()} == {"unchanged"}
 
 
+@pytest.mark.parametrize("ranges", [2, 7])
+def test_ranges_of_a_hot_key_agree(spark, ranges):
+    feed = spark.range(300).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 11).cast("string")).alias("id"), F.col("id").alias("seq"), F.when(F.col("id") % 7 > 0, (F.col("id") / 5).cast("int").cast("string")).alias("h"))
+    stored = spark.createDataFrame([("hot", None), ("3", "0"), ("z", "1")], "id string, h string")
+    for old in (None, stored):
+        one, many = (sorted(map(tuple, upsert.outcomes(feed, "id", "seq", "h", old, n).collect())) for n in (1, ranges))
+        assert one == many and len(one) == 300
+
+
 def test_set_fields(spark):
     t = spark.createDataFrame([("a", "1"), ("b", "2")], "id string, v string")
     p = spark.createDataFrame([("a", "9"), ("z", "8")], "id string, v string")
