@@ -45,9 +45,9 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...], share: float, mo
         "total": F.sum("source_size").over(every),
     })
     level = (F.lit(share) * F.col("total") - F.coalesce("capped", F.lit(0))) / F.col("open_w")
-    t = t.withColumn("level", F.min(F.when(level * F.col("w") <= F.col("cap"), level)).over(every))
-    first = F.min(F.when(F.col("level").isNotNull() & (level * F.col("w") <= F.col("cap")), F.struct(F.col("cap") / F.col("w"), level))).over(every)
-    return t.withColumn("target", F.least(F.col("cap").cast("double"), F.coalesce(first.getField("col2") * F.col("w"), F.col("cap").cast("double")))).select("source", "source_size", "target")
+    #: Sources below their cap share one level: that of the first one, in this order, whose share fits under its cap.
+    first = F.min(F.when(level * F.col("w") <= F.col("cap"), F.struct((F.col("cap") / F.col("w")).alias("r"), level.alias("level")))).over(every)
+    return t.withColumn("level", first["level"]).select("source", "source_size", F.least(F.col("cap").cast("double"), F.coalesce(F.col("level") * F.col("w"), F.col("cap").cast("double"))).alias("target"))
 
 
 def mix(
