@@ -439,7 +439,7 @@ def _filtered(pairs: DataFrame, blobs: DataFrame, sketched: bool) -> DataFrame:
 
     Each group holds a set a and up to about GROUP of its partners, each with its blob; a task streams over its groups, so a
     hub with very many partners is many groups."""
-    many = pairs.groupBy("a").agg(F.count("*").alias("many"))
+    many = cut(pairs.groupBy("a").agg(F.count("*").alias("many")))  # apart from the join, which can then be split at a hot hub
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / GROUP).cast("long"))
     dealt = pairs.join(many, "a").select("a", "b", part.alias("part"))
     of = lambda k: blobs.select(F.col("set").alias(k), "n", "blob")
@@ -520,7 +520,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         roots = components(links)
     labelled = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rep", F.coalesce("root", "set").alias("root"))
     labelled = cut(labelled)
-    least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
+    least = cut(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))
     by_set = labelled.join(least, "root").select(F.col("set").alias("s"), "component_id")
     out = members.join(by_set, (F.col("set") == F.col("s")) & (F.col("n") > 0), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -118,11 +118,12 @@ def _units(distinct: DataFrame) -> DataFrame:
 
 
 def _filed(units: DataFrame) -> DataFrame:
-    """units → (key, node, home): a row for the own cell and for each cell looked into."""
+    """units → (key, node, rep, home): a row for the own cell and for each cell looked into."""
+    kind = units.schema["rep"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, blobs = b.column(0).to_numpy(), b.column(1).to_pylist()
+            nodes, blobs = b.column(0).to_numpy(), b.column(2).to_pylist()
             sizes = np.array([len(x) for x in blobs])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
@@ -131,9 +132,9 @@ def _filed(units: DataFrame) -> DataFrame:
                     key = np.hstack([home, probes.reshape(len(part), -1)])
                     own = np.zeros(key.shape, bool)
                     own[:, :TABLES] = True
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(nodes[part], key.shape[1])), pa.array(own.ravel())], names=["key", "node", "home"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(nodes[part], key.shape[1])), b.column(1).take(pa.array(np.repeat(part, key.shape[1]))), pa.array(own.ravel())], names=["key", "node", "rep", "home"])
 
-    return units.select("node", "unit").mapInArrow(run, "key long, node long, home boolean")
+    return units.select("node", "rep", "unit").mapInArrow(run, f"key long, node long, rep {kind}, home boolean")
 
 
 def _cosines(units: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_i
     filed = stored(_filed(units), "cells")
 
     # Hubs: of those filed in a cell the one with the least (id, node); a vector is near if it is within half the angle.
-    lead = filed.where("home").join(units.select("node", "rep"), "node").groupBy("key").agg(F.min(F.struct("rep", "node")).alias("lead"))
+    lead = cut(filed.where("home").groupBy("key").agg(F.min(F.struct("rep", "node")).alias("lead")))
     tries = filed.join(lead, "key").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     rep = units.select(F.col("node").alias("n"), F.col("rep").alias("r"))
     close = _cosines(units, tries).where(F.col("cos") >= inner)
@@ -218,7 +219,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_i
     found = components(links)
     top = cliques.join(found, F.col("hub") == F.col("node"), "left").select("hub", "rep", "weight", F.coalesce("root", "hub").alias("root"))
     top = cut(top)
-    top = top.join(top.groupBy("root").agg(F.min("rep").alias("component_id")), "root").join(sums, "hub", "left").select("hub", "component_id", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("own"))
+    top = top.join(cut(top.groupBy("root").agg(F.min("rep").alias("component_id"))), "root").join(sums, "hub", "left").select("hub", "component_id", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("own"))
     by_node = clique.select("node", "hub").join(top, "hub").join(extra, "node", "left").select(F.col("node").alias("h"), "component_id", (F.col("own") + F.coalesce("extra", F.lit(0))).alias("n_links"))
     out = rows.select("id", "ok", F.when(F.col("ok"), F.col("h")).alias("h")).join(by_node, "h", "left")
     component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("id")).cast(kind)
