@@ -200,6 +200,15 @@ def test_blocks():
     assert html_text.blocks_of("") == html_text.blocks_of("<<>") [:0] == []
 
 
+@pytest.mark.parametrize("page", ["<a " + '"' * 200_001, "<a " * 200_000, '<a ">' * 100_000, "<div>" * 50_000 + "</span>" * 100_000, "<" * 300_000, "<!--" * 100_000, "<b>" * 20_000 + "<p>x</b>" * 20_000, "<li>" * 100_000])
+def test_parsing_is_linear(page):
+    import time
+
+    start = time.process_time()
+    html_text.blocks_of(page)
+    assert time.process_time() - start < 5
+
+
 def test_pages_without_an_article(spark):
     menu, foot = "Home News Sport Weather Culture Science Travel Contact About", "Copyright of this site and all of its many friendly authors 2024"
     page = lambda i: f"<div>{menu}</div><div>unique story number {i} about thing {i * 7} that is told once only</div><div>{foot}</div>"
