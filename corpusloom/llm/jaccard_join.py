@@ -43,7 +43,7 @@ _POSTING = np.dtype([("key", "<u8"), ("id", "<i8"), ("size", "<u4"), ("pos", "<u
 
 
 #: Words whose hashes a worker keeps; documents whose entries it holds at once.
-CACHED_WORDS, CHUNK = 50_000, 2_000
+CACHED_WORDS, CHUNK = 100_000, 2_000
 
 
 def chunks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -52,10 +52,13 @@ def chunks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
+    def __init__(self):
         from xxhash import xxh64_intdigest
 
-        h = xxh64_intdigest(word)
+        self.digest = xxh64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        h = self.digest(word)
         if len(self) >= CACHED_WORDS:
             self.clear()
         self[word] = h
@@ -80,7 +83,9 @@ def shingles(text: str | None, words: WordHash) -> np.ndarray:
     s = np.full(len(h) - n + 1, _U(n))
     for i in range(n):
         s = s * _M + h[i : len(h) - n + 1 + i]
-    return np.unique(mixed(s))
+    s = mixed(s)
+    s.sort()
+    return s[np.concatenate(([True], s[1:] != s[:-1]))]
 
 
 def set_id(s: np.ndarray) -> int:
@@ -88,7 +93,7 @@ def set_id(s: np.ndarray) -> int:
     if not len(s):
         return 0
     with np.errstate(over="ignore"):
-        h = mixed(s * _M + _U(1)).sum(dtype=_U) ^ (s.sum(dtype=_U) * _F2) ^ _U(len(s))
+        h = (s * s).sum(dtype=_U) ^ (s.sum(dtype=_U) * _F2) ^ _U(len(s))
     return int(mixed(np.array([h], _U)).view(np.int64)[0]) or 1
 
 
