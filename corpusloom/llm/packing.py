@@ -9,7 +9,9 @@ cut into sequences whose lengths are powers of two, so that nothing is padded.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,60 +22,53 @@ from pyspark.sql import DataFrame
 from .common import release, small_batches
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Words, and parts of words, that a worker keeps the ids of.
-CACHED_WORDS = 200_000
+#: Parts of texts that a worker keeps the ids of.
+CACHED_PARTS = 60_000
 #: Remainders shorter than capacity / MAX_CLASS share the last class.
 MAX_CLASS = 64
 
 
-#: How the tokenizer cuts a word before its merges (fixed values of its file), and its names of the 256 bytes.
-_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The letters and numbers among the characters below U+0180 in lower case, and the texts that have no others: the tokenizer's
+#: classes can be said for them without properties, and each lower-cases to itself or to another of them.
+_L, _N = "a-zªµºß-öø-ÿā-ſ", "0-9²³¹¼½¾"
+_PLAIN = re.compile(r"[ -~\t\n\r¡-¬®-įı-ſ]*+\Z")
+#: How the tokenizer cuts a text before its merges (fixed values of its file).
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^ \t\n\r{_L}{_N}]+")
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Its names of the 256 bytes.
 _BYTE_NAMES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 
 
-class WordIds(dict):
-    """ids of a word as little-endian unsigned 32-bit bytes; words are split at blanks, which the tokenizer drops.
+class PartIds(dict):
+    """ids of the parts of texts, as little-endian unsigned 32-bit bytes.
 
-    Words of printable characters below U+0180 are cut, mapped to byte names and merged part by part,
-    as the tokenizer does; all others are left to the tokenizer itself.
+    A text of printable characters below U+0180 is cut into parts, whose merges are kept; any other text is left
+    to the tokenizer itself, as is one that may hold a special token.
     """
 
     def __init__(self, tokenizer_file: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.merge, self.parts, self.known = self.tokenizer.model.tokenize, regex.compile(_PARTS).findall, {}
+        self.merge = self.tokenizer.model.tokenize
 
-    def part(self, part: str) -> bytes:
+    def __missing__(self, part: str) -> bytes:
         named = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_NAMES)
-        ids = b"".join(t.id.to_bytes(4, "little") for t in self.merge(named))
-        if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
-        self.known[part] = ids
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isprintable() and "<|" not in word and (word.isascii() or max(word) < "\u0180" and "\u0130" not in word):
-            known = self.known
-            ids = b"".join([known.get(p) or self.part(p) for p in self.parts(word.lower())])
-        else:
-            ids = b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(named)])
+        if len(self) < CACHED_PARTS and len(part) <= 64:  # the first ones met are the frequent ones
+            self[part] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+        if _PLAIN.match(text) and "<|" not in text:
+            return b"".join(map(self.__getitem__, _PARTS.findall(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(2)
-def word_ids(tokenizer_file: str) -> WordIds:
+def part_ids(tokenizer_file: str) -> PartIds:
     """One for each worker process, which serves many tasks."""
-    return WordIds(tokenizer_file)
+    return PartIds(tokenizer_file)
 
 
 class Packer:
@@ -167,7 +162,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int =
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = word_ids(tokenizer_file), Packer(capacity, TaskContext.get().partitionId() << 40)
+        parts, packer = part_ids(tokenizer_file), Packer(capacity, TaskContext.get().partitionId() << 40)
         kinds = None
 
         def rows() -> pa.RecordBatch:
@@ -178,7 +173,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int =
         for b in batches:
             kinds = b.column(0).type
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                packer.add(doc, words.encode(text.as_py() or "") + end)
+                packer.add(doc, parts.encode(text.as_py() or "") + end)
             yield rows()
         packer.finish()
         if packer.out:

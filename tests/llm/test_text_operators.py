@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import language_id, pii, toxicity
 from corpusloom.llm.mixing import mix
-from corpusloom.llm.packing import Packer, pack, word_ids
+from corpusloom.llm.packing import Packer, pack, part_ids
 from corpusloom.llm.quality_rules import LineRules, judge, quality_rules, repeat_words
 
 from .helpers import HAS_DATA, LONG, ROWS, SF, documents, words
@@ -260,10 +260,10 @@ def test_pack_rows(spark):
 
 
 @needs_tokenizer
-@settings(deadline=None, max_examples=200)
+@settings(deadline=None, max_examples=1000)
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\r'sdlmtrve|<>̀ßéİΣŉ.,12!endoftext")), max_size=40))
-def test_word_ids_equal_the_tokenizers(text):
-    w = word_ids(TOKENIZER)
+def test_ids_equal_the_tokenizers(text):
+    w = part_ids(TOKENIZER)
     assert w.encode(text) == np.array(w.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -323,3 +323,11 @@ def test_terms_that_give_an_entity_away(spark, monkeypatch, a_pass):
     got = {r.doc_id: r for r in pii.find(docs, clean=True).collect()}
     assert got[300].spans == "term:6:14" and got[300].clean_text == "only () here" and got[300].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[0].spans.startswith("email:21:30,term:7:15") and got[200].n_term == 0
+
+
+@needs_tokenizer
+def test_ids_of_every_plain_character():
+    w = part_ids(TOKENIZER)
+    for c in [*map(chr, range(0x250)), "\u0307", "\ufb01", "\u1e9e", "\u2028"]:
+        for text in (c, f"a{c}b", f"1{c}'s {c.upper()}{c}!", f"{c}{c}"):
+            assert w.encode(text) == np.array(w.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(ord(c))
