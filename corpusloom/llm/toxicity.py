@@ -111,7 +111,7 @@ class Decoder:
     def __init__(self, log_p: np.ndarray):
         self.log_p = log_p.ravel().tolist()
 
-    def lattice(self, chars: str, spaced: bool) -> list[list[tuple[str, float]]]:
+    def lattice(self, chars: str) -> list[list[tuple[str, float]]]:
         columns, i = [], 0
         while i < len(chars):
             ch, j = chars[i], i
@@ -132,11 +132,11 @@ class Decoder:
                 columns.append([(" ", 0.0)])
         return columns
 
-    def decode(self, chars: str, spaced: bool = False) -> str:
+    def decode(self, chars: str) -> str:
         """The likeliest letters for the lower-case characters; a space where words part."""
         log_p = self.log_p
         best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-        for column in self.lattice(chars, spaced):
+        for column in self.lattice(chars):
             new: dict[int, tuple[float, tuple]] = {}
             for state, (score, path) in best.items():
                 for text, cost in column:
@@ -175,7 +175,7 @@ class Decoder:
 
     def spaced(self, text: str) -> list[str]:
         """Words of the runs of single characters."""
-        return [w for m in _SPACED.finditer(text) if len(_LETTER.findall(m[0])) > 1 for w in self.decode(" ".join(m[0].lower().split()), True).split()]
+        return [w for m in _SPACED.finditer(text) if len(_LETTER.findall(m[0])) > 1 for w in self.decode(" ".join(m[0].lower().split())).split()]
 
 
 def features(word: str) -> list[str]:

@@ -127,7 +127,7 @@ def test_viterbi_matches_all_paths(toxic_model):
 
     for token in ("1d10t", "m0r0n", "c!0wn", "5tup1d"):
         best = []
-        for path in itertools.product(*d.lattice(token, False)):
+        for path in itertools.product(*d.lattice(token)):
             s, state = sum(c for _, c in path), 0
             for ch in "".join(t for t, _ in path):
                 c = toxicity.code(ch)
