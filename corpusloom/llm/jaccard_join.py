@@ -34,6 +34,8 @@ FREQUENT_SETS, LOW, REPORTED = SHORT_LIST, 0.3, 4
 #: The low bits of a list's key number the sublist, 0 if it is the whole list.
 SUBLIST = 4096
 SALT_BITS = 12
+#: Sets of a block of a list whose sets are of several components.
+BLOCK = 2048
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
 FILTER_BITS = 1 << 23
 
@@ -381,15 +383,17 @@ def _first_pairs(postings: DataFrame, buckets: int) -> DataFrame:
     return postings.repartition(spread, "bucket").mapInArrow(run, _OUT)
 
 
-def _cross_pairs(entries: DataFrame) -> DataFrame:
-    """entries (key, a, size, pos, root) of lists → pairs (a, b) that may be linked and have different roots."""
+def _cross_pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """entries (key, a, size, pos, root) of the lists in sizes (key, many) → pairs (a, b) that may be linked and have different roots.
+
+    A list of more than BLOCK sets is dealt into blocks, and each two blocks meet in a task of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [b for b in batches if b.num_rows]
         if not cols:
             return
         t = pa.Table.from_batches(cols)
-        key, ids, size, pos, root = (t.column(k).to_numpy() for k in ("key", "a", "size", "pos", "root"))
+        key, ids, size, pos, root = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root"))
         p = np.empty(len(key), _POSTING)
         p["key"], p["id"], p["size"], p["pos"] = key.view(_U), ids, size, pos
         of = dict(zip(ids.tolist(), root.tolist()))
@@ -403,7 +407,11 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
                 if len(near):
                     yield _rows(0, np.full(len(near), lst.p["id"][i]), lst.p["id"][near], 0, 0, 0).select(["a", "b"])
 
-    return entries.repartition("key").select("key", "a", "size", "pos", "root").mapInArrow(run, "a long, b long").distinct()
+    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    dealt = entries.join(sizes, "key").withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("a"), blocks).cast("int")})
+    dealt = dealt.select("key", "a", "size", "pos", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumn("list", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    return dealt.repartition("list").select("list", "a", "size", "pos", "root").mapInArrow(run, "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -510,16 +518,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     low = (1 << SALT_BITS) - 1
     hubs = first.where("kind = 2").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos").distinct()
     #: Hubs of the sublists of one shingle meet: each is its own root.
-    several = hubs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    met = _cross_pairs(hubs.join(several, "key", "left_semi").withColumn("root", F.col("a")))
+    several = cut(hubs.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"))
+    met = _cross_pairs(hubs.withColumn("root", F.col("a")), several)
     done = cut(first.where("kind = 0").select("a", "b").union(met).distinct())
     links = cut(_compared(docs, classes, sketches, done))
     roots = components(links)
     #: Lists that were not compared pair by pair, and whose sets are not all of one component by now.
     entries = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
     entries = entries.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
-    mixed_lists = entries.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    left = cut(_cross_pairs(entries.join(mixed_lists, "key", "left_semi")).join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
+    several = cut(entries.groupBy("key").agg(F.count("*").alias("many"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key", "many"))
+    left = cut(_cross_pairs(entries, several).join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
     if left.head():
         links = cut(links.union(_compared(docs, classes, sketches, left)))
         roots = components(links)
