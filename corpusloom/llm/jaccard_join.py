@@ -34,6 +34,8 @@ FREQUENT_SETS, LOW, REPORTED = SHORT_LIST, 0.3, 4
 #: The low bits of a list's key number the sublist, 0 if it is the whole list.
 SUBLIST = 4096
 SALT_BITS = 12
+#: Above DENSE pairs an entry in lists of several components, SOME partners of each set are compared before all are.
+DENSE, SOME = 128, 12
 #: Sets of a block of a list whose sets are of several components.
 BLOCK = 2048
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
@@ -383,8 +385,9 @@ def _first_pairs(postings: DataFrame, buckets: int) -> DataFrame:
     return postings.repartition(spread, "bucket").mapInArrow(run, _OUT)
 
 
-def _cross_pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
-    """entries (key, a, size, pos, root) of the lists in sizes (key, many) → pairs (a, b) that may be linked and have different roots.
+def _cross_pairs(entries: DataFrame, sizes: DataFrame, some: int = 0) -> DataFrame:
+    """entries (key, a, size, pos, root) of the lists in sizes (key, many) → pairs (a, b) that may be linked and have different roots:
+    all of them, or of each set in each list `some` that a hash picks, alike in all lists.
 
     A list of more than BLOCK sets is dealt into blocks, and each two blocks meet in a task of their own."""
 
@@ -403,9 +406,13 @@ def _cross_pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
             roots = np.array([of[i] for i in lst.p["id"].tolist()])
             for i in range(len(roots)):
                 near = lst.partners(int(lst.size[i]), int(lst.pos[i]))
-                near = near[(near > i) & (roots[near] != roots[i])]
+                near = near[((near > i) | (some > 0)) & (roots[near] != roots[i])]
+                if some and len(near) > some:
+                    own = lst.p["id"].view(_U)
+                    near = near[np.argsort(mixed(own[near] * _M ^ own[i]))[:some]]
                 if len(near):
-                    yield _rows(0, np.full(len(near), lst.p["id"][i]), lst.p["id"][near], 0, 0, 0).select(["a", "b"])
+                    pair = np.sort(np.column_stack([np.full(len(near), lst.p["id"][i]), lst.p["id"][near]]), axis=1)
+                    yield _rows(0, pair[:, 0], pair[:, 1], 0, 0, 0).select(["a", "b"])
 
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     dealt = entries.join(sizes, "key").withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("a"), blocks).cast("int")})
@@ -523,14 +530,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     done = cut(first.where("kind = 0").select("a", "b").union(met).distinct())
     links = cut(_compared(docs, classes, sketches, done))
     roots = components(links)
-    #: Lists that were not compared pair by pair, and whose sets are not all of one component by now.
-    entries = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
-    entries = entries.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
-    several = cut(entries.groupBy("key").agg(F.count("*").alias("many"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key", "many"))
-    left = cut(_cross_pairs(entries, several).join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
-    if left.head():
-        links = cut(links.union(_compared(docs, classes, sketches, left)))
-        roots = components(links)
+    #: Lists that were not compared pair by pair, and whose sets are not all of one component by now. Where that leaves very many pairs,
+    #: a few of each set come first: most of a loose group is of one component then, and the rest is compared with all.
+    listed = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
+    for some in (SOME, SOME, 0):
+        entries = listed.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
+        by_root = entries.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("many"), F.sum(F.col("n") * F.col("n")).alias("within"))
+        several = cut(by_root.where(F.col("within") < F.col("many") * F.col("many")))
+        if some:
+            crossing = several.agg(F.sum("many").alias("n"), F.sum(F.col("many").cast("double") * F.col("many") - F.col("within")).alias("pairs")).head()
+            if not crossing["n"] or crossing["pairs"] <= DENSE * crossing["n"]:
+                continue
+        known = done.union(done.select("b", "a"))
+        left = cut(_cross_pairs(entries, several.select("key", "many"), some).join(known, ["a", "b"], "left_anti"))
+        if left.head():
+            done = cut(done.union(left))
+            links = cut(links.union(_compared(docs, classes, sketches, left)))
+            roots = components(links)
     labelled = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rep", F.coalesce("root", "set").alias("root"))
     labelled = cut(labelled)
     least = cut(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))

@@ -78,6 +78,8 @@ def test_join_matches_brute_force(spark, monkeypatch, seed, short, sublist):
     monkeypatch.setattr(jaccard_join, "SUBLIST", sublist)
     monkeypatch.setattr(jaccard_join, "FREQUENT_SETS", 2 if short < 8 else 8)
     monkeypatch.setattr(jaccard_join, "GROUP", 4)
+    monkeypatch.setattr(jaccard_join, "DENSE", 128 if short == 8 else 1)
+    monkeypatch.setattr(jaccard_join, "SOME", 2)
     monkeypatch.setattr(jaccard_join, "BLOCK", 2048 if short == 8 else 5)
     rows = planted(seed)
     got = jaccard_join.jaccard_components(documents(spark, rows)).collect()
