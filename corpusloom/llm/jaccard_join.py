@@ -35,7 +35,7 @@ FREQUENT_SETS, LOW, REPORTED = SHORT_LIST, 0.3, 4
 SUBLIST = 4096
 SALT_BITS = 12
 #: Above DENSE pairs an entry in lists of several components, SOME partners of each set are compared before all are.
-DENSE, SOME = 128, 12
+DENSE, SOME = 128, 3
 #: Sets of a block of a list whose sets are of several components.
 BLOCK = 2048
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
