@@ -35,7 +35,7 @@ FREQUENT_SETS, LOW, REPORTED = SHORT_LIST, 0.3, 4
 SUBLIST = 4096
 SALT_BITS = 12
 #: Above DENSE pairs an entry in lists of several components, SOME partners of each set are compared before all are.
-DENSE, SOME = 128, 3
+DENSE, SOME = 128, 6
 #: Sets of a block of a list whose sets are of several components.
 BLOCK = 2048
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
@@ -533,7 +533,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     #: Lists that were not compared pair by pair, and whose sets are not all of one component by now. Where that leaves very many pairs,
     #: a few of each set come first: most of a loose group is of one component then, and the rest is compared with all.
     listed = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
-    for some in (SOME, SOME, 0):
+    for some in (SOME, 0):
         entries = listed.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
         by_root = entries.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("many"), F.sum(F.col("n") * F.col("n")).alias("within"))
         several = cut(by_root.where(F.col("within") < F.col("many") * F.col("many")))
