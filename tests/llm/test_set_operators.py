@@ -225,6 +225,16 @@ def test_pages_without_an_article(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("pages", [4, 64])
+def test_runs_are_found_across_the_groups_of_a_host(spark, monkeypatch, pages):
+    monkeypatch.setattr(html_text, "PAGES", pages)
+    story = lambda i: f"unique story number {i} about thing {i * 7} that is told once only"
+    foot = "Copyright of this site and all of its many friendly authors 2024"
+    rows = [(i, "http://h.example/", f"<div>{story(i)}</div>" + (f"<div>{foot}</div>" if i % 20 == 0 else "")) for i in range(40)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(i, story(i)) for i in range(40)]
+
+
 @pytest.mark.skipif(not HAS_DATA, reason="no test tables here")
 def test_articles_of_the_tables(spark, monkeypatch):
     monkeypatch.setattr(html_text, "PAGES", 4)
