@@ -235,6 +235,22 @@ def test_runs_are_found_across_the_groups_of_a_host(spark, monkeypatch, pages):
     assert sorted((r.page_id, r.text) for r in got) == [(i, story(i)) for i in range(40)]
 
 
+@pytest.mark.parametrize("pages", [4, 64])
+def test_open_blocks_beside_an_article_and_notices_in_main(spark, monkeypatch, pages):
+    monkeypatch.setattr(html_text, "PAGES", pages)
+    story = lambda i: f"unique story number {i} about thing {i * 7} that is told once only"
+    foot, notice = "Copyright of this site and all of its many friendly authors 2024", "All of the times on this page are local ones, as they were"
+    beside = lambda i: f"<h1>Title {i}</h1><article><p>teaser {i}</p></article><div>{story(i)}</div><div>{foot}</div>"
+    within = lambda i: f"<main><h1>Title {i}</h1><p>{notice}</p><article><p>{story(i)}</p></article></main>"
+    rows = [(i, f"http://h{i % 2}.example/", (within if i % 2 else beside)(i)) for i in range(40)]
+    # Two stories of a main element that are the same on two pages are no notices, nor is what is all of a main element.
+    rows += [(40 + i, "http://h1.example/", f"<main><p>{story(99)}</p><p>{story(40 + i)}</p></main>") for i in range(2)] + [(50, "http://h1.example/", f"<main><p>{notice}</p></main>")]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == (f"Title {i}\n{story(i)}" if i % 2 else f"Title {i}\nteaser {i}\n{story(i)}")
+    assert [got[i] for i in (40, 41, 50)] == [f"{story(99)}\n{story(40)}", f"{story(99)}\n{story(41)}", notice]
+
+
 @pytest.mark.skipif(not HAS_DATA, reason="no test tables here")
 def test_articles_of_the_tables(spark, monkeypatch):
     monkeypatch.setattr(html_text, "PAGES", 4)
