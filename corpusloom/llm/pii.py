@@ -12,8 +12,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -92,13 +93,11 @@ def term_of(word: str) -> str:
 
 @dataclass(frozen=True)
 class Disclosure:
-    """window: words on either side of an entity. min_contexts: different contexts (surrounding words) of entity and term.
-    diversity: least share of different contexts among all that have both, so that copies of one passage are no evidence.
-    threshold: share of the entity's information that the term must reveal. min_chars: of a term."""
+    """window: words on either side of an entity. min_contexts: different contexts (what stands beyond the window) of entity and
+    term; copies count once. threshold: share of the entity's information that the term must reveal. min_chars: of a term."""
 
     window: int = 5
     min_contexts: int = 3
-    diversity: float = 0.5
     threshold: float = 0.8
     min_chars: int = 3
 
@@ -109,41 +108,83 @@ FILTER_BITS = 1 << 22
 TERMS_A_PASS = 200_000
 
 
-def contexts(text: str, rules: Disclosure) -> Iterator[tuple[int, str, int]]:
-    """(entity, term, context) for the terms around each base span; the context is the least hash of the other terms,
-    which near copies of a passage mostly share."""
+#: Multipliers of the hashes of a context. Copies agree in some of them, though each may miss an edited word.
+_HASHES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
+def least_hashes(units: Iterable[str]) -> tuple[int, ...]:
+    """The least of each of several hashes of the units."""
+    h = np.array([stable_hash(u) for u in units], np.int64).view(np.uint64)
+    if not len(h):
+        return (0,) * len(_HASHES)
+    h = h[:, None] * _HASHES
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return tuple(h.min(0).view(np.int64).tolist())
+
+
+def surroundings(text: str, rules: Disclosure) -> Iterator[tuple[str, list[str], list[list[str]]]]:
+    """(entity, terms within the window, terms beyond it before and after) of each base span."""
     for own in base_spans(text):
         for a, b in own:
-            before = WORD.findall(text[max(0, a - _REACH) : a])[a > _REACH :][-rules.window :]
+            before = WORD.findall(text[max(0, a - _REACH) : a])[a > _REACH :]
             after = WORD.findall(text[b : b + _REACH])
-            after = after[: len(after) - (len(text) > b + _REACH)][: rules.window]
-            entity, terms = stable_hash(text[a:b].lower()), {term_of(w) for w in before + after}
-            hashed = sorted((stable_hash(t), t) for t in terms)
-            for _, term in hashed:
-                if len(term) >= rules.min_chars and not _DIGIT.search(term) and "@" not in term:
-                    yield entity, term, next((h for h, t in hashed if t != term), 0)
+            after = after[: len(after) - (len(text) > b + _REACH)]
+            cut_at = max(0, len(before) - rules.window)
+            near = sorted({term_of(w) for w in before[cut_at:] + after[: rules.window]})
+            yield text[a:b].lower(), near, [[*map(term_of, before[:cut_at])], [*map(term_of, after[rules.window :])]]
+
+
+def _is_term(term: str, rules: Disclosure) -> bool:
+    return len(term) >= rules.min_chars and not _DIGIT.search(term) and "@" not in term
+
+
+def contexts(text: str, rules: Disclosure) -> Iterator[tuple]:
+    """(entity, term, hashes of the context) for the terms around each base span. The context is the pairs of words beyond the
+    window, so that terms that always stand together do not make it one; else the words there, else the other terms."""
+    for entity, near, far in surroundings(text, rules):
+        units = {f"{x} {y}" for side in far for x, y in pairwise(side)} or {x for side in far for x in side}
+        common = least_hashes(units)
+        for term in near:
+            if _is_term(term, rules):
+                yield stable_hash(entity), term, *(common if units else least_hashes(t for t in near if t != term))
+
+
+def context_counts(seen: DataFrame) -> DataFrame:
+    """entity, term, c0, c1, ... → entity, term, n_pair: the different contexts of each pair.
+
+    By one hash after the other, contexts that agree in it become one, with the later hashes that most of them have. An edited copy
+    of a passage that differs from the others in one hash meets them by the next.
+    """
+    names = [f"c{k}" for k in range(len(_HASHES))]
+    seen = seen.groupBy("entity", "term", *names).agg(F.count("*").alias("n"))
+    for k in range(len(names) - 1):
+        most = F.max(F.struct("n", *names[k + 1 :])).alias("most")
+        seen = seen.groupBy("entity", "term", names[k]).agg(F.sum("n").alias("n"), most).select("entity", "term", "n", *(f"most.{c}" for c in names[k + 1 :]))
+    return seen.groupBy("entity", "term", names[-1]).agg(F.sum("n")).groupBy("entity", "term").agg(F.count("*").alias("n_pair"))
 
 
 def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:
     """term, share: the terms of the corpus that reveal an entity beyond the threshold.
 
     Two passes over all texts. The first gathers the terms near entities and keeps those with enough
-    different contexts (so copies of one text count once). The second counts in how many contexts or
-    documents those terms occur at all; only words that pass a filter of fixed size are shuffled,
-    and an exact join follows. p(e,t) is counted in contexts, p(t) in documents (but no less
-    than its contexts), p(e) by the most contexts that e has with any term.
+    different contexts (so copies of one text count once). The second counts in how many
+    documents those terms occur away from entities; only words that pass a filter of fixed size are shuffled,
+    and an exact join follows. p(e,t) is counted in contexts, p(t) in contexts with any entity and in
+    documents that have it elsewhere only, p(e) by the most contexts that e has with any term.
     """
     texts = small_batches(docs).select(text_col)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [x for t in b.column(0).to_pylist() if t for x in contexts(t, rules)]
-            e, t, c = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(t, pa.string()), pa.array(c, pa.int64())], names=["entity", "term", "context"])
+            cols = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
 
-    pairs = texts.mapInArrow(near, "entity long, term string, context long").groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.sum("n").alias("n_seen"))
-    pairs = cut(pairs.where((F.col("n_pair") >= rules.min_contexts) & (F.col("n_pair") >= rules.diversity * F.col("n_seen"))).drop("n_seen"))
+    names = ["entity", "term", *(f"c{k}" for k in range(len(_HASHES)))]
+    kinds = [pa.int64(), pa.string(), *[pa.int64()] * len(_HASHES)]
+    every = cut(context_counts(texts.mapInArrow(near, ", ".join(f"{c} {'string' if c == 'term' else 'long'}" for c in names))))
+    pairs = every.where(F.col("n_pair") >= rules.min_contexts)
     bit = F.xxhash64("term").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int")
     got = pairs.select(bit.alias("bit")).distinct().limit(FILTER_BITS).toArrow().column("bit").to_numpy()
     if not len(got):
@@ -168,7 +209,8 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
         for b in batches:
             for t in b.column(0).to_pylist():
                 n_docs += 1
-                sums.update({candidate(w) for w in set(WORD.findall(t or ""))})
+                beside = {x for _, near, _ in surroundings(t or "", rules) for x in near if _is_term(x, rules)}
+                sums.update({candidate(w) for w in set(WORD.findall(t or ""))} - beside)
             sums.pop(None, None)
             if len(sums) > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.int64())], names=["term", "n"])
@@ -179,9 +221,10 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
     counts = cut(texts.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")))
     n_docs = (counts.where(F.col("term").isNull()).head() or [None, 1])[1]
     seen = pairs.join(pairs.groupBy("entity").agg(F.max("n_pair").alias("n_entity")), "entity")
-    n_term = F.greatest("n", "n_pair")
+    beside = every.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n_pair").alias("n_beside"))
+    n_term = F.col("n_beside") + F.coalesce("n", F.lit(0))
     share = F.log(F.col("n_pair") * n_docs / (F.col("n_entity") * n_term)) / F.log(F.greatest(F.lit(n_docs), F.col("n_entity") + 1) / F.col("n_entity"))
-    best = seen.join(counts, "term").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
+    best = seen.join(beside, "term").join(counts, "term", "left").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
     return best.where(F.col("share") >= rules.threshold)
 
 

@@ -325,6 +325,27 @@ def test_terms_that_give_an_entity_away(spark, monkeypatch, a_pass):
     assert got[0].spans.startswith("email:21:30,term:7:15") and got[200].n_term == 0
 
 
+def test_copies_count_once_and_terms_may_stand_together(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(2000)]
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    # Ten contexts and very many copies of one; a first and a last name that always stand by an address, in a fixed phrase.
+    passage = f"{some(30)} zanzibar wrote bob@x.org about it {some(30)}"
+    texts = [f"{some(30)} zanzibar {some(2)} bob@x.org {some(30)}" for _ in range(10)] + [passage] * 300
+    texts += [f"{some(30)} please do ask hrothgar wulfstan <ann@y.org> if you need more help {some(30)}" for _ in range(10)]
+    # Copies with an edited word each are copies.
+    for i in range(300):
+        copy = f"{passage} {some(20)}".replace("zanzibar", "secretword").replace("bob@", "eve@").split() if not i else copy
+        edited = [*copy]
+        edited[rng.choice([*range(20), *range(45, 60)])] = rng.choice(words)
+        texts.append(" ".join(edited))
+    texts += [some(60) for _ in range(400)]
+    terms = {r.term for r in pii.disclosing_terms(documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert terms >= {"zanzibar", "hrothgar", "wulfstan"} and "secretword" not in terms
+
+
 @needs_tokenizer
 def test_ids_of_every_plain_character():
     w = part_ids(TOKENIZER)
