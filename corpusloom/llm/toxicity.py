@@ -38,8 +38,9 @@ _NOISE = re.compile(r"(\w)\1\1|[0-9@$!|+(€£¡*._~\-]")
 _LETTER = re.compile(r"[^\W\d_]")
 #: Three or more single characters with white space between.
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t\r\n\f\v]+\S(?!\S)){2,}")
-#: A longer token (repeats collapsed) is no word; it stays as it is.
-LONGEST = 60
+#: Signs that join words, and those that stand for spaces in a token with noise.
+_JOINT = re.compile(r"[,;:/\\]")
+_DOT = re.compile(r"[._~\-]")
 SYMBOLS = 28  # 0: not a letter, 1-26: a-z without accents, 27: another letter
 BEAM = 12
 #: Bounds: labelled documents that are used (least hash first), and features of the model.
@@ -111,8 +112,8 @@ class Decoder:
     def __init__(self, log_p: np.ndarray):
         self.log_p = log_p.ravel().tolist()
 
-    def lattice(self, chars: str) -> list[list[tuple[str, float]]]:
-        columns, i = [], 0
+    def lattice(self, chars: str) -> Iterator[list[tuple[str, float]]]:
+        i = 0
         while i < len(chars):
             ch, j = chars[i], i
             while j < len(chars) and chars[j] == ch:
@@ -120,22 +121,30 @@ class Decoder:
             n, i = j - i, j
             inner = 0 < j - n and j < len(chars)
             if _LETTER.match(ch):
-                columns.append([(ch * n, 0.0)] if n < 2 else [(ch, REPEAT if n > 2 else 2 * REPEAT), (ch * 2, REPEAT if n > 2 else 0.0)])
+                yield [(ch * n, 0.0)] if n < 2 else [(ch, REPEAT if n > 2 else 2 * REPEAT), (ch * 2, REPEAT if n > 2 else 0.0)]
             elif ch == " ":
-                columns.append([("", 0.0), (" ", 0.0)])
+                yield [("", 0.0), (" ", 0.0)]
             elif ch in LEET:
                 options = [(x, SIGN * min(n, 2)) for x in LEET[ch]] + ([(x * 2, SIGN * 2) for x in LEET[ch][:2]] if n == 2 else [])
-                columns.append(options + [("", UNMEANT if ch in _MEANT and (inner or n < 3) else BETWEEN if inner else 0.0)])
+                yield options + [("", UNMEANT if ch in _MEANT and (inner or n < 3) else BETWEEN if inner else 0.0)]
             elif ch in _SEPARATORS:
-                columns.append([("", BETWEEN), (" ", 0.0)] if inner else [("", 0.0)])
+                yield [("", BETWEEN), (" ", 0.0)] if inner else [("", 0.0)]
             else:
-                columns.append([(" ", 0.0)])
-        return columns
+                yield [(" ", 0.0)]
 
     def decode(self, chars: str) -> str:
-        """The likeliest letters for the lower-case characters; a space where words part."""
+        """The likeliest letters for the lower-case characters; a space where words part. What all paths have is put out at once."""
         log_p = self.log_p
         best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+        done: list[str] = []
+
+        def put(path: tuple) -> None:
+            out = []
+            while path:
+                path, text = path
+                out.append(text)
+            done.extend(reversed(out))
+
         for column in self.lattice(chars):
             new: dict[int, tuple[float, tuple]] = {}
             for state, (score, path) in best.items():
@@ -149,24 +158,25 @@ class Decoder:
                     if at not in new or s > new[at][0]:
                         new[at] = (s, (path, text) if text else path)
             best = dict(sorted(new.items(), key=lambda x: -x[1][0])[:BEAM]) if len(new) > BEAM else new
-        _, path = max((s + (log_p[at * SYMBOLS] if at % SYMBOLS else 0.0), p) for at, (s, p) in best.items())
-        out = []
-        while path:
-            path, text = path
-            out.append(text)
-        return "".join(reversed(out)).strip()
+            if len(best) == 1:
+                ((at, (score, path)),) = best.items()
+                put(path)
+                best = {at: (score, ())}
+        put(max(((s + (log_p[at * SYMBOLS] if at % SYMBOLS else 0.0), p) for at, (s, p) in best.items()), key=lambda x: x[0])[1])
+        return "".join(done).strip()
 
     def restore_token(self, token: str) -> str:
         """The token in lower case, without edge punctuation and ornament, decoded if it shows noise."""
         word = token.strip(_EDGE)
         word = _ORNAMENT.sub("", word).strip(_EDGE).lower()
-        if not _NOISE.search(word) or not _LETTER.search(word):
-            return word
-        if len(re.sub(r"(.)\1+", r"\1", word)) > LONGEST or "@" in word and "." in word.partition("@")[2]:
+        if not (_NOISE.search(word) or _JOINT.search(word)) or not _LETTER.search(word):
             return word
-        parts = re.split(r"[._~\-]", word)
-        if len(parts) > 1 and (len(parts) < 3 or max(map(len, parts)) > 1):
-            return " ".join(self.restore_token(p) for p in parts if p)
+        for sign in (_JOINT, _DOT):
+            if sign is _DOT and "@" in word and "." in word.partition("@")[2]:
+                return word
+            parts = sign.split(word)
+            if len(parts) > 1 and (len(parts) < 3 or max(map(len, parts)) > 1):
+                return " ".join(filter(None, map(self.restore_token, parts)))
         return self.decode(word)
 
     def restore(self, text: str) -> str:
@@ -240,7 +250,7 @@ def _odds(sample: DataFrame, min_docs: int = 3, min_share: float = 0.015, min_od
 
         for b in batches:
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = {_ORNAMENT.sub("", t.strip(_EDGE)).strip(_EDGE).lower() for t in WORD.findall(text or "")}
+                words = {_ORNAMENT.sub("", t.strip(_EDGE)).strip(_EDGE).lower() for w in WORD.findall(text or "") for t in _JOINT.split(w)}
                 for f in {f for w in words if w and not _NOISE.search(w) for f in features(w)}:
                     sums.setdefault(f, [0, 0])[toxic] += 1
                 sums.setdefault("", [0, 0])[toxic] += 1

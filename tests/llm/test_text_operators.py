@@ -143,6 +143,17 @@ def test_plain_text_survives_restoring(toxic_model):
     assert d.restore_token("bob@x.org") == "bob@x.org" and d.restore("") == ""
 
 
+def test_long_and_joined_tokens_are_restored(toxic_model):
+    s = toxicity.Scorer(toxic_model)
+    known = s["idiot"]
+    assert known > 0
+    for joint in "_.-~,;:/":
+        assert s[joint.join(["window", "letter", "garden", "river"] * 5 + ["idiot", "street"])] == known, joint
+    assert s["letter/idiot"] == known and s["letter,idi0t"] == known
+    d = toxicity.Decoder(toxic_model.log_p)
+    assert "1" not in d.restore_token("wi1ndow" * 20_000) and d.restore_token("x" * 100_000 + "1") != ""
+
+
 def test_toxic_rows(spark, toxic_model):
     got = {r.doc_id: r for r in toxicity.predict(documents(spark), toxic_model, restored=True).collect()}
     assert len(got) == 9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
