@@ -42,7 +42,6 @@ _SPACED = re.compile(r"(?<!\S)\S(?:[ \t\r\n\f\v]+\S(?!\S)){2,}")
 _JOINT = re.compile(r"[,;:/\\]")
 _DOT = re.compile(r"[._~\-]")
 SYMBOLS = 28  # 0: not a letter, 1-26: a-z without accents, 27: another letter
-BEAM = 12
 #: Bounds: labelled documents that are used (least hash first), and features of the model.
 SAMPLE_DOCS, FEATURES = 20_000, 20_000
 CACHED = 300_000
@@ -157,7 +156,7 @@ class Decoder:
                             at = at % SYMBOLS * SYMBOLS + c
                     if at not in new or s > new[at][0]:
                         new[at] = (s, (path, text) if text else path)
-            best = dict(sorted(new.items(), key=lambda x: -x[1][0])[:BEAM]) if len(new) > BEAM else new
+            best = new
             if len(best) == 1:
                 ((at, (score, path)),) = best.items()
                 put(path)
@@ -236,8 +235,12 @@ class Scorer(dict):
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def _odds(sample: DataFrame, min_docs: int = 3, min_share: float = 0.015, min_odds: float = 2.5) -> dict[str, float]:
-    """Log odds of the features of plain tokens by document, for features with clear odds in enough toxic documents."""
+def _odds(sample: DataFrame, min_docs: int = 3, min_odds: float = 2.5) -> dict[str, float]:
+    """Log odds of the features of plain tokens by document, for features with clear odds in enough toxic documents.
+
+    Enough by a likelihood-ratio test whose bound grows with the logarithm of the documents only: what a small table
+    shows, a larger one of the same kind shows too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[int]] = {}
@@ -264,7 +267,15 @@ def _odds(sample: DataFrame, min_docs: int = 3, min_share: float = 0.015, min_od
     if not every or not every["pos"] or not every["neg"]:
         return {}
     odds = F.log((F.col("pos") + 0.5) / (every["pos"] + 1)) - F.log((F.col("neg") + 0.5) / (every["neg"] + 1))
-    got = sums.where((F.col("feature") != "") & (F.col("pos") >= max(min_docs, math.ceil(min_share * every["pos"])))).withColumn("odds", odds).where(F.col("odds") >= min_odds)
+    n_docs = every["pos"] + every["neg"]
+    seen = F.col("pos") + F.col("neg")
+
+    def part(n: Column, of: Column, all_of: int) -> Column:
+        return F.when(n > 0, n * F.log(n * n_docs / (of * all_of))).otherwise(0.0)
+
+    ratio = sum((part(F.col(c), seen, every[c]) + part(every[c] - F.col(c), n_docs - seen, every[c]) for c in ("pos", "neg")), F.lit(0.0))
+    clear = (F.col("pos") >= min_docs) & (ratio >= math.log(n_docs))
+    got = sums.where((F.col("feature") != "") & clear).withColumn("odds", odds).where(F.col("odds") >= min_odds)
     rows = got.orderBy(F.desc(F.col("odds") * F.col("pos")), "feature").limit(FEATURES).collect()
     most: dict[str, int] = {}  # of a beginning: the documents of its most frequent word
     for r in rows:

@@ -154,6 +154,35 @@ def test_long_and_joined_tokens_are_restored(toxic_model):
     assert "1" not in d.restore_token("wi1ndow" * 20_000) and d.restore_token("x" * 100_000 + "1") != ""
 
 
+def test_rare_features_stay_on_larger_tables(spark):
+    plain = lambda i: f"table garden w{'abcdefgh'[i % 8]}x river"
+    text = lambda i: plain(i) + (" vermin" if i % 800 == 0 else " moron" if i % 8 == 0 else "")
+    n = 8_000  # a thousand toxic documents, ten of them with the rare word
+    sample = spark.createDataFrame([(text(i), int(i % 8 == 0)) for i in range(n)], "text string, toxic int")
+    odds = toxicity._odds(sample)
+    assert "vermin" in odds and "moron" in odds and not {"table", "river", "garden"} & set(odds)
+
+
+@pytest.mark.parametrize("seed", [6, 10, 18])
+def test_every_state_is_searched(seed):
+    # Under a model of noise, the best path of a token of wild cards is one that twelve others beat at first.
+    import itertools
+
+    d = toxicity.Decoder(np.log(np.random.default_rng(seed).dirichlet(np.full(28, 0.1), (28, 28)).clip(1e-9)))
+
+    def cost(path):
+        s, state = sum(c for _, c in path), 0
+        for ch in "".join(t for t, _ in path):
+            c = toxicity.code(ch)
+            if c or state % 28:
+                s += d.log_p[state * 28 + c]
+                state = state % 28 * 28 + c
+        return s + (d.log_p[state * 28] if state % 28 else 0.0)
+
+    for token in ("*1*|*b", "*1*1*"):
+        assert d.decode(token) == "".join(t for t, _ in max(itertools.product(*d.lattice(token)), key=cost))
+
+
 def test_toxic_rows(spark, toxic_model):
     got = {r.doc_id: r for r in toxicity.predict(documents(spark), toxic_model, restored=True).collect()}
     assert len(got) == 9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
