@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, release, shuffle_partitions, small_batches, stored
+from .common import discard, release, shuffle_partitions, small_batches, stored, tidy
 from .components import components
 
 WORDS = 5
@@ -38,6 +38,8 @@ SALT_BITS = 12
 DENSE, SOME = 128, 6
 #: Sets of a block of a list whose sets are of several components.
 BLOCK = 2048
+#: Bytes of text to a bucket of the index.
+BUCKET_BYTES = 32 << 20
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
 FILTER_BITS = 1 << 23
 
@@ -216,21 +218,37 @@ def _scan(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, f"kind int, id {kind}, n long, set long, blob binary")
 
 
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+    """Of rows (bucket, blob) in order of bucket, the blobs of one bucket after the other, joined."""
+    bucket, held = None, []
+    for b in batches:
+        for k, blob in zip(b.column(0).to_pylist(), b.column(1)):
+            if k != bucket and held:
+                yield b"".join(held)
+                held = []
+            bucket = k
+            held.append(blob.as_py())
+    if held:
+        yield b"".join(held)
+
+
+def _dealt(blobs: DataFrame) -> DataFrame:
+    """(bucket, blob) in partitions, ordered by bucket: a task holds one bucket at a time."""
+    return blobs.repartition(shuffle_partitions(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
+
+
 def _frequent(scanned: DataFrame) -> Frequent:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [x.as_py() for b in batches for x in b.column(1)]
-        if blobs:
-            flat = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
+        for blob in _by_bucket(batches):
+            flat = np.frombuffer(blob, np.uint8).reshape(-1, 6)
             s = np.zeros((len(flat), 8), np.uint8)
             s[:, :6] = flat
             value, n = np.unique(s.reshape(-1).view(np.int64), return_counts=True)
             often = n > FREQUENT_SETS
-            del blobs, flat, s
             yield pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(n[often])], names=["shingle", "n"])
-            release()
+        release()
 
-    spread = shuffle_partitions(scanned.sparkSession)
-    low = scanned.where("kind = 1").select(F.col("set").alias("bucket"), "blob").repartition(spread, "bucket").mapInArrow(count, "shingle long, n long")
+    low = _dealt(scanned.where("kind = 1").select(F.col("set").alias("bucket"), "blob")).mapInArrow(count, "shingle long, n long")
     other = scanned.where("kind = 2").groupBy(F.col("set").alias("shingle")).agg(F.sum("n").alias("n"))
     counts = low.union(other.where((F.col("n") > FREQUENT_SETS) & (F.col("shingle") >= int(_LOW_LIMIT >> _DROPPED))))
     got = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
@@ -346,16 +364,10 @@ def _lists(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return p, start, np.diff(start, append=len(p))
 
 
-def _first_pairs(postings: DataFrame, buckets: int) -> DataFrame:
+def _first_pairs(postings: DataFrame) -> DataFrame:
     """kind 0: pairs (a, b) to compare; 1: entries of lists that were not compared pair by pair; 2: hubs of sublists."""
-    spread = shuffle_partitions(postings.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [x.as_py() for b in batches for x in b.column(1)]
-        if not blobs:
-            return
-        p = np.frombuffer(b"".join(blobs), _POSTING)
-        del blobs
+    def of_bucket(p: np.ndarray) -> Iterator[pa.RecordBatch]:
         p, start, length = _lists(p)
         salted = (p["key"][start] & _U((1 << SALT_BITS) - 1)) > 0
         two = start[(length == 2) & ~salted]
@@ -379,10 +391,35 @@ def _first_pairs(postings: DataFrame, buckets: int) -> DataFrame:
         if size:
             got = np.unique(np.concatenate(pairs), axis=0)
             yield _rows(0, got[:, 0], got[:, 1], 0, 0, 0)
-        del p, pairs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blob in _by_bucket(batches):
+            yield from of_bucket(np.frombuffer(blob, _POSTING))
         release()
 
-    return postings.repartition(spread, "bucket").mapInArrow(run, _OUT)
+    return _dealt(postings).mapInArrow(run, _OUT)
+
+
+#: Rows of whole lists that a task compares at once (one list more, at most).
+LISTS_ROWS = 50_000
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of their column list, in tables of whole lists."""
+    held, size, last = [], 0, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        of = b.column("list").to_numpy()
+        new = np.flatnonzero(np.concatenate(([bool(held) and of[0] != last], of[1:] != of[:-1])))
+        last = of[-1]
+        if size + len(of) >= LISTS_ROWS and len(new):
+            yield pa.Table.from_batches([*held, b.slice(0, int(new[-1]))])
+            held, size, b = [], 0, b.slice(int(new[-1]))
+        held.append(b)
+        size += b.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _cross_pairs(entries: DataFrame, sizes: DataFrame, some: int = 0) -> DataFrame:
@@ -392,33 +429,31 @@ def _cross_pairs(entries: DataFrame, sizes: DataFrame, some: int = 0) -> DataFra
     A list of more than BLOCK sets is dealt into blocks, and each two blocks meet in a task of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [b for b in batches if b.num_rows]
-        if not cols:
-            return
-        t = pa.Table.from_batches(cols)
-        key, ids, size, pos, root = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root"))
-        p = np.empty(len(key), _POSTING)
-        p["key"], p["id"], p["size"], p["pos"] = key.view(_U), ids, size, pos
-        of = dict(zip(ids.tolist(), root.tolist()))
-        p, start, length = _lists(p)
-        for at, n in zip(start[length > 1].tolist(), length[length > 1].tolist()):
-            lst = IndexList(p[at : at + n])
-            roots = np.array([of[i] for i in lst.p["id"].tolist()])
-            for i in range(len(roots)):
-                near = lst.partners(int(lst.size[i]), int(lst.pos[i]))
-                near = near[((near > i) | (some > 0)) & (roots[near] != roots[i])]
-                if some and len(near) > some:
-                    own = lst.p["id"].view(_U)
-                    near = near[np.argsort(mixed(own[near] * _M ^ own[i]))[:some]]
-                if len(near):
-                    pair = np.sort(np.column_stack([np.full(len(near), lst.p["id"][i]), lst.p["id"][near]]), axis=1)
-                    yield _rows(0, pair[:, 0], pair[:, 1], 0, 0, 0).select(["a", "b"])
+        for t in _whole_lists(batches):
+            key, ids, size, pos, root = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root"))
+            p = np.empty(len(key), _POSTING)
+            p["key"], p["id"], p["size"], p["pos"] = key.view(_U), ids, size, pos
+            of = dict(zip(ids.tolist(), root.tolist()))
+            p, start, length = _lists(p)
+            for at, n in zip(start[length > 1].tolist(), length[length > 1].tolist()):
+                lst = IndexList(p[at : at + n])
+                roots = np.array([of[i] for i in lst.p["id"].tolist()])
+                for i in range(len(roots)):
+                    near = lst.partners(int(lst.size[i]), int(lst.pos[i]))
+                    near = near[((near > i) | (some > 0)) & (roots[near] != roots[i])]
+                    if some and len(near) > some:
+                        own = lst.p["id"].view(_U)
+                        near = near[np.argsort(mixed(own[near] * _M ^ own[i]))[:some]]
+                    if len(near):
+                        pair = np.sort(np.column_stack([np.full(len(near), lst.p["id"][i]), lst.p["id"][near]]), axis=1)
+                        yield _rows(0, pair[:, 0], pair[:, 1], 0, 0, 0).select(["a", "b"])
+        release()
 
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     dealt = entries.join(sizes, "key").withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("a"), blocks).cast("int")})
     dealt = dealt.select("key", "a", "size", "pos", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.withColumn("list", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    return dealt.repartition("list").select("list", "a", "size", "pos", "root").mapInArrow(run, "a long, b long").distinct()
+    return dealt.select("list", "a", "size", "pos", "root").repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -454,12 +489,11 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 GROUP = 256
 
 
-def _filtered(pairs: DataFrame, blobs: DataFrame, sketched: bool) -> DataFrame:
-    """The pairs (a, b) that pass a test of their blobs (set, n, blob): sketches, or the sets themselves.
+def _filtered(pairs: DataFrame, many: DataFrame, blobs: DataFrame, sketched: bool) -> DataFrame:
+    """The pairs (a, b) that pass a test of their blobs (set, n, blob): sketches, or the sets themselves. many: (a, many) of the pairs.
 
     Each group holds a set a and up to about GROUP of its partners, each with its blob; a task streams over its groups, so a
     hub with very many partners is many groups."""
-    many = cut(pairs.groupBy("a").agg(F.count("*").alias("many")))  # apart from the join, which can then be split at a hot hub
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / GROUP).cast("long"))
     dealt = pairs.join(many, "a").select("a", "b", part.alias("part"))
     of = lambda k: blobs.select(F.col("set").alias(k), "n", "blob")
@@ -497,10 +531,26 @@ def _filtered(pairs: DataFrame, blobs: DataFrame, sketched: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _partners(pairs: DataFrame) -> DataFrame:
+    """How many pairs each a has: apart from the joins with it, which can then be split at a hot hub."""
+    return stored(pairs.groupBy("a").agg(F.count("*").alias("many")), "partners")
+
+
 def _compared(docs: DataFrame, classes: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked: sketches rule out most others, and the sets are compared of those that are left."""
-    likely = cut(_filtered(pairs, sketches, True))
-    return _filtered(likely, _sets(docs, classes, likely), False)
+    """The pairs (a, b) that are linked, a stored table: sketches rule out most others, and the sets are compared of those that are left."""
+    many = _partners(pairs)
+    likely = stored(_filtered(pairs, many, sketches, True), "likely-pairs")
+    discard(many)
+    many = _partners(likely)
+    out = stored(_filtered(likely, many, _sets(docs, classes, likely), False), "links")
+    discard(many, likely)
+    return out
+
+
+def _bucket_count(docs: DataFrame) -> int:
+    """Buckets of the index, so that one of them is of about BUCKET_BYTES of text however large the table."""
+    total = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return max(8 * shuffle_partitions(docs.sparkSession), -(-total // BUCKET_BYTES))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -513,22 +563,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Shuffles: fingerprints by set; about a quarter of all shingles, as bytes, once to count and once to index them; sketches
     of pairs that meet in the index, and the sets of those that may be linked; never pairs of copies. Lists of a frequent shingle are dealt into sublists of SUBLIST sets.
+    A task holds one bucket of the index, or some lists, at a time. Tables on the way are removed when the last reader has written.
     """
-    spark = docs.sparkSession
     docs = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    buckets = 8 * shuffle_partitions(spark)
+    with tidy(docs.sparkSession):
+        members, by_set = _labelled(docs)
+    out = members.join(by_set, (F.col("set") == F.col("s")) & (F.col("n") > 0), "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs (id, text) → (id, n, set) of every document, and (s, component_id) of every set: stored tables."""
+    buckets = _bucket_count(docs)
     scanned = stored(_scan(docs, buckets), "shingle-sets")
-    members = scanned.where("kind = 0").select("id", "n", "set")
-    classes = cut(members.where("n > 0").groupBy("set").agg(F.min("id").alias("rep")))
-    sketches = scanned.where("kind = 0 AND blob IS NOT NULL").select("set", "n", "blob").dropDuplicates(["set"])
-    first = stored(_first_pairs(_postings(docs, _frequent(scanned), buckets), buckets), "index-pairs")
+    members = stored(scanned.where("kind = 0").select("id", "n", "set"), "members")
+    classes = stored(members.where("n > 0").groupBy("set").agg(F.min("id").alias("rep")), "sets")
+    sketches = stored(scanned.where("kind = 0 AND blob IS NOT NULL").select("set", "n", "blob").dropDuplicates(["set"]), "sketches")
+    frequent = _frequent(scanned)
+    discard(scanned)
+    first = stored(_first_pairs(_postings(docs, frequent, buckets)), "index-pairs")
     low = (1 << SALT_BITS) - 1
     hubs = first.where("kind = 2").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos").distinct()
     #: Hubs of the sublists of one shingle meet: each is its own root.
-    several = cut(hubs.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"))
+    several = stored(hubs.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "lists")
     met = _cross_pairs(hubs.withColumn("root", F.col("a")), several)
-    done = cut(first.where("kind = 0").select("a", "b").union(met).distinct())
-    links = cut(_compared(docs, classes, sketches, done))
+    done = stored(first.where("kind = 0").select("a", "b").union(met).distinct(), "pairs")
+    discard(several)
+    links = _compared(docs, classes, sketches, done)
     roots = components(links)
     #: Lists that were not compared pair by pair, and whose sets are not all of one component by now. Where that leaves very many pairs,
     #: a few of each set come first: most of a loose group is of one component then, and the rest is compared with all.
@@ -536,20 +597,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for some in (SOME, 0):
         entries = listed.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
         by_root = entries.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("many"), F.sum(F.col("n") * F.col("n")).alias("within"))
-        several = cut(by_root.where(F.col("within") < F.col("many") * F.col("many")))
+        several = stored(by_root.where(F.col("within") < F.col("many") * F.col("many")), "lists")
         if some:
             crossing = several.agg(F.sum("many").alias("n"), F.sum(F.col("many").cast("double") * F.col("many") - F.col("within")).alias("pairs")).head()
             if not crossing["n"] or crossing["pairs"] <= DENSE * crossing["n"]:
+                discard(several)
                 continue
         known = done.union(done.select("b", "a"))
-        left = cut(_cross_pairs(entries, several.select("key", "many"), some).join(known, ["a", "b"], "left_anti"))
+        left = stored(_cross_pairs(entries, several.select("key", "many"), some).join(known, ["a", "b"], "left_anti"), "pairs")
+        discard(several)
         if left.head():
-            done = cut(done.union(left))
-            links = cut(links.union(_compared(docs, classes, sketches, left)))
-            roots = components(links)
-    labelled = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rep", F.coalesce("root", "set").alias("root"))
-    labelled = cut(labelled)
-    least = cut(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))
-    by_set = labelled.join(least, "root").select(F.col("set").alias("s"), "component_id")
-    out = members.join(by_set, (F.col("set") == F.col("s")) & (F.col("n") > 0), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+            new = _compared(docs, classes, sketches, left)
+            #: The roots stand for all links found so far.
+            both = stored(new.union(roots.select("node", "root")), "links")
+            discard(new, links, roots)
+            links, roots = both, components(both)
+            every = stored(done.union(left), "pairs") if some else done
+            discard(*(() if every is done else (done,)))
+            done = every
+        discard(left)
+    discard(first, sketches, done, links)
+    labelled = stored(classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "rep", F.coalesce("root", "set").alias("root")), "labelled")
+    discard(classes, roots)
+    least = stored(labelled.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
+    by_set = stored(labelled.join(least, "root").select(F.col("set").alias("s"), "component_id"), "components")
+    discard(labelled, least)
+    return members, by_set

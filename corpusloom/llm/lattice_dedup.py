@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions, small_batches, stored
+from .common import discard, small_batches, stored, tidy
 from .components import components
 
 #: Tables, pieces of a cell, neighbouring cells that are looked into, and lattice units of a vector of 64 dimensions. With
@@ -137,10 +137,20 @@ def _filed(units: DataFrame) -> DataFrame:
     return units.select("node", "rep", "unit").mapInArrow(run, f"key long, node long, rep {kind}, home boolean")
 
 
+#: Pairs that meet in a group, and partners of one vector in it; a task holds the vectors of one group at a time.
+GROUP, PARTNERS = 50_000, 10_000
+
+
 def _cosines(units: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs (a, b) → (a, b, cos); null where the dimensions differ. Each task gets every vector that its pairs need once."""
-    parts = 4 * shuffle_partitions(pairs.sparkSession)
-    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(parts)).cast("int").alias("part"))
+    """pairs (a, b), a stored table → (a, b, cos); null where the dimensions differ.
+
+    Pairs are dealt into groups of about GROUP, those with one b together unless it has more than PARTNERS; each group gets every
+    vector that its pairs need once."""
+    groups = max(1, -(-pairs.count() // GROUP))
+    many = stored(pairs.groupBy(F.col("b").alias("o")).agg(F.count("*").alias("many")).where(F.col("many") > PARTNERS), "hot-vectors")
+    slot = F.when(F.col("many").isNotNull(), F.pmod(F.xxhash64("a"), F.ceil(F.col("many") / PARTNERS).cast("long"))).otherwise(0)
+    part = F.pmod(F.xxhash64("b", slot), F.lit(groups)).cast("int")
+    pairs = pairs.join(many, F.col("b") == F.col("o"), "left").select("a", "b", part.alias("part"))
     need = pairs.select("part", F.explode(F.array("a", "b")).alias("node")).distinct()
     vectors = units.join(need, "node").select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "unit")
     both = vectors.union(pairs.select("part", F.lit(1), "a", "b", F.lit(None).cast("binary")))
@@ -174,53 +184,66 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_i
 
     Exact on what is found: a pair that is reported linked is, in double precision, or follows from two angles to one hub.
     """
-    angle = float(np.arccos(least))
-    inner = float(np.cos(angle / 2)) + 1e-12
     rows = small_batches(vectors).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(finite, F.lit(False)))
     rows = rows.withColumns({"h": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
     kind = rows.schema["id"].dataType.simpleString()
+    with tidy(vectors.sparkSession):
+        by_node = _linked(rows, least)
+    out = rows.select("id", "ok", F.when(F.col("ok"), F.col("h")).alias("h")).join(by_node, "h", "left")
+    component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("id")).cast(kind)
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(rows: DataFrame, least: float) -> DataFrame:
+    """rows (id, v, ok, h, h2) → (h, component_id, n_links) of each distinct vector, a stored table."""
+    angle = float(np.arccos(least))
+    inner = float(np.cos(angle / 2)) + 1e-12
     distinct = rows.where("ok").groupBy("h", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("m"), F.first("v").alias("v"))
     units = stored(_units(distinct.withColumnRenamed("h", "node")), "units")
     filed = stored(_filed(units), "cells")
 
     # Hubs: of those filed in a cell the one with the least (id, node); a vector is near if it is within half the angle.
-    lead = cut(filed.where("home").groupBy("key").agg(F.min(F.struct("rep", "node")).alias("lead")))
-    tries = filed.join(lead, "key").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    lead = stored(filed.where("home").groupBy("key").agg(F.min(F.struct("rep", "node")).alias("lead")), "leads")
+    tries = stored(filed.join(lead, "key").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "tries")
     rep = units.select(F.col("node").alias("n"), F.col("rep").alias("r"))
     close = _cosines(units, tries).where(F.col("cos") >= inner)
     close = close.join(rep.select(F.col("n").alias("a"), F.struct("r", F.col("n").alias("a")).alias("ra")), "a").join(rep.select(F.col("n").alias("b"), F.struct("r", F.col("n").alias("b")).alias("rb")), "b")
-    close = cut(close.where(F.col("ra") < F.col("rb")).select("a", "b", "cos", "ra"))
+    close = stored(close.where(F.col("ra") < F.col("rb")).select("a", "b", "cos", "ra"), "close")
+    discard(lead, tries)
     roots = units.select("node").join(close.select(F.col("b").alias("node")), "node", "left_anti")
     joined = close.join(roots.select(F.col("node").alias("a")), "a", "left_semi").groupBy("b").agg(F.min(F.struct("ra", "a", "cos")).alias("x"))
     clique = units.select("node", "rep", "m").join(joined.select(F.col("b").alias("node"), F.col("x.a").alias("hub"), F.col("x.cos").alias("cos")), "node", "left")
-    clique = cut(clique.select("node", "rep", "m", F.coalesce("hub", "node").alias("hub"), F.acos(F.least(F.lit(1.0), F.coalesce("cos", F.lit(1.0)))).alias("far")))
-    cliques = cut(clique.groupBy("hub").agg(F.sum("m").alias("weight"), F.max("far").alias("radius"), F.min("rep").alias("rep")))
+    clique = stored(clique.select("node", "rep", "m", F.coalesce("hub", "node").alias("hub"), F.acos(F.least(F.lit(1.0), F.coalesce("cos", F.lit(1.0)))).alias("far")), "cliques")
+    discard(close)
+    cliques = stored(clique.groupBy("hub").agg(F.sum("m").alias("weight"), F.max("far").alias("radius"), F.min("rep").alias("rep")), "hubs")
 
     # Cliques that meet in a cell: all their vectors are linked, or none, or each pair is compared.
     met = filed.join(clique.select("node", "hub"), "node").groupBy("key", "hub").agg(F.max("home").alias("home"))
     left, right = met.select("key", F.col("hub").alias("a"), F.col("home").alias("x")), met.select("key", F.col("hub").alias("b"), F.col("home").alias("y"))
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("x") | F.col("y"))).select("a", "b").distinct()
+    pairs = stored(left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("x") | F.col("y"))).select("a", "b").distinct(), "hub-pairs")
+    discard(filed)
     size = lambda k: cliques.select(F.col("hub").alias(k), F.col("weight").alias("w" + k), F.col("radius").alias("r" + k))
     between = _cosines(units, pairs).where("cos IS NOT NULL").join(size("a"), "a").join(size("b"), "b")
     apart, slack = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cos")))), F.col("ra") + F.col("rb")
     verdict = F.when(slack == 0, F.when(F.col("cos") >= least, 1).otherwise(-1)).when(apart + slack < angle - 1e-9, 1).when(apart - slack > angle + 1e-9, -1).otherwise(0)
-    between = cut(between.select("a", "b", "wa", "wb", verdict.alias("verdict")).where("verdict >= 0"))
+    between = stored(between.select("a", "b", "wa", "wb", verdict.alias("verdict")).where("verdict >= 0"), "hub-links")
+    discard(pairs)
     whole = between.where("verdict = 1")
     of = lambda k, n: clique.select(F.col("hub").alias(k), F.col("node").alias(n))
-    single = between.where("verdict = 0").join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    single = cut(_cosines(units, single).where(F.col("cos") >= least).select("a", "b"))
-    ends = single.union(single.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    single = stored(between.where("verdict = 0").join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "single-pairs")
+    linked = stored(_cosines(units, single).where(F.col("cos") >= least).select("a", "b"), "single-links")
+    discard(single, units)
+    ends = linked.union(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
     extra = ends.join(clique.select(F.col("node").alias("b"), "m"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("m").alias("extra"))
     sums = whole.select(F.col("a").alias("hub"), F.col("wb").alias("w")).union(whole.select("b", "wa")).groupBy("hub").agg(F.sum("w").alias("others"))
     hub_of = lambda k: clique.select(F.col("node").alias(k), F.col("hub").alias("h" + k))
-    links = whole.select("a", "b").union(single.join(hub_of("a"), "a").join(hub_of("b"), "b").select("ha", "hb"))
-    found = components(links)
-    top = cliques.join(found, F.col("hub") == F.col("node"), "left").select("hub", "rep", "weight", F.coalesce("root", "hub").alias("root"))
-    top = cut(top)
-    top = top.join(cut(top.groupBy("root").agg(F.min("rep").alias("component_id"))), "root").join(sums, "hub", "left").select("hub", "component_id", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("own"))
+    found = components(whole.select("a", "b").union(linked.join(hub_of("a"), "a").join(hub_of("b"), "b").select("ha", "hb")))
+    rooted = stored(cliques.join(found, F.col("hub") == F.col("node"), "left").select("hub", "rep", "weight", F.coalesce("root", "hub").alias("root")), "rooted")
+    first = stored(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
+    top = rooted.join(first, "root").join(sums, "hub", "left").select("hub", "component_id", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("own"))
     by_node = clique.select("node", "hub").join(top, "hub").join(extra, "node", "left").select(F.col("node").alias("h"), "component_id", (F.col("own") + F.coalesce("extra", F.lit(0))).alias("n_links"))
-    out = rows.select("id", "ok", F.when(F.col("ok"), F.col("h")).alias("h")).join(by_node, "h", "left")
-    component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("id")).cast(kind)
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    by_node = stored(by_node, "linked")
+    discard(clique, cliques, between, linked, found, rooted, first)
+    return by_node

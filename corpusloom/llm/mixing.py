@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, cut
+from .common import WORD_SQL, discard, stored, tidy
 
 #: Bits of the 60-bit hash that each level of the histogram looks at.
 LEVELS = (10, 14, 36)
@@ -70,36 +70,41 @@ def mix(
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_SQL)), F.lit(0)).cast("long")
     carried = {c: f"_carried_{k}" for k, c in enumerate(carry)}
     whole = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), doc_hash(id_col).alias("h"), *(F.col(c).alias(k) for c, k in carried.items()))
-    rows = cut(whole.drop(*carried.values()))
-    sums = cut(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
-    goal = source_targets(sums, weights, share, most)
-    repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    goal = goal.withColumn("repeats", repeats).withColumn("rest", F.floor(F.col("target")).cast("long") - F.col("repeats") * F.col("source_size"))
-    #: low: all hashes below it are taken; width: the bits that are not yet decided.
-    goal = cut(goal.withColumn("low", F.lit(0).cast("long")))
-    small = goal.count() <= BROADCAST_SOURCES
-
-    def with_goal(df: DataFrame, g: DataFrame) -> DataFrame:
-        g = g.withColumnRenamed("source", "s")
-        return df.join(F.broadcast(g) if small else g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-
-    left = HASH_BITS
-    for bits in LEVELS:
-        inside = with_goal(rows, goal.select("source", "low")).where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + F.lit(1 << left)))
-        left -= bits
-        bucket = F.shiftright(F.col("h") - F.col("low"), left)
-        hist = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-        below = F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")
-        hist = with_goal(hist.withColumn("below", below), goal)
-        #: The last bucket that begins within the budget holds the threshold.
-        edge = hist.where(F.col("below") <= F.col("rest")).groupBy("source").agg(F.max(F.struct("bucket", "below", "words")).alias("e"))
-        goal = goal.withColumnRenamed("source", "s").join(edge, F.col("s").eqNullSafe(F.col("source")), "left").select(
-            F.col("s").alias("source"), "source_size", "target", "repeats",
-            (F.col("rest") - F.coalesce("e.below", F.lit(0))).alias("rest"),
-            (F.col("low") + F.shiftleft(F.coalesce("e.bucket", F.lit(0)), left)).alias("low"),
-            F.coalesce("e.words", F.lit(0)).alias("edge"),
-        )
-        goal = cut(goal if left == 0 else goal.drop("edge"))
+    with tidy(docs.sparkSession):
+        rows = stored(whole.drop(*carried.values()), "mix-sizes")
+        sums = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
+        n = sums.count()
+        goal = source_targets(sums, weights, share, most)
+        repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+        goal = goal.withColumn("repeats", repeats).withColumn("rest", F.floor(F.col("target")).cast("long") - F.col("repeats") * F.col("source_size"))
+        #: low: all hashes below it are taken; width: the bits that are not yet decided.
+        goal = stored(goal.withColumn("low", F.lit(0).cast("long")), "mix-goals", n)
+        discard(sums)
+        small = n <= BROADCAST_SOURCES
+
+        def with_goal(df: DataFrame, g: DataFrame) -> DataFrame:
+            g = g.withColumnRenamed("source", "s")
+            return df.join(F.broadcast(g) if small else g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+
+        left = HASH_BITS
+        for bits in LEVELS:
+            inside = with_goal(rows, goal.select("source", "low")).where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + F.lit(1 << left)))
+            left -= bits
+            bucket = F.shiftright(F.col("h") - F.col("low"), left)
+            hist = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+            below = F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")
+            hist = with_goal(hist.withColumn("below", below), goal)
+            #: The last bucket that begins within the budget holds the threshold.
+            edge = hist.where(F.col("below") <= F.col("rest")).groupBy("source").agg(F.max(F.struct("bucket", "below", "words")).alias("e"))
+            finer = goal.withColumnRenamed("source", "s").join(edge, F.col("s").eqNullSafe(F.col("source")), "left").select(
+                F.col("s").alias("source"), "source_size", "target", "repeats",
+                (F.col("rest") - F.coalesce("e.below", F.lit(0))).alias("rest"),
+                (F.col("low") + F.shiftleft(F.coalesce("e.bucket", F.lit(0)), left)).alias("low"),
+                F.coalesce("e.words", F.lit(0)).alias("edge"),
+            )
+            finer = stored(finer if left == 0 else finer.drop("edge"), "mix-goals", n)
+            discard(goal)
+            goal = finer
     partly = F.when(F.col("edge") > 0, F.floor(F.col("size") * F.least(F.lit(1.0), F.col("rest") / F.col("edge")))).otherwise(0).cast("long")
     more = F.when(F.col("h") < F.col("low"), F.col("size")).when(F.col("h") == F.col("low"), partly).otherwise(0)
     taken = F.least(F.col("repeats") * F.col("size") + more, most * F.col("size"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, release, small_batches
+from .common import WORD, discard, release, small_batches, stored, tidy
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -165,7 +165,7 @@ def context_counts(seen: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:
-    """term, share: the terms of the corpus that reveal an entity beyond the threshold.
+    """term, share: the terms of the corpus that reveal an entity beyond the threshold. A stored table.
 
     Two passes over all texts. The first gathers the terms near entities and keeps those with enough
     different contexts (so copies of one text count once). The second counts in how many
@@ -177,55 +177,64 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [x for t in b.column(0).to_pylist() if t for x in contexts(t, rules)]
+            rows = [x for t in b.column(0) if t.is_valid for x in contexts(t.as_py(), rules)]
             cols = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds)], names=names)
 
     names = ["entity", "term", *(f"c{k}" for k in range(len(_HASHES)))]
     kinds = [pa.int64(), pa.string(), *[pa.int64()] * len(_HASHES)]
-    every = cut(context_counts(texts.mapInArrow(near, ", ".join(f"{c} {'string' if c == 'term' else 'long'}" for c in names))))
+    every = stored(context_counts(texts.mapInArrow(near, ", ".join(f"{c} {'string' if c == 'term' else 'long'}" for c in names))), "contexts")
     pairs = every.where(F.col("n_pair") >= rules.min_contexts)
     bit = F.xxhash64("term").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int")
     got = pairs.select(bit.alias("bit")).distinct().limit(FILTER_BITS).toArrow().column("bit").to_numpy()
-    if not len(got):
-        return pairs.select("term", F.lit(0.0).alias("share"))
+    if not len(got):  # nothing to count
+        out = stored(pairs.select("term", F.lit(0.0).alias("share")), "terms")
+        discard(every)
+        return out
     table = np.zeros(FILTER_BITS // 8, np.uint8)
     np.bitwise_or.at(table, got >> 3, (1 << (got & 7)).astype(np.uint8))
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known, sums, n_docs = shared.value, {}, Counter(), 0
+        bits, rejected, sums, n_docs = shared.value, set(), Counter(), 0
         from xxhash import xxh64
 
-        def candidate(word: str) -> str | None:
-            if word not in known:
-                if len(known) > 300_000:
-                    known.clear()
-                term = term_of(word)
+        def terms(text: str) -> set[str]:
+            """The candidates among the words; almost all words are rejected, by one difference of sets."""
+            found = set()
+            for word in set(text.encode("utf-8", "surrogatepass").split()) - rejected:  # bytes part at ASCII white space
+                term = term_of(word.decode("utf-8", "surrogatepass"))
                 bit = xxh64(term.encode("utf-8", "surrogatepass"), 42).intdigest() & (FILTER_BITS - 1)
-                known[word] = term if bits[bit >> 3] >> (bit & 7) & 1 else None
-            return known[word]
+                if bits[bit >> 3] >> (bit & 7) & 1:
+                    found.add(term)
+                else:
+                    rejected.add(word)
+            if len(rejected) > 300_000:
+                rejected.clear()
+            return found
 
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for text in b.column(0):
                 n_docs += 1
-                beside = {x for _, near, _ in surroundings(t or "", rules) for x in near if _is_term(x, rules)}
-                sums.update({candidate(w) for w in set(WORD.findall(t or ""))} - beside)
-            sums.pop(None, None)
+                text = text.as_py() or ""
+                if found := terms(text):
+                    sums.update(found - {x for _, near, _ in surroundings(text, rules) for x in near if _is_term(x, rules)})
             if len(sums) > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.int64())], names=["term", "n"])
                 sums.clear()
         sums[None] = n_docs
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["term", "n"])
 
-    counts = cut(texts.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")))
+    counts = stored(texts.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")), "term-counts")
     n_docs = (counts.where(F.col("term").isNull()).head() or [None, 1])[1]
     seen = pairs.join(pairs.groupBy("entity").agg(F.max("n_pair").alias("n_entity")), "entity")
     beside = every.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n_pair").alias("n_beside"))
     n_term = F.col("n_beside") + F.coalesce("n", F.lit(0))
     share = F.log(F.col("n_pair") * n_docs / (F.col("n_entity") * n_term)) / F.log(F.greatest(F.lit(n_docs), F.col("n_entity") + 1) / F.col("n_entity"))
     best = seen.join(beside, "term").join(counts, "term", "left").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
-    return best.where(F.col("share") >= rules.threshold)
+    out = stored(best.where(F.col("share") >= rules.threshold), "terms")
+    discard(every, counts)
+    return out
 
 
 def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_id", text_col: str = "text", clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -236,7 +245,8 @@ def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_i
     nothing for a disclosing term outside of them. Ids may be null or repeat; columns besides those named are not read.
     """
     spark = docs.sparkSession
-    terms = cut(disclosing_terms(docs, rules, text_col))
+    with tidy(spark):
+        terms = disclosing_terms(docs, rules, text_col)
     n = terms.count()
     passes = max(1, -(-n // TERMS_A_PASS))
     part = F.pmod(F.xxhash64("term"), F.lit(passes))
