@@ -6,13 +6,14 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import queries
 from corpusloom.llm.pii import base_spans, cleaned
 from corpusloom.llm.quality_rules import LineRules, judge
 from corpusloom.llm.sql import ORACLE_SQL
 
-from .helpers import HAS_DATA, SF, words
+from .helpers import CLASHES, HAS_DATA, SF, words
 from .test_set_operators import brute_join
 from .test_text_operators import brute_targets
 
@@ -103,3 +104,27 @@ def test_pipeline_stage_by_stage(spark):
         tokens[r.doc_id] += r.length
     assert all(n <= 4096 and n & (n - 1) == 0 for n in length.values())
     assert set(tokens) == {r.doc_id for r in mixed.select("doc_id").distinct().collect()} and np.sum(list(tokens.values())) == sum(length.values())
+
+
+def test_stages_on_odd_rows(spark):
+    import corpus_pipeline as p
+
+    long = " ".join(f"w{i}" for i in range(40))
+    near = long.replace("w39", "other")
+    lone = " ".join(f"v{i}" for i in range(40))
+    rows = [(7, long), (7, long), (7, near), (7, lone), (9, lone), (None, long), (None, "z " + lone.replace("v", "u")), (None, "z " + lone.replace("v", "u")), (3, None), (3, None), (4, " \n"), (5, "")]
+    df = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    odd = df.withColumns({c: F.lit("clash") for c in CLASHES if c != "n_chars"})
+    stage = dict(p.STAGES)
+    got = Counter((r.doc_id, r.text) for r in stage["n-gram Jaccard join"](spark, odd, SF).collect())
+    # One of the two texts with the id 7 that are near copies, the other text with that id, one without an id, and all rows without a word.
+    assert got.total() == 7 and sum(n for (i, t), n in got.items() if i == 7 and t in (long, near)) == 1
+    assert got[7, lone] == 1 and got[None, "z " + lone.replace("v", "u")] == 1 and (got[3, None], got[4, " \n"], got[5, ""]) == (2, 1, 1)
+    assert {r.doc_id for r in stage["quality rules"](spark, odd, SF).collect()} == {7, 9, None}
+    assert sorted((r.doc_id or 0, r.text) for r in stage["PII"](spark, odd, SF).collect()) == sorted((i or 0, t or "") for i, t in rows)
+    mixed = stage["mixing"](spark, odd, SF).collect()
+    assert mixed and all(r.text and r.text.strip() for r in mixed)
+    packed = stage["packing"](spark, odd, SF).collect()
+    assert sum(r.length == 1 == r.doc_tokens for r in packed) == 4 and {r.doc_id for r in packed} == {i for i, _ in rows}
+    for name, f in p.STAGES:
+        assert f(spark, odd.where("false"), SF).count() == 0, name
