@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stored, table
+from corpusloom.llm.common import WORD_SQL, discard, stored, table
 from corpusloom.llm.jaccard_join import jaccard_components
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.packing import pack
@@ -26,27 +26,33 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; of the others, lines that fail a rule."""
+    """Rejected documents go (null and empty texts among them); of the others, lines that fail a rule. Each row is judged by itself:
+    ids may be null or repeat, an empty table gives an empty one."""
     judged = quality_rules(docs, carry=("lang", "source"))
     return judged.where("kept").select("doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one whose id names the group, once if its row is repeated."""
-    groups = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")).distinct()
-    kept = _documents(docs).join(groups, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    """One document of each group stays: the one with the least id (null last; of several texts with that id the one with the least hash),
+    once if its row is repeated. Rows without a word are in no group, so all of them stay."""
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"))
+    keyed = _documents(docs).withColumn("_key", key)
+    groups = jaccard_components(keyed.select("_key", "text"), "_key")
+    first = groups.where((F.col("n_shingles") > 0) & (F.col("_key") == F.col("component_id"))).select("_key").distinct()
+    kept = keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"])
+    wordless = keyed.where(~F.coalesce(F.col("text").rlike(WORD_SQL), F.lit(False)))
+    return kept.union(wordless.select(kept.columns)).select(*COLUMNS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is generalised, and terms that give it away are removed."""
+    """Personal data is generalised, and terms that give it away are removed. No row goes; a null text becomes an empty one."""
     found = find(docs, clean=True, carry=("lang", "source"))
     return found.select("doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document that is taken k times comes k times; of the one at a source's threshold that is taken in part, so many first words."""
+    """A document that is taken k times comes k times; of the one at a source's threshold that is taken in part, so many first words.
+    Null sources are a source; rows with one id are decided together; texts without a word are not taken."""
     mixed = mix(docs, carry=("text", "lang", "source"))
     share = lambda x: F.when(F.col("size") > 0, x).otherwise(0).cast("int")
     mixed = mixed.withColumns({"full": share(F.floor(F.col("taken") / F.col("size"))), "rest": share(F.col("taken") % F.col("size"))})
@@ -57,6 +63,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a sequence. Each row is a document of its own, whatever its id; a null text is an empty one, which
+    is its end id alone."""
     return pack(docs, tokenizer_file())
 
 
@@ -73,9 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table of documents; a stage's result goes when the next one's is written."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"stage-{k}")
+        if 0 < k < len(STAGES) - 1:
+            discard(before)
     return docs
