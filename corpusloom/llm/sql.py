@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from .quality_rules import BOILERPLATE
+from .quality_rules import BOILERPLATE, COPYRIGHT, MARKS, MENU, SEPARATORS
 
 _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
 
 def _times(text: str, chars: str) -> str:
+    """How often any of the characters, or of the general category in braces, occurs."""
+    if chars.startswith("{"):
+        return f"length(regexp_replace({text}, '[^\\p{chars}]', '', 'g'))"
     return f"(length({text}) - length(regexp_replace({text}, '[{chars}]', '', 'g')))"
 
 
+_ITEMS = rf"""len(list_filter(ws, lambda w: regexp_replace(lower(w), '^[^\p{{L}}]+|[^\p{{L}}]+$', '', 'g') IN ({", ".join(f"'{w}'" for w in MENU)})))"""
 _OP1 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS ws FROM documents),
 lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
 own AS (SELECT r, line, {_WORDS.format("line")} AS ws FROM lines),
 judged AS (
   SELECT r, line, len(ws) AS n, list_sum(list_transform(ws, lambda w: length(w))) AS chars,
-    ({_times("line", "|")} >= 3 AND 100 * {_times("line", "|")} >= 25 * len(ws))
+    ({_times("line", SEPARATORS)} >= 3 AND 100 * {_times("line", SEPARATORS)} >= 25 * len(ws))
+    OR (len(ws) <= 12 AND {_ITEMS} >= 3 AND 2 * {_ITEMS} >= len(ws))
     OR ({_times("line", "#*$%&|<>")} >= 3 AND 100 * {_times("line", "#*$%&|<>")} > 50 * len(ws))
     OR ({_times("line", "!?")} >= 3 AND 100 * {_times("line", "!?")} > 50 * len(ws))
-    OR (len(ws) <= 20 AND regexp_matches(lower(line), '{"|".join(BOILERPLATE)}')) AS fails
+    OR (len(ws) >= 8 AND 4 * {_times("line", "{Lu}")} > len(ws) AND 100 * {_times("line", "{Lu}")} >= 80 * {_times("line", "{L}")})
+    OR (len(ws) >= 60 AND NOT regexp_matches(line, '[{MARKS}]'))
+    OR (NOT regexp_matches(line, '[\p{{L}}\p{{N}}]') AND list_sum(list_transform(ws, lambda w: length(w))) >= 3)
+    OR (len(ws) <= 20 AND regexp_matches(lower(line), '{"|".join((*BOILERPLATE, COPYRIGHT))}') ) AS fails
   FROM own WHERE len(ws) > 0),
 by_line AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_lines_removed,

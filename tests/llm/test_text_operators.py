@@ -63,6 +63,47 @@ def test_lines_that_fail(line):
     assert not facts[6]
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Home · News · Sport · Contact",
+        "Startseite › Produkte › Schuhe › Damen",
+        "Home Kontakt Impressum Suche",
+        "THIS WHOLE LINE IS A SHOUT AT THE READER",
+        " ".join(f"item{i}" for i in range(60)),
+        "* * * * *",
+        "Alle Rechte vorbehalten.",
+        "© 2024 Some Firm",
+        "Copyright (c) 2019, the authors",
+        "Tous droits réservés",
+    ],
+)
+def test_each_kind_of_rule(line):
+    r = LineRules()
+    assert r.fails(line, words(line))
+    prose = "\n".join(" ".join(f"word{i}x{j}" for j in range(70)) + "." for i in range(3))
+    assert judge(f"{prose}\n{line}", r)[1] == prose
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "HEADLINE IN CAPITALS",
+        "The news about the shop: next to it there is a menu, a help desk and a place to register.",
+        "« Oui », dit-il, « mais non » !",
+        "12.5 13.9 14.2",
+        "她说你好。",
+        "Licensed under the Apache License, Version 2.0.",
+        "NATO and the EU signed a treaty on arms in Geneva.",
+        "Contact us",
+        "x = a | b",
+        "--",
+    ],
+)
+def test_lines_that_pass(line):
+    assert not LineRules().fails(line, words(line))
+
+
 def test_clean_text_is_untouched():
     text = "A first line, with a comma.\n\nWhat? Yes!\n- a list item\n  indented & more\n"
     assert judge(text * 1, LineRules())[1] == text
