@@ -4,22 +4,30 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Settings
-from .operators.audit import audit_action, inspected, path_owners, reconciled, totals_check
+from .logs import setup_logging
+from .operators.audit import audit_action, cleared_count, gap_sums, inspected, path_owners, reconciled, repaired, totals_check
 from .operators.migrate import migrated
 from .operators.summary import run_summary
-from .operators.upsert import snapshot
+from .operators.upsert import set_fields
 from .plans.pipeline import answer, ingest, retrieve
-from .schemas import CARRIED, CHUNK, HASHED, RECORD, STATE
-from .sources.files import binary_files, file_hashes, whole_texts
-from .sources.html import listing_records, page_shortfalls
+from .plans.schedule import run_daily
+from .plans.scrape import KINDS, document_paths, scrape_year
+from .plans.service import run_job, suspicious_pages
+from .schemas import CHUNK, RECORD, STATE
+from .sources.downloads import downloaded, removed, renamed, write_files
+from .sources.files import binary_files, file_hashes, read_legacy, text_listing, to_convert, whole_texts
+from .sources.html import page_shortfalls
 from .sources.listing_source import ListingSource
+from .sources.scratch import stored
 from .sources.store import SnapshotStore
 
+log = logging.getLogger(__name__)
 INDEX = CHUNK + ", embedding array<float>, ingested_at timestamp"
 
 
@@ -28,36 +36,46 @@ def stores(spark: SparkSession, root: str) -> dict[str, SnapshotStore]:
     return {k: SnapshotStore(spark, f"{root}/{k}", schema) for k, schema in kinds.items()}
 
 
-def scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
-    """Listing pages (a folder of year=<n> HTML files, or the network) into the record store."""
+def listing_pages(spark: SparkSession, args, settings: Settings) -> DataFrame:
+    """(year, html), fetched or read once: a folder of HTML files with a year in each name, or the network."""
     if args.pages:
         pages = whole_texts(spark, args.pages).select(F.regexp_extract("path", r"(\d{4})", 1).cast("int").alias("year"), F.col("text").alias("html"))
     else:
         spark.dataSource.register(ListingSource)
         years = args.years or list(settings.years)
         pages = spark.read.format("listing").option("url", settings.base_url).option("years", ",".join(map(str, years))).option("spacing", settings.request_spacing_s).load()
-    if args.years:
-        pages = pages.where(F.col("year").isin(args.years))
+    return stored(pages.where(F.col("year").isin(args.years)) if args.years else pages, "listing-pages")
+
+
+def scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """Listing pages and, if asked for, their documents into the record store. Each year is a commit of its own; one that fails is
+    reported and the next goes on. Pages without any record are kept for inspection."""
+    pages = listing_pages(spark, args, settings)
     store = stores(spark, args.root)["records"]
+    fetch = (lambda wanted: downloaded(wanted, args.files)) if args.download else None
+    done = []
     with store.lock():
-        old = store.read()
-        new = listing_records(pages, settings).withColumns({"seq": F.col("serial_no").cast("long"), "run_ts": F.to_timestamp(F.lit(args.run_ts))})
-        site = ["serial_no", "year", *HASHED, "content_hash"]
-        blank = [c for c in CARRIED if c not in new.columns]
-        new = new.withColumns({c: F.lit(None).cast("string") for c in blank})
-        merged = snapshot(new, "id", "seq", "run_ts", "content_hash", site, CARRIED, old if store.current() else None)
-        merged = merged.withColumn("schema_version", F.lit(settings.schema_version)).select(*RECORD.names)
-        store.commit(merged, sort=["year", "serial_no"])
-    parsed = store.read().groupBy("year").agg(F.count("*").alias("parsed")).withColumn("failed", F.col("parsed") == 0)
-    rows = [r.asDict() for r in run_summary(parsed, "year", "failed").collect()]
-    return rows + [r.asDict() for r in page_shortfalls(pages, store.read()).collect()]
+        for year in sorted(r["year"] for r in pages.select("year").distinct().collect()):  # one row a year of the listing
+            try:
+                done.append(scrape_year(pages.where(F.col("year") == year), year, store, F.to_timestamp(F.lit(args.run_ts)), settings, fetch))
+            except Exception as e:  # a year that fails must not hold up the others
+                log.exception("year %s", year)
+                done.append({"year": year, "parsed": 0, "failed": True, "error": f"{type(e).__name__}: {e}"[:200]})
+    records = store.read()
+    odd = suspicious_pages(pages, records)
+    write_files(odd.select(F.concat(F.lit("year-"), F.col("year").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content")), f"{args.root}/debug").collect()
+    names = [k for k in done[0] if k not in ("year", "failed", "error")] if done else []
+    rows = spark.createDataFrame([(d["year"], *(d.get(k, 0) for k in names), d["failed"]) for d in done], ", ".join(["year int", *(f"{k} long" for k in names), "failed boolean"]))
+    out = [r.asDict() for r in run_summary(rows, "year", "failed").collect()]
+    return out + [r.asDict() for r in page_shortfalls(pages, records).collect()]
 
 
 def run_ingest(spark: SparkSession, args, settings: Settings) -> list[dict]:
     s = stores(spark, args.root)
-    texts = spark.read.parquet(args.texts).select("record_id", "kind", "text")
+    texts = spark.read.parquet(args.texts)
+    texts = texts.select("record_id", "kind", "text", *(["error"] if "error" in texts.columns else []))
     with s["index"].lock():
-        out = ingest(s["records"].read(), texts, s["index"].read(), s["state"].read(), F.to_timestamp(F.lit(args.run_ts)), settings)
+        out = ingest(s["records"].read(), texts, s["index"].read(), s["state"].read(), F.to_timestamp(F.lit(args.run_ts)), settings, tombstones=args.tombstones)
         stats = [r.asDict() for r in out["stats"].collect()]
         s["index"].commit(out["index"], sort=["record_id", "chunk_type", "chunk_index"])
         s["state"].commit(out["state"], sort=["id"])
@@ -70,31 +88,104 @@ def ask(spark: SparkSession, args, settings: Settings) -> list[dict]:
     return [answer(hits, args.question)]
 
 
+def _relative(path: str = "path"):
+    """The last two segments: the folder of a kind and the file's name, as records have them."""
+    return F.regexp_extract(path, r"([^/]+/[^/]+)$", 1)
+
+
 def audit(spark: SparkSession, args, settings: Settings) -> list[dict]:
-    """Actions that records' files need (reported, not carried out)."""
-    records = stores(spark, args.root)["records"].read()
-    files = binary_files(spark, args.files).select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("rel"), "content")
-    out = None
-    for path, sha in (("judgment_local_pdf_path", "judgment_pdf_sha256"), ("sc_judgment_local_pdf_path", "sc_judgment_pdf_sha256")):
+    """What records' files and texts need. With --repair it is done: files are deleted or renamed, records cleared, renamed or given
+    their hash, texts without a file deleted."""
+    store = stores(spark, args.root)["records"]
+    records = store.read()
+    files = binary_files(spark, args.files).select(_relative().alias("rel"), F.col("path").alias("file"), "content")
+    fields = {f"{field}_local_pdf_path": f"{field}_pdf_sha256" for field, _ in KINDS.values()}
+    found = None
+    for path, sha in fields.items():
         j = records.join(files, F.col(path) == F.col("rel"), "left")
-        rows = j.select("id", F.col(path).alias("path"), audit_action(F.col(path), F.col("content"), F.col(sha)).alias("action")).where("action IS NOT NULL")
-        out = rows if out is None else out.union(rows)
-    return [r.asDict() for r in out.orderBy("id", "path").limit(args.limit).collect()]
+        rows = j.select("id", F.col(path).alias("path"), audit_action(F.col(path), F.col("content"), F.col(sha)).alias("action"), "file").where("action IS NOT NULL")
+        found = rows if found is None else found.union(rows)
+    if args.text_files:
+        gone = document_paths(records).where("path IS NULL").select("record_id", "kind")
+        orphans = text_listing(spark, args.text_files).withColumnRenamed("path", "file").join(gone, ["record_id", "kind"])
+        found = found.union(orphans.select(F.col("record_id").alias("id"), _relative("file").alias("path"), F.lit("DELETE orphaned markdown (no backing PDF)").alias("action"), "file"))
+    found = stored(found, "findings")
+    if args.repair:
+        with store.lock():
+            fixed = records
+            for path, sha in fields.items():
+                own = fixed.join(files.select("rel", "content"), F.col(path) == F.col("rel"), "left")
+                fixed = repaired(own, path, sha, F.col("content")).drop("rel", "content")
+            fixed = stored(fixed, "repaired")  # before any file goes
+            found.foreach(_apply)
+            store.commit(fixed.select(*RECORD.names), sort=["year", "serial_no"])
+    counts = cleared_count(found.where(~F.col("action").contains("markdown"))).head()
+    rows = [r.asDict() for r in found.orderBy("id", "path").drop("file").limit(args.limit).collect()]
+    return [*rows, {"checked": records.count(), "findings": found.count(), "cleared": counts["n_cleared"], "repaired": bool(args.repair)}]
+
+
+def _apply(row) -> None:
+    """Carry out one finding on its file; a repeated one does nothing."""
+    if row["file"] is None:
+        return
+    path = row["file"]
+    if row["action"].startswith("DELETE"):
+        removed(path)
+    elif row["action"].startswith("RENAME"):
+        try:
+            renamed(path, path + ".pdf")
+        except FileNotFoundError:  # done by an earlier attempt of the task
+            pass
 
 
 def reconcile(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """Both documents of each record: is its file there, is its text? Counts, and the first of each kind of gap."""
     records = stores(spark, args.root)["records"].read()
-    files = records.where("judgment_pdf_sha256 IS NOT NULL").select(F.col("id").alias("record_id"), F.lit("judgment_pdf").alias("kind"))
-    done = reconciled(files, spark.read.parquet(args.texts), ["record_id", "kind"])
+    named = document_paths(records).where("path IS NOT NULL OR sha256 IS NOT NULL")
+    if args.files:
+        there = binary_files(spark, args.files).where("length > 0").select(_relative().alias("path"))
+        named = named.join(there, "path", "left_semi")
+    else:
+        named = named.where("sha256 IS NOT NULL")
+    texts = spark.read.parquet(args.texts) if args.texts else text_listing(spark, args.text_files)
+    done = stored(reconciled(named, texts, ["record_id", "kind"]), "reconciled")
     owners = path_owners(records, "id", ["judgment_local_pdf_path", "sc_judgment_local_pdf_path"])
     counts = done.groupBy("status").count().union(owners.agg(F.lit("owned_paths"), F.count("*")))
-    return [r.asDict() for r in counts.collect()]
+    gaps = [r.asDict() for status in ("orphan_text", "missing_text") for r in done.where(F.col("status") == status).orderBy("record_id", "kind").limit(args.limit).collect()]
+    return [r.asDict() for r in counts.collect()] + [{"first": gaps}] * bool(gaps)
+
+
+def convert(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """Which documents' texts have to be made or made anew: their file is newer than their text, or there is no text."""
+    records = stores(spark, args.root)["records"].read()
+    files = binary_files(spark, args.files).select(_relative().alias("path"), "length", "modificationTime")
+    wanted = to_convert(document_paths(records).where("path IS NOT NULL").select("record_id", "kind", "path"), files, text_listing(spark, args.text_files))
+    return [r.asDict() for r in wanted.orderBy("record_id", "kind").limit(args.limit).collect()]
 
 
 def totals(spark: SparkSession, args, settings: Settings) -> list[dict]:
     records = stores(spark, args.root)["records"].read()
     site = spark.read.option("header", True).schema("year int, site_total long").csv(args.totals)
-    return [r.asDict() for r in totals_check(site, records.groupBy("year").agg(F.count("*").alias("n")), "year").orderBy("year").collect()]
+    checked = totals_check(site, records.groupBy("year").agg(F.count("*").alias("n")), "year")
+    return [r.asDict() for r in checked.orderBy("year").collect()] + [{"all": r.asDict()} for r in gap_sums(checked).collect()]
+
+
+def schedule(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """The daily job, scrape and then ingest, at --at hours:minutes UTC until it is stopped."""
+    hour, minute = map(int, args.at.split(":"))
+    lock = SnapshotStore(spark, f"{args.root}/job", RECORD)
+    job = lambda: run_job(lambda: scrape(spark, args, settings)[0], lambda: run_ingest(spark, args, settings)[0], lock)
+    return [{"runs": run_daily(job, hour, minute, rounds=args.rounds)}]
+
+
+def set_field(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """Patch one field of one record."""
+    store = stores(spark, args.root)["records"]
+    with store.lock():
+        records = store.read()
+        patch = spark.createDataFrame([(args.ids[0], args.value)], "id string, value string").select("id", F.col("value").cast(records.schema[args.field].dataType).alias(args.field))
+        store.commit(set_fields(records, patch, "id", [args.field]).select(*RECORD.names), sort=["year", "serial_no"])
+    return [{"patched": store.read().where(F.col("id") == args.ids[0]).count()}]
 
 
 def inspect(spark: SparkSession, args, settings: Settings) -> list[dict]:
@@ -105,7 +196,7 @@ def inspect(spark: SparkSession, args, settings: Settings) -> list[dict]:
 
 
 def migrate(spark: SparkSession, args, settings: Settings) -> list[dict]:
-    old = spark.read.option("multiLine", True).json(args.legacy)
+    old = read_legacy(spark, args.legacy, RECORD)
     out = migrated(old, file_hashes(spark, args.files), schema_version=settings.schema_version)
     store = stores(spark, args.root)["records"]
     given = set(out.columns)
@@ -114,7 +205,7 @@ def migrate(spark: SparkSession, args, settings: Settings) -> list[dict]:
     return [r.asDict() for r in out.groupBy("outcome").count().collect()]
 
 
-COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, totals, inspect, migrate)}
+COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, convert, totals, inspect, migrate, schedule, set_field)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -125,6 +216,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--years", type=int, nargs="*")
     p.add_argument("--texts", help="Parquet of record_id, kind, text")
     p.add_argument("--files", help="folder of downloaded files")
+    p.add_argument("--text-files", help="folder of converted texts: kind/record_id.md")
+    p.add_argument("--download", action="store_true", help="scrape: fetch the documents into --files too")
+    p.add_argument("--repair", action="store_true", help="audit: carry out the findings")
+    p.add_argument("--tombstones", action="store_true", help="ingest: drop the chunks of documents that are gone")
+    p.add_argument("--at", default="02:00", help="schedule: time of day, UTC")
+    p.add_argument("--rounds", type=int, help="schedule: looks at the clock, for ever if not given")
+    p.add_argument("--field")
+    p.add_argument("--value")
+    p.add_argument("--log", help="folder of the rotating log file")
     p.add_argument("--legacy", help="JSON array of legacy records")
     p.add_argument("--totals", help="CSV of year, site_total")
     p.add_argument("--ids", nargs="*", default=[])
@@ -134,6 +234,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--run-ts", default="1970-01-01T00:00:00Z", help="the run's time stamp")
     p.add_argument("--limit", type=int, default=20)
     args = p.parse_args(argv)
+    if args.log:
+        setup_logging(args.log)
     spark = SparkSession.builder.appName("corpusloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     for row in COMMANDS[args.command](spark, args, Settings.from_env()):
         print(json.dumps(row, default=str, ensure_ascii=False))

@@ -112,7 +112,3 @@ def metadata_card(case_info: Column, year: Column, category: Column, decision_da
 def looks_like_pdf(content: Column) -> Column:
     """The PDF magic within the first 1024 bytes (content: binary or string)."""
     return F.coalesce(F.instr(F.substring(content.cast("binary"), 1, 1024).cast("string"), "%PDF-") > 0, F.lit(False))
-
-
-def crawl_delay(floor: Column, site: Column) -> Column:
-    return F.greatest(floor, site)

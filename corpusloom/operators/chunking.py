@@ -16,6 +16,11 @@ def windows(w: Column, target: int, overlap: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, F.lit(target)), " "))
 
 
+def window_count(w: Column, target: int, overlap: int) -> Column:
+    """How many windows there are, without making them."""
+    return F.ceil(F.size(w) / (target - overlap)).cast("int")
+
+
 def packed(paras: Column, target: int, overlap: int) -> Column:
     """Greedy packing of paragraphs (word arrays) into chunks.
 

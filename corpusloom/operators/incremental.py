@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Piece → its hash in records and state, and its chunk count in the state.
+#: Piece → its hash in records and state, and its chunk count in the state (the metadata card is one chunk).
 PIECES = {
     "metadata": ("content_hash", None),
     "judgment_pdf": ("judgment_pdf_sha256", "judgment_chunk_count"),
@@ -54,10 +54,35 @@ def vanished(index: DataFrame, records: DataFrame) -> DataFrame:
     return index.where("chunk_type <> 'metadata'").join(live, ["record_id", "chunk_type"], "left_anti")
 
 
-def next_state(records: DataFrame, counts: DataFrame) -> DataFrame:
-    """State after a run in which every piece was committed."""
-    c = counts.groupBy(F.col("record_id").alias("id")).agg(
-        F.max(F.when(F.col("chunk_type") == "judgment_pdf", F.col("n_chunks"))).cast("int").alias("judgment_chunk_count"),
-        F.max(F.when(F.col("chunk_type") == "sc_judgment_pdf", F.col("n_chunks"))).cast("int").alias("sc_judgment_chunk_count"),
+def next_state(records: DataFrame, state: DataFrame, committed: DataFrame) -> DataFrame:
+    """State after a run. committed: (record_id, chunk_type, n_chunks) of the pieces that went into the index, empty ones too.
+
+    A piece takes its record's hash only if it was committed; any other keeps its old hash and count, so that a document whose
+    text is not there yet, or whose conversion failed, is tried again by the next run. States of records that are gone stay.
+    """
+    done = committed.groupBy(F.col("record_id").alias("id")).agg(*(F.max(F.when(F.col("chunk_type") == k, F.col("n_chunks"))).cast("int").alias("_n_" + k) for k in PIECES))
+    hashes, counts = [h for h, _ in PIECES.values()], [c for _, c in PIECES.values() if c]
+    old = state.select("id", *(F.col(c).alias("_s_" + c) for c in (*hashes, *counts)))
+    both = records.select("id", *hashes).join(done, "id", "left").join(old, "id", "full_outer")
+    new = {k: F.col("_n_" + k).isNotNull() for k in PIECES}
+    return both.select(
+        "id",
+        *(F.when(new[k], F.col(h)).otherwise(F.col("_s_" + h)).alias(h) for k, (h, _) in PIECES.items()),
+        *(F.coalesce("_n_" + k, "_s_" + c).alias(c) for k, (_, c) in PIECES.items() if c),
+    )
+
+
+def run_counters(records: DataFrame, committed: DataFrame, failed: DataFrame, uploaded: DataFrame) -> DataFrame:
+    """One row: records seen, pieces committed by kind, links that are new for the first kind of document, records that nothing was done
+    for, records with an error. committed: (record_id, chunk_type); failed, uploaded: (record_id); repeated rows count once."""
+    by_record = committed.groupBy("record_id").agg(*(F.count_if(F.col("chunk_type") == k).alias("_" + k) for k in PIECES))
+    flag = lambda df, name: df.select("record_id").distinct().withColumn(name, F.lit(True))
+    rows = records.select(F.col("id").alias("record_id")).join(by_record, "record_id", "left").join(flag(failed, "_failed"), "record_id", "left").join(flag(uploaded, "_uploaded"), "record_id", "left")
+    done = sum((F.coalesce("_" + k, F.lit(0)) for k in PIECES), F.lit(0)) > 0
+    return rows.agg(
+        F.count("*").alias("records_seen"),
+        *(F.count_if(F.col("_" + k) > 0).alias(k + "_ingested") for k in PIECES),
+        F.count_if("_uploaded").alias("gdrive_uploaded"),
+        F.count_if(~done & F.col("_failed").isNull()).alias("unchanged"),
+        F.count_if("_failed").alias("errors"),
     )
-    return records.select("id", "content_hash", "judgment_pdf_sha256", "sc_judgment_pdf_sha256").join(c, "id", "left")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import snippet
-from ..functions.vectors import cosine
+from ..functions.vectors import cosine, dot, norm
 from ..schemas import CHUNK_TYPES
+from ..sources.scratch import stored
 
-#: Questions up to this number are broadcast to the index; a larger batch is joined in blocks of so many.
-BROADCAST_QUESTIONS = 1_000
+#: Questions up to this number are broadcast to the index; a larger batch is joined in blocks of so many. Blocks of one plan.
+BROADCAST_QUESTIONS, BLOCKS_A_PLAN = 1_000, 16
 
 
 def chunk_type_filter(chunk_type: str | None) -> Column:
@@ -43,24 +46,34 @@ def top_k_batch(index: DataFrame, questions: DataFrame, k: int = 5, key: str = "
     """Many questions (question_id, question_embedding, ...): the k best index rows of each.
 
     The questions' side is broadcast because it is counted first; larger batches go through in blocks. The window is
-    limited within each task before its rows are shuffled, so a question costs k rows a task.
+    limited within each task before its rows are shuffled, so a question costs k rows a task. The answers of very many blocks are
+    written by groups of blocks, so that no plan grows with the questions.
     """
     n = questions.count()
     blocks = max(1, -(-n // BROADCAST_QUESTIONS))
     w = Window.partitionBy("question_id").orderBy(F.desc("score"), key)
-    out = None
-    for b in range(blocks):
-        q = questions if blocks == 1 else questions.where(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == b)
+    index = index.withColumn("_norm", norm(F.col(embedding)))  # once a row, not once a pair
+    questions = questions.withColumn("question_norm", norm(F.col("question_embedding")))
+    both = F.col("_norm") * F.col("question_norm")
+    score = F.round(F.coalesce(F.when(both > 0, dot(F.col(embedding), F.col("question_embedding")) / both), F.lit(0.0)), 4)
+
+    def answers(q: DataFrame) -> DataFrame:
         pairs = index.crossJoin(F.broadcast(q)) if on is None else index.join(F.broadcast(q), on)
-        scored = pairs.select("question_id", key, F.round(F.coalesce(cosine(F.col(embedding), F.col("question_embedding")), F.lit(0.0)), 4).alias("score"))
-        best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        out = best if out is None else out.unionByName(best)
-    return out
+        return pairs.select("question_id", key, score.alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    if blocks == 1:
+        return answers(questions)
+    done = []
+    for first in range(0, blocks, BLOCKS_A_PLAN):
+        own = [answers(questions.where(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == b)) for b in range(first, min(blocks, first + BLOCKS_A_PLAN))]
+        part = reduce(DataFrame.unionByName, own)
+        done.append(part if blocks <= BLOCKS_A_PLAN else stored(part, "answers"))
+    return reduce(DataFrame.unionByName, done)
 
 
-def sources(hits: DataFrame, chars: int = 280) -> DataFrame:
-    """Citation rows: rank, record, link, score and a snippet of the text."""
-    return hits.select(F.col("rank").alias("citation"), "record_id", "chunk_type", "source_url", "score", snippet(F.col("text"), chars).alias("snippet"))
+def sources(hits: DataFrame, chars: int = 280, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Citation rows: the columns in keep, rank, record, link, score and a snippet of the text."""
+    return hits.select(*keep, F.col("rank").alias("citation"), "record_id", "chunk_type", "source_url", "score", snippet(F.col("text"), chars).alias("snippet"))
 
 
 def context_blocks(hits: DataFrame, group: str, rank: str, record: str, kind: str, text: str) -> DataFrame:

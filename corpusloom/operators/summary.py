@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
+
 
 def yearly_counters(rows: DataFrame, year: str, outcome: str, names: list[str]) -> DataFrame:
     """One row per year: parsed, and a counter for each outcome."""
@@ -18,14 +20,17 @@ def run_summary(counters: DataFrame, year: str, failed: str) -> DataFrame:
 
 
 def sorted_rank(rows: DataFrame, order: list, parts: int) -> DataFrame:
-    """rows with their global rank, without gathering them in one task: range partitions, counts before each, a rank in each.
+    """rows with their global rank from 1, without gathering them in one task.
 
-    Range partitioning keeps equal keys together; counts are one row per partition.
+    One range exchange deals and sorts the rows; what it dealt is written with each row's partition and number within it, so that the counts
+    before a partition (one row each) and the rows that they are added to come from the same deal. Rows that are equal in order are
+    ranked in any order.
     """
-    from pyspark.sql import Window
-
-    dealt = rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
-    dealt = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).select(F.col("_p").alias("_q"), "_before")
-    return dealt.join(F.broadcast(before), F.col("_p") == F.col("_q")).withColumn("rank", F.col("_before") + F.col("_r")).drop("_p", "_r", "_q", "_before")
+    within = (1 << 33) - 1  # the bits of monotonically_increasing_id that number the rows of a partition
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    dealt = stored(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    sizes = dealt.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))
+    ranked = dealt.join(F.broadcast(before), part == F.col("_p"))
+    return ranked.withColumn("rank", F.col("_before") + F.col("_at").bitwiseAND(F.lit(within)) + 1).drop("_at", "_p", "_before")

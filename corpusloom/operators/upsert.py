@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
 
+#: Rows of one key that a task orders; a hotter key is dealt by ranges of the sequence.
+ROWS_A_RANGE = 1_000_000
+#: Up to so many keys of a batch are broadcast to the snapshot.
+BROADCAST_KEYS = 100_000
+
+
+def ranges_of(feed: DataFrame, key: str) -> int:
+    """Ranges of the sequence that the hottest key needs: see `outcomes`."""
+    most = feed.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).head()["n"] or 0
+    return max(1, -(-most // ROWS_A_RANGE))
+
+
 def outcomes(feed: DataFrame, key: str, seq: str, hash_col: str, stored: DataFrame | None = None, ranges: int = 1) -> DataFrame:
     """feed → feed with outcome, in order of seq within a key; equal hashes (also two NULLs) are unchanged.
 
@@ -49,6 +61,12 @@ def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site:
     Aggregations only: each key is reduced on the map side to a few values before the shuffle, whatever its rows;
     whether a row changes anything needs its predecessor: see `outcomes`, also for ranges.
     """
+    rest = None
+    if stored is not None:  # the window orders the feed's keys only; all others pass through
+        keys = feed.select(F.col(key).alias("_k")).distinct()
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+        same = F.col(key).eqNullSafe(F.col("_k"))
+        stored, rest = stored.join(keys, same, "left_semi"), stored.join(keys, same, "left_anti")
     rows = outcomes(feed, key, seq, hash_col, stored, ranges)
     changed = F.col("outcome") != UNCHANGED
     order = F.col(seq)
@@ -66,8 +84,8 @@ def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site:
     )
     if stored is None:
         return new.drop("_changes")
-    old = stored.select(F.col(key), *(F.col(c).alias("_" + c) for c in (*site, *carried, "first_seen_at", "last_seen_at", "updated_at")))
-    both = old.join(new, key, "full_outer")
+    old = stored.select(F.col(key).alias("_key"), *(F.col(c).alias("_" + c) for c in (*site, *carried, "first_seen_at", "last_seen_at", "updated_at")))
+    both = new.join(old, F.col(key).eqNullSafe(F.col("_key")), "left")
     return both.select(
         key,
         *(F.when(F.col("_changes") > 0, F.col(c)).otherwise(F.col("_" + c)).alias(c) for c in site),
@@ -75,7 +93,7 @@ def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site:
         F.coalesce("_first_seen_at", "first_seen_at").alias("first_seen_at"),
         F.coalesce("last_seen_at", "_last_seen_at").alias("last_seen_at"),
         F.coalesce("updated_at", "_updated_at").alias("updated_at"),
-    )
+    ).unionByName(rest.select(key, *site, *carried, "first_seen_at", "last_seen_at", "updated_at"))
 
 
 def set_fields(table: DataFrame, patches: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:

@@ -7,35 +7,51 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..embedding import Answerer, Embedder, Extractive, HashedWords, embedding_column
+from ..functions.text import blank_to_null
 from ..operators.chunking import document_chunks, metadata_chunks
-from ..operators.incremental import changed_pieces, next_state, pending_documents, replaced, trailing_chunks
+from ..operators.incremental import changed_pieces, next_state, pending_documents, replaced, run_counters, trailing_chunks, vanished
 from ..operators.retrieval import checked_top_k, chunk_type_filter, sources, top_k
 
 
-def ingest(records: DataFrame, texts: DataFrame, index: DataFrame, state: DataFrame, run_ts: Column, settings: Settings = Settings(), embedder: Embedder | None = None) -> dict[str, DataFrame]:
-    """One incremental run → the new index and state, and counters.
+def linked_records(records: DataFrame, links: DataFrame) -> DataFrame:
+    """records with the links of their documents where they have none: links (sha256, view_url) of what was published."""
+    for kind in ("judgment", "sc_judgment"):
+        url = f"{kind}_gdrive_view_url"
+        own = links.groupBy(F.col("sha256").alias("_sha")).agg(F.min("view_url").alias("_url"))
+        records = records.join(own, F.col(f"{kind}_pdf_sha256") == F.col("_sha"), "left").withColumn(url, F.coalesce(blank_to_null(F.col(url)), "_url")).drop("_sha", "_url")
+    return records
 
-    records: the store; texts (record_id, kind, text): converted documents; index: chunks with embedding and ingested_at.
-    Only changed pieces are chunked and embedded; a second run over the same input changes nothing.
+
+def ingest(
+    records: DataFrame, texts: DataFrame, index: DataFrame, state: DataFrame, run_ts: Column, settings: Settings = Settings(), embedder: Embedder | None = None, links: DataFrame | None = None, tombstones: bool = False
+) -> dict[str, DataFrame]:
+    """One incremental run → the new index and state, the records with their links, and counters.
+
+    records: the store; texts (record_id, kind, text and, if conversions are reported, error): converted documents; index: chunks with embedding and
+    ingested_at; links: see `linked_records`. Only changed pieces are chunked and embedded; a second run over the same input changes
+    nothing. The state advances piece by piece, for what was committed: a document without a text, or with an error, is pending again
+    in the next run, and its record's other pieces are not held up. tombstones: chunks of documents that are gone leave the index.
     """
     embedder = embedder or HashedWords(settings.embedding_dim)
+    before = records
+    records = linked_records(records, links) if links is not None else records
+    error = F.col("error") if "error" in texts.columns else F.lit(None).cast("string")
     changed = changed_pieces(records, state, ["content_hash"]).where("content_hash_changed").select("id")
     meta = metadata_chunks(records.join(changed, "id", "left_semi"))
     pending = pending_documents(records, state)
-    docs = texts.join(pending.select("record_id", "kind"), ["record_id", "kind"], "left_semi")
+    asked = texts.select("record_id", "kind", "text", error.alias("error")).join(pending.select("record_id", "kind"), ["record_id", "kind"], "left_semi")
+    docs = asked.where("error IS NULL AND text IS NOT NULL")
     body = document_chunks(docs, settings.chunk_words, settings.overlap_words)
     fresh = meta.unionByName(body).withColumn("embedding", embedding_column(embedder, F.col("text"))).withColumn("ingested_at", run_ts)
     counts = body.groupBy("record_id", "chunk_type").agg(F.count("*").alias("n_chunks"))
-    emptied = docs.select("record_id", F.col("kind").alias("chunk_type")).join(counts, ["record_id", "chunk_type"], "left").select("record_id", "chunk_type", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
+    emptied = docs.select("record_id", F.col("kind").alias("chunk_type")).distinct().join(counts, ["record_id", "chunk_type"], "left").select("record_id", "chunk_type", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
+    committed = emptied.unionByName(changed.select(F.col("id").alias("record_id"), F.lit("metadata").alias("chunk_type"), F.lit(1).cast("long").alias("n_chunks")))
     dropped = trailing_chunks(index, emptied)
-    new_index = replaced(index, fresh, dropped)
-    kept = state.select("id", F.col("judgment_chunk_count").alias("_a"), F.col("sc_judgment_chunk_count").alias("_b"))
-    new_state = next_state(records, emptied).join(kept, "id", "left").select(
-        "id", "content_hash", "judgment_pdf_sha256", "sc_judgment_pdf_sha256", F.coalesce("judgment_chunk_count", "_a").alias("judgment_chunk_count"), F.coalesce("sc_judgment_chunk_count", "_b").alias("sc_judgment_chunk_count")
-    )
-    touched = changed.select(F.col("id").alias("record_id")).union(pending.select("record_id")).distinct()
-    stats = records.join(touched, F.col("id") == F.col("record_id"), "left").agg(F.count_if(F.col("record_id").isNotNull()).alias("changed"), F.count_if(F.col("record_id").isNull()).alias("unchanged"))
-    return {"index": new_index, "state": new_state, "fresh": fresh, "dropped": dropped, "stats": stats}
+    dropped = dropped.unionByName(vanished(index, records)) if tombstones else dropped
+    was, now = (df.select(F.col("id").alias("record_id"), blank_to_null(F.col("judgment_gdrive_view_url")).alias("url")) for df in (before, records))
+    uploaded = now.where("url IS NOT NULL").join(was.where("url IS NOT NULL"), "record_id", "left_anti")
+    stats = run_counters(records, committed, asked.where("error IS NOT NULL"), uploaded)
+    return {"index": replaced(index, fresh, dropped), "state": next_state(records, state, committed), "records": records, "fresh": fresh, "dropped": dropped, "stats": stats}
 
 
 def retrieve(index: DataFrame, records: DataFrame, question: str, k: int | None = None, chunk_type: str | None = None, settings: Settings = Settings(), embedder: Embedder | None = None) -> DataFrame:

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .functions import hashing, text
+from .functions import hashing, text, vectors
 from .operators import audit, chunking, incremental, migrate, retrieval, summary, upsert
-from .sources.html import anchors, listing_records
+from .sources.files import page_texts
+from .sources.html import anchors, listing_records, page_shortfalls
+from .sources.scratch import shared_dir
 from .sources.store import SnapshotStore
 from .streaming.ingest import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Ranges into which the feed of a key is dealt.
-RANGES = 16
-
 
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
@@ -45,7 +44,7 @@ def content_hash(spark, sf_dir):
 
 @query
 def metadata_card(spark, sf_dir):
-    card = text.metadata_card(*map(F.col, ("source", "n_chars", "lang", "quality", "toxic")), F.lit(""), F.lit(None), F.left("text", F.lit(40)))
+    card = text.metadata_card(*map(F.col, ("source", "n_chars", "lang", "quality", "toxic")), F.lit(""), F.lit(None), F.col("text"))
     return labelled(spark, sf_dir, "source", "n_chars", "lang", "text").select("doc_id", card.alias("card"), hashing.chunk_hash(card).alias("chunk_hash"))
 
 
@@ -81,8 +80,15 @@ def context_block(spark, sf_dir):
 
     w = Window.partitionBy("lang").orderBy(F.desc("n_chars"), "doc_id")
     hits = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars").withColumn("rank", F.row_number().over(w)).where("rank <= 3")
-    hits = hits.join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").withColumn("snippet", text.snippet(F.col("text")))
-    return retrieval.context_blocks(hits, "lang", "rank", "doc_id", "source", "snippet")
+    hits = hits.join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return retrieval.context_blocks(hits, "lang", "rank", "doc_id", "source", "text")
+
+
+@query
+def page_concat(spark, sf_dir):
+    """Documents as pages of records of five; a page of poor quality has no text of its own but an OCR text."""
+    pages = labelled(spark, sf_dir, "text", "source").select(F.floor(F.col("doc_id") / 5).alias("record"), (F.col("doc_id") % 5).alias("page"), F.when(F.coalesce("quality", F.lit(1)) == 1, F.col("text")).otherwise(F.lit("  ")).alias("own"), "source")
+    return page_texts(pages, "record", "page", F.col("own"), F.col("source")).select("record", F.sha2("text", 256).alias("text_sha"), "any_ocr")
 
 
 # Upserts and incremental runs
@@ -91,7 +97,7 @@ def context_block(spark, sf_dir):
 @query
 def upsert_outcomes(spark, sf_dir):
     feed = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return upsert.outcomes(feed, "user_id", "event_id", "event_type", ranges=RANGES).select("event_id", "user_id", "outcome")
+    return upsert.outcomes(feed, "user_id", "event_id", "event_type", ranges=upsert.ranges_of(feed, "user_id")).select("event_id", "user_id", "outcome")
 
 
 def _feed(events: DataFrame) -> DataFrame:
@@ -100,22 +106,29 @@ def _feed(events: DataFrame) -> DataFrame:
 
 @query
 def upsert_snapshot(spark, sf_dir):
-    return upsert.snapshot(_feed(table(spark, sf_dir, "events")), "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"], ranges=RANGES)
+    feed = _feed(table(spark, sf_dir, "events"))
+    return upsert.snapshot(feed, "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"], ranges=upsert.ranges_of(feed, "user_id"))
 
 
 @query
 def stream_ingest(spark, sf_dir):
     """The same snapshot from a stream of the file, folded batch by batch into a store."""
     events = table(spark, sf_dir, "events")
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    root = f"{named or tempfile.mkdtemp(prefix='corpusloom-')}/stream-{uuid.uuid4().hex}"
-    schema = upsert_snapshot(spark, sf_dir).schema
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")  # a pattern: a plain path would have to be a folder
-    store = SnapshotStore(spark, f"{root}/snapshot", schema)
-    upsert_stream(_feed(stream), store, f"{root}/checkpoint", "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"])
+    root = f"{shared_dir(spark)}/corpusloom/stream-{uuid.uuid4().hex}"
+    stream = _feed(spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*"))  # a pattern: a plain path would have to be a folder
+    kind = {f.name: f.dataType for f in stream.schema}
+    names = {"user_id": "user_id", "event_type": "event_type", "value": "value", "path": "path", "first_seen_at": "at", "last_seen_at": "at", "updated_at": "at"}
+    store = SnapshotStore(spark, f"{root}/snapshot", T.StructType([T.StructField(name, kind[of]) for name, of in names.items()]))
+    upsert_stream(stream, store, f"{root}/checkpoint", "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"])
     return store.read()
 
 
+@query
+def last_record(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return upsert.last_per_key(events, "user_id", F.col("event_id"))
+
+
 @query
 def sorted_store(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
@@ -141,22 +154,92 @@ def incremental_diff(spark, sf_dir):
 
 @query
 def shrink_delete(spark, sf_dir):
-    """Chunks of the finer cut that the coarser one leaves behind."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), F.lit("judgment_pdf").alias("chunk_type"), "text")
-    index = chunking.hard_split(docs, "text", 380, 60)
-    counts = chunking.hard_split(docs, "text", 760, 60).groupBy("record_id", "chunk_type").agg(F.count("*").alias("n_chunks"))
-    return incremental.trailing_chunks(index, counts).select("record_id", "chunk_index", "chunk_hash")
+    """Chunks of the finer cut that the coarser one leaves behind. How many the coarser one has follows from the number of words, so nothing is
+    cut twice, and only what is left behind is hashed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), text.words(F.col("text")).alias("words"))
+    rows = docs.select("record_id", chunking.window_count(F.col("words"), 760, 60).alias("n"), F.posexplode(chunking.windows(F.col("words"), 380, 60)).alias("chunk_index", "text"))
+    return rows.where(F.col("chunk_index") >= F.col("n")).select("record_id", "chunk_index", hashing.chunk_hash(F.col("text")).alias("chunk_hash"))
+
+
+def _chunk_rows(docs: DataFrame, target: int) -> DataFrame:
+    rows = chunking.hard_split(docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit("judgment_pdf").alias("chunk_type"), "text"), "text", target, 60)
+    return rows.select(F.concat_ws("::", "record_id", "chunk_type", F.col("chunk_index").cast("string")).alias("chunk_id"), "record_id", "chunk_type", "chunk_index", "chunk_hash")
+
+
+@query
+def index_upsert(spark, sf_dir):
+    """Documents of good quality come anew, cut coarser: their chunks replace the old ones, and the old ones beyond go."""
+    docs = labelled(spark, sf_dir, "text")
+    index, fresh = _chunk_rows(docs, 380), _chunk_rows(docs.where("quality = 1"), 760)
+    counts = fresh.groupBy("record_id", "chunk_type").agg(F.count("*").alias("n_chunks"))
+    return incremental.replaced(index, fresh, incremental.trailing_chunks(index, counts)).select("chunk_id", "chunk_hash")
+
+
+@query
+def vanished_chunks(spark, sf_dir):
+    """Chunks of the documents whose record has no file any more."""
+    docs, (records, _) = table(spark, sf_dir, "documents"), _ingested(spark, sf_dir)
+    return incremental.vanished(_chunk_rows(docs, 380), records).select("chunk_id")
+
+
+def _ingested(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Records with a card and up to two documents, and the state of an earlier run that knew the labelled ones."""
+    docs = labelled(spark, sf_dir, "text", "lang", "source", "n_chars")
+    card, sha = hashing.content_hash(F.col("lang"), F.col("quality")), F.when(F.col("lang") != "es", F.sha2("text", 256))
+    key = F.col("doc_id").cast("string").alias("id")
+    records = docs.select(key, card.alias("content_hash"), sha.alias("judgment_pdf_sha256"), F.when(F.col("toxic") == 1, F.sha2("source", 256)).alias("sc_judgment_pdf_sha256"), "n_chars", "quality")
+    good, none = F.col("quality") == 1, F.lit(None)
+    state = docs.where("quality IS NOT NULL").select(
+        key, F.when(F.col("toxic") == 1, F.lit("old")).otherwise(card).alias("content_hash"), F.when(good, sha).alias("judgment_pdf_sha256"), none.cast("string").alias("sc_judgment_pdf_sha256"),
+        F.when(good, 9).alias("judgment_chunk_count"), none.cast("int").alias("sc_judgment_chunk_count"),
+    )
+    return records, state
+
+
+def _committed(records: DataFrame, state: DataFrame) -> DataFrame:
+    """What a run put into the index: changed cards, and pending documents whose text is there (an even number of characters)."""
+    cards = incremental.changed_pieces(records, state, ["content_hash"]).where("content_hash_changed").select(F.col("id").alias("record_id"), F.lit("metadata").alias("chunk_type"), F.lit(1).cast("long").alias("n_chunks"))
+    texts = records.where("n_chars % 2 = 0").select(F.col("id").alias("record_id"), F.col("n_chars").alias("n_chunks"))
+    docs = incremental.pending_documents(records, state).join(texts, "record_id").select("record_id", F.col("kind").alias("chunk_type"), "n_chunks")
+    return cards.union(docs)
+
+
+@query
+def pending_documents(spark, sf_dir):
+    return incremental.pending_documents(*_ingested(spark, sf_dir))
+
+
+@query
+def ingest_state(spark, sf_dir):
+    """The state after a run: piece by piece, for what was committed."""
+    records, state = _ingested(spark, sf_dir)
+    return incremental.next_state(records, state, _committed(records, state))
+
+
+@query
+def ingest_counters(spark, sf_dir):
+    """The seven counters of that run; conversions fail where the number of characters divides by 7, and poor ones got a link."""
+    records, state = _ingested(spark, sf_dir)
+    of = lambda where: records.where(where).select(F.col("id").alias("record_id"))
+    return incremental.run_counters(records, _committed(records, state), of("n_chars % 7 = 0"), of("quality = 0"))
 
 
 @query
 def run_summary(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("day", F.dayofmonth("ts"))
-    fed = upsert.outcomes(events.select("event_id", "user_id", "event_type", "day"), "user_id", "event_id", "event_type")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.dayofmonth("ts").alias("day"))
+    fed = upsert.outcomes(events, "user_id", "event_id", "event_type", ranges=upsert.ranges_of(events, "user_id"))
     counters = summary.yearly_counters(fed, "day", "outcome", ["inserted", "updated", "unchanged"])
     out = summary.run_summary(counters.withColumn("failed", F.col("inserted") == 0), "day", "failed")
     return out.withColumn("failed", F.array_join("failed", ","))
 
 
+@query
+def tracked_counts(spark, sf_dir):
+    """How many records, indexed vectors and states there are."""
+    tables = [table(spark, sf_dir, t).agg(F.lit(t).alias("store"), F.count("*").alias("n")) for t in ("documents", "embeddings", "labels")]
+    return tables[0].union(tables[1]).union(tables[2])
+
+
 @query
 def daily_counters(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
@@ -172,9 +255,9 @@ def content_cache(spark, sf_dir):
 # Retrieval
 
 
-def _questions(vectors: DataFrame, n: int = 5) -> DataFrame:
-    """The vectors of the first n ids stand for questions; they search all rows."""
-    return vectors.orderBy("vec_id").limit(n).select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("question_embedding"), F.col("label").alias("question_label"))
+def _questions(vectors: DataFrame) -> DataFrame:
+    """Every row whose id divides by 50 is a question to all rows."""
+    return vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("question_embedding"), F.col("label").alias("question_label"))
 
 
 @query
@@ -189,6 +272,22 @@ def knn_filtered(spark, sf_dir):
     return retrieval.top_k_batch(vectors, _questions(vectors), 5, on=F.col("label") == F.col("question_label"))
 
 
+@query
+def cited_sources(spark, sf_dir):
+    """The answers' documents as numbered sources with snippets."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", F.col("source").alias("source_url"))
+    hits = knn_topk(spark, sf_dir).join(docs, "vec_id").withColumns({"record_id": F.col("vec_id"), "chunk_type": F.lit("judgment_pdf")})
+    return retrieval.sources(hits, keep=("question_id",))
+
+
+@query
+def l2_normalize(spark, sf_dir):
+    """Vectors of other lengths, normalized."""
+    longer = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 2))
+    unit = table(spark, sf_dir, "embeddings").select("vec_id", vectors.l2_normalized(longer).alias("unit"))
+    return unit.select("vec_id", F.round(vectors.norm(F.col("unit")), 5).alias("norm"), F.col("unit")[0].alias("first"))
+
+
 # Sources
 
 
@@ -211,11 +310,21 @@ def listing_table(spark, sf_dir):
     cells = [cell(F.col("o_orderkey").cast("string")), cell(F.col("o_orderpriority")), cell(F.lit("a <b>bold</b> remark")), cell(F.lit("")), cell(F.lit("n/a"))]
     cells += [cell(F.date_format("o_orderdate", "dd/MM/yyyy")), cell(F.col("o_orderstatus")), cell(F.lit("Civil"))]
     orders = table(spark, sf_dir, "orders").withColumn("row", F.concat(F.lit("<tr>"), *cells, link, F.lit("</tr>")))
-    rows = orders.groupBy("o_custkey").agg(F.array_join(F.sort_array(F.collect_list("row")), "\n").alias("rows"))
+    # A page has the rows of one customer and at most so many order numbers: a customer with very many orders is many pages.
+    rows = orders.groupBy("o_custkey", F.floor(F.col("o_orderkey") / 4096)).agg(F.array_join(F.sort_array(F.collect_list("row")), "\n").alias("rows"))
     pages = rows.select(F.col("o_custkey").alias("year"), F.concat(F.lit("<table id=employee_list><tr><th>Sr</th></tr>"), "rows", F.lit("</table>")).alias("html"))
     return listing_records(pages).select("id", "serial_no", "case_info", "remarks", "neutral_citation", "other_citation", "decision_date", "sc_status", "judgment_pdf_url", "sc_judgment_pdf_url", "content_hash")
 
 
+@query
+def page_shortfall(spark, sf_dir):
+    """A page for each customer that names more entries than were parsed, for two customers of three."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("year"))
+    counts = orders.groupBy("year").agg(F.count("*").alias("n"))
+    pages = counts.select("year", F.concat(F.lit("<p>Showing 1 to 25 of <b>"), (F.col("n") + F.col("year") % 3).cast("string"), F.lit("</b> entries</p>")).alias("html"))
+    return page_shortfalls(pages, orders)
+
+
 @query
 def safe_filename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.safe_filename(F.col("url")).alias("filename"))
@@ -271,6 +380,15 @@ def totals_check(spark, sf_dir):
     return audit.totals_check(site, parsed, "year")
 
 
+@query
+def totals_gap(spark, sf_dir):
+    """The gap over all years whose total is known."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    site = orders.groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n")).select("year", F.when(F.col("year") % 3 != 0, F.col("n") * 4).alias("site_total"))
+    parsed = lines.groupBy(F.year("l_shipdate").alias("year")).agg(F.count("*").alias("n"))
+    return audit.gap_sums(audit.totals_check(site, parsed, "year"))
+
+
 def _files(spark, sf_dir) -> DataFrame:
     docs = labelled(spark, sf_dir, "text", "lang", "source")
     path = F.when(F.col("quality").isNotNull(), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.when(F.col("toxic") == 1, "").otherwise(".pdf")))
@@ -289,6 +407,11 @@ def audit_actions(spark, sf_dir):
     return actions.where("action IS NOT NULL")
 
 
+@query
+def cleared_counts(spark, sf_dir):
+    return audit.cleared_count(audit_actions(spark, sf_dir))
+
+
 @query
 def audit_repair(spark, sf_dir):
     fixed = audit.repaired(_files(spark, sf_dir), "path", "sha", F.col("content"))
@@ -314,6 +437,11 @@ def migrate_legacy(spark, sf_dir):
     return migrate.migrated(old, files).select("id", "judgment_pdf_url", "judgment_local_pdf_path", "judgment_pdf_sha256", "content_hash", "schema_version", "outcome")
 
 
+@query
+def migration_counts(spark, sf_dir):
+    return migrate_legacy(spark, sf_dir).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
 @query
 def inspect_ids(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf_dir, "labels")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
 
 from ..config import Settings
 from ..functions.hashing import content_hash
@@ -74,13 +76,29 @@ def listing_cells(html: str, table_id: str) -> list[tuple]:
     return out
 
 
-@udtf(returnType=LISTING_ROW)
-class ListingRows:
-    """Rows of a listing page's table; none where the page has no such table."""
+def parsed_rows(pages: DataFrame, html: str, parse: Callable[[str], Iterable[tuple]], row: StructType) -> DataFrame:
+    """pages → its columns but the markup, and a row for each tuple that parse finds in it; none for a null page.
 
-    def eval(self, html: str, table_id: str):
-        if html is not None:
-            yield from listing_cells(html, table_id)
+    Pages go to Python in Arrow batches, their other columns as they are. A page that cannot be parsed has no rows.
+    """
+    kinds = {"string": pa.string(), "int": pa.int32()}
+    keys = pages.drop(html)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, found = [], []
+            for i, page in enumerate(b.column(b.num_columns - 1)):
+                try:
+                    own = list(parse(page.as_py())) if page.is_valid else []
+                except (ValueError, AssertionError, RecursionError):  # whatever markup the parser gives up on
+                    own = []
+                at += [i] * len(own)
+                found += own
+            cols = zip(*found) if found else [()] * len(row)
+            kept = b.select(range(b.num_columns - 1)).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(cols, row))], names=[*kept.schema.names, *row.names])
+
+    return pages.select(*keys.columns, html).mapInArrow(run, StructType([*keys.schema.fields, *row.fields]))
 
 
 class _Anchors(HTMLParser):
@@ -105,37 +123,32 @@ class _Anchors(HTMLParser):
             self.found[-1][1].append(data.strip())
 
 
-@udtf(returnType=ANCHOR_ROW)
-class AnchorRows:
+def anchor_rows(html: str) -> Iterator[tuple[int, str, str]]:
     """Every anchor with an href: its position from 1, the reference, and its text."""
-
-    def eval(self, html: str):
-        if html is not None:
-            page = _Anchors()
-            page.feed(html)
-            page.close()
-            for i, (href, text) in enumerate(page.found):
-                yield i + 1, href, " ".join(filter(None, text))
+    page = _Anchors()
+    page.feed(html)
+    page.close()
+    for i, (href, text) in enumerate(page.found, 1):
+        yield i, href, " ".join(filter(None, text))
 
 
 def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages → its columns but the markup, position, href, text."""
-    spark = pages.sparkSession
-    keys = [c for c in pages.columns if c != html]
-    spark.udtf.register("corpusloom_anchors", AnchorRows)
-    return spark.sql(f"SELECT {', '.join(f'`{c}`' for c in keys)}, a.* FROM {{p}} AS p, LATERAL corpusloom_anchors(p.`{html}`) AS a", p=pages)
+    return parsed_rows(pages, html, anchor_rows, ANCHOR_ROW)
 
 
 def listing_records(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """pages (year, html) → records of the site's fields: parsed, normalized, hashed. Rows without a plain number are skipped."""
-    spark = pages.sparkSession
-    spark.udtf.register("corpusloom_listing", ListingRows)
-    rows = spark.sql("SELECT p.year, r.* FROM {p} AS p, LATERAL corpusloom_listing(p.html, {t}) AS r", p=pages.select("year", "html"), t=settings.table_id)
+    """pages (year, html) → records of the site's fields: parsed, normalized, hashed.
+
+    Rows without a plain number are skipped; a number too large for an int stays in the id, and serial_no is NULL.
+    """
+    table_id = settings.table_id
+    rows = parsed_rows(pages.select("year", "html"), "html", lambda page: listing_cells(page, table_id), LISTING_ROW)
     rows = rows.where(F.col("serial").rlike("^[0-9]+$"))
     base = F.lit(settings.base_url)
     out = rows.select(
         record_id(settings.id_prefix, F.col("year"), F.col("serial")).alias("id"),
-        F.col("serial").cast("int").alias("serial_no"),
+        F.col("serial").try_cast("int").alias("serial_no"),
         F.col("year").cast("int").alias("year"),
         "case_info",
         "remarks",

@@ -1,48 +1,20 @@
-"""Listing pages as a Python data source: one partition per year, politely fetched."""
+"""Listing pages as a Python data source, politely fetched."""
 
 from __future__ import annotations
 
-import time
-import urllib.error
-import urllib.parse
-import urllib.request
-import urllib.robotparser
-
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .client import Client, RobotsGate, fetch
 
-def fetch(request, timeout: float, retries: int, backoff: float, opener=urllib.request.urlopen, sleep=time.sleep) -> bytes | None:
-    """The body, or None when all attempts fail; waits backoff, twice that, ... between them."""
-    for attempt in range(retries):
-        try:
-            with opener(request, timeout=timeout) as response:
-                return response.read()
-        except (urllib.error.URLError, TimeoutError, OSError):
-            if attempt + 1 < retries:
-                sleep(backoff * 2**attempt)
-    return None
-
-
-class RobotsGate:
-    """robots.txt of a site; one that cannot be read allows everything."""
-
-    def __init__(self, base_url: str, agent: str, opener=urllib.request.urlopen):
-        self.agent, self.rules = agent, urllib.robotparser.RobotFileParser()
-        try:
-            with opener(urllib.parse.urljoin(base_url, "/robots.txt"), timeout=10) as r:
-                self.rules.parse(r.read().decode("utf-8", "replace").splitlines())
-        except (urllib.error.URLError, OSError):
-            self.rules.allow_all = True
-
-    def allows(self, url: str) -> bool:
-        return self.rules.can_fetch(self.agent, url)
-
-    def delay(self, floor: float) -> float:
-        return max(floor, float(self.rules.crawl_delay(self.agent) or 0))
+__all__ = ["ListingSource", "RobotsGate", "fetch"]
 
 
 class ListingSource(DataSource):
-    """Options: url (form target), years (comma-separated), agent, spacing, field (form field of the year, `year`)."""
+    """Options: url (form target), years (comma-separated), agent, spacing, jitter, retries, backoff, field (form field of the year, `year`).
+
+    All years are one partition: a site is asked one thing at a time, so its spacing holds for the run and not for each task. A year that cannot
+    be fetched is a row with a null page.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -60,16 +32,16 @@ class _Reader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(int(y)) for y in self.options["years"].split(",") if y.strip()]
+        years = tuple(int(y) for y in self.options["years"].split(",") if y.strip())
+        return [InputPartition(years)] if years else []
+
+    def client(self) -> Client:
+        o = self.options
+        return Client(o["url"], o.get("agent", "corpusloom"), float(o.get("spacing", "3")), float(o.get("jitter", "1.5")), retries=int(o.get("retries", "5")), backoff=float(o.get("backoff", "2")))
 
     def read(self, partition: InputPartition):
-        o, year = self.options, partition.value
-        gate = RobotsGate(o["url"], o.get("agent", "corpusloom"))
-        if not gate.allows(o["url"]):
-            return
-        data = urllib.parse.urlencode({o.get("field", "year"): year}).encode()
-        request = urllib.request.Request(o["url"], data=data, headers={"User-Agent": o.get("agent", "corpusloom")})
-        time.sleep(gate.delay(float(o.get("spacing", "3"))))
-        body = fetch(request, 35, int(o.get("retries", "5")), float(o.get("backoff", "2")))
-        if body is not None:
-            yield year, body.decode("utf-8", "replace")
+        client = self.client()
+        client.warm_up()
+        for year in partition.value:
+            body = client.read(self.options["url"], {self.options.get("field", "year"): year})
+            yield year, None if body is None else body.decode("utf-8", "replace")

@@ -32,7 +32,7 @@ _CARD = " || chr(10) || ".join(
         ("Neutral citation: ", "toxic", "None"),
         ("Other citation: ", "''", "None"),
         ("Supreme Court status: ", "NULL", "Not appealed to the Supreme Court"),
-        ("Summary/remarks: ", "left(text, 40)", "None recorded"),
+        ("Summary/remarks: ", "text", "None recorded"),
     )
 )
 _LABELLED = "documents LEFT JOIN labels USING (doc_id)"
@@ -61,9 +61,15 @@ records AS (SELECT doc_id, sha256(text) AS text_sha, meta AS meta_sha FROM docs)
 state AS (SELECT doc_id, CASE WHEN quality = 1 THEN sha256(text) END AS s_text, CASE WHEN toxic = 1 THEN 'old' ELSE meta END AS s_meta, true AS known FROM docs WHERE quality IS NOT NULL)"""
 
 
+_INGESTED = f"""records AS (SELECT doc_id::VARCHAR AS id, quality, n_chars, {_hash("lang", "quality")} AS c, CASE WHEN lang <> 'es' THEN sha256(text) END AS j, CASE WHEN toxic = 1 THEN sha256(source) END AS s,
+    CASE WHEN quality IS NOT NULL THEN CASE WHEN toxic = 1 THEN 'old' ELSE {_hash("lang", "quality")} END END AS known_c, quality IS NOT NULL AS known FROM {_LABELLED}),
+asked AS (SELECT *, CASE WHEN quality = 1 THEN j END AS known_j, c IS DISTINCT FROM known_c AS new_c, j IS NOT NULL AND quality IS DISTINCT FROM 1 AS ask_j, s IS NOT NULL AS ask_s FROM records),
+run AS (SELECT *, ask_j AND n_chars % 2 = 0 AS new_j, ask_s AND n_chars % 2 = 0 AS new_s FROM asked)"""
+
+
 def _knn(on: str) -> str:
     return f"""
-WITH q AS (SELECT vec_id AS question_id, embedding::DOUBLE[] AS v, label AS l FROM embeddings ORDER BY vec_id LIMIT 5),
+WITH q AS (SELECT vec_id AS question_id, embedding::DOUBLE[] AS v, label AS l FROM embeddings WHERE vec_id % 50 = 0),
 s AS (SELECT question_id, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], v), 4) AS score FROM embeddings JOIN q ON {on})
 SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s QUALIFY rank <= 5"""
 
@@ -94,7 +100,7 @@ FROM (SELECT doc_id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(do
     "chunk_pack": _PACK,
     "snippet": "SELECT doc_id, CASE WHEN length(text) > 280 THEN left(text, 280) || '...' ELSE text END AS snippet FROM documents",
     "context_block": """WITH h AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents QUALIFY rank <= 3)
-SELECT lang, string_agg('[' || rank || '] Record ' || doc_id || ' (' || source || ')' || chr(10) || CASE WHEN length(text) > 280 THEN left(text, 280) || '...' ELSE text END, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context FROM h GROUP BY lang""",
+SELECT lang, string_agg('[' || rank || '] Record ' || doc_id || ' (' || source || ')' || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context FROM h GROUP BY lang""",
     "upsert_outcomes": f"SELECT event_id, user_id, outcome FROM ({_OUTCOME})",
     "upsert_snapshot": _SNAPSHOT,
     "stream_ingest": _SNAPSHOT,
@@ -109,6 +115,32 @@ SELECT sum(parsed)::BIGINT AS parsed, sum(inserted)::BIGINT AS inserted, sum(upd
     "daily_counters": """SELECT ts::DATE::VARCHAR AS day, count(*) AS parsed, count(*) FILTER (WHERE event_type = 'click') AS click, count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
   count(*) FILTER (WHERE event_type = 'view') AS view FROM events GROUP BY 1""",
     "content_cache": "SELECT doc_id, sha256(text) AS sha256, min(doc_id) OVER (PARTITION BY sha256(text)) AS owner_id, doc_id <> min(doc_id) OVER (PARTITION BY sha256(text)) AS cached FROM documents",
+    "page_concat": f"""WITH p AS (SELECT doc_id // 5 AS record, doc_id % 5 AS page, CASE WHEN coalesce(quality, 1) = 1 THEN nullif(trim(text, ' '), '') END AS own, nullif(trim(source, ' '), '') AS ocr FROM {_LABELLED})
+SELECT record, sha256(coalesce(string_agg(coalesce(own, ocr), chr(10) || chr(10) ORDER BY page), '')) AS text_sha, bool_or(own IS NULL AND ocr IS NOT NULL) AS any_ocr FROM p GROUP BY record""",
+    "last_record": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+    "index_upsert": f"""WITH d AS (SELECT doc_id, coalesce(quality, 0) = 1 AS fresh, {_words("text")} AS w FROM {_LABELLED}),
+c AS (SELECT doc_id, CASE WHEN fresh THEN {_windows("w", 760, 60)} ELSE {_windows("w", 380, 60)} END AS ch FROM d),
+r AS (SELECT doc_id, unnest(range(len(ch))) AS k, unnest(ch) AS ws FROM c)
+SELECT doc_id || '::judgment_pdf::' || k AS chunk_id, sha256(array_to_string(ws, ' ')) AS chunk_hash FROM r""",
+    "vanished_chunks": f"SELECT doc_id || '::judgment_pdf::' || chunk_index AS chunk_id FROM ({_HARD}) JOIN documents USING (doc_id) WHERE lang = 'es'",
+    "pending_documents": f"""WITH {_INGESTED}
+SELECT id AS record_id, 'judgment_pdf' AS kind, j AS sha256 FROM run WHERE ask_j UNION ALL SELECT id, 'sc_judgment_pdf', s FROM run WHERE ask_s""",
+    "ingest_state": f"""WITH {_INGESTED}
+SELECT id, CASE WHEN new_c THEN c ELSE known_c END AS content_hash, CASE WHEN new_j THEN j ELSE known_j END AS judgment_pdf_sha256, CASE WHEN new_s THEN s END AS sc_judgment_pdf_sha256,
+  CASE WHEN new_j THEN n_chars::INTEGER WHEN quality = 1 THEN 9 END AS judgment_chunk_count, CASE WHEN new_s THEN n_chars::INTEGER END AS sc_judgment_chunk_count FROM run""",
+    "ingest_counters": f"""WITH {_INGESTED}
+SELECT count(*) AS records_seen, count(*) FILTER (WHERE new_c) AS metadata_ingested, count(*) FILTER (WHERE new_j) AS judgment_pdf_ingested, count(*) FILTER (WHERE new_s) AS sc_judgment_pdf_ingested,
+  count(*) FILTER (WHERE quality = 0) AS gdrive_uploaded, count(*) FILTER (WHERE NOT (new_c OR new_j OR new_s) AND n_chars % 7 <> 0) AS unchanged, count(*) FILTER (WHERE n_chars % 7 = 0) AS errors FROM run""",
+    "tracked_counts": "SELECT 'documents' AS store, count(*) AS n FROM documents UNION ALL SELECT 'embeddings', count(*) FROM embeddings UNION ALL SELECT 'labels', count(*) FROM labels",
+    "cited_sources": f"""SELECT question_id, rank AS citation, vec_id AS record_id, 'judgment_pdf' AS chunk_type, source AS source_url, score, CASE WHEN length(text) > 280 THEN left(text, 280) || '...' ELSE text END AS snippet
+FROM ({_knn("true")}) JOIN documents ON vec_id = doc_id""",
+    "l2_normalize": """WITH l AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * (label + 2)) AS v FROM embeddings),
+u AS (SELECT vec_id, list_transform(v, lambda x: (x / sqrt(list_sum(list_transform(v, lambda y: y * y))))::FLOAT) AS u FROM l)
+SELECT vec_id, round(sqrt(list_sum(list_transform(u, lambda x: x::DOUBLE * x::DOUBLE))), 5) AS norm, u[1] AS first FROM u""",
+    "page_shortfall": "SELECT o_custkey AS year, count(*) + o_custkey % 3 AS hint, count(*) AS parsed FROM orders GROUP BY o_custkey HAVING o_custkey % 3 > 0",
+    "totals_gap": """WITH s AS (SELECT year(o_orderdate) AS year, count(*) * 4 AS t FROM orders GROUP BY 1), p AS (SELECT year(l_shipdate) AS year, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT sum(t)::BIGINT AS site_total, sum(coalesce(n, 0))::BIGINT AS parsed, sum(t - coalesce(n, 0))::BIGINT AS gap FROM s LEFT JOIN p USING (year) WHERE year % 3 <> 0""",
+    "cleared_counts": f"SELECT count(*) FILTER (WHERE {_ACTION} LIKE 'CLEAR%' OR {_ACTION} LIKE 'DELETE%') AS n_cleared, count({_ACTION}) AS n_actions FROM ({_FILES})",
     "knn_topk": _knn("true"),
     "knn_filtered": _knn("label = l"),
     "html_anchors": f"SELECT page_id, position, href FROM ({_ANCHORS})",
@@ -137,6 +169,8 @@ SELECT year, site_total, coalesce(n, 0) AS parsed, site_total - coalesce(n, 0) A
 f AS (SELECT l_orderkey || '.pdf' AS f, sha256(l_orderkey::VARCHAR) AS sha FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)
 SELECT id, u AS judgment_pdf_url, 'downloaded_pdfs/' || f AS judgment_local_pdf_path, sha AS judgment_pdf_sha256, {_hash("c", "NULL", "NULL", "NULL", "NULL", "NULL", "NULL", "u", "NULL")} AS content_hash,
   2 AS schema_version, CASE WHEN name IS NULL THEN 'no_path' WHEN f IS NULL THEN 'cleared' ELSE 'kept' END AS outcome FROM o LEFT JOIN f ON name = f""",
+    "migration_counts": """WITH o AS (SELECT o_orderkey AS k, o_orderstatus <> 'P' AS named FROM orders), f AS (SELECT l_orderkey AS k FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+SELECT CASE WHEN NOT named THEN 'no_path' WHEN f.k IS NULL THEN 'cleared' ELSE 'kept' END AS outcome, count(*) AS n FROM o LEFT JOIN f USING (k) GROUP BY 1""",
     "inspect_ids": """SELECT doc_id, lang, n_chars, d.lang IS NOT NULL AS found, quality, toxic FROM (VALUES (0::BIGINT), (3), (17), (42), (999999999)) AS a(doc_id)
 LEFT JOIN (SELECT doc_id, lang, n_chars FROM documents) d USING (doc_id) LEFT JOIN labels USING (doc_id)""",
 }

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..operators.upsert import snapshot
+from ..operators.upsert import ranges_of, snapshot
 from ..sources.store import SnapshotStore
 
 
@@ -26,7 +25,7 @@ def upsert_stream(
             return
         stored = store.read()
         stored = stored if store.current() else None
-        merged = snapshot(batch, key, seq, at, hash_col, site, carried, stored)
+        merged = snapshot(batch, key, seq, at, hash_col, site, carried, stored, ranges_of(batch, key))
         store.commit(merged, sort=[key], version=version)
 
     with store.lock():
@@ -34,13 +33,3 @@ def upsert_stream(
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-
-
-def late_counts(feed: DataFrame, at: str, key: str, window: str = "1 day", lateness: str = "2 hours") -> DataFrame:
-    """Rows of a feed by event-time window and key; rows later than the watermark are not waited for."""
-    return feed.withWatermark(at, lateness).groupBy(F.window(at, window), key).agg(F.count("*").alias("n"))
-
-
-def file_feed(spark: SparkSession, path: str, schema, max_files: int = 100) -> DataFrame:
-    """A Parquet folder (or file) as a stream, at most so many files a batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)

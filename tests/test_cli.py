@@ -1,10 +1,16 @@
 import json
+import os
+
+import pytest
 
 from corpusloom.__main__ import main
 
 from .test_sources_and_runs import ONE
 
 
+COUNTERS = dict.fromkeys(("records_seen", "metadata_ingested", "judgment_pdf_ingested", "sc_judgment_pdf_ingested", "gdrive_uploaded", "unchanged", "errors"), 0)
+
+
 def run(capsys, *args):
     assert main(list(args)) == 0
     return [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
@@ -18,15 +24,18 @@ def test_scrape_ingest_ask_inspect(spark, tmp_path, capsys):
     again = run(capsys, "scrape", "--root", root, "--pages", str(tmp_path / "pages"), "--run-ts", "2025-01-01T00:00:00Z")
     assert again[0]["parsed"] == 2 and again[1] == {"year": 2025, "hint": 3, "parsed": 2}
     spark.createDataFrame([("REC_2025_1", "judgment_pdf", "text")], "record_id string, kind string, text string").write.parquet(str(tmp_path / "texts"))
-    assert run(capsys, "ingest", "--root", root, "--texts", str(tmp_path / "texts")) == [{"changed": 2, "unchanged": 0}]
-    assert run(capsys, "ingest", "--root", root, "--texts", str(tmp_path / "texts")) == [{"changed": 0, "unchanged": 2}]
+    assert run(capsys, "ingest", "--root", root, "--texts", str(tmp_path / "texts")) == [COUNTERS | {"records_seen": 2, "metadata_ingested": 2}]
+    assert run(capsys, "ingest", "--root", root, "--texts", str(tmp_path / "texts")) == [COUNTERS | {"records_seen": 2, "unchanged": 2}]
     reply = run(capsys, "ask", "--root", root, "--question", "W.P 1 A Vs B", "--top-k", "1")[0]
     assert reply["sources"][0]["record_id"] == "REC_2025_1"
     rows = {r["id"]: r["found"] for r in run(capsys, "inspect", "--root", root, "--ids", "REC_2025_1", "nope")}
     assert rows == {"REC_2025_1": True, "nope": False}
     (tmp_path / "totals.csv").write_text("year,site_total\n2025,3\n")
     assert run(capsys, "totals", "--root", root, "--totals", str(tmp_path / "totals.csv"))[0]["gap"] == 1
-    assert {r["status"] for r in run(capsys, "reconcile", "--root", root, "--texts", str(tmp_path / "texts"))} == {"orphan_text", "owned_paths"}
+    found = run(capsys, "reconcile", "--root", root, "--texts", str(tmp_path / "texts"))
+    assert {r["status"] for r in found if "status" in r} == {"orphan_text", "owned_paths"} and found[-1]["first"][0]["record_id"] == "REC_2025_1"
+    assert run(capsys, "set_field", "--root", root, "--ids", "REC_2025_1", "--field", "category", "--value", "Tax") == [{"patched": 1}]
+    assert run(capsys, "schedule", "--root", root, "--pages", str(tmp_path / "pages"), "--rounds", "0") == [{"runs": 0}]
 
 
 def test_migrate_and_audit(spark, tmp_path, capsys):
@@ -37,5 +46,21 @@ def test_migrate_and_audit(spark, tmp_path, capsys):
     (tmp_path / "old.json").write_text(json.dumps([{"id": i, "year": 2020, "serial_no": 1, "local_pdf_path": f"C:\\x\\{i}.pdf"} for i in "abc"]))
     counts = {r["outcome"]: r["count"] for r in run(capsys, "migrate", "--root", root, "--legacy", str(tmp_path / "old.json"), "--files", str(files))}
     assert counts == {"kept": 2, "cleared": 1}
-    actions = run(capsys, "audit", "--root", root, "--files", str(files))
-    assert [(r["id"], r["action"][:6]) for r in actions] == [("b", "DELETE")]
+    (tmp_path / "texts" / "judgment_pdf").mkdir(parents=True)
+    for i in "abc":
+        (tmp_path / "texts" / "judgment_pdf" / f"{i}.md").write_text("text")
+    audit = ("audit", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts"))
+    *actions, total = run(capsys, *audit)
+    assert [(r["id"], r["action"][:14]) for r in actions] == [("b", "DELETE + CLEAR"), ("c", "DELETE orphane")]
+    assert total == {"checked": 3, "findings": 2, "cleared": 1, "repaired": False} and (files / "b.pdf").exists()
+    run(capsys, *audit, "--repair")
+    assert not (files / "b.pdf").exists() and (files / "a.pdf").exists() and not (tmp_path / "texts" / "judgment_pdf" / "c.md").exists()
+    assert [(r["id"], r["action"][:14]) for r in run(capsys, *audit)[:-1]] == [("b", "DELETE orphane")]  # its file is gone only now
+    counts = {r["status"]: r["count"] for r in run(capsys, "reconcile", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts")) if "status" in r}
+    assert counts == {"consistent": 1, "orphan_text": 1, "owned_paths": 1}
+    assert run(capsys, "convert", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts")) == []
+    os.utime(files / "a.pdf", (2e9, 2e9))
+    assert [r["record_id"] for r in run(capsys, "convert", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts"))] == ["a"]
+    (tmp_path / "bad.json").write_text(json.dumps({"id": "x"}))
+    with pytest.raises(ValueError):
+        main(["migrate", "--root", root, "--legacy", str(tmp_path / "bad.json"), "--files", str(files)])

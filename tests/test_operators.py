@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import audit, chunking, incremental, migrate, retrieval, summary, upsert
@@ -173,3 +174,38 @@ def test_sorted_rank(spark):
     df = spark.range(500).select((F.col("id") * 37 % 101).alias("k"), "id")
     got = [r["rank"] for r in summary.sorted_rank(df, ["k", "id"], 7).orderBy("k", "id").collect()]
     assert got == list(range(1, 501))
+
+
+def test_ranks_of_many_rows_with_a_payload(spark):
+    n = 1_000_000
+    df = spark.range(n).select((F.hash("id") % 1000).alias("k"), "id", F.concat(F.lit("payload "), F.col("id").cast("string")).alias("text"))
+    got = summary.sorted_rank(df, ["k", "id"], 16)
+    row = got.agg(F.count_distinct("rank").alias("n"), F.min("rank").alias("least"), F.max("rank").alias("most")).head()
+    assert tuple(row) == (n, 1, n)
+    # Ranks follow the order: every row's successor in rank is greater.
+    w = Window.partitionBy((F.col("rank") / 1000).cast("int")).orderBy("rank")
+    assert got.withColumn("next", F.lead(F.struct("k", "id")).over(w)).where(F.struct("k", "id") > F.col("next")).count() == 0
+    assert got.where(F.col("text") != F.concat(F.lit("payload "), F.col("id").cast("string"))).count() == 0
+
+
+def test_many_blocks_of_questions_are_stored(spark, monkeypatch):
+    v = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.cos("id"), F.sin("id")).cast("array<float>").alias("embedding"))
+    q = v.limit(9).select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("question_embedding"))
+    whole = sorted(map(tuple, retrieval.top_k_batch(v, q, 3).collect()))
+    monkeypatch.setattr(retrieval, "BROADCAST_QUESTIONS", 1)
+    monkeypatch.setattr(retrieval, "BLOCKS_A_PLAN", 4)
+    assert sorted(map(tuple, retrieval.top_k_batch(v, q, 3).collect())) == whole
+
+
+def test_ranges_follow_the_hottest_key(spark, monkeypatch):
+    feed = spark.range(100).select(F.when(F.col("id") < 70, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    monkeypatch.setattr(upsert, "ROWS_A_RANGE", 20)
+    assert upsert.ranges_of(feed, "k") == 4 and upsert.ranges_of(feed.where("false"), "k") == 1
+
+
+def test_windows_are_counted(spark):
+    for n in (0, 1, 320, 321, 700):
+        w = F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: i.cast("string"))
+        w = F.slice(w, 1, n) if n else F.array().cast("array<string>")
+        row = spark.range(1).select(chunking.window_count(w, 380, 60).alias("n"), F.size(chunking.windows(w, 380, 60)).alias("m")).head()
+        assert row.n == row.m

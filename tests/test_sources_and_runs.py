@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import urllib.error
 
 import pytest
@@ -6,9 +7,12 @@ from pyspark.sql import functions as F
 
 from corpusloom import embedding
 from corpusloom.config import Settings
+from corpusloom.logs import setup_logging
+from corpusloom.plans import schedule, scrape
 from corpusloom.plans.pipeline import answer, ingest, retrieve
 from corpusloom.schemas import CHUNK, RECORD, STATE
-from corpusloom.sources import files, html
+from corpusloom.sources import downloads, files, html
+from corpusloom.sources.client import Client
 from corpusloom.sources.listing_source import RobotsGate, fetch
 from corpusloom.sources.store import Locked, SnapshotStore
 from corpusloom.streaming.ingest import upsert_stream
@@ -113,6 +117,9 @@ def test_fetch_retries_and_robots():
     assert not gate.allows("http://h/no/1") and gate.allows("http://h/yes") and gate.delay(3.0) == 9.0
 
 
+COUNTERS = dict.fromkeys(("records_seen", "metadata_ingested", "judgment_pdf_ingested", "sc_judgment_pdf_ingested", "gdrive_uploaded", "unchanged", "errors"), 0)
+
+
 def records_and_texts(spark):
     r = {f.name: None for f in RECORD} | {"schema_version": 2, "year": 2025, "serial_no": 1}
     rows = [r | {"id": "A", "case_info": "tax appeal", "content_hash": "h1", "judgment_pdf_sha256": "s1"}, r | {"id": "B", "case_info": "land dispute", "content_hash": "h2"}]
@@ -129,9 +136,9 @@ def test_ingest_is_idempotent_and_retrieves(spark, tmp_path):
     out["index"].write.parquet(str(tmp_path / "i"))
     out["state"].write.parquet(str(tmp_path / "s"))
     index, state = spark.read.parquet(str(tmp_path / "i")), spark.read.parquet(str(tmp_path / "s"))
-    assert tuple(out["stats"].head()) == (2, 0) and index.where("chunk_type = 'metadata'").count() == 2 and index.count() == 5
+    assert out["stats"].head().asDict() == COUNTERS | {"records_seen": 2, "metadata_ingested": 2, "judgment_pdf_ingested": 1} and index.where("chunk_type = 'metadata'").count() == 2 and index.count() == 5
     again = ingest(records, texts, index, state, F.lit(dt.datetime(2025, 1, 2)))
-    assert again["fresh"].count() == 0 and tuple(again["stats"].head()) == (0, 2)
+    assert again["fresh"].count() == 0 and again["stats"].head().asDict() == COUNTERS | {"records_seen": 2, "unchanged": 2}
     assert sorted(map(str, again["index"].collect())) == sorted(map(str, index.collect()))
     assert sorted(map(tuple, again["state"].collect())) == sorted(map(tuple, state.collect()))
     # A shorter document leaves no trailing chunks.
@@ -148,6 +155,40 @@ def test_ingest_is_idempotent_and_retrieves(spark, tmp_path):
         retrieve(index, records, "")
 
 
+def test_a_document_that_failed_is_tried_again(spark, tmp_path):
+    records, texts = records_and_texts(spark)
+    index = spark.createDataFrame([], CHUNK + ", embedding array<float>, ingested_at timestamp")
+    state = spark.createDataFrame([], STATE)
+
+    def run(k, records, texts, index, state, **more):
+        out = ingest(records, texts, index, state, F.lit(dt.datetime(2025, 1, k)), **more)
+        for name in ("index", "state", "records"):
+            out[name].write.parquet(str(tmp_path / f"{name}{k}"))
+        return *(spark.read.parquet(str(tmp_path / f"{n}{k}")) for n in ("index", "state", "records")), out["stats"].head().asDict()
+
+    # No text yet: the card goes in, the document stays pending. Then a failed conversion, then a good one.
+    index, state, _, stats = run(1, records, texts.where("false"), index, state)
+    assert stats == COUNTERS | {"records_seen": 2, "metadata_ingested": 2}
+    assert {r.id: (r.content_hash, r.judgment_pdf_sha256) for r in state.collect()} == {"A": ("h1", None), "B": ("h2", None)}
+    failed = texts.withColumns({"text": F.lit(None).cast("string"), "error": F.lit("broken")})
+    index, state, _, stats = run(2, records, failed, index, state)
+    assert stats == COUNTERS | {"records_seen": 2, "unchanged": 1, "errors": 1} and index.count() == 2
+    index, state, _, stats = run(3, records, texts, index, state)
+    assert stats == COUNTERS | {"records_seen": 2, "judgment_pdf_ingested": 1, "unchanged": 1} and index.count() == 5
+    assert [(r.judgment_pdf_sha256, r.judgment_chunk_count) for r in state.orderBy("id").collect()] == [("s1", 3), (None, None)]
+    # A second document that comes late is one more piece; links are new once; a document that is gone leaves only if asked.
+    late = records.withColumn("sc_judgment_pdf_sha256", F.when(F.col("id") == "A", "s9"))
+    links = spark.createDataFrame([("s1", "http://h/s1")], "sha256 string, view_url string")
+    more = texts.union(spark.createDataFrame([("A", "sc_judgment_pdf", "upheld")], texts.schema))
+    index, state, linked, stats = run(4, late, more, index, state, links=links)
+    assert stats == COUNTERS | {"records_seen": 2, "sc_judgment_pdf_ingested": 1, "gdrive_uploaded": 1, "unchanged": 1}
+    assert index.count() == 6 and linked.where("judgment_gdrive_view_url = 'http://h/s1'").count() == 1
+    *_, stats = run(5, linked, more, index, state, links=links)
+    assert stats == COUNTERS | {"records_seen": 2, "unchanged": 2}
+    gone = records.withColumn("judgment_pdf_sha256", F.lit(None).cast("string"))
+    assert run(6, gone, more, index, state)[0].count() == 6 and run(7, gone, more, index, state, tombstones=True)[0].count() == 2
+
+
 def test_stream_equals_batch_and_replays(spark, tmp_path):
     from corpusloom.operators.upsert import snapshot
 
@@ -189,3 +230,148 @@ def test_settings(monkeypatch):
     monkeypatch.setenv("CORPUSLOOM_CHUNK_WORDS", "100")
     s = Settings.from_env()
     assert s.chunk_words == 100 and s.overlap_words == 60 and 2026 in s.years
+
+
+def test_a_serial_that_no_int_holds(spark):
+    cells = "<td>99999999999</td>" + "<td>x</td>" * 8
+    rows = html.listing_records(spark.createDataFrame([(2020, f"<table id=employee_list><tr>{cells}</tr></table>")], "year int, html string")).collect()
+    assert [(r.id, r.serial_no) for r in rows] == [("REC_2020_99999999999", None)]
+
+
+class Body:
+    """A response whose body may break off."""
+
+    def __init__(self, *blocks):
+        self.blocks = list(blocks)
+
+    def read(self, n=None):
+        block = self.blocks.pop(0) if self.blocks else b""
+        if isinstance(block, Exception):
+            raise block
+        return block
+
+    def close(self):
+        pass
+
+    __enter__ = lambda self: self
+    __exit__ = lambda self, *_: None
+
+
+class Site:
+    """Answers by URL, in order; robots.txt is empty. Keeps when it was asked for what."""
+
+    def __init__(self, answers):
+        self.answers, self.asked, self.now = answers, [], 0.0
+
+    def open(self, request, timeout):
+        url = request if isinstance(request, str) else request.full_url
+        if url.endswith("robots.txt"):
+            return Body(b"")
+        self.asked.append((self.now, url))
+        got = self.answers[url].pop(0)
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    def sleep(self, s):
+        self.now += s
+
+    def client(self, **more):
+        return Client("http://h/", opener=self.open, sleep=self.sleep, clock=lambda: self.now, jitter=0.0, **more)
+
+
+def test_client_spaces_retries_and_gives_up():
+    down, gone = urllib.error.HTTPError("u", 503, "", {}, None), urllib.error.HTTPError("u", 404, "", {}, None)
+    site = Site({"http://h/a": [down, Body(b"x")], "http://h/b": [gone, Body(b"never")], "http://h/c": [down] * 2, "http://h/": [Body(b"")]})
+    c = site.client(retries=2)
+    assert c.warm_up() and c.read("http://h/a") == b"x" and c.read("http://h/b") is None and c.read("http://h/c", {"y": 1}) is None
+    times = [t for t, _ in site.asked]
+    assert len(times) == 6 and all(b - a >= 3.0 for a, b in zip(times, times[1:]))
+
+
+def test_downloads_are_whole_or_not_there(tmp_path):
+    pdf = b"junk %PDF-1.4 body"
+    site = Site({"http://h/1": [Body(pdf[:9], OSError("reset")), Body(pdf[:9], pdf[9:])], "http://h/2": [Body(b"<html>")], "http://h/3": [Body(OSError("reset")) for _ in range(4)], "http://h/4": []})
+    c = site.client()
+    path = lambda k: str(tmp_path / "d" / f"{k}.pdf")
+    sha = hashlib.sha256(pdf).hexdigest()
+    assert downloads.download(c, "http://h/1", path(1), site.sleep) == (sha, None) and (tmp_path / "d" / "1.pdf").read_bytes() == pdf
+    assert downloads.download(c, "http://h/2", path(2), site.sleep) == (None, "not a PDF")
+    assert downloads.download(c, "http://h/3", path(3), site.sleep) == (None, "OSError: reset")
+    assert downloads.download(c, "http://h/1", path(1), site.sleep) == (sha, None)  # not asked again: it has no more answers
+    (tmp_path / "d" / "4.pdf").write_bytes(b"")
+    site.answers["http://h/4"] = [Body(pdf)]
+    assert downloads.download(c, "http://h/4", path(4), site.sleep) == (sha, None)
+    assert sorted(p.name for p in (tmp_path / "d").iterdir()) == ["1.pdf", "4.pdf"]
+
+
+def stub_client(url):
+    return Site({f"http://h/{n}.pdf": [Body(b"%PDF- " + n.encode())] for n in "ab"} | {"http://g/x.pdf": [Body(b"no")]}).client()
+
+
+def test_documents_of_a_listing(spark, tmp_path):
+    records, _ = records_and_texts(spark)
+    owned = records.where("id = 'B'").withColumn("judgment_local_pdf_path", F.lit("judgments/a.pdf"))
+    rows = records.where("id = 'A'").withColumns({"judgment_pdf_url": F.lit("http://h/a.pdf"), "sc_judgment_pdf_url": F.lit("http://g/x.pdf")})
+    wanted = scrape.wanted_documents(rows, owned)
+    assert {(r.kind, r.path) for r in wanted.collect()} == {("judgment_pdf", "judgments/A__a.pdf"), ("sc_judgment_pdf", "sc_judgments/x.pdf")}
+    got = downloads.downloaded(wanted, str(tmp_path), stub_client, pause=0).collect()
+    sha = hashlib.sha256(b"%PDF- a").hexdigest()
+    assert {tuple(r) for r in got} == {("A", "judgment_pdf", "judgments/A__a.pdf", sha, None), ("A", "sc_judgment_pdf", None, None, "not a PDF")}
+    assert (tmp_path / "judgments" / "A__a.pdf").exists() and not (tmp_path / "sc_judgments" / "x.pdf").exists()
+
+
+def test_scrape_commits_year_by_year(spark, tmp_path):
+    store = SnapshotStore(spark, f"file://{tmp_path}/records", RECORD)
+    page = lambda html: spark.createDataFrame([(2025, html)], "year int, html string")
+    fetch = lambda wanted: wanted.select("record_id", "kind", "path", F.when(F.col("path").contains("foo"), "sha").alias("sha256"), F.lit(None).cast("string").alias("error"))
+    one = scrape.scrape_year(page(ONE), 2025, store, F.lit(dt.datetime(2025, 1, 1)), fetch=fetch)
+    assert (one["parsed"], one["inserted"], one["pdf_ok"], one["pdf_failed"], one["sc_pdf_failed"], one["failed"]) == (2, 2, 1, 1, 1, False)
+    again = scrape.scrape_year(page(ONE.replace("Vs B", "Vs C")), 2025, store, F.lit(dt.datetime(2025, 1, 2)))
+    assert (again["updated"], again["unchanged"]) == (1, 1)
+    r = store.read().where("id = 'REC_2025_1'").head()
+    assert (r.judgment_local_pdf_path, r.judgment_pdf_sha256, r.case_info) == ("judgments/foo.pdf", "sha", "W.P 1 A Vs C")
+    assert scrape.scrape_year(page(None), 2025, store, F.lit(dt.datetime(2025, 1, 3)))["failed"] and store.read().count() == 2
+
+
+def test_files_written_and_published(spark, tmp_path):
+    texts = spark.createDataFrame([("A", "judgment_pdf", "t\u00e9xt"), ("B", "judgment_pdf", None)], "record_id string, kind string, text string")
+    assert downloads.write_texts(texts, str(tmp_path)).count() == 1 and (tmp_path / "judgment_pdf" / "A.md").read_text() == "t\u00e9xt"
+    copies = spark.createDataFrame([("s", b"x"), ("s", b"x"), ("t", b"y")], "sha256 string, content binary")
+    assert downloads.publish_copies(copies, str(tmp_path / "pub")).count() == 2 and (tmp_path / "pub" / "t").read_bytes() == b"y"
+    assert {(r.record_id, r.kind) for r in files.text_listing(spark, str(tmp_path / "judgment_pdf")).collect()} == {("A", "judgment_pdf")}
+
+
+def test_broken_store_is_set_aside(spark, tmp_path):
+    for k, bad in enumerate(("{not valid json", '{"id": "a"}', "", "[{]")):
+        path = tmp_path / f"r{k}.json"
+        path.write_text(bad)
+        assert files.read_records_or_quarantine(spark, str(path), RECORD).count() == 0
+        assert not path.exists() and len(list(tmp_path.glob(f"r{k}.json.corrupt-*"))) == 1
+    assert files.read_records_or_quarantine(spark, str(tmp_path / "none.json"), RECORD).count() == 0
+    (tmp_path / "ok.json").write_text('[{"id": "a"}]')
+    assert files.read_records_or_quarantine(spark, str(tmp_path / "ok.json"), RECORD).count() == 1
+
+
+def test_log_goes_to_file_and_console(tmp_path, capsys):
+    logger = setup_logging(str(tmp_path), "corpusloom-test")
+    assert setup_logging(str(tmp_path), "corpusloom-test") is logger and len(logger.handlers) == 2
+    logger.info("hello")
+    assert "hello" in (tmp_path / "corpusloom-test.log").read_text()
+
+
+def test_daily_schedule():
+    at = lambda d, h, m=0: dt.datetime(2025, 1, d, h, m, tzinfo=dt.timezone.utc)
+    assert schedule.is_due(at(2, 2, 5), at(1, 2), 2, 0) and not schedule.is_due(at(2, 2, 5), at(2, 2), 2, 0)
+    assert not schedule.is_due(at(2, 3, 1), at(1, 2), 2, 0)  # beyond the grace: the next day
+    assert schedule.is_due(at(9, 2, 59), at(1, 2), 2, 0)  # several missed slots are one run
+    clock, ran = [at(1, 1)], []
+
+    def job():
+        ran.append(clock[0])
+        raise RuntimeError("logged, not raised")
+
+    def sleep(s):
+        clock[0] += dt.timedelta(seconds=s)
+
+    assert schedule.run_daily(job, 2, 0, lambda: clock[0], sleep, rounds=50, check_s=3600) == 3 and [t.hour for t in ran] == [2, 2, 2]
