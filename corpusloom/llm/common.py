@@ -5,85 +5,20 @@ from __future__ import annotations
 import ctypes
 import gc
 import re
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import discard, shared_dir, stored, tidy
+
+__all__ = ["WORD", "WORD_SQL", "crc_mod", "discard", "release", "shared_dir", "shuffle_partitions", "small_batches", "stored", "table", "tidy"]
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD = re.compile("[^\x20\x09-\x0d]+")
 #: The same as a Java / RE2 pattern, for expressions.
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir.
-
-    Only a local master, whose executors are threads of the driver, gets a folder of our own where none is named.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    given = sc._jsc.sc().getCheckpointDir()
-    if given.isEmpty():
-        if not re.match(r"local(\[|\Z)", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-        given = sc._jsc.sc().getCheckpointDir()
-    return given.get()
-
-
-def _file_system(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back: its lineage is cut, and lost executors cost nothing.
-
-    rows: about how many rows it has, if that is known; few rows are not spread over many files. What nobody needs any more is given to
-    `discard`; the rest goes when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
-    if rows is not None and rows < shuffle_partitions(spark) * ROWS_A_FILE:
-        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
-    df.write.parquet(path)
-    at, fs = _file_system(spark, path)
-    fs.deleteOnExit(at)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
-
-
-#: Rows of a stored table below which another file is not worth it.
-ROWS_A_FILE = 50_000
-
-
-def discard(*tables: DataFrame) -> None:
-    """Remove tables that `stored` wrote and that no plan reads any more."""
-    for df in tables:
-        at, fs = _file_system(df.sparkSession, df._stored_at)
-        fs.delete(at, True)
-        fs.cancelDeleteOnExit(at)
-
-
-@contextmanager
-def tidy(spark: SparkSession) -> Iterator[None]:
-    """While an operator runs its own jobs, their shuffle files go as soon as each job has written its result."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, discard, stored, tidy
+from ..operators.summary import sorted_rank
+from ..sources.scratch import ROWS_A_FILE
+from .common import WORD_SQL, discard, shuffle_partitions, stored, tidy
 
 #: Bits of the 60-bit hash that each level of the histogram looks at.
 LEVELS = (10, 14, 36)
@@ -29,25 +31,27 @@ def doc_hash(id_col: str):
 def source_targets(totals: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
     """(source, source_size) → the same with target: water level times weight, at most `most` times the size.
 
-    Sources in code-point order, null last, weigh weights[0], weights[1], ... repeating. The level at which
-    the targets sum to share × all sizes is found by one running sum over the sources in order of
-    capacity per weight: that equals resharing the excess by weight until no source is above its cap.
-    The window holds one row per source.
+    Sources in code-point order, null last, weigh weights[0], weights[1], ... repeating. The level at which the targets sum to share × all
+    sizes is found by rounds: sources that the level lifts above their cap get the cap, and the others share the rest by weight. A
+    round is one aggregate over the sources, which sends three numbers; their order comes from range partitions. So any number of sources will do.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    w = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    t = totals.withColumn("w", w.cast("long")).withColumn("cap", F.col("source_size") * most)
-    up = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").isNull(), "source")
-    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = t.withColumns({
-        "capped": F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)),
-        "open_w": F.sum("w").over(up.rowsBetween(0, Window.unboundedFollowing)),
-        "total": F.sum("source_size").over(every),
-    })
-    level = (F.lit(share) * F.col("total") - F.coalesce("capped", F.lit(0))) / F.col("open_w")
-    #: Sources below their cap share one level: that of the first one, in this order, whose share fits under its cap.
-    first = F.min(F.when(level * F.col("w") <= F.col("cap"), F.struct((F.col("cap") / F.col("w")).alias("r"), level.alias("level")))).over(every)
-    return t.withColumn("level", first["level"]).select("source", "source_size", F.least(F.col("cap").cast("double"), F.coalesce(F.col("level") * F.col("w"), F.col("cap").cast("double"))).alias("target"))
+    parts = max(1, min(shuffle_partitions(totals.sparkSession), totals.count() // ROWS_A_FILE))
+    ranked = sorted_rank(totals.withColumn("last", F.col("source").isNull()), ["last", "source"], parts)
+    w = F.element_at(F.array(*(F.lit(x).cast("long") for x in weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
+    t = stored(ranked.select("source", "source_size", w.alias("w"), (F.col("source_size") * most).alias("cap")), "mix-weights")
+    level, n_capped = None, 0
+    while True:
+        capped = F.lit(False) if level is None else F.lit(level) * F.col("w") > F.col("cap")
+        row = t.agg(
+            F.sum("source_size").alias("total"), F.sum(F.when(capped, F.col("cap")).otherwise(0)).alias("capped"),
+            F.sum(F.when(capped, 0).otherwise(F.col("w"))).alias("open"), F.count_if(capped).alias("n"),
+        ).head()
+        if level is not None and (row["n"] == n_capped or not row["open"]):
+            break
+        n_capped = row["n"]
+        level = (share * (row["total"] or 0) - row["capped"]) / row["open"] if row["open"] else 0.0
+    target = F.least(F.col("cap").cast("double"), F.lit(level) * F.col("w")) if row["open"] else F.col("cap").cast("double")
+    return t.select("source", "source_size", target.alias("target"))
 
 
 def mix(
