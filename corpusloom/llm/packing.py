@@ -9,6 +9,7 @@ cut into sequences whose lengths are powers of two, so that nothing is padded.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -39,11 +40,32 @@ _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_NAMES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 
 
+#: The settings of a tokenizer file for which that holds (fixed values).
+_KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+
+
+def _is_known(settings: dict) -> bool:
+    """May texts be cut by _PARTS? Only for the settings above, and if every added token begins as special ones do."""
+    return all(settings.get(k) == v for k, v in _KNOWN.items()) and settings["model"].get("dropout") is None and all(t["content"].startswith("<|") for t in settings["added_tokens"])
+
+
 class PartIds(dict):
     """ids of the parts of texts, as little-endian unsigned 32-bit bytes.
 
-    A text of printable characters below U+0180 is cut into parts, whose merges are kept; any other text is left
-    to the tokenizer itself, as is one that may hold a special token.
+    With a tokenizer file of known settings a text of printable characters below U+0180 is cut into parts, whose merges are kept; any other
+    text is left to the tokenizer itself, as is one that may hold a special token, and as are all with any other file.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -51,6 +73,7 @@ class PartIds(dict):
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.merge = self.tokenizer.model.tokenize
+        self.known = _is_known(json.loads(self.tokenizer.to_str()))
 
     def __missing__(self, part: str) -> bytes:
         named = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_NAMES)
@@ -60,7 +83,7 @@ class PartIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _PLAIN.match(text) and "<|" not in text:
+        if self.known and _PLAIN.match(text) and "<|" not in text:
             return b"".join(map(self.__getitem__, _PARTS.findall(text.lower())))
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
