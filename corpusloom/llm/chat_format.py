@@ -62,8 +62,8 @@ def read_back(output: str) -> list[Turn]:
 PROBE = "\ue000\ue001\ue000"
 
 
-def render(turns: list[Turn], template: Template = marked_turns) -> tuple[str, list[tuple[int, int]], list[tuple[int, int]], bool]:
-    """(output, spans of the turns, spans of their texts, whether the template rewrites history)."""
+def render(turns: list[Turn], template: Template = marked_turns) -> tuple[str, list[tuple[int, int]], list[tuple[int, int] | None], bool]:
+    """(output, spans of the turns, spans of their texts, whether the template rewrites history). A text that the template does not show has no span."""
     output, ends, rewritten = template([]), [], False
     first = len(output)
     for k in range(1, len(turns) + 1):
@@ -89,9 +89,11 @@ def render(turns: list[Turn], template: Template = marked_turns) -> tuple[str, l
             if added.find(PROBE) < 0 or a < a0 or b < a:  # the turn looks otherwise without what stands before it
                 probed = template([*turns[:k], (role, PROBE)])
                 a, b = probed.find(PROBE), b0 - (len(probed) - probed.find(PROBE) - len(PROBE))
-        texts.append((a, b) if 0 <= a <= b else (0, 0))
+        texts.append((a, b) if PROBE in probed and 0 <= a <= b else None)
     if rewritten:
-        edges = [a for a, _ in texts] + [len(output)]
+        edges = [len(output)]
+        for own in reversed(texts):  # a turn whose text is not shown is empty
+            edges.insert(0, own[0] if own else edges[0])
         spans = [(edges[k] if k else 0, edges[k + 1]) for k in range(len(turns))]
     return output, spans, texts, rewritten
 
@@ -100,11 +102,11 @@ def format_conversations(
     rows: DataFrame, template: Template = marked_turns, learn_role: str = "assistant",
     id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
 ) -> DataFrame:
-    """rows of turns → id, n_turns, formatted, loss_spans (code points, end exclusive), rewritten.
+    """rows of turns → id, n_turns, formatted, loss_spans (code points, end exclusive), rewritten, n_hidden.
 
     One row per conversation. Turns are in order of turn, then role and text (nulls first and as empty strings), so that
     ties have one order; rows without an id form one conversation. Other columns are not read. The loss mask
-    covers the texts of `learn_role`. An empty table gives no rows.
+    covers the texts of `learn_role`; n_hidden counts those that the template does not show, which no span can cover. An empty table gives no rows.
 
     Rows are shuffled by id once and sorted within partitions; a task streams over its rows and holds one conversation
     at a time, the unit that is rendered. Prefixes make this quadratic in the turns of one conversation, not in the table.
@@ -126,13 +128,14 @@ def format_conversations(
             cols = list(zip(*out))
             out.clear()
             spans = pa.array([[{"start": a, "end": b} for a, b in own] for own in cols[3]], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), spans, pa.array(cols[4], pa.bool_())], names=[id_col, "n_turns", "formatted", "loss_spans", "rewritten"])
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), spans, pa.array(cols[4], pa.bool_()), pa.array(cols[5], pa.int64())], names=[id_col, "n_turns", "formatted", "loss_spans", "rewritten", "n_hidden"])
 
         out, size = [], 0
         for conv, own in groupby(stream(), key=lambda x: x[0]):
             turns = [(r, t) for _, r, t in own]
             output, _, texts, rewritten = render(turns, template)
-            out.append((conv, len(turns), output, [s for s, (role, _) in zip(texts, turns) if role == learn_role], rewritten))
+            own_texts = [s for s, (role, _) in zip(texts, turns) if role == learn_role]
+            out.append((conv, len(turns), output, [s for s in own_texts if s], rewritten, own_texts.count(None)))
             size += len(output)
             if len(out) >= 1000 or size > 4_000_000:
                 yield batch()
@@ -140,7 +143,7 @@ def format_conversations(
         if out:
             yield batch()
 
-    return need.mapInArrow(run, f"`{id_col}` {id_type}, n_turns long, formatted string, loss_spans array<struct<start: long, end: long>>, rewritten boolean")
+    return need.mapInArrow(run, f"`{id_col}` {id_type}, n_turns long, formatted string, loss_spans array<struct<start: long, end: long>>, rewritten boolean, n_hidden long")
 
 
 def digests(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
