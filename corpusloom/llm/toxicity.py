@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, small_batches, stored
+from .common import WORD, discard, shuffle_partitions, small_batches, stored, tidy
 
 #: Letters that a written character may stand for (fixed values).
 LEET = {
@@ -42,8 +42,8 @@ _SPACED = re.compile(r"(?<!\S)\S(?:[ \t\r\n\f\v]+\S(?!\S)){2,}")
 _JOINT = re.compile(r"[,;:/\\]")
 _DOT = re.compile(r"[._~\-]")
 SYMBOLS = 28  # 0: not a letter, 1-26: a-z without accents, 27: another letter
-#: Bounds: labelled documents that are used (least hash first), and features of the model.
-SAMPLE_DOCS, FEATURES = 20_000, 20_000
+#: Labelled documents that are used (least hash first). They bound the features too.
+SAMPLE_DOCS = 20_000
 CACHED = 300_000
 
 
@@ -263,8 +263,10 @@ def _odds(sample: DataFrame, min_docs: int = 3, min_odds: float = 2.5) -> dict[s
             yield rows()
 
     sums = sample.select("text", "toxic").mapInArrow(run, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    sums = stored(sums, "toxicity-features")
     every = sums.where(F.col("feature") == "").head()
     if not every or not every["pos"] or not every["neg"]:
+        discard(sums)
         return {}
     odds = F.log((F.col("pos") + 0.5) / (every["pos"] + 1)) - F.log((F.col("neg") + 0.5) / (every["neg"] + 1))
     n_docs = every["pos"] + every["neg"]
@@ -276,7 +278,8 @@ def _odds(sample: DataFrame, min_docs: int = 3, min_odds: float = 2.5) -> dict[s
     ratio = sum((part(F.col(c), seen, every[c]) + part(every[c] - F.col(c), n_docs - seen, every[c]) for c in ("pos", "neg")), F.lit(0.0))
     clear = (F.col("pos") >= min_docs) & (ratio >= math.log(n_docs))
     got = sums.where((F.col("feature") != "") & clear).withColumn("odds", odds).where(F.col("odds") >= min_odds)
-    rows = got.orderBy(F.desc(F.col("odds") * F.col("pos")), "feature").limit(FEATURES).collect()
+    rows = got.collect()
+    discard(sums)
     most: dict[str, int] = {}  # of a beginning: the documents of its most frequent word
     for r in rows:
         if not r["feature"].startswith("^"):
@@ -302,11 +305,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from the given labels (rows with a null id or label are ignored; several of one id count as their greatest).
 
     The character model counts all documents; the classifier sees at most SAMPLE_DOCS labelled documents, those
-    whose ids have the least hashes, and without any toxic or any other label scores all alike.
+    whose ids have the least hashes; where not both labels occur, it scores all alike by their rate (no label: 0).
     """
+    with tidy(docs.sparkSession):
+        return _fitted(docs, labels, id_col, text_col, toxic_col)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str) -> Model:
     known = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(toxic_col) != 0).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
-    sample = stored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id"), "toxicity-sample")
+    sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "_id")
+    sample = stored(sample.repartition(shuffle_partitions(docs.sparkSession), "_id"), "toxicity-sample")
     odds = _odds(sample)
     own = trigram_counts([" ".join(f.lstrip("^") for f in odds)]).astype(float)
     corpus, lexicon = log_probs(corpus_counts(docs, text_col)), log_probs(own * 20)
@@ -321,8 +330,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
     got = sample.select("text", "toxic").mapInArrow(run, "x double, y double, z double, toxic int").toArrow()
     y = got.column("toxic").to_numpy().astype(float)
-    if len(y) and 0 < y.sum() < len(y):
+    discard(sample)
+    if 0 < y.sum() < len(y):
         model.weights = _logistic(np.column_stack([got.column(k).to_numpy() for k in "xyz"]), y)
+    else:
+        rate = min(max(y.sum() / (len(y) + 1), 1e-6), 1 - 1e-6)
+        model.weights = (math.log(rate / (1 - rate)), 0.0, 0.0, 0.0)
     return model
 
 
