@@ -154,6 +154,21 @@ def test_near_duplicates(spark):
     assert run_lattice(spark, []) == {}
 
 
+def test_repeated_and_null_ids_of_vectors(spark):
+    rows = [(3, [1.0, 0.0]), (3, [1.0, 0.01]), (None, [0.99, 0.0]), (5, [0.0, 1.0]), (5, [0.0, 1.0]), (None, None), (7, [2.0, 0.1]), (None, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice_dedup.near_duplicates(df).collect() if r.vec_id is not None)
+    assert got == [(3, 3, 3, True), (3, 3, 3, True), (5, 1, 5, True), (5, 1, 5, True), (7, 3, 3, False)]
+    null = sorted(((r.n_links, r.component_id, r.kept) for r in lattice_dedup.near_duplicates(df).collect() if r.vec_id is None), key=repr)
+    assert null == [(0, None, False), (0, None, False), (3, 3, False)]
+
+
+def test_groups_of_pairs_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lattice_dedup, "GROUP", 50)
+    monkeypatch.setattr(lattice_dedup, "PARTNERS", 3)
+    test_near_duplicates(spark)
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 64))
@@ -219,8 +234,8 @@ def test_pages_without_an_article(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("z") for c in ("id", "host", "part", "zones", "texts", "text", "h")})
     got = sorted(((r.page_id, r.text, r.n_chars) for r in html_text.extract(df).collect()), key=repr)
     text = lambda i: f"unique story number {i} about thing {i * 7} that is told once only"
-    # Page 4 is there twice: each of the two repeats the other.
-    want = [(i, text(i), len(text(i))) for i in range(10) if i != 4] + [(4, "", 0)] * 2 + [(20, "alone", 5), (21, "", 0), (21, "", 0), (None, "y", 1)]
+    # Page 4 is there twice: copies have their story each, though it stands on two pages.
+    want = [(i, text(i), len(text(i))) for i in [*range(10), 4]] + [(20, "alone", 5), (21, "", 0), (21, "", 0), (None, "y", 1)]
     assert got == sorted(want, key=repr)
     assert html_text.extract(df.where("false")).count() == 0
 
@@ -235,6 +250,23 @@ def test_runs_are_found_across_the_groups_of_a_host(spark, monkeypatch, pages):
     assert sorted((r.page_id, r.text) for r in got) == [(i, story(i)) for i in range(40)]
 
 
+@pytest.mark.parametrize("pages", [4, 64])
+def test_copies_of_a_page_keep_their_text(spark, monkeypatch, pages):
+    monkeypatch.setattr(html_text, "PAGES", pages)
+    story = lambda i: f"unique story number {i} about thing {i * 7} that is told once only"
+    foot = "Copyright of this site and all of its many friendly authors 2024"
+    rows = [(100 * c + i, f"http://h.example/{c}", f"<div>{story(i)}</div><div>{foot}</div>") for i in range(12) for c in range(3)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted((100 * c + i, story(i)) for i in range(12) for c in range(3))
+
+
+def test_names_of_elements():
+    for name in ("share-buttons", "cookieNotice", "ad", "ad-slot-3", "sidebar left", "nav_bar", "newsletter-signup", "col-2 related-posts", "comments"):
+        assert html_text._names(name, html_text._SIGNS), name
+    for name in ("market-share", "legal-notice-analysis", "lead", "shareholders", "article-body", "social-policy", "search-for-truth", "widgetry", "box"):
+        assert not html_text._names(name, html_text._OUTER_SIGNS), name
+
+
 @pytest.mark.parametrize("pages", [4, 64])
 def test_open_blocks_beside_an_article_and_notices_in_main(spark, monkeypatch, pages):
     monkeypatch.setattr(html_text, "PAGES", pages)
@@ -251,6 +283,60 @@ def test_open_blocks_beside_an_article_and_notices_in_main(spark, monkeypatch, p
     assert [got[i] for i in (40, 41, 50)] == [f"{story(99)}\n{story(40)}", f"{story(99)}\n{story(41)}", notice]
 
 
+def brute_pages(hosts):
+    """The rule for pages given as blocks, said again: host → {page: blocks} gives page → text."""
+    out = {}
+    for pages in hosts.values():
+        streams = {i: [t for zone, text in blocks if zone != html_text.ARTICLE for t in [*text.split(" "), "\n"]] for i, blocks in pages.items()}
+        seen = defaultdict(set)
+        for i, s in streams.items():
+            for k in range(len(s) - 7):
+                seen[tuple(s[k : k + 8])].add(tuple(pages[i]))
+        most = max(3, -(-len({tuple(b) for b in pages.values()}) // 2))
+        for i, blocks in pages.items():
+            s, kept, at = streams[i], [], 0
+            hit = {least: {j for k in range(len(s) - 7) if len(seen[tuple(s[k : k + 8])]) >= least for j in range(k, k + 8)} for least in (2, most)}
+            size = lost = 0
+            for zone, text in blocks:
+                n = len(text.split(" "))
+                if zone == html_text.ARTICLE:
+                    kept.append((text, True, zone))
+                    size += n
+                    continue
+                own = sum(j in hit[most if zone == html_text.MAIN else 2] for j in range(at, at + n))
+                at += n + 1
+                unique = own < 0.8 * n
+                if zone != html_text.BOILERPLATE:
+                    kept.append((text, unique, zone))
+                if zone == html_text.MAIN:
+                    size, lost = size + n, lost + n * (not unique)
+            out[i] = "\n".join(text for text, unique, zone in kept if unique or zone == html_text.MAIN and 2 * lost >= size)
+    return out
+
+
+@pytest.mark.parametrize("seed,pages", [(0, 64), (1, 64), (2, 4), (3, 4)])
+def test_pages_match_brute_force(spark, monkeypatch, seed, pages):
+    monkeypatch.setattr(html_text, "PAGES", pages)
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    some = lambda n: " ".join(rng.choice(vocabulary, n))
+    shared = [some(int(n)) for n in rng.integers(2, 25, 12)]
+    wrap = {html_text.OPEN: "<div>{}</div>", html_text.ARTICLE: "<article><p>{}</p></article>", html_text.MAIN: "<main><p>{}</p></main>", html_text.BOILERPLATE: "<nav>{}</nav>"}
+    hosts, rows = defaultdict(dict), []
+    for i in range(90):
+        host = f"h{int(rng.choice([0, 0, 0, 1, 2]))}.example"
+        zones = rng.choice(list(wrap), int(rng.integers(0, 7)), p=[0.5, 0.15, 0.2, 0.15])
+        blocks = [(int(z), str(rng.choice(shared)) if rng.random() < 0.5 else some(int(rng.integers(1, 30)))) for z in zones]
+        hosts[host][i] = blocks
+        if pages == 64 and rng.random() < 0.1 and blocks:
+            hosts[host][1000 + i] = blocks  # a copy
+    for host, own in hosts.items():
+        rows += [(i, f"http://{host}/{i}", "".join(wrap[z].format(t) for z, t in blocks)) for i, blocks in own.items()]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = brute_pages(hosts)
+    assert got == want and any(t != "\n".join(x for z, x in hosts_blocks if z != 2) for own in hosts.values() for i, hosts_blocks in own.items() for t in [want[i]])
+
+
 @pytest.mark.skipif(not HAS_DATA, reason="no test tables here")
 def test_articles_of_the_tables(spark, monkeypatch):
     monkeypatch.setattr(html_text, "PAGES", 4)
@@ -286,7 +372,8 @@ def test_black_box_templates():
     output, spans, texts, rewritten = chat_format.render(turns, plain)
     assert not rewritten and [output[a:b] for a, b in texts] == [x for _, x in turns] and spans[0][0] == 3
     hides = lambda ts: "".join(f"<{r}>{x if i >= len(ts) - 2 else '~'}</{r}>" for i, (r, x) in enumerate(ts))
-    assert chat_format.render(turns, hides)[3]
+    output, spans, texts, rewritten = chat_format.render(turns, hides)
+    assert rewritten and texts[:2] == [None, None] and [output[a:b] for a, b in texts[2:]] == ["e", ""] and spans[-1][1] == len(output)
     closing = lambda ts: "".join(f"{r}:{x};" for r, x in ts) + "END"
     output, _, texts, rewritten = chat_format.render(turns, closing)
     assert rewritten and [output[a:b] for a, b in texts] == [x for _, x in turns]
@@ -306,3 +393,6 @@ def test_conversations(spark):
         assert (got[c].n_turns, got[c].turns_sha256) == (len(turns), sha256("".join(f"{r}\n{t}\n" for _, r, t in turns).encode()).hexdigest())
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), sha256(loss.encode()).hexdigest())
     assert chat_format.format_conversations(df.where("false")).count() == 0
+    last = lambda ts: "".join(f"<{r}>" for r, _ in ts) + (ts[-1][1] if ts else "")
+    shown = {r.conv_id: (r.n_hidden, [r.formatted[s.start : s.end] for s in r.loss_spans]) for r in chat_format.format_conversations(df, last).collect()}
+    assert shown[1] == (1, ["hi [x]"]) and shown[3] == (0, ["z" * 200_000])
