@@ -494,11 +494,14 @@ def _filtered(pairs: DataFrame, many: DataFrame, blobs: DataFrame, sketched: boo
 
     Each group holds a set a and up to about GROUP of its partners, each with its blob; a task streams over its groups, so a
     hub with very many partners is many groups."""
-    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / GROUP).cast("long"))
-    dealt = pairs.join(many, "a").select("a", "b", part.alias("part"))
+    parts = F.ceil(F.col("many") / GROUP).cast("int")
+    hot = many.where(F.col("many") > GROUP)
+    part = F.when(F.col("many").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), parts.cast("long")).cast("int"))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", part.alias("part"))
     of = lambda k: blobs.select(F.col("set").alias(k), "n", "blob")
     rows = dealt.join(of("b"), "b").select("a", "part", "b", "n", "blob")
-    hubs = dealt.select("a", "part").distinct().join(of("a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "n", "blob")
+    hubs = many.select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    hubs = hubs.join(of("a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "n", "blob")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, size, own = None, 0, None
