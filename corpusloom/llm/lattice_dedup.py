@@ -174,6 +174,69 @@ def _cosines(units: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, "a long, b long, cos double")
 
 
+#: Cells with more hubs, and pairs of cliques with more pairs of vectors, are compared as blocks of at most BLOCK vectors by matrix products:
+#: of these groups only the pairs that pass are rows.
+HOT_CELL, HOT_CLIQUES, BLOCK = 64, 4_096, 1_024
+
+
+def _block_pairs(units: DataFrame, rows: DataFrame, angle: float) -> DataFrame:
+    """rows (group, side, node, home, far) → (a, b, cos), a < b, each pair once: vectors of one group and different sides (side 2: of one side) of which
+    one at least is at home, with an angle of at most `angle` plus the far of both."""
+    with_vectors = rows.join(units.select("node", "unit"), "node").select("group", "side", "node", "home", "far", "unit")
+
+    def arrays(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        """Vectors, home and far of rows with vectors of one length."""
+        return np.frombuffer(b"".join(x[5] for x in rows)).reshape(len(rows), -1), np.array([x[3] for x in rows]), np.array([x[4] for x in rows])
+
+    def passed(group: list[tuple]) -> Iterator[tuple[int, int, float]]:
+        for size in {len(x[5]) for x in group}:
+            left, right = ([x for x in group if len(x[5]) == size and x[1] in (side, 2)] for side in (0, 1))
+            if not left or not right:
+                continue
+            (u, home_u, far_u), (v, home_v, far_v) = arrays(left), arrays(right)
+            reach = np.minimum(np.pi, angle + far_u[:, None] + far_v[None, :] + 1e-9)
+            near = (u @ v.T >= np.cos(reach) - 1e-12) & (home_u[:, None] | home_v[None, :])
+            for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+                a, b = left[i][2], right[j][2]
+                if left[i][1] != 2 or a < b:
+                    yield min(a, b), max(a, b), float(u[i] @ v[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream = (x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
+        for _, own in itertools.groupby(stream, key=lambda x: x[0]):
+            found = list(passed(list(own)))
+            for at in range(0, len(found), 100_000):
+                cols = zip(*found[at : at + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "cos"])
+
+    dealt = with_vectors.repartition("group").sortWithinPartitions("group")
+    return dealt.mapInArrow(run, "a long, b long, cos double").dropDuplicates(["a", "b"])
+
+
+def _dealt_cell(met: DataFrame, hot: DataFrame, cliques: DataFrame) -> DataFrame:
+    """met (key, hub, home) of the cells in hot (key, n) → rows of `_block_pairs`: each two blocks of a cell are a group."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = met.join(hot, "key").join(cliques.select("hub", F.col("radius").alias("far")), "hub").withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("hub"), blocks).cast("int")})
+    rows = rows.select("key", "hub", "home", "far", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"), side.alias("side"), F.col("hub").alias("node"), "home", "far")
+
+
+def _dealt_cliques(pairs: DataFrame, clique: DataFrame, sizes: DataFrame) -> DataFrame:
+    """pairs (a, b) of cliques → rows of `_block_pairs`: each block of one and block of the other are a group."""
+    blocks = lambda k: F.ceil(F.col(k) / BLOCK).cast("int")
+    n = lambda k: sizes.select(F.col("hub").alias(k), F.col("nodes").alias("n" + k))
+    both = pairs.join(n("a"), "a").join(n("b"), "b").withColumns({"ia": blocks("na"), "ib": blocks("nb")})
+
+    def side(k: int, own: str, other: str) -> DataFrame:
+        rows = both.join(clique.select(F.col("hub").alias(own), "node"), own).withColumn("block", F.pmod(F.xxhash64("node"), F.col("i" + own)).cast("int"))
+        rows = rows.select("a", "b", "node", "block", F.explode(F.sequence(F.lit(0), F.col("i" + other) - 1)).alias("against"))
+        ends = ("block", "against") if k == 0 else ("against", "block")
+        return rows.select(F.xxhash64("a", "b", *ends).alias("group"), F.lit(k).alias("side"), "node", F.lit(True).alias("home"), F.lit(0.0).alias("far"))
+
+    return side(0, "a", "b").union(side(1, "b", "a"))
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vectors → id, n_links, component_id, kept.
 
@@ -217,23 +280,30 @@ def _linked(rows: DataFrame, least: float) -> DataFrame:
     clique = units.select("node", "rep", "m").join(joined.select(F.col("b").alias("node"), F.col("x.a").alias("hub"), F.col("x.cos").alias("cos")), "node", "left")
     clique = stored(clique.select("node", "rep", "m", F.coalesce("hub", "node").alias("hub"), F.acos(F.least(F.lit(1.0), F.coalesce("cos", F.lit(1.0)))).alias("far")), "cliques")
     discard(close)
-    cliques = stored(clique.groupBy("hub").agg(F.sum("m").alias("weight"), F.max("far").alias("radius"), F.min("rep").alias("rep")), "hubs")
+    cliques = stored(clique.groupBy("hub").agg(F.sum("m").alias("weight"), F.max("far").alias("radius"), F.min("rep").alias("rep"), F.count("*").alias("nodes")), "hubs")
 
     # Cliques that meet in a cell: all their vectors are linked, or none, or each pair is compared.
     met = filed.join(clique.select("node", "hub"), "node").groupBy("key", "hub").agg(F.max("home").alias("home"))
-    left, right = met.select("key", F.col("hub").alias("a"), F.col("home").alias("x")), met.select("key", F.col("hub").alias("b"), F.col("home").alias("y"))
-    pairs = stored(left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("x") | F.col("y"))).select("a", "b").distinct(), "hub-pairs")
+    met = stored(met, "met")
     discard(filed)
-    size = lambda k: cliques.select(F.col("hub").alias(k), F.col("weight").alias("w" + k), F.col("radius").alias("r" + k))
-    between = _cosines(units, pairs).where("cos IS NOT NULL").join(size("a"), "a").join(size("b"), "b")
+    hot = stored(met.groupBy("key").agg(F.count("*").alias("n"), F.max("home").alias("any")).where((F.col("n") > HOT_CELL) & F.col("any")), "hot-cells")
+    cold = met.join(hot.select("key"), "key", "left_anti")
+    left, right = cold.select("key", F.col("hub").alias("a"), F.col("home").alias("x")), cold.select("key", F.col("hub").alias("b"), F.col("home").alias("y"))
+    pairs = stored(left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("x") | F.col("y"))).select("a", "b").distinct(), "hub-pairs")
+    blocks = stored(_block_pairs(units, _dealt_cell(met, hot, cliques), angle), "hub-blocks")
+    size = lambda k: cliques.select(F.col("hub").alias(k), F.col("weight").alias("w" + k), F.col("radius").alias("r" + k), F.col("nodes").alias("n" + k))
+    between = _cosines(units, pairs).where("cos IS NOT NULL").union(blocks).dropDuplicates(["a", "b"]).join(size("a"), "a").join(size("b"), "b")
     apart, slack = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cos")))), F.col("ra") + F.col("rb")
     verdict = F.when(slack == 0, F.when(F.col("cos") >= least, 1).otherwise(-1)).when(apart + slack < angle - 1e-9, 1).when(apart - slack > angle + 1e-9, -1).otherwise(0)
-    between = stored(between.select("a", "b", "wa", "wb", verdict.alias("verdict")).where("verdict >= 0"), "hub-links")
-    discard(pairs)
+    between = stored(between.select("a", "b", "wa", "wb", (F.col("na") * F.col("nb")).alias("n"), verdict.alias("verdict")).where("verdict >= 0"), "hub-links")
+    discard(met, hot, pairs, blocks)
     whole = between.where("verdict = 1")
     of = lambda k, n: clique.select(F.col("hub").alias(k), F.col("node").alias(n))
-    single = stored(between.where("verdict = 0").join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "single-pairs")
-    linked = stored(_cosines(units, single).where(F.col("cos") >= least).select("a", "b"), "single-links")
+    open_ = between.where("verdict = 0")
+    few, many = open_.where(F.col("n") <= HOT_CLIQUES), open_.where(F.col("n") > HOT_CLIQUES).select("a", "b")
+    single = stored(few.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")), "single-pairs")
+    found = _cosines(units, single).select("a", "b", "cos").union(_block_pairs(units, _dealt_cliques(many, clique, cliques), angle))
+    linked = stored(found.where(F.col("cos") >= least).select("a", "b"), "single-links")
     discard(single, units)
     ends = linked.union(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
     extra = ends.join(clique.select(F.col("node").alias("b"), "m"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("m").alias("extra"))

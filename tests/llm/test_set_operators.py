@@ -169,6 +169,14 @@ def test_groups_of_pairs_are_bounded(spark, monkeypatch):
     test_near_duplicates(spark)
 
 
+@pytest.mark.parametrize("cell,cliques,block", [(1, 1, 1024), (1, 0, 7), (3, 10, 2)])
+def test_blocks_of_hot_cells_agree(spark, monkeypatch, cell, cliques, block):
+    monkeypatch.setattr(lattice_dedup, "HOT_CELL", cell)
+    monkeypatch.setattr(lattice_dedup, "HOT_CLIQUES", cliques)
+    monkeypatch.setattr(lattice_dedup, "BLOCK", block)
+    test_near_duplicates(spark)
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 64))
