@@ -238,7 +238,7 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text_col
 
 
 def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_id", text_col: str = "text", clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
-    """docs → id, columns in carry, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans and, if asked for, clean_text.
+    """docs → id, columns in carry, n_email, n_ip, n_card, n_phone, n_term, n_spans (all), base_sha256, spans and, if asked for, clean_text.
 
     One row per input row. Null and empty texts have no spans. Spans are in code points, end exclusive; kinds in the
     order of KINDS, then by start. clean_text has [KIND] for each base span (overlapping ones as one) and
@@ -263,16 +263,17 @@ def find(docs: DataFrame, rules: Disclosure = Disclosure(), id_col: str = "doc_i
                 spans = base_spans(text)
                 own = sorted(tuple(map(int, x.split(":"))) for x in marked.split(",")) if marked else []
                 base = joined(spans)
-                row = (*map(len, spans), len(own), hashlib.sha256(base.encode()).hexdigest(), joined([*spans, own]))
+                n = [*map(len, spans), len(own)]
+                row = (*n, sum(n), hashlib.sha256(base.encode()).hexdigest(), joined([*spans, own]))
                 out.append((*row, cleaned(text, [*spans, own])) if clean else row)
-            cols = list(zip(*out)) or [()] * (8 if clean else 7)
-            kinds = [pa.int64()] * 5 + [pa.string()] * 3
+            cols = list(zip(*out)) or [()] * (9 if clean else 8)
+            kinds = [pa.int64()] * 6 + [pa.string()] * 3
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], *map(pa.array, cols, kinds)], names=names)
         release()
 
-    names = [id_col, *carry, "n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans", *["clean_text"] * clean]
+    names = [id_col, *carry, "n_email", "n_ip", "n_card", "n_phone", "n_term", "n_spans", "base_sha256", "spans", *["clean_text"] * clean]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-2])
-    return rows.mapInArrow(run, f"{kept}, n_email long, n_ip long, n_card long, n_phone long, n_term long, base_sha256 string, spans string" + ", clean_text string" * clean)
+    return rows.mapInArrow(run, f"{kept}, n_email long, n_ip long, n_card long, n_phone long, n_term long, n_spans long, base_sha256 string, spans string" + ", clean_text string" * clean)
 
 
 def _marked(rows: DataFrame, shared, rules: Disclosure) -> DataFrame:
