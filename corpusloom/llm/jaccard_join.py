@@ -37,7 +37,7 @@ SALT_BITS = 12
 #: Above DENSE pairs an entry in lists of several components, SOME partners of each set are compared before all are.
 DENSE, SOME = 128, 6
 #: Sets of a block of a list whose sets are of several components.
-BLOCK = 2048
+BLOCK = 256
 #: Bytes of text to a bucket of the index.
 BUCKET_BYTES = 32 << 20
 #: Bits of the filter that picks the documents whose sets are needed: 1 MB.
@@ -422,38 +422,59 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _cross_pairs(entries: DataFrame, sizes: DataFrame, some: int = 0) -> DataFrame:
-    """entries (key, a, size, pos, root) of the lists in sizes (key, many) → pairs (a, b) that may be linked and have different roots:
-    all of them, or of each set in each list `some` that a hash picks, alike in all lists.
+def _cross_pairs(entries: DataFrame, lists: DataFrame, some: int = 0) -> DataFrame:
+    """entries (key, a, size, pos, root) of the lists (key, many, major, n_major) → pairs (a, b) that may be linked and have different roots:
+    all of them, or of each set in each list about `some` that a hash picks, alike in all lists.
 
-    A list of more than BLOCK sets is dealt into blocks, and each two blocks meet in a task of their own."""
+    Only sets that are not of the list's most frequent root look for partners. A list of more than BLOCK sets is dealt into blocks: those
+    of that root, which meet all others but not each other, and the others, which also meet each other. Each two blocks that
+    meet are a group of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_lists(batches):
-            key, ids, size, pos, root = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root"))
+            key, ids, size, pos, root, block, quota = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root", "own", "quota"))
             p = np.empty(len(key), _POSTING)
             p["key"], p["id"], p["size"], p["pos"] = key.view(_U), ids, size, pos
-            of = dict(zip(ids.tolist(), root.tolist()))
+            root_of = dict(zip(ids.tolist(), root.tolist()))
+            at_block = dict(zip(zip(key.tolist(), ids.tolist()), zip(block.tolist(), quota.tolist())))
             p, start, length = _lists(p)
             for at, n in zip(start[length > 1].tolist(), length[length > 1].tolist()):
                 lst = IndexList(p[at : at + n])
-                roots = np.array([of[i] for i in lst.p["id"].tolist()])
-                for i in range(len(roots)):
+                name = int(lst.p["key"].view(np.int64)[0])
+                roots = np.array([root_of[i] for i in lst.p["id"].tolist()])
+                blocks, quotas = (np.array(x) for x in zip(*(at_block[name, i] for i in lst.p["id"].tolist())))
+                alone, looks = (blocks == blocks[0]).all(), quotas > 0
+                for i in np.flatnonzero(looks).tolist():
                     near = lst.partners(int(lst.size[i]), int(lst.pos[i]))
-                    near = near[((near > i) | (some > 0)) & (roots[near] != roots[i])]
-                    if some and len(near) > some:
+                    near = near[((near > i) | ~looks[near] | (some > 0)) & (roots[near] != roots[i])]
+                    if not alone:
+                        near = near[blocks[near] != blocks[i]]
+                    if some and len(near) > quotas[i]:
                         own = lst.p["id"].view(_U)
-                        near = near[np.argsort(mixed(own[near] * _M ^ own[i]))[:some]]
+                        near = near[np.argsort(mixed(own[near] * _M ^ own[i]))[: quotas[i]]]
                     if len(near):
                         pair = np.sort(np.column_stack([np.full(len(near), lst.p["id"][i]), lst.p["id"][near]]), axis=1)
                         yield _rows(0, pair[:, 0], pair[:, 1], 0, 0, 0).select(["a", "b"])
         release()
 
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    dealt = entries.join(sizes, "key").withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("a"), blocks).cast("int")})
-    dealt = dealt.select("key", "a", "size", "pos", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.withColumn("list", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    return dealt.select("list", "a", "size", "pos", "root").repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long").distinct()
+    long, is_major = F.col("many") > BLOCK, F.col("root") == F.col("major")
+    apart = long & is_major
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    block = lambda of: F.pmod(F.xxhash64("a"), of.cast("long")).cast("int")
+    dealt = entries.join(lists, "key")
+    dealt = dealt.withColumns({"m": F.when(long, blocks(F.col("n_major"))).otherwise(0), "n": blocks(F.when(long, F.col("many") - F.col("n_major")).otherwise(F.col("many")))})
+    dealt = dealt.withColumns({
+        "own": F.when(apart, block(F.col("m"))).otherwise(F.col("m") + block(F.col("n"))),
+        "first": F.when(apart, F.col("m")).otherwise(0),
+        "meets": F.when(apart, F.col("n")).otherwise(F.col("m") + F.col("n")),
+    })
+    dealt = dealt.withColumn("quota", F.when(is_major, 0).otherwise(F.greatest(F.lit(1), F.floor(F.lit(some) / F.col("meets")))).cast("int"))
+    columns = ["key", "a", "size", "pos", "root", "own", "quota"]
+    once = dealt.where("meets = 1").select(*columns, F.col("first").alias("other"))
+    again = dealt.where("meets > 1").select(*columns, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("meets") - 1)).alias("other"))
+    groups = once.union(again).withColumn("list", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    groups = groups.select("list", "a", "size", "pos", "root", "own", "quota").repartition("list").sortWithinPartitions("list")
+    return groups.mapInArrow(run, "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -588,7 +609,8 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     low = (1 << SALT_BITS) - 1
     hubs = first.where("kind = 2").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos").distinct()
     #: Hubs of the sublists of one shingle meet: each is its own root.
-    several = stored(hubs.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "lists")
+    several = hubs.groupBy("key").agg(F.count("*").alias("many"), F.min("a").alias("major"), F.lit(1).cast("long").alias("n_major"))
+    several = stored(several.where("many > 1"), "lists")
     met = _cross_pairs(hubs.withColumn("root", F.col("a")), several)
     done = stored(first.where("kind = 0").select("a", "b").union(met).distinct(), "pairs")
     discard(several)
@@ -599,7 +621,8 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     listed = first.where("kind = 1").select(F.col("key").bitwiseAND(F.lit(~low)).alias("key"), "a", "size", "pos")
     for some in (SOME, 0):
         entries = listed.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
-        by_root = entries.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("many"), F.sum(F.col("n") * F.col("n")).alias("within"))
+        most = F.max(F.struct("n", "root"))
+        by_root = entries.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("many"), F.sum(F.col("n") * F.col("n")).alias("within"), most["root"].alias("major"), most["n"].alias("n_major"))
         several = stored(by_root.where(F.col("within") < F.col("many") * F.col("many")), "lists")
         if some:
             crossing = several.agg(F.sum("many").alias("n"), F.sum(F.col("many").cast("double") * F.col("many") - F.col("within")).alias("pairs")).head()
@@ -607,7 +630,7 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 discard(several)
                 continue
         known = done.union(done.select("b", "a"))
-        left = stored(_cross_pairs(entries, several.select("key", "many"), some).join(known, ["a", "b"], "left_anti"), "pairs")
+        left = stored(_cross_pairs(entries, several.drop("within"), some).join(known, ["a", "b"], "left_anti"), "pairs")
         discard(several)
         if left.head():
             new = _compared(docs, classes, sketches, left)
