@@ -192,7 +192,12 @@ def inspect(spark: SparkSession, args, settings: Settings) -> list[dict]:
     s = stores(spark, args.root)
     state = s["state"].read().select("id", "judgment_chunk_count", "sc_judgment_chunk_count")
     ids = spark.createDataFrame([(i,) for i in args.ids], "id string")
-    return [r.asDict() for r in inspected(ids, s["records"].read(), state).collect()]
+    rows = inspected(ids, s["records"].read(), state)
+    if args.files:
+        there = binary_files(spark, args.files).where("length > 0").select(_relative().alias("rel"))
+        for field, _ in KINDS.values():
+            rows = rows.join(there, F.col(f"{field}_local_pdf_path") == F.col("rel"), "left").withColumn(f"{field}_file", F.col("rel").isNotNull()).drop("rel")
+    return [r.asDict() for r in rows.collect()]  # the asked ids
 
 
 def migrate(spark: SparkSession, args, settings: Settings) -> list[dict]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import bound
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -16,8 +18,7 @@ def norm(a: Column) -> Column:
 
 def l2_normalized(a: Column) -> Column:
     """The vector divided by its norm; a zero vector stays."""
-    n = norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: (x / n).cast("float"))).otherwise(a)
+    return bound(norm(a), lambda n: F.when(n > 0, F.transform(a, lambda x: (x / n).cast("float"))).otherwise(a.cast("array<float>")))
 
 
 def cosine(a: Column, b: Column) -> Column:

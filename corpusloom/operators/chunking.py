@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bound
 from ..functions.hashing import chunk_hash
 from ..functions.text import PARAGRAPH_BREAK, metadata_card, paragraphs, words
 
@@ -57,7 +58,8 @@ def chunk_texts(docs: DataFrame, text_col: str, target: int = 380, overlap: int
 def hard_split(docs: DataFrame, text_col: str, target: int = 380, overlap: int = 60) -> DataFrame:
     """docs → one row per window over the whole text's words."""
     keys = [c for c in docs.columns if c != text_col]
-    rows = docs.select(*keys, F.posexplode(windows(words(F.col(text_col)), target, overlap)).alias("chunk_index", "text"))
+    chunks = bound(words(F.col(text_col)), lambda w: windows(w, target, overlap))
+    rows = docs.select(*keys, F.posexplode(chunks).alias("chunk_index", "text"))
     return rows.withColumn("chunk_hash", chunk_hash(F.col("text")))
 
 

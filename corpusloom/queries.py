@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import hashing, text, vectors
+from .embedding import extracted, published
+from .functions import arrays, hashing, text, vectors
 from .operators import audit, chunking, incremental, migrate, retrieval, summary, upsert
-from .sources.files import page_texts
+from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.scratch import shared_dir
 from .sources.store import SnapshotStore
@@ -156,8 +157,9 @@ def incremental_diff(spark, sf_dir):
 def shrink_delete(spark, sf_dir):
     """Chunks of the finer cut that the coarser one leaves behind. How many the coarser one has follows from the number of words, so nothing is
     cut twice, and only what is left behind is hashed."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), text.words(F.col("text")).alias("words"))
-    rows = docs.select("record_id", chunking.window_count(F.col("words"), 760, 60).alias("n"), F.posexplode(chunking.windows(F.col("words"), 380, 60)).alias("chunk_index", "text"))
+    cut = arrays.bound(text.words(F.col("text")), lambda w: F.struct(chunking.window_count(w, 760, 60).alias("n"), chunking.windows(w, 380, 60).alias("chunks")))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), cut.alias("cut"))
+    rows = docs.select("record_id", "cut.n", F.posexplode("cut.chunks").alias("chunk_index", "text"))
     return rows.where(F.col("chunk_index") >= F.col("n")).select("record_id", "chunk_index", hashing.chunk_hash(F.col("text")).alias("chunk_hash"))
 
 
@@ -204,6 +206,50 @@ def _committed(records: DataFrame, state: DataFrame) -> DataFrame:
     return cards.union(docs)
 
 
+@query
+def chunk_filter(spark, sf_dir):
+    """Chunks of exactly one type, of an index that holds cards and both kinds of documents."""
+    docs = labelled(spark, sf_dir, "text")
+    kind = F.when(F.col("toxic") == 1, "sc_judgment_pdf").otherwise("judgment_pdf")
+    chunks = _chunk_rows(docs, 380).join(docs.select(F.col("doc_id").cast("string").alias("record_id"), kind.alias("kind")), "record_id").withColumn("chunk_type", F.col("kind"))
+    cards = docs.select(F.col("doc_id").cast("string").alias("record_id"), F.lit("metadata").alias("chunk_type"), F.lit(0).alias("chunk_index"))
+    index = chunks.select("record_id", "chunk_type", "chunk_index").unionByName(cards)
+    return index.where(retrieval.chunk_type_filter("judgment_pdf"))
+
+
+@query
+def stale_texts(spark, sf_dir):
+    """Orders as files and their line items as texts: what is newer than its text, or has none, is to be converted."""
+    key, kind = F.col("o_orderkey").cast("string"), F.lit("judgment_pdf").alias("kind")
+    orders = table(spark, sf_dir, "orders").select(key.alias("record_id"), kind, key.alias("path"), (F.col("o_orderkey") % 10).alias("length"), F.col("o_orderdate").alias("modificationTime"))
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").cast("string").alias("record_id"), kind, F.timestamp_add("DAY", F.lit(-60), "l_shipdate").alias("modificationTime"))
+    return to_convert(orders.select("record_id", "kind", "path"), orders.select("path", "length", "modificationTime"), lines).select("record_id", "kind")
+
+
+@query
+def published_links(spark, sf_dir):
+    """One link for each content: the cached one where the document was known, else one made from its hash."""
+    files = labelled(spark, sf_dir, "text").select(F.sha2("text", 256).alias("sha256"), F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), "quality")
+    cache = files.where("quality = 1").groupBy("sha256").agg(F.lit("known").alias("file_id"), F.lit("https://old.example/x").alias("view_url"), F.min("name").alias("name"))
+    return published(files.select("sha256", "name"), cache, "https://files.example")
+
+
+class LinePages:
+    """An extractor to try the plan with: the lines of a text are its pages, and a text without a sentence's end is broken."""
+
+    def pages(self, content: bytes) -> list[str]:
+        if b"." not in content:
+            raise ValueError("broken")
+        return content.decode().split("\n")
+
+
+@query
+def extract_pages(spark, sf_dir):
+    """Files to pages; a broken file is a row with its error, and no failed task."""
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))
+    return extracted(files, LinePages()).select("path", "page", F.sha2("text", 256).alias("text_sha"), "error")
+
+
 @query
 def pending_documents(spark, sf_dir):
     return incremental.pending_documents(*_ingested(spark, sf_dir))

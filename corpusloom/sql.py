@@ -123,6 +123,13 @@ c AS (SELECT doc_id, CASE WHEN fresh THEN {_windows("w", 760, 60)} ELSE {_window
 r AS (SELECT doc_id, unnest(range(len(ch))) AS k, unnest(ch) AS ws FROM c)
 SELECT doc_id || '::judgment_pdf::' || k AS chunk_id, sha256(array_to_string(ws, ' ')) AS chunk_hash FROM r""",
     "vanished_chunks": f"SELECT doc_id || '::judgment_pdf::' || chunk_index AS chunk_id FROM ({_HARD}) JOIN documents USING (doc_id) WHERE lang = 'es'",
+    "chunk_filter": f"SELECT doc_id::VARCHAR AS record_id, 'judgment_pdf' AS chunk_type, chunk_index FROM ({_HARD}) LEFT JOIN labels USING (doc_id) WHERE toxic IS DISTINCT FROM 1",
+    "stale_texts": """SELECT o_orderkey::VARCHAR AS record_id, 'judgment_pdf' AS kind FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) - INTERVAL 60 DAY AS made FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) ON o_orderkey = l_orderkey
+WHERE o_orderkey % 10 > 0 AND (made IS NULL OR made < o_orderdate)""",
+    "published_links": f"""WITH f AS (SELECT sha256(text) AS sha256, min(doc_id::VARCHAR || '.pdf') AS name, min(doc_id::VARCHAR || '.pdf') FILTER (WHERE quality = 1) AS known FROM {_LABELLED} GROUP BY 1)
+SELECT sha256, CASE WHEN known IS NULL THEN left(sha256, 32) ELSE 'known' END AS file_id, CASE WHEN known IS NULL THEN 'https://files.example/' || sha256 ELSE 'https://old.example/x' END AS view_url, coalesce(known, name) AS name FROM f""",
+    "extract_pages": """SELECT doc_id::VARCHAR AS path, unnest(range(1, len(l) + 1))::INTEGER AS page, sha256(unnest(l)) AS text_sha, NULL::VARCHAR AS error FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE contains(text, '.'))
+UNION ALL SELECT doc_id::VARCHAR, 0, NULL, 'ValueError: broken' FROM documents WHERE NOT contains(text, '.')""",
     "pending_documents": f"""WITH {_INGESTED}
 SELECT id AS record_id, 'judgment_pdf' AS kind, j AS sha256 FROM run WHERE ask_j UNION ALL SELECT id, 'sc_judgment_pdf', s FROM run WHERE ask_s""",
     "ingest_state": f"""WITH {_INGESTED}

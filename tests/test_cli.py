@@ -58,6 +58,7 @@ def test_migrate_and_audit(spark, tmp_path, capsys):
     assert [(r["id"], r["action"][:14]) for r in run(capsys, *audit)[:-1]] == [("b", "DELETE orphane")]  # its file is gone only now
     counts = {r["status"]: r["count"] for r in run(capsys, "reconcile", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts")) if "status" in r}
     assert counts == {"consistent": 1, "orphan_text": 1, "owned_paths": 1}
+    assert {r["id"]: r["judgment_file"] for r in run(capsys, "inspect", "--root", root, "--files", str(files), "--ids", "a", "b")} == {"a": True, "b": False}
     assert run(capsys, "convert", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts")) == []
     os.utime(files / "a.pdf", (2e9, 2e9))
     assert [r["record_id"] for r in run(capsys, "convert", "--root", root, "--files", str(files), "--text-files", str(tmp_path / "texts"))] == ["a"]
