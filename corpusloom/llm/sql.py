@@ -87,4 +87,30 @@ joined AS (
   FROM rows GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM joined"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op5_mixing": _OP5, "op9_chat_format": _OP9}
+#: node → the least id that is reachable over links (a, b), for a table of nodes (doc): all pairs of a component are made, so for small tables.
+_REACH = """
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a, min(b) AS least FROM reach GROUP BY a)"""
+
+_OP4 = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM docs),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+{_REACH.strip()}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id FROM sets LEFT JOIN least ON doc_id = a"""
+
+#: All pairs: exact, where the operator may miss a pair at the threshold (the README has its recall).
+_OP7 = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT * FROM vectors WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+{_REACH.strip()},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a),
+found AS (SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id FROM vectors LEFT JOIN counts ON vec_id = counts.a LEFT JOIN least ON vec_id = least.a)
+SELECT *, vec_id = component_id AS kept FROM found"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op4_jaccard_join": _OP4, "op5_mixing": _OP5, "op7_lattice_dedup": _OP7, "op9_chat_format": _OP9}

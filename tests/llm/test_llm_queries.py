@@ -1,5 +1,6 @@
 """The registered queries against their SQL, and the pipeline against a plain version of itself."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,14 +9,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import queries
-from corpusloom.llm.pii import base_spans, cleaned
+from corpusloom.llm import pii, queries
+from corpusloom.llm.pii import cleaned
 from corpusloom.llm.quality_rules import LineRules, judge
 from corpusloom.llm.sql import ORACLE_SQL
 
 from .helpers import CLASHES, HAS_DATA, SF, words
 from .test_set_operators import brute_join
-from .test_text_operators import brute_targets
+from .test_text_operators import brute_model, brute_spans, brute_targets, brute_terms
 
 pytestmark = pytest.mark.skipif(not HAS_DATA, reason="no test tables here")
 COLUMNS = {
@@ -40,7 +41,7 @@ def test_query(spark, name):
     assert got
     if name in ORACLE_SQL:
         c = duckdb.connect()
-        for t in ("documents", "conversations"):
+        for t in ("documents", "conversations", "embeddings"):
             c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         rel, cols = c.sql(ORACLE_SQL[name]), sorted(df.columns)
         assert sorted(rel.columns) == cols
@@ -60,6 +61,29 @@ def test_hostile_conversation(spark):
     assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(queries.HOSTILE), hashlib.sha256(queries.HOSTILE.encode()).hexdigest())
 
 
+def term_spans(text, terms):
+    """Where words are terms, without the signs at their edges."""
+    core = [(m.start() + m[0].index(x), x) for m in re.finditer("[^\x20\x09-\x0d]+", text or "") if (x := m[0].strip(pii._EDGE))]
+    return [(a, a + len(x)) for a, x in core if x.lower() in terms]
+
+
+def test_pii_of_the_tables(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    terms = brute_terms(list(texts.values()))
+    for r in queries.op10_pii(spark, SF).collect():
+        base = brute_spans(texts[r.doc_id] or "")
+        assert r.spans == pii.joined([*base, term_spans(texts[r.doc_id], terms)]) and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [*map(len, base)]
+        assert r.n_spans == r.n_term + sum(map(len, base))
+
+
+def test_toxicity_of_the_tables(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    _, score = brute_model(texts, labels)
+    for r in queries.op2_toxicity(spark, SF).collect():
+        assert abs(r.score - score(texts[r.doc_id])) < 1e-6 and r.predicted == (r.score >= 0.3)
+
+
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline as p
 
@@ -84,9 +108,10 @@ def test_pipeline_stage_by_stage(spark):
     safe = stage[2](spark, single, SF).cache()
     got = {r.doc_id: r.text for r in safe.collect()}
     assert len(got) == single.count()
+    terms = brute_terms([r.text for r in single.collect()])
     for r in single.collect():
-        if not base_spans(r.text)[0]:
-            assert got[r.doc_id] == cleaned(r.text, base_spans(r.text)) or len(got[r.doc_id]) < len(r.text)
+        assert got[r.doc_id] == cleaned(r.text, [*brute_spans(r.text), term_spans(r.text, terms)])
+    assert any("[EMAIL]" in t for t in got.values())
     mixed = stage[3](spark, safe, SF).cache()
     rows(mixed)
     sizes, taken = Counter(), Counter()
