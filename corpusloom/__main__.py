@@ -17,7 +17,7 @@ from .operators.summary import run_summary
 from .operators.upsert import set_fields
 from .plans.pipeline import answer, ingest, retrieve
 from .plans.schedule import run_daily
-from .plans.scrape import KINDS, document_paths, scrape_year
+from .plans.scrape import COUNTERS, KINDS, document_paths, scrape_year
 from .plans.service import run_job, suspicious_pages
 from .schemas import CHUNK, RECORD, STATE
 from .sources.downloads import downloaded, removed, renamed, write_files
@@ -58,14 +58,13 @@ def scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
         for year in sorted(r["year"] for r in pages.select("year").distinct().collect()):  # one row a year of the listing
             try:
                 done.append(scrape_year(pages.where(F.col("year") == year), year, store, F.to_timestamp(F.lit(args.run_ts)), settings, fetch))
-            except Exception as e:  # a year that fails must not hold up the others
+            except Exception:  # a year that fails must not hold up the others
                 log.exception("year %s", year)
-                done.append({"year": year, "parsed": 0, "failed": True, "error": f"{type(e).__name__}: {e}"[:200]})
+                done.append({"year": year, "failed": True})
     records = store.read()
     odd = suspicious_pages(pages, records)
     write_files(odd.select(F.concat(F.lit("year-"), F.col("year").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content")), f"{args.root}/debug").collect()
-    names = [k for k in done[0] if k not in ("year", "failed", "error")] if done else []
-    rows = spark.createDataFrame([(d["year"], *(d.get(k, 0) for k in names), d["failed"]) for d in done], ", ".join(["year int", *(f"{k} long" for k in names), "failed boolean"]))
+    rows = spark.createDataFrame([(d["year"], *(d.get(k, 0) for k in COUNTERS), d["failed"]) for d in done], ", ".join(["year int", *(f"{k} long" for k in COUNTERS), "failed boolean"]))
     out = [r.asDict() for r in run_summary(rows, "year", "failed").collect()]
     return out + [r.asDict() for r in page_shortfalls(pages, records).collect()]
 

@@ -89,3 +89,27 @@ def extracted(files: DataFrame, extractor: PdfExtractor) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "page", "text", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, page int, text string, error string")
+
+
+class Recognizer(Protocol):
+    def text(self, content: bytes, page: int) -> str: ...
+
+
+def with_ocr(pages: DataFrame, files: DataFrame, recognizer: Recognizer) -> DataFrame:
+    """pages (path, page, text) → with ocr_text, recognised for pages without a text of their own only; NULL for others and where it fails.
+
+    Only the files of such pages (path, content) are read and sent to Python. See `page_texts` for what becomes of both texts."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in parts:
+            texts = []
+            for page, content in zip(df["page"], df["content"]):
+                try:
+                    texts.append(recognizer.text(bytes(content), int(page)) or None)
+                except Exception:  # a page that cannot be recognised is a page without text
+                    texts.append(None)
+            yield pd.DataFrame({"path": df["path"], "page": df["page"], "ocr_text": pd.Series(texts, index=df.index, dtype=object)})
+
+    blank = pages.where((F.col("page") > 0) & (F.trim(F.coalesce("text", F.lit(""))) == "")).select("path", "page")
+    found = blank.join(files.select("path", "content"), "path").select("path", "page", "content").mapInPandas(run, "path string, page int, ocr_text string")
+    return pages.join(found, ["path", "page"], "left")

@@ -19,6 +19,9 @@ from ..sources.store import SnapshotStore
 #: Kind of document → prefix of its fields in a record, folder of its files (fixed values).
 KINDS = {"judgment_pdf": ("judgment", "judgments"), "sc_judgment_pdf": ("sc_judgment", "sc_judgments")}
 
+#: Counters of a year.
+COUNTERS = ("parsed", "inserted", "updated", "unchanged", "pdf_ok", "pdf_failed", "sc_pdf_ok", "sc_pdf_failed")
+
 Fetch = Callable[[DataFrame], DataFrame]
 
 
@@ -55,7 +58,7 @@ def scrape_year(page: DataFrame, year: int, store: SnapshotStore, run_ts: Column
     fetch: wanted documents → (record_id, kind, path, sha256, error). The store is committed for this year alone, so a later
     year that fails loses nothing.
     """
-    stats = {"year": year, "parsed": 0, "inserted": 0, "updated": 0, "unchanged": 0} | {f"{p}_{x}": 0 for p in ("pdf", "sc_pdf") for x in ("ok", "failed")} | {"failed": False}
+    stats = {"year": year} | dict.fromkeys(COUNTERS, 0) | {"failed": False}
     if page.where("html IS NULL").head() is not None or page.head() is None:
         return stats | {"failed": True}
     rows = stored(listing_records(page, settings).withColumn("seq", F.col("serial_no").cast("long")), "listing")

@@ -375,3 +375,19 @@ def test_daily_schedule():
         clock[0] += dt.timedelta(seconds=s)
 
     assert schedule.run_daily(job, 2, 0, lambda: clock[0], sleep, rounds=50, check_s=3600) == 3 and [t.hour for t in ran] == [2, 2, 2]
+
+
+class Recognizer:
+    def text(self, content, page):
+        if content == b"bad":
+            raise ValueError("unreadable")
+        return f"{content.decode()} {page}"
+
+
+def test_only_blank_pages_are_recognised(spark):
+    pages = spark.createDataFrame([("a", 1, "own"), ("a", 2, "  "), ("b", 1, None), ("c", 0, None)], "path string, page int, text string")
+    sources = spark.createDataFrame([("a", b"scan"), ("b", b"bad"), ("c", b"scan")], "path string, content binary")
+    got = embedding.with_ocr(pages, sources, Recognizer())
+    assert {(r.path, r.page): r.ocr_text for r in got.collect()} == {("a", 1): None, ("a", 2): "scan 2", ("b", 1): None, ("c", 0): None}
+    texts = {r.path: (r.text, r.any_ocr) for r in files.page_texts(got, "path", "page", F.col("text"), F.col("ocr_text")).collect()}
+    assert texts["a"] == ("own\n\nscan 2", True) and texts["b"] == ("", False)
