@@ -47,10 +47,16 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def release() -> None:
+#: Bytes that a task has handled, below which its end is not worth a clean-up.
+LITTLE = 8 << 20
+
+
+def release(handled: int = LITTLE) -> None:
     """Give memory back at the end of a task: the worker process outlives it, and holds what Arrow and malloc keep for later."""
     import pyarrow as pa
 
+    if handled < LITTLE:
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

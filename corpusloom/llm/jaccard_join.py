@@ -232,6 +232,16 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         yield b"".join(held)
 
 
+#: Rows below which another task is not worth its start.
+ROWS_A_TASK = 5_000
+
+
+def _few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """df, dealt by a key, in no more tasks than its rows are worth; rows of one key stay together, and in order."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK))
+    return df.coalesce(tasks) if tasks < shuffle_partitions(df.sparkSession) else df
+
+
 def _dealt(blobs: DataFrame) -> DataFrame:
     """(bucket, blob) in partitions, ordered by bucket: a task holds one bucket at a time."""
     return blobs.repartition(shuffle_partitions(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
@@ -239,14 +249,16 @@ def _dealt(blobs: DataFrame) -> DataFrame:
 
 def _frequent(scanned: DataFrame) -> Frequent:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handled = 0
         for blob in _by_bucket(batches):
+            handled += len(blob)
             flat = np.frombuffer(blob, np.uint8).reshape(-1, 6)
             s = np.zeros((len(flat), 8), np.uint8)
             s[:, :6] = flat
             value, n = np.unique(s.reshape(-1).view(np.int64), return_counts=True)
             often = n > FREQUENT_SETS
             yield pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(n[often])], names=["shingle", "n"])
-        release()
+        release(handled)
 
     low = _dealt(scanned.where("kind = 1").select(F.col("set").alias("bucket"), "blob")).mapInArrow(count, "shingle long, n long")
     other = scanned.where("kind = 2").groupBy(F.col("set").alias("shingle")).agg(F.sum("n").alias("n"))
@@ -393,9 +405,11 @@ def _first_pairs(postings: DataFrame) -> DataFrame:
             yield _rows(0, got[:, 0], got[:, 1], 0, 0, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handled = 0
         for blob in _by_bucket(batches):
+            handled += len(blob)
             yield from of_bucket(np.frombuffer(blob, _POSTING))
-        release()
+        release(handled)
 
     return _dealt(postings).mapInArrow(run, _OUT)
 
@@ -431,7 +445,9 @@ def _cross_pairs(entries: DataFrame, lists: DataFrame, some: int = 0) -> DataFra
     meet are a group of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handled = 0
         for t in _whole_lists(batches):
+            handled += t.nbytes
             key, ids, size, pos, root, block, quota = (t.column(k).to_numpy() for k in ("list", "a", "size", "pos", "root", "own", "quota"))
             p = np.empty(len(key), _POSTING)
             p["key"], p["id"], p["size"], p["pos"] = key.view(_U), ids, size, pos
@@ -455,7 +471,7 @@ def _cross_pairs(entries: DataFrame, lists: DataFrame, some: int = 0) -> DataFra
                     if len(near):
                         pair = np.sort(np.column_stack([np.full(len(near), lst.p["id"][i]), lst.p["id"][near]]), axis=1)
                         yield _rows(0, pair[:, 0], pair[:, 1], 0, 0, 0).select(["a", "b"])
-        release()
+        release(handled)
 
     long, is_major = F.col("many") > BLOCK, F.col("root") == F.col("major")
     apart = long & is_major
@@ -474,7 +490,7 @@ def _cross_pairs(entries: DataFrame, lists: DataFrame, some: int = 0) -> DataFra
     again = dealt.where("meets > 1").select(*columns, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("meets") - 1)).alias("other"))
     groups = once.union(again).withColumn("list", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
     groups = groups.select("list", "a", "size", "pos", "root", "own", "quota").repartition("list").sortWithinPartitions("list")
-    return groups.mapInArrow(run, "a long, b long").distinct()
+    return _few_tasks(groups, lists.agg(F.sum("many")).head()[0] or 0).mapInArrow(run, "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -552,7 +568,7 @@ def _filtered(pairs: DataFrame, many: DataFrame, blobs: DataFrame, sketched: boo
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     dealt = rows.union(hubs).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return dealt.mapInArrow(run, "a long, b long")
+    return _few_tasks(dealt, many.agg(F.sum("many")).head()[0] or 0).mapInArrow(run, "a long, b long")
 
 
 def _partners(pairs: DataFrame) -> DataFrame:
