@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, language_id, lattice_dedup, toxicity
+from . import class_lm, html_text, language_id, lattice_dedup, toxicity
 from .chat_format import digests, format_conversations
 from .common import crc_mod, table
 from .jaccard_join import jaccard_components
@@ -15,6 +15,8 @@ from .mixing import mix
 from .packing import pack
 from .pii import find
 from .quality_rules import quality_rules
+from .spelling import spelling_variants
+from .vector_codes import compress
 
 
 def tokenizer_file() -> str:
@@ -75,6 +77,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))
+    return class_lm.score(docs, class_lm.fit(docs.where(~held_out)), held_out=held_out)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,5 +98,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_language_id, op4_jaccard_join, op5_mixing, op6_packing, op7_lattice_dedup, op8_html_text, op9_chat_format, op10_pii, pipeline)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_toxicity,
+        op3_language_id,
+        op4_jaccard_join,
+        op5_mixing,
+        op6_packing,
+        op7_lattice_dedup,
+        op8_html_text,
+        op9_chat_format,
+        op10_pii,
+        op11_class_lm,
+        op12_spelling_variants,
+        op13_vector_codes,
+        pipeline,
+    )
 }

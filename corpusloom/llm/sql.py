@@ -113,4 +113,70 @@ counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a),
 found AS (SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id FROM vectors LEFT JOIN counts ON vec_id = counts.a LEFT JOIN least ON vec_id = least.a)
 SELECT *, vec_id = component_id AS kept FROM found"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op4_jaccard_join": _OP4, "op5_mixing": _OP5, "op7_lattice_dedup": _OP7, "op9_chat_format": _OP9}
+
+
+def _crc_step(c: int) -> int:
+    """crc32 (reflected polynomial 0xEDB88320) of one byte's value, without the inversions."""
+    for _ in range(8):
+        c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+    return c
+
+
+_BYTES = "list_transform(range(1, length(hex(encode({0}))) // 2 + 1), lambda i: ('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::UBIGINT)"
+_CRC = f"xor(list_reduce([4294967295::UBIGINT] || {_BYTES}, lambda c, b: xor(c >> 8, ([{', '.join(str(_crc_step(i)) for i in range(256))}]::UBIGINT[])[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)"
+
+#: Near words by the strings that are left without one code point; forms are followed to their ends.
+_OP12 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+own AS MATERIALIZED (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS doc, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT run, n, {_CRC.format("(doc || run)")} AS h FROM own),
+edited AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM edited WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+without AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM places),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM without a JOIN without b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.d = b.word),
+best AS (SELECT word, count(*)::BIGINT AS n_near, max(m) AS m, min(struct_pack(m := -m, w := encode(other))) AS b FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN decode(b.w) END AS form, CASE WHEN m >= 2 * w.n THEN m END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+ends AS (SELECT word, word AS here, form AS ahead FROM forms UNION ALL SELECT e.word, f.word, f.form FROM ends e JOIN forms f ON e.ahead = f.word)
+SELECT word, form, (SELECT e.here FROM ends e WHERE e.word = forms.word AND e.ahead IS NULL) AS root, n, n_near, form_n FROM forms"""
+
+
+def _op13(rounds: int = 6) -> str:
+    """Rounds of assignment and averaging, one pair of tables each."""
+    apart = "list_sum(list_transform(list_zip(x, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, p, min(struct_pack(d := {apart}, e := e)) AS b FROM parts JOIN b{k} USING (p) GROUP BY r, p)")
+        if k < rounds:
+            steps.append(f"""s{k} AS (SELECT p, b.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{k} JOIN parts USING (r, p), range(1, 1 + (SELECT w FROM width)) AS u(i) GROUP BY ALL),
+m{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{k} GROUP BY p, e),
+b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN m{k} m USING (p, e))""")
+    body = ",\n".join(steps)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+width AS (SELECT max(len(v)) // 8 AS w FROM kept),
+parts AS MATERIALIZED (SELECT r, p, v[p * w + 1:(p + 1) * w] AS x FROM kept, width, range(8) AS t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 16),
+{body},
+coded AS (SELECT r, string_agg(lower(printf('%02x', b.e)), '' ORDER BY p) AS code, sum(b.d)::BIGINT AS error FROM a{rounds} GROUP BY r),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (r), book"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": _OP1,
+    "op4_jaccard_join": _OP4,
+    "op5_mixing": _OP5,
+    "op7_lattice_dedup": _OP7,
+    "op9_chat_format": _OP9,
+    "op12_spelling_variants": _OP12,
+    "op13_vector_codes": _op13(),
+}

@@ -30,6 +30,9 @@ COLUMNS = {
     "op8": "page_id url text n_chars",
     "op9": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op10": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op12": "word form root n n_near form_n",
+    "op13": "vec_id code error label_error codebooks_sha256",
 }
 
 
