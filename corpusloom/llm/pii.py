@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -33,9 +34,6 @@ _DIGIT = re.compile("[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EDGE = "\"'`.,;:!?()[]{}<>*#$%&|+-=/\\~^_"
 
-#: Characters around an entity in which its context is sought.
-_REACH = 400
-
 Span = tuple[int, int]
 
 
@@ -93,10 +91,11 @@ def term_of(word: str) -> str:
 
 @dataclass(frozen=True)
 class Disclosure:
-    """window: words on either side of an entity. min_contexts: different contexts (what stands beyond the window) of entity and
+    """window: words on either side of an entity; beyond: words beyond it on either side that are the context. min_contexts: different contexts (what stands beyond the window) of entity and
     term; copies count once. threshold: share of the entity's information that the term must reveal. min_chars: of a term."""
 
     window: int = 5
+    beyond: int = 60
     min_contexts: int = 3
     threshold: float = 0.8
     min_chars: int = 3
@@ -124,15 +123,18 @@ def least_hashes(units: Iterable[str]) -> tuple[int, ...]:
 
 
 def surroundings(text: str, rules: Disclosure) -> Iterator[tuple[str, list[str], list[list[str]]]]:
-    """(entity, terms within the window, terms beyond it before and after) of each base span."""
-    for own in base_spans(text):
+    """(entity, terms within the window, terms beyond it before and after) of each base span. Words, of any length, that the entity has a part in are none."""
+    found = base_spans(text)
+    if not any(found):
+        return
+    places = [m.span() for m in WORD.finditer(text)]
+    starts, ends = [a for a, _ in places], [b for _, b in places]
+    terms = lambda i, j: [term_of(text[a:b]) for a, b in places[max(0, i) : max(0, j)]]
+    n, far = rules.window, rules.window + rules.beyond
+    for own in found:
         for a, b in own:
-            before = WORD.findall(text[max(0, a - _REACH) : a])[a > _REACH :]
-            after = WORD.findall(text[b : b + _REACH])
-            after = after[: len(after) - (len(text) > b + _REACH)]
-            cut_at = max(0, len(before) - rules.window)
-            near = sorted({term_of(w) for w in before[cut_at:] + after[: rules.window]})
-            yield text[a:b].lower(), near, [[*map(term_of, before[:cut_at])], [*map(term_of, after[rules.window :])]]
+            i, j = bisect_right(ends, a), bisect_left(starts, b)
+            yield text[a:b].lower(), sorted({*terms(i - n, i), *terms(j, j + n)}), [terms(i - far, i - n), terms(j + n, j + far)]
 
 
 def _is_term(term: str, rules: Disclosure) -> bool:

@@ -567,10 +567,8 @@ def brute_contexts(text, rules):
     places = [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", text)]
     for own in brute_spans(text):
         for a, b in own:
-            # Of words that the entity parts, the rest counts; the outermost word within reach does not, as it may be cut.
-            before = [text[max(s, a - 400) : min(e, a)] for s, e in places if s < a and e > a - 400][a > 400 :]
-            after = [text[max(s, b) : min(e, b + 400)] for s, e in places if e > b and s < b + 400]
-            after = after[: len(after) - (len(text) > b + 400)]
+            before = [text[s:e] for s, e in places if e <= a][-65:]
+            after = [text[s:e] for s, e in places if s >= b][:65]
             core = lambda ws: [w.strip(edge).lower() for w in ws]
             n = rules.window
             near = sorted(set(core(before[len(before) - min(n, len(before)) :] + after[:n])))
@@ -581,6 +579,14 @@ def brute_contexts(text, rules):
                     yield text[a:b].lower(), term, *pii.least_hashes(units or [t for t in near if t != term])
 
 
+def test_context_is_counted_in_words_of_any_length():
+    text = f"Johnson {'z' * 450} (bob@x.org), {'y' * 500} Smith"
+    (entity, near, far), = pii.surroundings(text, pii.Disclosure())
+    assert entity == "bob@x.org" and near == sorted(["johnson", "z" * 450, "y" * 500, "smith"]) and far == [[], []]
+    (_, near, far), = pii.surroundings(" ".join(f"w{i}" for i in range(100)) + " a@b.cc " + " ".join(f"v{i}" for i in range(100)), pii.Disclosure())
+    assert len(near) == 10 and far == [[f"w{i}" for i in range(35, 95)], [f"v{i}" for i in range(5, 65)]]
+
+
 def brute_terms(texts, rules=pii.Disclosure()):
     rows = Counter(x for t in texts for x in brute_contexts(t, rules))
     for _ in range(4):  # contexts that agree in one hash are one, with the later hashes that most have
