@@ -3,37 +3,51 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Settings
+from .embedding import loaded
 from .logs import setup_logging
-from .operators.audit import audit_action, cleared_count, gap_sums, inspected, path_owners, reconciled, repaired, totals_check
+from .operators.audit import action_by_facts, cleared_count, file_facts, gap_sums, inspected, path_owners, reconciled, repaired_by_facts, totals_check
 from .operators.migrate import migrated
 from .operators.summary import run_summary
 from .operators.upsert import set_fields
-from .plans.pipeline import answer, ingest, retrieve
+from .plans.pipeline import answer, ingest_into, retrieve
 from .plans.schedule import run_daily
 from .plans.scrape import COUNTERS, KINDS, document_paths, scrape_year
-from .plans.service import run_job, suspicious_pages
-from .schemas import CHUNK, RECORD, STATE
+from .plans.service import convert_documents, publish_files, run_job, suspicious_pages
+from .schemas import CHUNK, DEAD, RECORD, STATE, UPLOAD_CACHE
 from .sources.downloads import downloaded, removed, renamed, write_files
 from .sources.files import binary_files, file_hashes, read_legacy, text_listing, to_convert, whole_texts
 from .sources.html import page_shortfalls
+from .sources.keyed import KeyedStore
 from .sources.listing_source import ListingSource
 from .sources.scratch import stored
-from .sources.store import SnapshotStore
+from .sources.store import Pointed
 
 log = logging.getLogger(__name__)
 INDEX = CHUNK + ", embedding array<float>, ingested_at timestamp"
+#: Store → schema and key.
+STORES = {"records": (RECORD, "id"), "index": (INDEX, "chunk_id"), "state": (STATE, "id"), "published": (UPLOAD_CACHE, "sha256"), "dead": (DEAD, ["step", "item"])}
 
 
-def stores(spark: SparkSession, root: str) -> dict[str, SnapshotStore]:
-    kinds = {"records": RECORD, "index": INDEX, "state": STATE}
-    return {k: SnapshotStore(spark, f"{root}/{k}", schema) for k, schema in kinds.items()}
+def stores(spark: SparkSession, root: str) -> dict[str, KeyedStore]:
+    return {k: KeyedStore(spark, f"{root}/{k}", *of) for k, of in STORES.items()}
+
+
+def job_lock(spark: SparkSession, root: str):
+    """One writing command at a time, whichever it is."""
+    return Pointed(spark, f"{root}/job").lock()
+
+
+def run_time(args) -> Column:
+    """The run's time stamp: as given, else the present."""
+    return F.to_timestamp(F.lit(args.run_ts or dt.datetime.now(dt.timezone.utc).isoformat()))
 
 
 def listing_pages(spark: SparkSession, args, settings: Settings) -> DataFrame:
@@ -48,19 +62,26 @@ def listing_pages(spark: SparkSession, args, settings: Settings) -> DataFrame:
 
 
 def scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    with job_lock(spark, args.root):
+        return _scrape(spark, args, settings)
+
+
+def _scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
     """Listing pages and, if asked for, their documents into the record store. Each year is a commit of its own; one that fails is
     reported and the next goes on. Pages without any record are kept for inspection."""
     pages = listing_pages(spark, args, settings)
-    store = stores(spark, args.root)["records"]
+    s = stores(spark, args.root)
+    store = s["records"]
+    store.read_or_quarantine()
     fetch = (lambda wanted: downloaded(wanted, args.files)) if args.download else None
-    done = []
-    with store.lock():
-        for year in sorted(r["year"] for r in pages.select("year").distinct().collect()):  # one row a year of the listing
-            try:
-                done.append(scrape_year(pages.where(F.col("year") == year), year, store, F.to_timestamp(F.lit(args.run_ts)), settings, fetch))
-            except Exception:  # a year that fails must not hold up the others
-                log.exception("year %s", year)
-                done.append({"year": year, "failed": True})
+    done, run_ts = [], run_time(args)
+    for year in sorted(r["year"] for r in pages.select("year").distinct().collect()):  # one row a year of the listing
+        try:
+            done.append(scrape_year(pages.where(F.col("year") == year), year, store, run_ts, settings, fetch, s["dead"]))
+        except Exception:  # a year that fails must not hold up the others
+            log.exception("year %s", year)
+            done.append({"year": year, "failed": True})
+    tidied(store, s["dead"])
     records = store.read()
     odd = suspicious_pages(pages, records)
     write_files(odd.select(F.concat(F.lit("year-"), F.col("year").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content")), f"{args.root}/debug").collect()
@@ -69,16 +90,39 @@ def scrape(spark: SparkSession, args, settings: Settings) -> list[dict]:
     return out + [r.asDict() for r in page_shortfalls(pages, records).collect()]
 
 
+def tidied(*touched: KeyedStore) -> None:
+    """Rewrite the buckets of which much has changed, and drop what only versions before the last two read."""
+    for store in touched:
+        store.compact()
+        store.vacuum()
+
+
 def run_ingest(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    with job_lock(spark, args.root):
+        return _ingest(spark, args, settings)
+
+
+def _texts(spark: SparkSession, args) -> DataFrame:
+    """Converted documents: a Parquet table, or the folder of text files."""
+    if args.texts:
+        texts = spark.read.parquet(args.texts)
+        return texts.select("record_id", "kind", "text", *(["error"] if "error" in texts.columns else []))
+    files = whole_texts(spark, args.text_files)
+    return files.select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("record_id"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("kind"), "text")
+
+
+def _ingest(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """Changed records and texts into the index; with --publish, copies of new files are made and linked first."""
     s = stores(spark, args.root)
-    texts = spark.read.parquet(args.texts)
-    texts = texts.select("record_id", "kind", "text", *(["error"] if "error" in texts.columns else []))
-    with s["index"].lock():
-        out = ingest(s["records"].read(), texts, s["index"].read(), s["state"].read(), F.to_timestamp(F.lit(args.run_ts)), settings, tombstones=args.tombstones)
-        stats = [r.asDict() for r in out["stats"].collect()]
-        s["index"].commit(out["index"], sort=["record_id", "chunk_type", "chunk_index"])
-        s["state"].commit(out["state"], sort=["id"])
-    return stats
+    for store in s.values():
+        store.read_or_quarantine()
+    links = None
+    if args.publish:
+        files = binary_files(spark, args.files).where("length > 0").select(_relative().alias("path"), "content")
+        links = publish_files(s["records"].read(), files, s["published"], args.publish)
+    stats = ingest_into(s, _texts(spark, args), run_time(args), settings, links=links, tombstones=args.tombstones)
+    tidied(*s.values())
+    return [stats]
 
 
 def ask(spark: SparkSession, args, settings: Settings) -> list[dict]:
@@ -97,12 +141,12 @@ def audit(spark: SparkSession, args, settings: Settings) -> list[dict]:
     their hash, texts without a file deleted."""
     store = stores(spark, args.root)["records"]
     records = store.read()
-    files = binary_files(spark, args.files).select(_relative().alias("rel"), F.col("path").alias("file"), "content")
+    facts = stored(binary_files(spark, args.files).select(_relative().alias("rel"), F.col("path").alias("file"), file_facts(F.col("content")).alias("facts")), "file-facts")
     fields = {f"{field}_local_pdf_path": f"{field}_pdf_sha256" for field, _ in KINDS.values()}
     found = None
     for path, sha in fields.items():
-        j = records.join(files, F.col(path) == F.col("rel"), "left")
-        rows = j.select("id", F.col(path).alias("path"), audit_action(F.col(path), F.col("content"), F.col(sha)).alias("action"), "file").where("action IS NOT NULL")
+        j = records.join(facts, F.col(path) == F.col("rel"), "left")
+        rows = j.select("id", F.col(path).alias("path"), action_by_facts(F.col(path), F.col("facts"), F.col(sha)).alias("action"), "file").where("action IS NOT NULL")
         found = rows if found is None else found.union(rows)
     if args.text_files:
         gone = document_paths(records).where("path IS NULL").select("record_id", "kind")
@@ -110,14 +154,15 @@ def audit(spark: SparkSession, args, settings: Settings) -> list[dict]:
         found = found.union(orphans.select(F.col("record_id").alias("id"), _relative("file").alias("path"), F.lit("DELETE orphaned markdown (no backing PDF)").alias("action"), "file"))
     found = stored(found, "findings")
     if args.repair:
-        with store.lock():
-            fixed = records
+        with job_lock(spark, args.root):
+            fixed = records.join(found.select("id").distinct(), "id", "left_semi")
             for path, sha in fields.items():
-                own = fixed.join(files.select("rel", "content"), F.col(path) == F.col("rel"), "left")
-                fixed = repaired(own, path, sha, F.col("content")).drop("rel", "content")
+                own = fixed.join(facts.select("rel", "facts"), F.col(path) == F.col("rel"), "left")
+                fixed = repaired_by_facts(own, path, sha, F.col("facts")).drop("rel", "facts")
             fixed = stored(fixed, "repaired")  # before any file goes
             found.foreach(_apply)
-            store.commit(fixed.select(*RECORD.names), sort=["year", "serial_no"])
+            store.commit(fixed.select(*RECORD.names))
+            tidied(store)
     counts = cleared_count(found.where(~F.col("action").contains("markdown"))).head()
     rows = [r.asDict() for r in found.orderBy("id", "path").drop("file").limit(args.limit).collect()]
     return [*rows, {"checked": records.count(), "findings": found.count(), "cleared": counts["n_cleared"], "repaired": bool(args.repair)}]
@@ -155,11 +200,36 @@ def reconcile(spark: SparkSession, args, settings: Settings) -> list[dict]:
 
 
 def convert(spark: SparkSession, args, settings: Settings) -> list[dict]:
-    """Which documents' texts have to be made or made anew: their file is newer than their text, or there is no text."""
+    """Make the texts that are not there or older than their file, and report them; --list only names them. A file that fails is tried
+    again by the next run."""
+    s = stores(spark, args.root)
+    files = binary_files(spark, args.files)
+    wanted = to_convert(document_paths(s["records"].read()).where("path IS NOT NULL").select("record_id", "kind", "path"), files.select(_relative().alias("path"), "length", "modificationTime"), text_listing(spark, args.text_files))
+    if args.list:
+        return [r.asDict() for r in wanted.orderBy("record_id", "kind").limit(args.limit).collect()]
+    with job_lock(spark, args.root):
+        wanted = stored(wanted, "to-convert")
+        recognizer = loaded(args.recognizer) if args.recognizer else None
+        done = stored(convert_documents(wanted, files.where("length > 0").select(_relative().alias("path"), "content"), args.text_files, loaded(args.extractor), recognizer), "conversions")
+        item = F.concat_ws("/", "kind", "record_id").alias("item")
+        failed = done.where("error IS NOT NULL").select(F.lit("conversion").alias("step"), item, "error", run_time(args).alias("failed_at"))
+        s["dead"].commit(failed, done.where("error IS NULL").select(F.lit("conversion").alias("step"), item))
+        tidied(s["dead"])
+    counts = done.agg(F.count_if(F.col("error").isNull()).alias("converted"), F.count_if("any_ocr").alias("with_ocr"), F.count("error").alias("failed")).head()
+    return [r.asDict() for r in done.where("error IS NOT NULL").orderBy("record_id", "kind").limit(args.limit).collect()] + [counts.asDict()]
+
+
+def failures(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """What failed and has not succeeded since."""
+    return [r.asDict() for r in stores(spark, args.root)["dead"].read().orderBy("step", "item").limit(args.limit).collect()]
+
+
+def export(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """All records as JSON lines in order of year and serial number, files in order; null fields are written."""
     records = stores(spark, args.root)["records"].read()
-    files = binary_files(spark, args.files).select(_relative().alias("path"), "length", "modificationTime")
-    wanted = to_convert(document_paths(records).where("path IS NOT NULL").select("record_id", "kind", "path"), files, text_listing(spark, args.text_files))
-    return [r.asDict() for r in wanted.orderBy("record_id", "kind").limit(args.limit).collect()]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records.repartitionByRange(width, "year", "serial_no").sortWithinPartitions("year", "serial_no", "id").write.mode("overwrite").option("ignoreNullFields", False).json(args.to)
+    return [{"exported": spark.read.schema(RECORD).json(args.to).count()}]
 
 
 def totals(spark: SparkSession, args, settings: Settings) -> list[dict]:
@@ -172,18 +242,17 @@ def totals(spark: SparkSession, args, settings: Settings) -> list[dict]:
 def schedule(spark: SparkSession, args, settings: Settings) -> list[dict]:
     """The daily job, scrape and then ingest, at --at hours:minutes UTC until it is stopped."""
     hour, minute = map(int, args.at.split(":"))
-    lock = SnapshotStore(spark, f"{args.root}/job", RECORD)
-    job = lambda: run_job(lambda: scrape(spark, args, settings)[0], lambda: run_ingest(spark, args, settings)[0], lock)
+    job = lambda: run_job(lambda: _scrape(spark, args, settings)[0], lambda: _ingest(spark, args, settings)[0], Pointed(spark, f"{args.root}/job"))
     return [{"runs": run_daily(job, hour, minute, rounds=args.rounds)}]
 
 
 def set_field(spark: SparkSession, args, settings: Settings) -> list[dict]:
-    """Patch one field of one record."""
+    """Patch one field of one record; without --value it becomes null."""
     store = stores(spark, args.root)["records"]
-    with store.lock():
-        records = store.read()
+    with job_lock(spark, args.root):
+        records = store.read().where(F.col("id") == args.ids[0])
         patch = spark.createDataFrame([(args.ids[0], args.value)], "id string, value string").select("id", F.col("value").cast(records.schema[args.field].dataType).alias(args.field))
-        store.commit(set_fields(records, patch, "id", [args.field]).select(*RECORD.names), sort=["year", "serial_no"])
+        store.commit(set_fields(records, patch, "id", [args.field], nulls=True).select(*RECORD.names))
     return [{"patched": store.read().where(F.col("id") == args.ids[0]).count()}]
 
 
@@ -204,12 +273,12 @@ def migrate(spark: SparkSession, args, settings: Settings) -> list[dict]:
     out = migrated(old, file_hashes(spark, args.files), schema_version=settings.schema_version)
     store = stores(spark, args.root)["records"]
     given = set(out.columns)
-    with store.lock():
-        store.commit(out.select(*(F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD)), sort=["year", "serial_no"])
+    with job_lock(spark, args.root):
+        store.replace(out.select(*(F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD)))
     return [r.asDict() for r in out.groupBy("outcome").count().collect()]
 
 
-COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, convert, totals, inspect, migrate, schedule, set_field)}
+COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, convert, failures, export, totals, inspect, migrate, schedule, set_field)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -235,7 +304,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--question")
     p.add_argument("--top-k", type=int)
     p.add_argument("--chunk-type")
-    p.add_argument("--run-ts", default="1970-01-01T00:00:00Z", help="the run's time stamp")
+    p.add_argument("--run-ts", help="the run's time stamp; the present if not given")
+    p.add_argument("--publish", help="ingest: folder for copies of the documents, which are linked")
+    p.add_argument("--list", action="store_true", help="convert: name the documents only")
+    p.add_argument("--extractor", default="corpusloom.embedding:PlainPages", help="convert: module:Class with pages(content)")
+    p.add_argument("--recognizer", help="convert: module:Class with text(content, page), for pages without text")
+    p.add_argument("--to", help="export: folder of JSON lines")
     p.add_argument("--limit", type=int, default=20)
     args = p.parse_args(argv)
     if args.log:

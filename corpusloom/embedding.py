@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from importlib import import_module
 from typing import Protocol
 
 import numpy as np
@@ -75,6 +76,22 @@ class PdfExtractor(Protocol):
     def pages(self, content: bytes) -> list[str]: ...
 
 
+class PlainPages:
+    """A stand-in for a PDF library: what follows the header's line is UTF-8 text, with a form feed between pages."""
+
+    def pages(self, content: bytes) -> list[str]:
+        head, _, rest = content.partition(b"\n")
+        if not head.startswith(b"%PDF-"):
+            raise ValueError("no PDF header")
+        return rest.decode().split("\f")
+
+
+def loaded(name: str) -> object:
+    """An object of the class module:Class, for extractors, recognisers and the like that users bring."""
+    module, _, cls = name.partition(":")
+    return getattr(import_module(module), cls)()
+
+
 def extracted(files: DataFrame, extractor: PdfExtractor) -> DataFrame:
     """(path, content) → (path, page, text, error): a file that fails is a row with its error, not a failed task."""
 

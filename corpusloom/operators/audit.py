@@ -16,22 +16,33 @@ CLEAR, DELETE, RENAME, BACKFILL = (
 )
 
 
-def audit_action(path: Column, content: Column, sha: Column) -> Column:
-    """What a record's file needs; NULL: nothing, or no path. content is the file's, NULL if there is none."""
+def file_facts(content: Column) -> Column:
+    """What the audit has to know of a file: is it filled, does it look like a PDF, its sha256. NULL for no file."""
+    return F.when(content.isNotNull(), F.struct((F.length(content) > 0).alias("filled"), looks_like_pdf(content).alias("is_pdf"), F.sha2(content.cast("binary"), 256).alias("sha256")))
+
+
+def _action(path: Column, filled: Column, is_pdf: Column, sha: Column) -> Column:
     return (
         F.when(blank_to_null(path).isNull(), None)
-        .when(content.isNull() | (F.length(content) == 0), CLEAR)
-        .when(~looks_like_pdf(content), DELETE)
+        .when(~F.coalesce(filled, F.lit(False)), CLEAR)
+        .when(~is_pdf, DELETE)
         .when(~F.lower(path).endswith(".pdf"), F.concat(F.lit(RENAME), path, F.lit(".pdf")))
         .when(blank_to_null(sha).isNull(), BACKFILL)
     )
 
 
-def repaired(records: DataFrame, path: str, sha: str, content: Column) -> DataFrame:
-    """The records as the audit's actions leave them."""
-    action = audit_action(F.col(path), content, F.col(sha))
+def audit_action(path: Column, content: Column, sha: Column) -> Column:
+    """What a record's file needs; NULL: nothing, or no path. content is the file's, NULL if there is none."""
+    return _action(path, F.length(content) > 0, looks_like_pdf(content), sha)
+
+
+def action_by_facts(path: Column, facts: Column, sha: Column) -> Column:
+    """The same from a file's facts (see `file_facts`), so that no content has to be joined."""
+    return _action(path, facts["filled"], facts["is_pdf"], sha)
+
+
+def _repaired(records: DataFrame, path: str, sha: str, action: Column, fresh: Column) -> DataFrame:
     cleared = action.isin(CLEAR, DELETE)
-    fresh = F.sha2(content.cast("binary"), 256)
     return records.withColumns(
         {
             path: F.when(cleared, None).when(action.startswith(RENAME), F.concat(F.col(path), F.lit(".pdf"))).otherwise(F.col(path)),
@@ -40,6 +51,15 @@ def repaired(records: DataFrame, path: str, sha: str, content: Column) -> DataFr
     )
 
 
+def repaired(records: DataFrame, path: str, sha: str, content: Column) -> DataFrame:
+    """The records as the audit's actions leave them."""
+    return _repaired(records, path, sha, audit_action(F.col(path), content, F.col(sha)), F.sha2(content.cast("binary"), 256))
+
+
+def repaired_by_facts(records: DataFrame, path: str, sha: str, facts: Column) -> DataFrame:
+    return _repaired(records, path, sha, action_by_facts(F.col(path), facts, F.col(sha)), facts["sha256"])
+
+
 def cleared_count(actions: DataFrame, action: str = "action") -> DataFrame:
     return actions.agg(F.count_if(F.col(action).rlike("^(CLEAR|DELETE)")).alias("n_cleared"), F.count(action).alias("n_actions"))
 

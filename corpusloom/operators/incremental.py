@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Piece → its hash in records and state, and its chunk count in the state (the metadata card is one chunk).
@@ -86,3 +87,31 @@ def run_counters(records: DataFrame, committed: DataFrame, failed: DataFrame, up
         F.count_if(~done & F.col("_failed").isNull()).alias("unchanged"),
         F.count_if("_failed").alias("errors"),
     )
+
+
+def outcome_rows(records: DataFrame, state: DataFrame, committed: DataFrame, failed: DataFrame, uploaded: DataFrame) -> DataFrame:
+    """One row a record: its new state, and what the run did for it: done_<kind>, failed, uploaded. Arguments as in `next_state` and `run_counters`.
+
+    The rows whose done_<kind> is true anywhere are what changes in the state; `counters_of` counts the run from the same rows.
+    """
+    new = next_state(records, state, committed)
+    done = committed.groupBy(F.col("record_id").alias("id")).agg(*(F.count_if(F.col("chunk_type") == k).alias("_d_" + k) for k in PIECES))
+    flag = lambda df, name: df.select(F.col("record_id").alias("id")).distinct().withColumn(name, F.lit(True))
+    rows = records.select("id").join(new, "id", "left").join(done, "id", "left").join(flag(failed, "failed"), "id", "left").join(flag(uploaded, "uploaded"), "id", "left")
+    no = F.lit(False)
+    return rows.select(*new.columns, *((F.coalesce("_d_" + k, F.lit(0)) > 0).alias("done_" + k) for k in PIECES), F.coalesce("failed", no).alias("failed"), F.coalesce("uploaded", no).alias("uploaded"))
+
+
+def any_done() -> Column:
+    return reduce(Column.__or__, [F.col("done_" + k) for k in PIECES])
+
+
+def counters_of() -> list[Column]:
+    """The counters of `run_counters` as aggregates over `outcome_rows`: to be observed while these are written."""
+    return [
+        F.count("*").alias("records_seen"),
+        *(F.count_if("done_" + k).alias(k + "_ingested") for k in PIECES),
+        F.count_if("uploaded").alias("gdrive_uploaded"),
+        F.count_if(~any_done() & ~F.col("failed")).alias("unchanged"),
+        F.count_if("failed").alias("errors"),
+    ]

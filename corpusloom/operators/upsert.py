@@ -53,11 +53,11 @@ def outcomes(feed: DataFrame, key: str, seq: str, hash_col: str, stored: DataFra
     return rows.withColumn("outcome", outcome).where("_fed").drop("_fed", "_part", "_first", "_prev", "_before")
 
 
-def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site: Sequence[str], carried: Sequence[str] = (), stored: DataFrame | None = None, ranges: int = 1) -> DataFrame:
+def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site: Sequence[str], carried: Sequence[str] = (), stored: DataFrame | None = None, ranges: int = 1, untouched: bool = True) -> DataFrame:
     """The snapshot after the feed: key, site fields, carried fields, first_seen_at, last_seen_at, updated_at.
 
     Site fields are those of the last row that was inserted or updated; carried fields keep their last non-null value, so a
-    failed download never blanks a path; keys that the feed does not mention pass through. Nothing is deleted.
+    failed download never blanks a path; keys that the feed does not mention pass through (or are left out: untouched). Nothing is deleted.
     Aggregations only: each key is reduced on the map side to a few values before the shuffle, whatever its rows;
     whether a row changes anything needs its predecessor: see `outcomes`, also for ranges.
     """
@@ -86,21 +86,23 @@ def snapshot(feed: DataFrame, key: str, seq: str, at: str, hash_col: str, site:
         return new.drop("_changes")
     old = stored.select(F.col(key).alias("_key"), *(F.col(c).alias("_" + c) for c in (*site, *carried, "first_seen_at", "last_seen_at", "updated_at")))
     both = new.join(old, F.col(key).eqNullSafe(F.col("_key")), "left")
-    return both.select(
+    touched = both.select(
         key,
         *(F.when(F.col("_changes") > 0, F.col(c)).otherwise(F.col("_" + c)).alias(c) for c in site),
         *(F.coalesce(c, "_" + c).alias(c) for c in carried),
         F.coalesce("_first_seen_at", "first_seen_at").alias("first_seen_at"),
         F.coalesce("last_seen_at", "_last_seen_at").alias("last_seen_at"),
         F.coalesce("updated_at", "_updated_at").alias("updated_at"),
-    ).unionByName(rest.select(key, *site, *carried, "first_seen_at", "last_seen_at", "updated_at"))
+    )
+    return touched if not untouched else touched.unionByName(rest.select(key, *site, *carried, "first_seen_at", "last_seen_at", "updated_at"))
 
 
-def set_fields(table: DataFrame, patches: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Patch single columns: non-null patch values win; patches of unknown keys do nothing. One patch row per key."""
-    p = patches.select(F.col(key), *(F.col(f).alias("_p_" + f) for f in fields))
+def set_fields(table: DataFrame, patches: DataFrame, key: str, fields: Sequence[str], nulls: bool = False) -> DataFrame:
+    """Patch single columns: non-null patch values win, or with nulls all of them; patches of unknown keys do nothing. One patch row per key."""
+    p = patches.select(F.col(key), *(F.col(f).alias("_p_" + f) for f in fields), F.lit(True).alias("_patched"))
     joined = table.join(p, key, "left")
-    return joined.select(*(F.coalesce("_p_" + c, c).alias(c) if c in fields else F.col(c) for c in table.columns))
+    value = lambda c: F.when(F.col("_patched"), F.col("_p_" + c)).otherwise(F.col(c)) if nulls else F.coalesce("_p_" + c, c)
+    return joined.select(*(value(c).alias(c) if c in fields else F.col(c) for c in table.columns))
 
 
 def last_per_key(rows: DataFrame, key: str, order: Column) -> DataFrame:

@@ -13,8 +13,8 @@ from ..operators.audit import destination, path_owners
 from ..operators.upsert import outcomes, snapshot
 from ..schemas import CARRIED, HASHED, RECORD
 from ..sources.html import listing_records
+from ..sources.keyed import KeyedStore
 from ..sources.scratch import discard, stored
-from ..sources.store import SnapshotStore
 
 #: Kind of document → prefix of its fields in a record, folder of its files (fixed values).
 KINDS = {"judgment_pdf": ("judgment", "judgments"), "sc_judgment_pdf": ("sc_judgment", "sc_judgments")}
@@ -52,32 +52,41 @@ def with_documents(rows: DataFrame, fetched: DataFrame) -> DataFrame:
     return rows
 
 
-def scrape_year(page: DataFrame, year: int, store: SnapshotStore, run_ts: Column, settings: Settings = Settings(), fetch: Fetch | None = None) -> dict:
+def scrape_year(page: DataFrame, year: int, store: KeyedStore, run_ts: Column, settings: Settings = Settings(), fetch: Fetch | None = None, dead: KeyedStore | None = None) -> dict:
     """One year's page (year, html; a null page: it could not be fetched) into the store, and its counters.
 
-    fetch: wanted documents → (record_id, kind, path, sha256, error). The store is committed for this year alone, so a later
-    year that fails loses nothing.
+    fetch: wanted documents → (record_id, kind, path, sha256, error). The store gets a commit with this year's rows alone, so a later
+    year that fails loses nothing. dead: keeps what failed, a page that cannot be parsed or a document that was not fetched, until it
+    succeeds. A page that cannot be parsed is a failed year.
     """
     stats = {"year": year} | dict.fromkeys(COUNTERS, 0) | {"failed": False}
     if page.where("html IS NULL").head() is not None or page.head() is None:
         return stats | {"failed": True}
-    rows = stored(listing_records(page, settings).withColumn("seq", F.col("serial_no").cast("long")), "listing")
+    parsed = stored(listing_records(page, settings, errors=True).withColumn("seq", F.col("serial_no").cast("long")), "listing")
+    rows = parsed.where("error IS NULL").drop("error")
+    pages = parsed.where("error IS NOT NULL").select(F.lit("page").alias("step"), F.lit(str(year)).alias("item"), "error")
     blank = {c: F.lit(None).cast("string") for c in CARRIED}
-    old = stored(store.read(), "records")
-    new = rows
+    known = store.current() is not None
+    new, got = rows, None
     if fetch is not None:
-        got = stored(fetch(wanted_documents(rows.withColumns(blank), old)), "fetched")
+        got = stored(fetch(wanted_documents(rows.withColumns(blank), store.read())), "fetched")
         new = with_documents(rows, got)
         for kind, name in (("judgment_pdf", "pdf"), ("sc_judgment_pdf", "sc_pdf")):
             own = got.where(F.col("kind") == kind).agg(F.count("sha256").alias("ok"), F.count_if(F.col("sha256").isNull()).alias("failed")).head()
             stats |= {f"{name}_ok": own["ok"], f"{name}_failed": own["failed"]}
     new = new.withColumns({c: x for c, x in blank.items() if c not in new.columns}).withColumn("run_ts", run_ts)
-    before = old if store.current() else None
+    before = store.beside(new) if known else None
     for r in outcomes(new, "id", "seq", "content_hash", before).groupBy("outcome").count().collect():  # three rows at most
         stats[r["outcome"]] = r["count"]
-    merged = snapshot(new, "id", "seq", "run_ts", "content_hash", ["serial_no", "year", *HASHED, "content_hash"], CARRIED, before)
-    merged = merged.withColumn("schema_version", F.lit(settings.schema_version)).select(*RECORD.names)
-    store.commit(merged, sort=["year", "serial_no"])
+    merged = snapshot(new, "id", "seq", "run_ts", "content_hash", ["serial_no", "year", *HASHED, "content_hash"], CARRIED, before, untouched=False)
+    store.commit(merged.withColumn("schema_version", F.lit(settings.schema_version)).select(*RECORD.names))
     stats["parsed"] = rows.count()
-    discard(rows, old, *([got] if fetch is not None else []))
+    if dead is not None:
+        step, item = F.col("kind").alias("step"), F.col("record_id").alias("item")
+        lost = pages if got is None else pages.unionByName(got.where("error IS NOT NULL").select(step, item, "error"))
+        done = new.select(F.lit("page").alias("step"), F.lit(str(year)).alias("item")).limit(1)
+        done = done if got is None else done.unionByName(got.where("error IS NULL").select(step, item))
+        dead.commit(lost.dropDuplicates(["step", "item"]).withColumn("failed_at", run_ts), done)
+    stats["failed"] = pages.head() is not None
+    discard(parsed, *([got] if got is not None else []))
     return stats

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,9 @@ from .functions import arrays, hashing, text, vectors
 from .operators import audit, chunking, incremental, migrate, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
+from .sources.keyed import KeyedStore
+from .sources.layout import BucketedTable
 from .sources.scratch import shared_dir
-from .sources.store import SnapshotStore
 from .streaming.ingest import upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,11 +120,26 @@ def stream_ingest(spark, sf_dir):
     stream = _feed(spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*"))  # a pattern: a plain path would have to be a folder
     kind = {f.name: f.dataType for f in stream.schema}
     names = {"user_id": "user_id", "event_type": "event_type", "value": "value", "path": "path", "first_seen_at": "at", "last_seen_at": "at", "updated_at": "at"}
-    store = SnapshotStore(spark, f"{root}/snapshot", T.StructType([T.StructField(name, kind[of]) for name, of in names.items()]))
+    store = KeyedStore(spark, f"{root}/snapshot", T.StructType([T.StructField(name, kind[of]) for name, of in names.items()]), "user_id")
     upsert_stream(stream, store, f"{root}/checkpoint", "user_id", "event_id", "at", "event_type", ["event_type", "value"], ["path"])
     return store.read()
 
 
+@query
+def store_versions(spark, sf_dir):
+    """The keyed store after each of three batches of events, ten days each: a user's last event replaces the row, a logout deletes it. Between the
+    batches worn buckets are rewritten; every version is still read as it was."""
+    events = _feed(table(spark, sf_dir, "events")).select("user_id", "event_id", "event_type", "value", F.least(F.floor((F.dayofmonth("at") - 1) / 10), F.lit(2)).alias("batch"))
+    store = KeyedStore(spark, f"{shared_dir(spark)}/corpusloom/versions-{uuid.uuid4().hex}", events.drop("batch").schema, "user_id")
+    states = []
+    for k in range(3):
+        last = upsert.last_per_key(events.where(F.col("batch") == k), "user_id", F.col("event_id"))
+        version = store.commit(last.where("event_type <> 'logout'"), last.where("event_type = 'logout'"))
+        states.append(store.read(version).withColumn("batch", F.lit(k)))
+        store.compact()
+    return states[0].union(states[1]).union(states[2])
+
+
 @query
 def last_record(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
@@ -153,6 +169,20 @@ def incremental_diff(spark, sf_dir):
     return incremental.changed_pieces(records, state, ["text_sha", "meta_sha"], "doc_id")
 
 
+@query
+def copartitioned_diff(spark, sf_dir):
+    """The same comparison of tables that are bucketed by the id, records in partitions: the join has no exchange."""
+    records, state = _states(spark, sf_dir)
+    records = records.join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    run = uuid.uuid4().hex
+    at = f"{shared_dir(spark)}/corpusloom/layout-{run}"
+    stored_records = BucketedTable(spark, f"records_{run}", f"{at}/records", records.schema, "doc_id", "lang")
+    stored_state = BucketedTable(spark, f"state_{run}", f"{at}/state", state.schema, "doc_id")
+    stored_records.overwrite(records)
+    stored_state.overwrite(state)
+    return incremental.changed_pieces(stored_records.read(), stored_state.read(), ["text_sha", "meta_sha"], "doc_id")
+
+
 @query
 def shrink_delete(spark, sf_dir):
     """Chunks of the finer cut that the coarser one leaves behind. How many the coarser one has follows from the number of words, so nothing is
@@ -270,6 +300,17 @@ def ingest_counters(spark, sf_dir):
     return incremental.run_counters(records, _committed(records, state), of("n_chars % 7 = 0"), of("quality = 0"))
 
 
+@query
+def observed_counters(spark, sf_dir):
+    """The same counters, observed while the outcome of each record is written."""
+    records, state = _ingested(spark, sf_dir)
+    of = lambda where: records.where(where).select(F.col("id").alias("record_id"))
+    seen = Observation(f"run-{uuid.uuid4().hex}")
+    rows = incremental.outcome_rows(records, state, _committed(records, state), of("n_chars % 7 = 0"), of("quality = 0")).observe(seen, *incremental.counters_of())
+    rows.write.parquet(f"{shared_dir(spark)}/corpusloom/outcomes-{uuid.uuid4().hex}")
+    return spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{c} long" for c in seen.get))
+
+
 @query
 def run_summary(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.dayofmonth("ts").alias("day"))

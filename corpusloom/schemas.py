@@ -43,6 +43,8 @@ CARRIED = ("judgment_local_pdf_path", "judgment_pdf_sha256", "sc_judgment_local_
 CHUNK_TYPES = ("metadata", "judgment_pdf", "sc_judgment_pdf")
 CHUNK = "chunk_id string, record_id string, chunk_type string, chunk_index int, text string, chunk_hash string"
 STATE = "id string, content_hash string, judgment_pdf_sha256 string, sc_judgment_pdf_sha256 string, judgment_chunk_count int, sc_judgment_chunk_count int"
+#: What failed in a run and is to be tried again: the step, what it worked on, and why.
+DEAD = "step string, item string, error string, failed_at timestamp"
 UPLOAD_CACHE = "sha256 string, file_id string, view_url string, name string"
 LISTING_ROW = T.StructType(
     [T.StructField(c, _S) for c in ("serial", "case_info", "remarks", "other_citation", "neutral_citation", "decision_date", "sc_status", "category", "download_href", "second_href")]

@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import Settings
 from ..functions.hashing import content_hash
@@ -76,11 +76,13 @@ def listing_cells(html: str, table_id: str) -> list[tuple]:
     return out
 
 
-def parsed_rows(pages: DataFrame, html: str, parse: Callable[[str], Iterable[tuple]], row: StructType) -> DataFrame:
+def parsed_rows(pages: DataFrame, html: str, parse: Callable[[str], Iterable[tuple]], row: StructType, errors: bool = False) -> DataFrame:
     """pages → its columns but the markup, and a row for each tuple that parse finds in it; none for a null page.
 
-    Pages go to Python in Arrow batches, their other columns as they are. A page that cannot be parsed has no rows.
+    Pages go to Python in Arrow batches, their other columns as they are. A page that cannot be parsed has no rows, or, with errors, one row of
+    nulls that says why in a further column `error`.
     """
+    row = StructType([*row.fields, StructField("error", StringType())]) if errors else row
     kinds = {"string": pa.string(), "int": pa.int32()}
     keys = pages.drop(html)
 
@@ -89,9 +91,9 @@ def parsed_rows(pages: DataFrame, html: str, parse: Callable[[str], Iterable[tup
             at, found = [], []
             for i, page in enumerate(b.column(b.num_columns - 1)):
                 try:
-                    own = list(parse(page.as_py())) if page.is_valid else []
-                except (ValueError, AssertionError, RecursionError):  # whatever markup the parser gives up on
-                    own = []
+                    own = [(*x, None) if errors else x for x in parse(page.as_py())] if page.is_valid else []
+                except (ValueError, AssertionError, RecursionError) as e:  # whatever markup the parser gives up on
+                    own = [(*[None] * (len(row) - 1), f"{type(e).__name__}: {e}")] if errors else []
                 at += [i] * len(own)
                 found += own
             cols = zip(*found) if found else [()] * len(row)
@@ -137,14 +139,16 @@ def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
     return parsed_rows(pages, html, anchor_rows, ANCHOR_ROW)
 
 
-def listing_records(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def listing_records(pages: DataFrame, settings: Settings = Settings(), errors: bool = False) -> DataFrame:
     """pages (year, html) → records of the site's fields: parsed, normalized, hashed.
 
-    Rows without a plain number are skipped; a number too large for an int stays in the id, and serial_no is NULL.
+    Rows without a plain number are skipped; a number too large for an int stays in the id, and serial_no is NULL. errors: a page that
+    cannot be parsed is a row with its year and error, in a further column; all others have NULL there.
     """
     table_id = settings.table_id
-    rows = parsed_rows(pages.select("year", "html"), "html", lambda page: listing_cells(page, table_id), LISTING_ROW)
-    rows = rows.where(F.col("serial").rlike("^[0-9]+$"))
+    rows = parsed_rows(pages.select("year", "html"), "html", lambda page: listing_cells(page, table_id), LISTING_ROW, errors)
+    plain = F.col("serial").rlike("^[0-9]+$")
+    rows = rows.where(plain | F.col("error").isNotNull() if errors else plain)
     base = F.lit(settings.base_url)
     out = rows.select(
         record_id(settings.id_prefix, F.col("year"), F.col("serial")).alias("id"),
@@ -157,8 +161,10 @@ def listing_records(pages: DataFrame, settings: Settings = Settings()) -> DataFr
         *(blank_to_null(F.col(c)).alias(c) for c in ("sc_status", "category")),
         resolved_url(base, F.col("download_href")).alias("judgment_pdf_url"),
         resolved_url(base, F.col("second_href")).alias("sc_judgment_pdf_url"),
+        *["error"] * errors,
     )
-    return out.withColumn("content_hash", content_hash(*(F.col(c) for c in HASHED)))
+    out = out.withColumn("content_hash", content_hash(*(F.col(c) for c in HASHED)))
+    return out.select(*(c for c in out.columns if c != "error"), "error") if errors else out
 
 
 def page_shortfalls(pages: DataFrame, records: DataFrame) -> DataFrame:

@@ -16,25 +16,66 @@ class Locked(RuntimeError):
     """Another run holds the store."""
 
 
-class SnapshotStore:
-    """A table at a path of any file system that Spark writes to."""
+class Pointed:
+    """A folder of any file system that Spark writes to, in which a pointer file names what is current, and one writer at a time has the lock."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def current(self) -> str | None:
-        p = self._path(f"{self.path}/{POINTER}")
+    def text_of(self, name: str) -> str | None:
+        """The text of a small file below the folder."""
+        p = self._path(f"{self.path}/{name}")
         if not self._fs.exists(p):
             return None
         stream = self._fs.open(p)
         try:
-            return bytes(stream.readAllBytes()).decode().strip()
+            return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
+    def current(self) -> str | None:
+        name = self.text_of(POINTER)
+        return None if name is None else name.strip()
+
+    def put_text(self, name: str, text: str) -> None:
+        """Write a small file; what was there is replaced by an atomic rename."""
+        temp, final = self._path(f"{self.path}/.{uuid.uuid4().hex}"), self._path(f"{self.path}/{name}")
+        out = self._fs.create(temp, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        sc = self.spark.sparkContext
+        options = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = sc._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), sc._jsc.hadoopConfiguration()).rename(temp, final, options)
+
+    @contextmanager
+    def lock(self):
+        """One writer at a time: the lock file is created or the run stops."""
+        p = self._path(f"{self.path}/{LOCK}")
+        self._fs.mkdirs(self._path(self.path))
+        if not self._fs.createNewFile(p):
+            raise Locked(self.path)
+        try:
+            yield self
+        finally:
+            self._fs.delete(p, False)
+
+
+def unreadable(e: Exception) -> bool:
+    """Is it a file that is not Parquet, or is not there? Spark raises several kinds."""
+    return "Parquet" in str(e) or "parquet" in str(e) or "PATH_NOT_FOUND" in str(e)
+
+
+class SnapshotStore(Pointed):
+    """A table of whole snapshots."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | str):
+        super().__init__(spark, path)
+        self.schema = schema
+
     def read(self) -> DataFrame:
         """The current snapshot; empty with the table's schema before the first commit."""
         name = self.current()
@@ -48,14 +89,7 @@ class SnapshotStore:
         if version is not None and self.current() == name:
             return name
         (df.sortWithinPartitions(*sort) if sort else df).write.mode("overwrite").parquet(f"{self.path}/{name}")
-        temp, final = self._path(f"{self.path}/.{POINTER}-{uuid.uuid4().hex}"), self._path(f"{self.path}/{POINTER}")
-        out = self._fs.create(temp, True)
-        out.write(bytearray(name.encode()))
-        out.close()
-        rename = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        rename.rename(temp, final, options)
+        self.put_text(POINTER, name)
         return name
 
     def quarantine(self) -> str | None:
@@ -72,22 +106,10 @@ class SnapshotStore:
         """The snapshot if it can be read; else it is set aside and the table is empty."""
         try:
             df = self.read()
-            df.limit(1).collect()
+            df.count()  # reads the footers of all files
             return df
-        except Exception as e:  # Spark raises several kinds for files that are not Parquet
-            if "Parquet" not in str(e) and "parquet" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+        except Exception as e:
+            if not unreadable(e):
                 raise
             self.quarantine()
             return self.spark.createDataFrame([], self.schema)
-
-    @contextmanager
-    def lock(self):
-        """One writer at a time: the lock file is created or the run stops."""
-        p = self._path(f"{self.path}/{LOCK}")
-        self._fs.mkdirs(self._path(self.path))
-        if not self._fs.createNewFile(p):
-            raise Locked(self.path)
-        try:
-            yield self
-        finally:
-            self._fs.delete(p, False)

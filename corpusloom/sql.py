@@ -107,6 +107,9 @@ SELECT lang, string_agg('[' || rank || '] Record ' || doc_id || ' (' || source |
     "sorted_store": "SELECT o_orderkey, year(o_orderdate)::INTEGER AS year, row_number() OVER (ORDER BY year(o_orderdate), o_orderkey) AS rank FROM orders",
     "incremental_diff": f"""WITH {_STATES}
 SELECT doc_id, text_sha IS DISTINCT FROM s_text AS text_sha_changed, meta_sha IS DISTINCT FROM s_meta AS meta_sha_changed, known IS NULL AS is_new FROM records LEFT JOIN state USING (doc_id)""",
+    "store_versions": """WITH e AS (SELECT *, least((day(ts) - 1) // 10, 2)::INTEGER AS b FROM events),
+s AS (SELECT batch, user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM e JOIN (VALUES (0), (1), (2)) AS v(batch) ON b <= batch GROUP BY batch, user_id)
+SELECT user_id, event_id, event_type, value, batch FROM s WHERE event_type <> 'logout'""",
     "shrink_delete": f"""WITH coarse AS (SELECT doc_id, len(range(0, len(w), 700)) AS n FROM (SELECT doc_id, {_words("text")} AS w FROM documents))
 SELECT doc_id AS record_id, chunk_index, sha256(array_to_string(ws, ' ')) AS chunk_hash FROM ({_HARD}) JOIN coarse USING (doc_id) WHERE chunk_index >= n""",
     "run_summary": f"""WITH d AS (SELECT day(ts) AS day, count(*) AS parsed, count(*) FILTER (WHERE outcome = 'inserted') AS inserted, count(*) FILTER (WHERE outcome = 'updated') AS updated,
@@ -181,3 +184,4 @@ SELECT CASE WHEN NOT named THEN 'no_path' WHEN f.k IS NULL THEN 'cleared' ELSE '
     "inspect_ids": """SELECT doc_id, lang, n_chars, d.lang IS NOT NULL AS found, quality, toxic FROM (VALUES (0::BIGINT), (3), (17), (42), (999999999)) AS a(doc_id)
 LEFT JOIN (SELECT doc_id, lang, n_chars FROM documents) d USING (doc_id) LEFT JOIN labels USING (doc_id)""",
 }
+ORACLE_SQL |= {"copartitioned_diff": ORACLE_SQL["incremental_diff"], "observed_counters": ORACLE_SQL["ingest_counters"]}

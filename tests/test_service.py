@@ -3,11 +3,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans import service
 from corpusloom.schemas import CHUNK, RECORD
-from corpusloom.sources.store import Locked, SnapshotStore
+from corpusloom.sources.keyed import KeyedStore
+from corpusloom.sources.store import Locked
 
 
 def test_job_order_lock_and_status(spark, tmp_path):
-    store = SnapshotStore(spark, f"file://{tmp_path}/records", RECORD)
+    store = KeyedStore(spark, f"file://{tmp_path}/records", RECORD, "id")
     ran = []
     good = service.run_job(lambda: ran.append("s") or {"n": 1}, lambda: ran.append("i") or {"m": 2}, store)
     assert good.ok and ran == ["s", "i"] and service.as_dict(good)["stats"] == {"scrape": {"n": 1}, "ingest": {"m": 2}}
@@ -25,8 +26,8 @@ def test_job_order_lock_and_status(spark, tmp_path):
 
 def test_chat_over_stores(spark, tmp_path):
     stores = {
-        "index": SnapshotStore(spark, f"file://{tmp_path}/index", CHUNK + ", embedding array<float>, ingested_at timestamp"),
-        "records": SnapshotStore(spark, f"file://{tmp_path}/records", RECORD),
+        "index": KeyedStore(spark, f"file://{tmp_path}/index", CHUNK + ", embedding array<float>, ingested_at timestamp", "chunk_id"),
+        "records": KeyedStore(spark, f"file://{tmp_path}/records", RECORD, "id"),
     }
     assert service.chat(stores, "anything")["sources"] == []
     with pytest.raises(ValueError):

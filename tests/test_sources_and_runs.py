@@ -14,6 +14,7 @@ from corpusloom.schemas import CHUNK, RECORD, STATE
 from corpusloom.sources import downloads, files, html
 from corpusloom.sources.client import Client
 from corpusloom.sources.listing_source import RobotsGate, fetch
+from corpusloom.sources.keyed import KeyedStore
 from corpusloom.sources.store import Locked, SnapshotStore
 from corpusloom.streaming.ingest import upsert_stream
 
@@ -195,7 +196,7 @@ def test_stream_equals_batch_and_replays(spark, tmp_path):
     feed = spark.range(200).select((F.col("id") % 17).cast("string").alias("k"), F.col("id").alias("seq"), F.timestamp_seconds("id").alias("at"), (F.col("id") % 5).cast("string").alias("h"), F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).alias("p"))
     feed.where("seq < 100").coalesce(1).write.parquet(str(tmp_path / "in"))
     whole = snapshot(feed, "k", "seq", "at", "h", ["h"], ["p"])
-    store = SnapshotStore(spark, f"file://{tmp_path}/out", whole.schema)
+    store = KeyedStore(spark, f"file://{tmp_path}/out", whole.schema, "k")
 
     def run():
         upsert_stream(spark.readStream.schema(feed.schema).parquet(str(tmp_path / "in")), store, str(tmp_path / "ck"), "k", "seq", "at", "h", ["h"], ["p"])
@@ -205,7 +206,7 @@ def test_stream_equals_batch_and_replays(spark, tmp_path):
     run()
     assert sorted(map(tuple, store.read().collect())) == sorted(map(tuple, whole.collect()))
     run()
-    assert store.current() == "batch-1"
+    assert store._version(None)["name"] == "batch-1"
 
 
 def test_embedder_publisher_extractor(spark):
@@ -322,7 +323,7 @@ def test_documents_of_a_listing(spark, tmp_path):
 
 
 def test_scrape_commits_year_by_year(spark, tmp_path):
-    store = SnapshotStore(spark, f"file://{tmp_path}/records", RECORD)
+    store = KeyedStore(spark, f"file://{tmp_path}/records", RECORD, "id")
     page = lambda html: spark.createDataFrame([(2025, html)], "year int, html string")
     fetch = lambda wanted: wanted.select("record_id", "kind", "path", F.when(F.col("path").contains("foo"), "sha").alias("sha256"), F.lit(None).cast("string").alias("error"))
     one = scrape.scrape_year(page(ONE), 2025, store, F.lit(dt.datetime(2025, 1, 1)), fetch=fetch)
