@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .embedding import extracted, published
 from .functions import arrays, hashing, text, vectors
-from .operators import audit, chunking, incremental, migrate, retrieval, summary, upsert
+from .operators import audit, chunking, incremental, migrate, pruned, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.keyed import KeyedStore
@@ -359,6 +359,20 @@ def knn_filtered(spark, sf_dir):
     return retrieval.top_k_batch(vectors, _questions(vectors), 5, on=F.col("label") == F.col("question_label"))
 
 
+@query
+def knn_pruned(spark, sf_dir):
+    """The same answers by pivots and the triangle inequality."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pruned.top_k_pruned(pruned.pivot_index(vectors), _questions(vectors), 5)
+
+
+@query
+def knn_coded(spark, sf_dir):
+    """The same answers from codes of a byte a dimension, with full vectors for candidates only."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pruned.top_k_coded(pruned.coded_index(vectors), vectors, _questions(vectors), 5)
+
+
 @query
 def cited_sources(spark, sf_dir):
     """The answers' documents as numbered sources with snippets."""
