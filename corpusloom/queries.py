@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .embedding import extracted, published
 from .functions import arrays, hashing, text, vectors
-from .operators import audit, chunking, incremental, migrate, pruned, retrieval, summary, upsert
+from .operators import audit, chunking, incremental, migrate, parallel_packing, pruned, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.keyed import KeyedStore
@@ -70,6 +70,13 @@ def chunk_pack(spark, sf_dir):
     return chunks.select("doc_id", "chunk_index", F.size(F.split("text", " ")).alias("n_words"), "chunk_hash")
 
 
+@query
+def chunk_pack_blocks(spark, sf_dir):
+    """The same chunks of the same texts, of which all with more than 400 lines are packed in blocks side by side."""
+    chunks = parallel_packing.chunk_long_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 380, 60, r"\n", block=400)
+    return chunks.select("doc_id", "chunk_index", F.size(F.split("text", " ")).alias("n_words"), "chunk_hash")
+
+
 @query
 def snippet(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.snippet(F.col("text")).alias("snippet"))
