@@ -18,6 +18,7 @@ from .sources.keyed import KeyedStore
 from .sources.layout import BucketedTable
 from .sources.scratch import shared_dir
 from .streaming.ingest import upsert_stream
+from .streaming.outcomes import with_outcomes, write_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,6 +133,19 @@ def stream_ingest(spark, sf_dir):
     return store.read()
 
 
+@query
+def stream_outcomes(spark, sf_dir):
+    """The outcomes of the events as a stream in three batches, ten days each; the query is started anew for the last one, and goes on where it was."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    at = f"{shared_dir(spark)}/corpusloom/outcomes-{uuid.uuid4().hex}"
+    for k in range(3):
+        events.where(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) == k).write.mode("append").parquet(f"{at}/feed")
+        if k:
+            stream = spark.readStream.schema(events.schema).parquet(f"{at}/feed")
+            write_outcomes(with_outcomes(stream, "user_id", "event_id", "event_type"), f"{at}/out", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/out").select("event_id", "user_id", "outcome")
+
+
 @query
 def store_versions(spark, sf_dir):
     """The keyed store after each of three batches of events, ten days each: a user's last event replaces the row, a logout deletes it. Between the

@@ -184,4 +184,4 @@ SELECT CASE WHEN NOT named THEN 'no_path' WHEN f.k IS NULL THEN 'cleared' ELSE '
     "inspect_ids": """SELECT doc_id, lang, n_chars, d.lang IS NOT NULL AS found, quality, toxic FROM (VALUES (0::BIGINT), (3), (17), (42), (999999999)) AS a(doc_id)
 LEFT JOIN (SELECT doc_id, lang, n_chars FROM documents) d USING (doc_id) LEFT JOIN labels USING (doc_id)""",
 }
-ORACLE_SQL |= {"chunk_pack_blocks": _PACK, "copartitioned_diff": ORACLE_SQL["incremental_diff"], "observed_counters": ORACLE_SQL["ingest_counters"], "knn_pruned": ORACLE_SQL["knn_topk"], "knn_coded": ORACLE_SQL["knn_topk"]}
+ORACLE_SQL |= {"stream_outcomes": ORACLE_SQL["upsert_outcomes"], "chunk_pack_blocks": _PACK, "copartitioned_diff": ORACLE_SQL["incremental_diff"], "observed_counters": ORACLE_SQL["ingest_counters"], "knn_pruned": ORACLE_SQL["knn_topk"], "knn_coded": ORACLE_SQL["knn_topk"]}
