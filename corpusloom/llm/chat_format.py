@@ -62,8 +62,17 @@ def read_back(output: str) -> list[Turn]:
 PROBE = "\ue000\ue001\ue000"
 
 
+def probe_for(turns: list[Turn]) -> str:
+    """PROBE, with more of its middle if a role or text has it, so that it can only be found where it was put."""
+    probe = PROBE
+    while any(probe in x for turn in turns for x in turn):
+        probe = probe[:-1] + PROBE[1] + probe[-1]
+    return probe
+
+
 def render(turns: list[Turn], template: Template = marked_turns) -> tuple[str, list[tuple[int, int]], list[tuple[int, int] | None], bool]:
     """(output, spans of the turns, spans of their texts, whether the template rewrites history). A text that the template does not show has no span."""
+    probe = probe_for(turns)
     output, ends, rewritten = template([]), [], False
     first = len(output)
     for k in range(1, len(turns) + 1):
@@ -77,19 +86,19 @@ def render(turns: list[Turn], template: Template = marked_turns) -> tuple[str, l
     for k, (role, text) in enumerate(turns):
         if rewritten:
             before, after = turns[:k], turns[k + 1 :]
-            probed = template([*before, (role, PROBE), *after])
-            a = probed.find(PROBE)
-            b = len(output) - (len(probed) - a - len(PROBE))
+            probed = template([*before, (role, probe), *after])
+            a = probed.find(probe)
+            b = len(output) - (len(probed) - a - len(probe))
         else:
             a0, b0 = spans[k]
-            probed = template([(role, PROBE)]) if k == 0 else template([turns[k - 1], (role, PROBE)])
+            probed = template([(role, probe)]) if k == 0 else template([turns[k - 1], (role, probe)])
             lead = len(template([turns[k - 1]])) if k else first
             added = probed[lead:]
-            a, b = a0 + added.find(PROBE), b0 - (len(added) - added.find(PROBE) - len(PROBE))
-            if added.find(PROBE) < 0 or a < a0 or b < a:  # the turn looks otherwise without what stands before it
-                probed = template([*turns[:k], (role, PROBE)])
-                a, b = probed.find(PROBE), b0 - (len(probed) - probed.find(PROBE) - len(PROBE))
-        texts.append((a, b) if PROBE in probed and 0 <= a <= b else None)
+            a, b = a0 + added.find(probe), b0 - (len(added) - added.find(probe) - len(probe))
+            if added.find(probe) < 0 or a < a0 or b < a:  # the turn looks otherwise without what stands before it
+                probed = template([*turns[:k], (role, probe)])
+                a, b = probed.find(probe), b0 - (len(probed) - probed.find(probe) - len(probe))
+        texts.append((a, b) if probe in probed and 0 <= a <= b else None)
     if rewritten:
         edges = [len(output)]
         for own in reversed(texts):  # a turn whose text is not shown is empty

@@ -57,6 +57,33 @@ def test_held_out_rows(spark):
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % m == k) for r in q(spark, SF).collect())
 
 
+def test_packing_of_the_table(spark):
+    """Every document's ids, made by the tokenizer itself, are what its pieces hold; sequences are gapless and hardly padded."""
+    import struct
+
+    import tokenizers
+
+    tokenizer = tokenizers.Tokenizer.from_file(queries.tokenizer_file())
+    ids = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    upto, fill = Counter(), defaultdict(list)
+    for r in sorted(queries.op6_packing(spark, SF).collect(), key=lambda r: (r.doc_id, r.start)):
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.start == upto[r.doc_id] and r.length == len(own) > 0 and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(own)}I", *own))
+        upto[r.doc_id] += r.length
+        fill[r.sequence_id].append((r.offset, r.length))
+    assert upto == {d: len(x) for d, x in ids.items()}
+    used = held = 0
+    for own in fill.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 4096
+        used, held = used + at, held + (at if at & (at - 1) == 0 else 4096)
+    assert used >= 0.95 * held
+
+
 def test_hostile_conversation(spark):
     import hashlib
 

@@ -406,6 +406,17 @@ def test_black_box_templates():
     assert rewritten and [output[a:b] for a, b in texts] == [x for _, x in turns]
 
 
+def test_a_text_that_contains_the_probe():
+    hides = lambda ts: "".join(f"<{r}>{x if i >= len(ts) - 2 else '~'}</{r}>" for i, (r, x) in enumerate(ts))
+    for probe in (chat_format.PROBE, chat_format.PROBE + chat_format.PROBE[1:], f"{chat_format.PROBE[:2]}{chat_format.PROBE[1:]}"):
+        turns = [("user", f"a {probe} b"), ("assistant", "hi"), (probe, probe)]
+        for template in (hides, chat_format.marked_turns, lambda ts: f"{len(ts)}" + "".join(x for _, x in ts)):
+            output, _, texts, _ = chat_format.render(turns[:2], template)
+            assert [chat_format.unescape(output[a:b]) for a, b in texts] == [x for _, x in turns[:2]]
+            output, _, texts, _ = chat_format.render(turns, template)
+            assert chat_format.unescape(output[slice(*texts[2])]) == probe
+
+
 def test_conversations(spark):
     rows = [(1, 1, "assistant", "hi [x]"), (1, 0, "user", "</s>"), (2, None, None, None), (2, 0, "assistant", None), (None, 0, "user", "q"), (1, 1, "assistant", "hi [x]"), (3, 0, "assistant", "z" * 200_000), (4, 0, "user", "b"), (4, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("k") for c in ("c", "n", "r", "t", "formatted")})
