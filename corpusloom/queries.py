@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .embedding import extracted, published
 from .functions import arrays, hashing, text, vectors
-from .operators import audit, chunking, incremental, migrate, parallel_packing, pruned, retrieval, summary, upsert
+from .operators import audit, chunking, incremental, merkle, migrate, parallel_packing, pruned, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.keyed import KeyedStore
@@ -204,6 +204,20 @@ def copartitioned_diff(spark, sf_dir):
     return incremental.changed_pieces(stored_records.read(), stored_state.read(), ["text_sha", "meta_sha"], "doc_id")
 
 
+@query
+def merkle_diff(spark, sf_dir):
+    """The documents and an altered copy of them, stored by key ranges: what was added, removed or changed, from the ranges whose hashes differ."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = F.col("doc_id") % 1000
+    altered = docs.where(~part.between(20, 24)).withColumn("text", F.when(part < 10, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    altered = altered.unionByName(docs.where(part.between(30, 34)).withColumn("doc_id", -F.col("doc_id")))
+    at = f"{shared_dir(spark)}/corpusloom/merkle-{uuid.uuid4().hex}"
+    bounds = merkle.range_bounds(docs, "doc_id")
+    merkle.write_ranges(docs, "doc_id", f"{at}/old", bounds)
+    merkle.write_ranges(altered, "doc_id", f"{at}/new", bounds)
+    return merkle.changes(spark, f"{at}/old", f"{at}/new", "doc_id", docs.schema)
+
+
 @query
 def shrink_delete(spark, sf_dir):
     """Chunks of the finer cut that the coarser one leaves behind. How many the coarser one has follows from the number of words, so nothing is

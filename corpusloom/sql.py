@@ -110,6 +110,10 @@ SELECT doc_id, text_sha IS DISTINCT FROM s_text AS text_sha_changed, meta_sha IS
     "store_versions": """WITH e AS (SELECT *, least((day(ts) - 1) // 10, 2)::INTEGER AS b FROM events),
 s AS (SELECT batch, user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM e JOIN (VALUES (0), (1), (2)) AS v(batch) ON b <= batch GROUP BY batch, user_id)
 SELECT user_id, event_id, event_type, value, batch FROM s WHERE event_type <> 'logout'""",
+    "merkle_diff": """WITH a AS (SELECT doc_id, CASE WHEN doc_id % 1000 < 10 THEN text || '!' ELSE text END AS t FROM documents WHERE doc_id % 1000 NOT BETWEEN 20 AND 24
+  UNION ALL SELECT -doc_id, text FROM documents WHERE doc_id % 1000 BETWEEN 30 AND 34)
+SELECT coalesce(d.doc_id, a.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'added' WHEN a.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM documents d FULL JOIN a ON d.doc_id = a.doc_id WHERE d.doc_id IS NULL OR a.doc_id IS NULL OR d.text <> t""",
     "shrink_delete": f"""WITH coarse AS (SELECT doc_id, len(range(0, len(w), 700)) AS n FROM (SELECT doc_id, {_words("text")} AS w FROM documents))
 SELECT doc_id AS record_id, chunk_index, sha256(array_to_string(ws, ' ')) AS chunk_hash FROM ({_HARD}) JOIN coarse USING (doc_id) WHERE chunk_index >= n""",
     "run_summary": f"""WITH d AS (SELECT day(ts) AS day, count(*) AS parsed, count(*) FILTER (WHERE outcome = 'inserted') AS inserted, count(*) FILTER (WHERE outcome = 'updated') AS updated,
