@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from .arrays import bound
 
 #: Unicode white space, as a regular expression class of Java and RE2.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -76,22 +74,85 @@ def basename(path: Column) -> Column:
     return F.substring_index(F.replace(path, F.lit("\\"), F.lit("/")), "/", -1)
 
 
-def resolved_rooted(base: Column, href: Column) -> Column:
-    """Absolute and rooted references without leaving the JVM; NULL for others."""
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    h = F.trim(href)
-    return F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h).when(h.startswith("/") & ~h.startswith("//"), F.concat(origin, h))
+#: Schemes that resolve references, of which some keep parameters apart from the last segment (fixed values).
+WITH_PARAMETERS = ("", "http", "https", "ftp", "sftp")
+HIERARCHICAL = (*WITH_PARAMETERS, "file", "ws", "wss")
+#: Scheme, authority, path, query, fragment; and of a path what precedes the parameters of the last segment, and these.
+_URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_PATH = r"(?s)^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
+
+
+def _url_parts(c: Column, scheme: Column | None = None) -> Column:
+    """A URL as a struct; scheme: what it is if none is given."""
+    clean = F.regexp_replace(F.regexp_replace(c, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+    def parts(u: Column) -> Column:
+        own = F.lower(F.regexp_extract(u, _URL, 1))
+        own = own if scheme is None else F.when(own == "", scheme).otherwise(own)
+        path = F.regexp_extract(u, _URL, 3)
+        apart = own.isin(*WITH_PARAMETERS)
+        return F.struct(
+            own.alias("scheme"),
+            F.regexp_extract(u, _URL, 2).alias("netloc"),
+            F.when(apart, F.regexp_extract(path, _PATH, 1)).otherwise(path).alias("path"),
+            F.when(apart, F.regexp_extract(path, _PATH, 2)).otherwise("").alias("params"),
+            F.regexp_extract(u, _URL, 4).alias("query"),
+            F.regexp_extract(u, _URL, 5).alias("fragment"),
+        )
+
+    return bound(clean, parts)
+
+
+def _merged_path(base: Column, path: Column) -> Column:
+    """A reference's path against the base's: joined, then dot segments taken away by a stack of segments."""
+    above = bound(F.split(base, "/"), lambda b: F.when(b[F.size(b) - 1] != "", F.slice(b, 1, F.size(b) - 1)).otherwise(b))
+    joined = bound(
+        F.concat(above, F.split(path, "/")),
+        lambda j: F.concat(F.slice(j, 1, 1), F.filter(F.slice(j, 2, F.greatest(F.size(j) - 2, F.lit(0))), lambda x: x != ""), F.when(F.size(j) > 1, F.slice(j, -1, 1)).otherwise(F.array().cast("array<string>"))),
+    )
+    segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(joined)
+
+    def resolved(parts: Column) -> Column:
+        none = F.array().cast("array<string>")
+        pop = lambda stack: F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))
+        stack = F.aggregate(parts, none, lambda s, x: F.when(x == "..", pop(s)).when(x == ".", s).otherwise(F.concat(s, F.array(x))))
+        last = F.element_at(parts, -1)
+        return F.array_join(F.concat(stack, F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(none)), "/")
+
+    return F.coalesce(blank_to_null(bound(segments, resolved)), F.lit("/"))
+
 
+def _url_text(scheme: Column, netloc: Column, path: Column, params: Column, query: Column, fragment: Column) -> Column:
+    def text(url: Column) -> Column:
+        rooted = F.concat(F.lit("//"), netloc, F.when((url != "") & ~url.startswith("/"), F.concat(F.lit("/"), url)).otherwise(url))
+        bare = F.when(url.startswith("//") | ((scheme != "") & ((url == "") | url.startswith("/"))), F.concat(F.lit("//"), url)).otherwise(url)
+        after = lambda sign, c: F.when(c != "", F.concat(F.lit(sign), c)).otherwise("")
+        return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""), F.when(netloc != "", rooted).otherwise(bare), after("?", query), after("#", fragment))
 
-@F.pandas_udf(StringType())
-def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None or h is None else urljoin(b, h.strip()) for b, h in zip(base, href)], dtype=object)
+    return bound(F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path), text)
 
 
 def resolved_url(base: Column, href: Column) -> Column:
-    """RFC resolution: the common cases as expressions, relative ones in a vectorized function."""
-    native = resolved_rooted(base, href)
-    return F.when(native.isNotNull(), native).otherwise(_joined(base, href))
+    """A reference against its base, as RFC 3986 says it and browsers' libraries do it; NULL if one is NULL. Expressions only.
+
+    A reference of another scheme, or of one that is not hierarchical, is itself; an empty one is the base.
+    """
+    def resolve(pair: Column) -> Column:
+        return bound(F.struct(pair["b"].alias("b"), _url_parts(pair["h"], pair["b"]["scheme"]).alias("u"), pair["h"].alias("h")), joined)
+
+    def joined(x: Column) -> Column:
+        b, u = x["b"], x["u"]
+        same = u["path"].eqNullSafe("") & u["params"].eqNullSafe("")
+        netloc = b["netloc"]
+        whole = _url_text(u["scheme"], u["netloc"], u["path"], u["params"], u["query"], u["fragment"])
+        here = _url_text(u["scheme"], netloc, b["path"], b["params"], F.when(u["query"] != "", u["query"]).otherwise(b["query"]), u["fragment"])
+        moved = _url_text(u["scheme"], netloc, _merged_path(b["path"], u["path"]), u["params"], u["query"], u["fragment"])
+        foreign = (u["scheme"] != b["scheme"]) | ~u["scheme"].isin(*HIERARCHICAL)
+        return F.when(foreign, x["h"]).when(u["netloc"] != "", whole).when(same, here).otherwise(moved)
+
+    h = F.regexp_replace(href, f"^{SPACE}+|{SPACE}+$", "")
+    pair = F.struct(_url_parts(base).alias("b"), h.alias("h"))
+    return F.when(base.isNull() | href.isNull(), None).when(base == "", h).when(h == "", base).otherwise(bound(pair, resolve))
 
 
 def metadata_card(case_info: Column, year: Column, category: Column, decision_date: Column, neutral_citation: Column, other_citation: Column, sc_status: Column, remarks: Column) -> Column:

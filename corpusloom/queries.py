@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .embedding import extracted, published
 from .functions import arrays, hashing, text, vectors
-from .operators import audit, chunking, incremental, merkle, migrate, parallel_packing, pruned, retrieval, summary, upsert
+from .operators import audit, chunking, incremental, maintained, merkle, migrate, parallel_packing, pruned, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.keyed import KeyedStore
@@ -161,6 +161,23 @@ def store_versions(spark, sf_dir):
     return states[0].union(states[1]).union(states[2])
 
 
+@query
+def maintained_totals(spark, sf_dir):
+    """Users and the sum of their values by their last event, kept through three batches of events: each folds in what it changed."""
+    cents = F.round(F.col("value") * 100).cast("long").alias("cents")
+    events = _feed(table(spark, sf_dir, "events")).select("user_id", "event_id", "event_type", cents, F.least(F.floor((F.dayofmonth("at") - 1) / 10), F.lit(2)).alias("batch"))
+    at = f"{shared_dir(spark)}/corpusloom/totals-{uuid.uuid4().hex}"
+    schema = events.drop("batch").schema
+    store, totals = KeyedStore(spark, f"{at}/users", schema, "user_id"), maintained.totals_store(spark, f"{at}/totals", schema, ["event_type"], ["cents"])
+    for k in range(3):
+        last = upsert.last_per_key(events.where(F.col("batch") == k), "user_id", F.col("event_id")).drop("batch")
+        store.commit(last.where("event_type <> 'logout'"), last.where("event_type = 'logout'"))
+        maintained.follow(store, totals, ["event_type"], ["cents"])
+        store.compact()
+    maintained.follow(store, totals, ["event_type"], ["cents"])
+    return totals.read()
+
+
 @query
 def last_record(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")

@@ -113,6 +113,31 @@ class KeyedStore(Pointed):
         """The current rows of the buckets that some keys fall in: what an upsert of those keys has to look at."""
         return self.read(buckets=[r["b"] for r in keys.select(self.bucket().alias("b")).distinct().collect()])  # at most a row for each bucket
 
+    def between(self, since: int | None, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(rows as they were, rows as they are) of the keys that changed after a version (None: of all keys, before the first one). Rows that are the
+        same in both may be among them. Only buckets with a folder that the older version does not have are read; of these, only keys of new changes,
+        unless the bucket was rewritten since."""
+        new = self._version(until)
+        old = self._version(since) if since is not None else None
+        folders = {e["folder"] for e in (*old["base"], *old["deltas"])} if old else set()
+        fresh = lambda entries: [e for e in entries if e["folder"] not in folders]
+        nothing = self.read(until).limit(0)
+        if new is None:
+            return nothing, nothing
+        rewritten = {int(b) for e in fresh(new["base"]) for b in e["rows"]}
+        live = {int(b) for e in (*new["base"], *new["deltas"]) for b in e["rows"]}
+        rewritten |= {int(b) for e in (*old["base"], *old["deltas"]) for b in e["rows"]} - live if old else set()  # nothing is left of them
+        changed = {int(b) for e in fresh(new["deltas"]) for b in e["rows"]} - rewritten
+        if not rewritten and not changed:
+            return nothing, nothing
+        before = lambda b: self.read(since, b) if old else nothing
+        sides = [before(rewritten), self.read(until, rewritten)]
+        if changed:
+            keys = reduce(DataFrame.unionByName, [p for e in fresh(new["deltas"]) if (p := self._folder(e, changed)) is not None]).select(*self.key).distinct().alias("_k")
+            same = reduce(Column.__and__, [F.col(f"_o.{k}").eqNullSafe(F.col(f"_k.{k}")) for k in self.key])
+            sides = [a.unionByName(b.alias("_o").join(keys, same, "left_semi")) for a, b in zip(sides, (before(changed), self.read(until, changed)))]
+        return sides[0], sides[1]
+
     def commit(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None, name: str | None = None) -> int:
         """Insert or replace rows and delete keys, as one new version. A key comes once at most; of a key in both the row counts.
 

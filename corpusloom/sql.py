@@ -110,6 +110,8 @@ SELECT doc_id, text_sha IS DISTINCT FROM s_text AS text_sha_changed, meta_sha IS
     "store_versions": """WITH e AS (SELECT *, least((day(ts) - 1) // 10, 2)::INTEGER AS b FROM events),
 s AS (SELECT batch, user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM e JOIN (VALUES (0), (1), (2)) AS v(batch) ON b <= batch GROUP BY batch, user_id)
 SELECT user_id, event_id, event_type, value, batch FROM s WHERE event_type <> 'logout'""",
+    "maintained_totals": """WITH s AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id)
+SELECT event_type, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS sum_cents FROM s WHERE event_type <> 'logout' GROUP BY event_type""",
     "merkle_diff": """WITH a AS (SELECT doc_id, CASE WHEN doc_id % 1000 < 10 THEN text || '!' ELSE text END AS t FROM documents WHERE doc_id % 1000 NOT BETWEEN 20 AND 24
   UNION ALL SELECT -doc_id, text FROM documents WHERE doc_id % 1000 BETWEEN 30 AND 34)
 SELECT coalesce(d.doc_id, a.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'added' WHEN a.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change

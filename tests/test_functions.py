@@ -1,4 +1,5 @@
 import hashlib
+import random
 import uuid
 from urllib.parse import urljoin
 
@@ -70,3 +71,17 @@ def test_vectors(spark):
     rows = df.select(vectors.l2_normalized(F.col("a")), vectors.cosine(F.col("a"), F.col("b"))).collect()
     assert [round(x, 6) for x in rows[0][0]] == [0.6, 0.8] and abs(rows[0][1] - 0.96) < 1e-12
     assert rows[1][0] == [0.0, 0.0] and rows[1][1] is None
+
+
+def test_references_resolve_like_the_library(spark):
+    """Random bases and references, with dot segments, parameters, empty parts, odd schemes and white space; and no Python in the plan."""
+    r = random.Random(7)
+    pick = lambda *xs: r.choice(xs)
+    path = lambda: "/".join(pick("a", "b.c", "..", ".", "", "...", "x;y", ";", "\u00e9", "%2F", "..;p", "a:b") for _ in range(r.randint(0, 6)))
+    tail = lambda: pick("", "?", "?q=1", "?a/../b", "?;x") + pick("", "#", "#f", "#f?g")
+    base = lambda: pick("http://", "https://", "HTTP://", "ftp://", "file://", "//", "", "mailto:", "ws://", "x-y:") + pick("h.example", "H.example:80", "", "u@h") + pick("", "/") + path() + tail()
+    ref = lambda: pick("", "", "", "/", "//h2/", "//", "http://o/", "http:", "https://o", "mailto:", "?", "#", "./", "../", " ", " \t", "javascript:") + path() + tail()
+    rows = [(base(), ref()) for _ in range(4000)] + [("http://h/a", None), (None, "b")]
+    df = spark.createDataFrame(rows, "b string, h string").select("b", "h", text.resolved_url(F.col("b"), F.col("h")).alias("u"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [x.u for x in df.collect()] == [None if b is None or h is None else urljoin(b, h.strip()) for b, h in rows]
