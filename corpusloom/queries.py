@@ -14,6 +14,7 @@ from .functions import arrays, hashing, text, vectors
 from .operators import audit, chunking, incremental, maintained, merkle, migrate, parallel_packing, pruned, retrieval, summary, upsert
 from .sources.files import page_texts, to_convert
 from .sources.html import anchors, listing_records, page_shortfalls
+from .sources.json_array import read_json_array
 from .sources.keyed import KeyedStore
 from .sources.layout import BucketedTable
 from .sources.scratch import shared_dir
@@ -478,6 +479,23 @@ def page_shortfall(spark, sf_dir):
     return page_shortfalls(pages, orders)
 
 
+@query
+def json_array(spark, sf_dir):
+    """The events written as one JSON array in one file, with brackets and quotes inside strings, and read back in splits of 64 KB."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.concat("props", F.lit(' }],[{ "\\" é')).alias("props"))
+    path = f"{shared_dir(spark)}/corpusloom/array-{uuid.uuid4().hex}"
+    line = lambda of: spark.range(1).select(F.lit(of).alias("value"))
+    rows = events.select(F.concat(F.lit(","), F.to_json(F.struct(*events.columns))).alias("value"))
+    line('[{"event_type": "head"}').union(rows).union(line("]")).coalesce(1).write.text(path)  # one file is what is read
+    key, size = "spark.sql.files.maxPartitionBytes", 1 << 16
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        return read_json_array(spark, path, events.schema).where("event_id IS NOT NULL").select(*events.columns)
+    finally:
+        spark.conf.set(key, before)
+
+
 @query
 def safe_filename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.safe_filename(F.col("url")).alias("filename"))

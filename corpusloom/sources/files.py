@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import basename, blank_to_null, looks_like_pdf
+from .json_array import read_json_array
 
 
 def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -48,11 +49,10 @@ def page_texts(pages: DataFrame, key: str | list[str], number: str, text: Column
 
 
 def read_records(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A JSON array of records; of rows with one id the last wins. Raises on malformed input."""
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    numbered = rows.withColumn("_n", F.monotonically_increasing_id())
-    whole = F.struct(*rows.columns)
-    return numbered.groupBy("id").agg(F.max_by(whole, "_n").alias("r")).select("r.*")
+    """A JSON array of records, of any length: see `json_array`; of rows with one id the last wins. Raises on malformed input."""
+    rows = read_json_array(spark, path, schema)
+    whole = F.struct(*(f.name for f in schema))
+    return rows.groupBy("id").agg(F.max_by(whole, F.struct("start", "k")).alias("r")).select("r.*")
 
 
 def _first_sign(spark: SparkSession, path: str) -> str:
