@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .embedding import extracted, published
+from .embedding import PlainPages, extracted, published
 from .functions import arrays, hashing, text, vectors
 from .operators import audit, chunking, incremental, maintained, merkle, migrate, parallel_packing, pruned, retrieval, summary, upsert
-from .sources.files import page_texts, to_convert
+from .plans.service import convert_documents
+from .sources.downloads import write_files
+from .sources.files import binary_files, page_texts, text_listing, to_convert, whole_texts
 from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.json_array import read_json_array
 from .sources.keyed import KeyedStore
@@ -333,6 +335,21 @@ def extract_pages(spark, sf_dir):
     return extracted(files, LinePages()).select("path", "page", F.sha2("text", 256).alias("text_sha"), "error")
 
 
+@query
+def converted_texts(spark, sf_dir):
+    """Pages written as files of two pages each, converted to text files, and these read back; and which of them another run would convert."""
+    at = f"{shared_dir(spark)}/corpusloom/convert-{uuid.uuid4().hex}"
+    key, kind = F.col("page_id").cast("string"), F.lit("judgment_pdf")
+    made = table(spark, sf_dir, "pages").select(key.alias("record_id"), kind.alias("kind"), F.concat(F.lit("files/"), key, F.lit(".pdf")).alias("path"), F.concat(F.lit("%PDF-1.4\n"), "url", F.lit("\f"), "html").alias("content"))
+    write_files(made, at).count()
+    files = binary_files(spark, f"{at}/files").select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("path"), "length", "modificationTime", "content")
+    documents = made.select("record_id", "kind", "path")
+    done = convert_documents(documents, files.select("path", "content"), f"{at}/texts", PlainPages())
+    again = to_convert(documents, files.select("path", "length", "modificationTime"), text_listing(spark, f"{at}/texts")).select("record_id", F.lit(True).alias("again"))
+    texts = whole_texts(spark, f"{at}/texts").select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("record_id"), F.sha2("text", 256).alias("text_sha"))
+    return done.select("record_id", "error").join(texts, "record_id", "left").join(again, "record_id", "left").withColumn("again", F.coalesce("again", F.lit(False)))
+
+
 @query
 def pending_documents(spark, sf_dir):
     return incremental.pending_documents(*_ingested(spark, sf_dir))

@@ -113,6 +113,7 @@ SELECT user_id, event_id, event_type, value, batch FROM s WHERE event_type <> 'l
     "maintained_totals": """WITH s AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id)
 SELECT event_type, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS sum_cents FROM s WHERE event_type <> 'logout' GROUP BY event_type""",
     "json_array": r"""SELECT event_id, user_id, event_type, props || ' }],[{ "\" é' AS props FROM events""",
+    "converted_texts": "SELECT page_id::VARCHAR AS record_id, NULL::VARCHAR AS error, sha256(concat_ws(chr(10) || chr(10), nullif(trim(url, ' '), ''), nullif(trim(html, ' '), ''))) AS text_sha, false AS again FROM pages",
     "merkle_diff": """WITH a AS (SELECT doc_id, CASE WHEN doc_id % 1000 < 10 THEN text || '!' ELSE text END AS t FROM documents WHERE doc_id % 1000 NOT BETWEEN 20 AND 24
   UNION ALL SELECT -doc_id, text FROM documents WHERE doc_id % 1000 BETWEEN 30 AND 34)
 SELECT coalesce(d.doc_id, a.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'added' WHEN a.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
