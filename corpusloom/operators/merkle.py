@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import tidy
+
 #: Children of a node, and levels of nodes below the root: FANOUT ** DEPTH ranges.
 FANOUT, DEPTH = 16, 2
 ADDED, REMOVED, CHANGED = "added", "removed", "changed"
@@ -42,6 +44,11 @@ def _sums() -> list[Column]:
 
 def write_ranges(rows: DataFrame, key: str, path: str, bounds: list, fanout: int = FANOUT, depth: int = DEPTH) -> None:
     """Store rows by range (path/rows) and the tree above them (path/tree). Any order and dealing of the rows gives the same tree."""
+    with tidy(rows.sparkSession):
+        _write_ranges(rows, key, path, bounds, fanout, depth)
+
+
+def _write_ranges(rows: DataFrame, key: str, path: str, bounds: list, fanout: int, depth: int) -> None:
     columns = rows.columns
     kept = rows.withColumn("_leaf", leaf_of(F.col(key), bounds, fanout))
     kept.repartitionByRange(key).sortWithinPartitions("_leaf", key).write.partitionBy("_leaf").parquet(f"{path}/rows")
