@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def pivot_index(index: DataFrame, key: str = "vec_id", embedding: str = "embeddi
 
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     assigned = rows.mapInArrow(assign, f"key {kind['key']}, pivot int, angle double, embedding {kind['embedding']}")
-    done = stored(assigned, "pivot-index")
+    done = stored(assigned.repartitionByRange("pivot", F.xxhash64("key")).sortWithinPartitions("pivot"), "pivot-index")  # groups lie together, large ones in many files
     groups = done.groupBy("pivot").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).collect()  # a row for each pivot
     low, high, size = np.full(len(units) + 1, np.inf), np.full(len(units) + 1, -np.inf), np.zeros(len(units) + 1, np.int64)
     for r in groups:
@@ -96,73 +97,156 @@ def pivot_index(index: DataFrame, key: str = "vec_id", embedding: str = "embeddi
     return PivotIndex(done, key, units, low, high, size)
 
 
-def _visits(index: PivotIndex, questions: DataFrame, k: int, bounds: DataFrame | None) -> DataFrame:
-    """questions (question_id, question_embedding) → question_id, question_embedding, pivot, angle_to, reach: the groups to look at.
+def _block(questions: DataFrame) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+    """Ids, vectors, unit vectors and which are not zero, of so few questions that every task may have them."""
+    own = questions.toArrow()
+    ids, vectors = own.column("question_id").combine_chunks(), own.column("question_embedding").combine_chunks()
+    return ids, vectors, *(_units(_matrix(vectors)) if len(ids) else (np.zeros((0, 0)), np.zeros(0, bool)))
 
-    Without bounds the nearest groups that have k rows together; with bounds (question_id, kth: the k-th best score of these) all groups that may hold a row as good,
-    and how far a row's angle to the pivot may be from the question's (reach).
-    """
-    shared = index.rows.sparkSession.sparkContext.broadcast((index.pivots, index.low, index.high, index.size))
-    rows = questions.select("question_id", "question_embedding", F.lit(None).cast("double").alias("kth"))
-    if bounds is not None:
-        rows = questions.select("question_id", "question_embedding").join(bounds, "question_id")
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, low, high, size = shared.value
-        for b in batches:
-            vec, there = _units(_matrix(b.column(1)))
-            at, pivot, to, reach = [], [], [], []
-            for i, kth in enumerate(b.column(2).to_pylist()):
-                angles = np.arccos(np.clip(pivots @ vec[i], -1, 1)) if there[i] and len(pivots) else np.zeros(len(pivots))
-                angles = np.append(angles, 0.0)
-                if kth is None:
-                    order = np.argsort(np.append(angles[:-1], np.pi), kind="stable")
-                    own = order[: int(np.searchsorted(np.cumsum(size[order]), k)) + 1]
-                    far = np.pi
-                else:
-                    least = kth - SLACK
-                    far = np.pi if not there[i] else float(np.arccos(np.clip(least, -1, 1))) + 1e-7
-                    bound = np.maximum(0, np.maximum(angles - high, low - angles))
-                    bound[-1] = 0 if least <= 0 else np.inf  # zero vectors score 0
-                    own = np.flatnonzero((bound <= far) | (~there[i] & (size > 0)))
-                own = own[size[own] > 0]
-                at += [i] * len(own)
-                pivot += own.tolist()
-                to += angles[own].tolist()
-                reach += [far] * len(own)
-            kept = b.select([0, 1]).take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pivot, pa.int32()), pa.array(to, pa.float64()), pa.array(reach, pa.float64())], names=["question_id", "question_embedding", "pivot", "angle_to", "reach"])
+def _blocks(questions: DataFrame) -> Iterator[DataFrame]:
+    """Questions (question_id, question_embedding) in blocks of about QUESTIONS."""
+    rows = questions.select("question_id", "question_embedding")
+    blocks = max(1, -(-rows.count() // QUESTIONS))
+    for at in range(blocks):
+        yield rows.where(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == at) if blocks > 1 else rows
 
-    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(visit, f"question_id {kind['question_id']}, question_embedding {kind['question_embedding']}, pivot int, angle_to double, reach double")
 
+def _visits(index: PivotIndex, units: np.ndarray, there: np.ndarray, k: int, kth: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(questions × pivots) which groups to look at and the angles to the pivots; and how far a row's angle to the pivot may be from the question's.
+
+    Without bounds the nearest groups that have k rows together; with kth, the k-th best cosine of these at least, all groups that may hold a row as good.
+    """
+    n, p = len(units), len(index.pivots)
+    angles = np.zeros((n, p + 1))
+    if p and n:
+        angles[:, :p] = np.where(there[:, None], np.arccos(np.clip(units @ index.pivots.T, -1, 1)), 0.0)
+    full = index.size > 0
+    if kth is None:
+        order = np.argsort(np.where(np.arange(p + 1) < p, angles, np.pi), axis=1, kind="stable")
+        held = np.cumsum(index.size[order], axis=1) - index.size[order]
+        visits = np.zeros((n, p + 1), bool)
+        np.put_along_axis(visits, order, held < k, axis=1)
+        return visits & full, angles, np.full(n, np.pi)
+    reach = np.where(there, np.arccos(np.clip(kth, -1, 1)) + 1e-7, np.pi)
+    bound = np.maximum(0, np.maximum(angles - index.high, index.low - angles))
+    visits = bound <= reach[:, None]
+    visits[:, p] = kth <= 0  # zero vectors score 0
+    return (visits | ~there[:, None]) & full, angles, reach
+
+
+def _trimmed(scores: np.ndarray, ranks: np.ndarray, k: int) -> np.ndarray:
+    """Of one question's candidates, given by cosine and the rank of their key, those that may be among the k best by rounded score and key.
+
+    Of candidates with one score (to nine places) the k least keys are enough, unless the score is at an edge between two rounded ones.
+    """
+    if len(scores) <= 4 * k:
+        return np.arange(len(scores))
+    least = np.partition(scores, len(scores) - k)[-k] - 2 * SLACK
+    at = np.flatnonzero(scores >= least)
+    nine = np.round(scores[at], 9)
+    order = np.lexsort((ranks[at], nine))
+    first = np.concatenate(([True], nine[order][1:] != nine[order][:-1]))
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    edge = np.abs(np.abs(scores[at][order]) * 1e4 % 1 - 0.5) < 1e-3
+    return at[order[(place < k) | edge]]
+
+
+def _scan(index: PivotIndex, units: np.ndarray, visits: np.ndarray, angles: np.ndarray, reach: np.ndarray, k: int, least: np.ndarray) -> DataFrame:
+    """(q, key, cosine): of each task's rows the candidates for the k best of each question, among the groups that it visits and the rows within reach.
+
+    A narrow map: rows of a group meet the questions that visit it in one matrix product, and pairs that do not matter never become rows.
+    """
+    shared = index.rows.sparkSession.sparkContext.broadcast((units, visits, angles, reach, least))
+    wanted = np.flatnonzero(visits.any(0)).tolist()
+    rows = index.rows.where(F.col("pivot").isin(wanted)) if len(wanted) < visits.shape[1] else index.rows
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, visits, angles, reach, least = shared.value
+        held: dict[int, list[tuple]] = {}
 
-def _scored(index: PivotIndex, visits: DataFrame) -> DataFrame:
-    """The pairs of questions and rows of the groups they visit, within reach, with their scores."""
-    zero = F.col("pivot") == len(index.pivots)
-    near = index.rows.join(visits, "pivot").where(zero | (F.abs(F.col("angle") - F.col("angle_to")) <= F.col("reach")))
-    return near.select("question_id", F.col("key").alias(index.key), _score("embedding", "question_embedding").alias("score"))
+        def best(q: int) -> tuple[np.ndarray, pa.Array]:
+            scores = np.concatenate([s for s, _ in held[q]])
+            keys = pa.concat_arrays([x for _, x in held[q]])
+            ranks = np.empty(len(keys), np.int64)
+            ranks[pc.sort_indices(keys).to_numpy()] = np.arange(len(keys))
+            own = _trimmed(scores, ranks, k)
+            held[q] = [(scores[own], keys.take(pa.array(own)))]
+            return held[q][0]
+
+        for b in batches:
+            pivot, angle = b.column(1).to_numpy(), b.column(2).to_numpy()
+            unit, _ = _units(_matrix(b.column(3)))
+            for p in np.unique(pivot):
+                at, own = np.flatnonzero(pivot == p), np.flatnonzero(visits[:, p])
+                if not len(own):
+                    continue
+                cosine = unit[at] @ units[own].T
+                far = np.abs(angle[at][:, None] - angles[own, p]) > reach[own] if p < visits.shape[1] - 1 else False
+                cosine[(cosine < least[own]) | far] = -np.inf
+                for j in np.flatnonzero((cosine > -np.inf).any(0)):
+                    i = np.flatnonzero(cosine[:, j] > -np.inf)
+                    q = int(own[j])
+                    held.setdefault(q, []).append((cosine[i, j], b.column(0).take(pa.array(at[i]))))
+                    if sum(len(s) for s, _ in held[q]) > 64 * k:
+                        best(q)
+        for q in held:
+            scores, keys = best(q)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), q, np.int32)), keys, pa.array(scores)], names=["q", "key", "cosine"])
+
+    return rows.mapInArrow(run, f"q int, key {kind}, cosine double")
+
+
+def _rescored(few: DataFrame, index: DataFrame, ids: pa.Array, vectors: pa.Array, key: str, k: int) -> DataFrame:
+    """Candidates (q, key) with their vectors (index: key, embedding) → the k best of each question, scored as `top_k_batch` does it."""
+    names = index.sparkSession.createDataFrame(pa.table({"q": pa.array(range(len(ids)), pa.int32()), "question_id": ids, "question_embedding": vectors}))
+    full = few.select("q", "key").join(index, "key").join(F.broadcast(names), "q")
+    return _best(full.select("question_id", F.col("key").alias(key), _score("embedding", "question_embedding").alias("score")), key, k)
+
+
+def _kth(found: DataFrame, n: int, k: int) -> np.ndarray:
+    """The k-th greatest of each question's values (q, value); -2 where there are fewer. A row for each question of a block goes to the driver."""
+    w = Window.partitionBy("q").orderBy(F.desc("value"))
+    out = np.full(n, -2.0)
+    for r in found.withColumn("n", F.row_number().over(w)).where(F.col("n") == k).select("q", "value").collect():
+        out[r["q"]] = r["value"]
+    return out
 
 
 def top_k_pruned(index: PivotIndex, questions: DataFrame, k: int = 5) -> DataFrame:
     """The k best rows of the index for each question (question_id, question_embedding): question_id, key, score, rank.
 
-    The nearest groups with k rows give each question a bound; then only groups that may hold as good a row are joined, by pivot, and of these only
-    rows whose angle to the pivot allows it are compared. Questions are few a group, so a group of very many rows is split by AQE; nothing is broadcast
-    but pivots.
+    Questions go in blocks, which are broadcast. The nearest groups with k rows give each question of a block a bound; then only groups that may hold as
+    good a row are scanned, and of these only rows whose angle to the pivot allows it count. The index is not shuffled, so a group of very many rows is the
+    work of many tasks; candidates, a few for each question and task, are scored exactly.
     """
-    first = stored(_best(_scored(index, _visits(index, questions, k, None)), index.key, k), "first-answers")
-    every = questions.select("question_id").join(first.where(F.col("rank") == k).select("question_id", F.col("score").alias("kth")), "question_id", "left")
-    bounds = every.select("question_id", F.coalesce("kth", F.lit(-2.0)).alias("kth"))  # fewer than k rows at all: no bound
-    return _best(_scored(index, _visits(index, questions, k, bounds)), index.key, k)
+    found = []
+    for block in _blocks(questions):
+        ids, vectors, units, there = _block(block)
+        visits = _visits(index, units, there, k, None)
+        first = _scan(index, units, *visits, k, np.full(len(ids), -np.inf))
+        kth = _kth(first.select("q", F.col("cosine").alias("value")), len(ids), k) - 2 * SLACK
+        few = _scan(index, units, *_visits(index, units, there, k, kth), k, kth)
+        found.append(_rescored(few, index.rows.select("key", "embedding"), ids, vectors, index.key, k))
+    return _all(found, "pruned-answers")
+
+
+def _all(found: list[DataFrame], name: str) -> DataFrame:
+    """The answers of all blocks; of many blocks they are stored, so that no plan grows with the questions."""
+    out = found[0] if len(found) == 1 else stored(found[0], name)
+    for more in found[1:]:
+        out = out.unionByName(stored(more, name))
+    return out
 
 
 def compared_share(index: PivotIndex, questions: DataFrame, k: int = 5) -> float:
-    """Of all pairs of questions and rows, the share that `top_k_pruned` compares."""
-    first = _scored(index, _visits(index, questions, k, None))
-    kth = _best(first, index.key, k).where(F.col("rank") == k).select("question_id", F.col("score").alias("kth"))
-    n = first.count() + _scored(index, _visits(index, questions, k, kth)).count()
-    return n / max(1, int(index.size.sum()) * questions.count())
+    """Of all pairs of questions and rows, the share in groups that `top_k_pruned` scans (of the first 1,000 questions by hash, if there are more)."""
+    ids, _, units, there = _block(next(iter(_blocks(questions))))
+    visits = _visits(index, units, there, k, None)
+    kth = _kth(_scan(index, units, *visits, k, np.full(len(ids), -np.inf)).select("q", F.col("cosine").alias("value")), len(ids), k) - 2 * SLACK
+    n = int((visits[0] * index.size).sum() + (_visits(index, units, there, k, kth)[0] * index.size).sum())
+    return n / max(1, int(index.size.sum()) * len(ids))
 
 
 # Codes
@@ -204,15 +288,11 @@ def top_k_coded(codes: DataFrame, index: DataFrame, questions: DataFrame, k: int
     and scored in double precision. Questions (question_id, question_embedding) go in blocks of QUESTIONS, whose vectors are broadcast.
     """
     spark = index.sparkSession
-    numbered = questions.select("question_id", "question_embedding").withColumn("_hash", F.xxhash64("question_id"))
-    n = numbered.count()
-    blocks = max(1, -(-n // QUESTIONS))
     kind = {f.name: f.dataType.simpleString() for f in codes.schema}
+    rows, full = codes.select("key", "code", "scale", "off"), index.select(F.col(key).alias("key"), F.col(embedding).alias("embedding"))
     found = []
-    for at in range(blocks):
-        own = numbered.where(F.pmod("_hash", F.lit(blocks)) == at).select("question_id", "question_embedding").toArrow()  # one block
-        ids = own.column("question_id").combine_chunks()
-        units, _ = _units(_matrix(own.column("question_embedding").combine_chunks())) if own.num_rows else (np.zeros((0, 0)), None)
+    for block in _blocks(questions):
+        ids, vectors, units, _ = _block(block)
         shared = spark.sparkContext.broadcast(units)
 
         def bounds(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -223,15 +303,10 @@ def top_k_coded(codes: DataFrame, index: DataFrame, questions: DataFrame, k: int
                     best = np.concatenate((best, estimate - off), axis=1)
                     best = np.partition(best, best.shape[1] - k, axis=1)[:, -k:] if best.shape[1] > k else best
             q = np.repeat(np.arange(len(best)), best.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(best.reshape(-1))], names=["q", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(best.reshape(-1))], names=["q", "value"])
 
-        lows = codes.select("key", "code", "scale", "off").mapInArrow(bounds, "q int, low double")
-        w = Window.partitionBy("q").orderBy(F.desc("low"))
-        kth = lows.withColumn("n", F.row_number().over(w)).where(F.col("n") == k).select("q", "low").collect()  # a row for each question of the block
-        least = np.full(len(units), -np.inf)
-        for r in kth:
-            least[r["q"]] = r["low"]
-        limits = spark.sparkContext.broadcast(least - 2 * SLACK)
+        kth = _kth(rows.mapInArrow(bounds, "q int, value double"), len(ids), k)
+        limits = spark.sparkContext.broadcast(kth - 2 * SLACK)
 
         def candidates(batches: Iterator[pa.RecordBatch], shared=shared, limits=limits) -> Iterator[pa.RecordBatch]:
             for b in _slices(batches):
@@ -240,13 +315,5 @@ def top_k_coded(codes: DataFrame, index: DataFrame, questions: DataFrame, k: int
                     q, row = np.nonzero(estimate + off >= limits.value[:, None])
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), b.column(0).take(pa.array(row))], names=["q", "key"])
 
-        names = spark.createDataFrame(pa.table({"q": pa.array(range(len(ids)), pa.int32()), "question_id": ids, "question_embedding": own.column("question_embedding").combine_chunks()}))
-        few = codes.select("key", "code", "scale", "off").mapInArrow(candidates, f"q int, key {kind['key']}")
-        full = few.join(index.select(F.col(key).alias("key"), F.col(embedding).alias("embedding")), "key").join(F.broadcast(names), "q")
-        pairs = full.select("question_id", F.col("key").alias(key), _score("embedding", "question_embedding").alias("score"))
-        best = _best(pairs, key, k)
-        found.append(best if blocks == 1 else stored(best, "coded-answers"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        found.append(_rescored(rows.mapInArrow(candidates, f"q int, key {kind['key']}"), full, ids, vectors, key, k))
+    return _all(found, "coded-answers")
