@@ -76,8 +76,10 @@ def chunk_pack(spark, sf_dir):
 
 @query
 def chunk_pack_blocks(spark, sf_dir):
-    """The same chunks of the same texts, of which all with more than 400 lines are packed in blocks side by side."""
-    chunks = parallel_packing.chunk_long_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 380, 60, r"\n", block=400)
+    """A hundred documents each as one text, of many hundred lines, whose blocks of 400 lines are packed side by side."""
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), "\n")
+    texts = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / 100).alias("hundred")).agg(joined.alias("text"))
+    chunks = parallel_packing.chunk_long_texts(texts.select(F.col("hundred").alias("doc_id"), "text"), "text", 380, 60, r"\n", block=400)
     return chunks.select("doc_id", "chunk_index", F.size(F.split("text", " ")).alias("n_words"), "chunk_hash")
 
 

@@ -91,6 +91,8 @@ chunks AS (SELECT r, i, unnest(range(len(done))) AS k, unnest(done) AS ws FROM e
 SELECT doc_id, (row_number() OVER (PARTITION BY r ORDER BY i, k) - 1)::INTEGER AS chunk_index, len(ws)::INTEGER AS n_words, sha256(array_to_string(ws, ' ')) AS chunk_hash
 FROM chunks JOIN docs USING (r)"""
 
+_HUNDREDS = _PACK.replace("FROM documents)", "FROM (SELECT doc_id // 100 AS doc_id, string_agg(text, chr(10) ORDER BY doc_id) AS text FROM documents GROUP BY 1))", 1).replace("paras AS (", "paras AS MATERIALIZED (", 1)
+
 ORACLE_SQL: dict[str, str] = {
     "content_hash": f"SELECT doc_id, {_hash('text', 'lang', 'source', 'n_chars', 'quality', 'toxic')} AS content_hash FROM {_LABELLED}",
     "metadata_card": f"SELECT doc_id, {_CARD} AS card, sha256({_CARD}) AS chunk_hash FROM {_LABELLED}",
@@ -192,4 +194,4 @@ SELECT CASE WHEN NOT named THEN 'no_path' WHEN f.k IS NULL THEN 'cleared' ELSE '
     "inspect_ids": """SELECT doc_id, lang, n_chars, d.lang IS NOT NULL AS found, quality, toxic FROM (VALUES (0::BIGINT), (3), (17), (42), (999999999)) AS a(doc_id)
 LEFT JOIN (SELECT doc_id, lang, n_chars FROM documents) d USING (doc_id) LEFT JOIN labels USING (doc_id)""",
 }
-ORACLE_SQL |= {"stream_outcomes": ORACLE_SQL["upsert_outcomes"], "chunk_pack_blocks": _PACK, "copartitioned_diff": ORACLE_SQL["incremental_diff"], "observed_counters": ORACLE_SQL["ingest_counters"], "knn_pruned": ORACLE_SQL["knn_topk"], "knn_coded": ORACLE_SQL["knn_topk"]}
+ORACLE_SQL |= {"stream_outcomes": ORACLE_SQL["upsert_outcomes"], "chunk_pack_blocks": _HUNDREDS, "copartitioned_diff": ORACLE_SQL["incremental_diff"], "observed_counters": ORACLE_SQL["ingest_counters"], "knn_pruned": ORACLE_SQL["knn_topk"], "knn_coded": ORACLE_SQL["knn_topk"]}
