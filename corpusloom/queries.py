@@ -197,11 +197,11 @@ def sorted_store(spark, sf_dir):
 
 def _states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Records, and an earlier state of the labelled ones: stale where the label says quality 0."""
-    docs = labelled(spark, sf_dir, "text", "lang")
-    records = docs.select("doc_id", F.sha2("text", 256).alias("text_sha"), hashing.content_hash(F.col("lang"), F.col("quality")).alias("meta_sha"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha"), "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left")  # hashed before they are moved
+    records = docs.select("doc_id", F.col("sha").alias("text_sha"), hashing.content_hash(F.col("lang"), F.col("quality")).alias("meta_sha"))
     known = docs.where("quality IS NOT NULL")
     state = known.select(
-        "doc_id", F.when(F.col("quality") == 1, F.sha2("text", 256)).alias("text_sha"), F.when(F.col("toxic") == 1, F.lit("old")).otherwise(hashing.content_hash(F.col("lang"), F.col("quality"))).alias("meta_sha")
+        "doc_id", F.when(F.col("quality") == 1, F.col("sha")).alias("text_sha"), F.when(F.col("toxic") == 1, F.lit("old")).otherwise(hashing.content_hash(F.col("lang"), F.col("quality"))).alias("meta_sha")
     )
     return records, state
 
@@ -273,8 +273,8 @@ def vanished_chunks(spark, sf_dir):
 
 def _ingested(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Records with a card and up to two documents, and the state of an earlier run that knew the labelled ones."""
-    docs = labelled(spark, sf_dir, "text", "lang", "source", "n_chars")
-    card, sha = hashing.content_hash(F.col("lang"), F.col("quality")), F.when(F.col("lang") != "es", F.sha2("text", 256))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha"), "lang", "source", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    card, sha = hashing.content_hash(F.col("lang"), F.col("quality")), F.when(F.col("lang") != "es", F.col("text_sha"))
     key = F.col("doc_id").cast("string").alias("id")
     records = docs.select(key, card.alias("content_hash"), sha.alias("judgment_pdf_sha256"), F.when(F.col("toxic") == 1, F.sha2("source", 256)).alias("sc_judgment_pdf_sha256"), "n_chars", "quality")
     good, none = F.col("quality") == 1, F.lit(None)
