@@ -23,7 +23,7 @@ from .plans.scrape import COUNTERS, KINDS, document_paths, scrape_year
 from .plans.service import convert_documents, publish_files, run_job, suspicious_pages
 from .schemas import CHUNK, DEAD, RECORD, STATE, UPLOAD_CACHE
 from .sources.downloads import downloaded, removed, renamed, write_files
-from .sources.files import binary_files, file_hashes, read_legacy, text_listing, to_convert, whole_texts
+from .sources.files import binary_files, file_hashes, read_legacy, read_records_or_quarantine, text_listing, to_convert, whole_texts
 from .sources.html import page_shortfalls
 from .sources.keyed import KeyedStore
 from .sources.listing_source import ListingSource
@@ -232,6 +232,15 @@ def export(spark: SparkSession, args, settings: Settings) -> list[dict]:
     return [{"exported": spark.read.schema(RECORD).json(args.to).count()}]
 
 
+def restore(spark: SparkSession, args, settings: Settings) -> list[dict]:
+    """The record store anew, from a JSON array in one .json file, which is set aside if it is broken, or from a folder of JSON lines as `export` writes them."""
+    store = stores(spark, args.root)["records"]
+    with job_lock(spark, args.root):
+        rows = read_records_or_quarantine(spark, args.source, RECORD) if args.source.endswith(".json") else spark.read.schema(RECORD).option("mode", "FAILFAST").json(args.source)
+        store.replace(rows)
+    return [{"restored": store.read().count()}]
+
+
 def totals(spark: SparkSession, args, settings: Settings) -> list[dict]:
     records = stores(spark, args.root)["records"].read()
     site = spark.read.option("header", True).schema("year int, site_total long").csv(args.totals)
@@ -278,7 +287,7 @@ def migrate(spark: SparkSession, args, settings: Settings) -> list[dict]:
     return [r.asDict() for r in out.groupBy("outcome").count().collect()]
 
 
-COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, convert, failures, export, totals, inspect, migrate, schedule, set_field)}
+COMMANDS = {f.__name__.removeprefix("run_"): f for f in (scrape, run_ingest, ask, audit, reconcile, convert, failures, export, restore, totals, inspect, migrate, schedule, set_field)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -309,6 +318,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--list", action="store_true", help="convert: name the documents only")
     p.add_argument("--extractor", default="corpusloom.embedding:PlainPages", help="convert: module:Class with pages(content)")
     p.add_argument("--recognizer", help="convert: module:Class with text(content, page), for pages without text")
+    p.add_argument("--source", help="restore: JSON array file, or folder of JSON lines")
     p.add_argument("--to", help="export: folder of JSON lines")
     p.add_argument("--limit", type=int, default=20)
     args = p.parse_args(argv)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,9 +65,9 @@ def hard_split(docs: DataFrame, text_col: str, target: int = 380, overlap: int =
     return rows.withColumn("chunk_hash", chunk_hash(F.col("text")))
 
 
-def document_chunks(docs: DataFrame, target: int = 380, overlap: int = 60) -> DataFrame:
-    """(record_id, kind, text) → chunk rows with their ids."""
-    rows = chunk_texts(docs.select("record_id", F.col("kind").alias("chunk_type"), "text"), "text", target, overlap)
+def document_chunks(docs: DataFrame, target: int = 380, overlap: int = 60, chunker: Callable[..., DataFrame] = chunk_texts) -> DataFrame:
+    """(record_id, kind, text) → chunk rows with their ids. chunker: also `parallel_packing.chunk_long_texts`, which runs jobs of its own for very long texts."""
+    rows = chunker(docs.select("record_id", F.col("kind").alias("chunk_type"), "text"), "text", target, overlap)
     return rows.select(F.concat_ws("::", "record_id", "chunk_type", F.col("chunk_index").cast("string")).alias("chunk_id"), "record_id", "chunk_type", "chunk_index", "text", "chunk_hash")
 
 

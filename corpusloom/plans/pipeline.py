@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..embedding import Answerer, Embedder, Extractive, HashedWords, embedding_column
 from ..functions.text import blank_to_null
-from ..operators.chunking import document_chunks, metadata_chunks
+from ..operators.chunking import chunk_texts, document_chunks, metadata_chunks
 from ..operators.incremental import any_done, changed_pieces, counters_of, next_state, outcome_rows, pending_documents, replaced, run_counters, trailing_chunks, vanished
+from ..operators.parallel_packing import chunk_long_texts
 from ..operators.retrieval import checked_top_k, chunk_type_filter, sources, top_k
 from ..sources.keyed import KeyedStore
 from ..sources.scratch import discard, stored
@@ -29,10 +30,11 @@ def linked_records(records: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _parts(
-    records: DataFrame, texts: DataFrame, index: DataFrame, state: DataFrame, run_ts: Column, settings: Settings, embedder: Embedder | None, links: DataFrame | None, tombstones: bool, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+    records: DataFrame, texts: DataFrame, index: DataFrame, state: DataFrame, run_ts: Column, settings: Settings, embedder: Embedder | None, links: DataFrame | None, tombstones: bool, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    chunker: Callable[..., DataFrame] = chunk_texts,
 ) -> dict[str, DataFrame]:
     """What one run finds: the records with links, fresh chunks, dropped ones, committed pieces, failures, new links. keep: is given the fresh
-    chunks, from which the rest is counted."""
+    chunks, from which the rest is counted. chunker: see `document_chunks`."""
     embedder = embedder or HashedWords(settings.embedding_dim)
     before = records
     records = linked_records(records, links) if links is not None else records
@@ -42,7 +44,7 @@ def _parts(
     pending = pending_documents(records, state)
     asked = texts.select("record_id", "kind", "text", error.alias("error")).join(pending.select("record_id", "kind"), ["record_id", "kind"], "left_semi")
     docs = asked.where("error IS NULL AND text IS NOT NULL")
-    body = document_chunks(docs, settings.chunk_words, settings.overlap_words)
+    body = document_chunks(docs, settings.chunk_words, settings.overlap_words, chunker)
     fresh = keep(meta.unionByName(body).withColumn("embedding", embedding_column(embedder, F.col("text"))).withColumn("ingested_at", run_ts))
     counts = fresh.where("chunk_type <> 'metadata'").groupBy("record_id", "chunk_type").agg(F.count("*").alias("n_chunks"))
     emptied = docs.select("record_id", F.col("kind").alias("chunk_type")).distinct().join(counts, ["record_id", "chunk_type"], "left").select("record_id", "chunk_type", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
@@ -82,7 +84,7 @@ def ingest_into(stores: dict[str, KeyedStore], texts: DataFrame, run_ts: Column,
         kept.append(stored(df, "fresh-chunks"))
         return kept[0]
 
-    p = _parts(records, texts, index, state, run_ts, settings, embedder, links, tombstones, keep)
+    p = _parts(records, texts, index, state, run_ts, settings, embedder, links, tombstones, keep, chunk_long_texts)
     stores["index"].commit(p["fresh"], p["dropped"])
     if links is not None:
         names = [f.name for f in stores["records"].schema]

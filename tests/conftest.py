@@ -16,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # many small plans: compiling them well does not pay
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -100,6 +100,12 @@ def test_scrape_convert_publish_ingest_ask(spark, tmp_path, capsys):
     assert run(capsys, "export", "--root", root, "--to", str(tmp_path / "json")) == [{"exported": 2}]
     lines = [json.loads(x) for p in sorted((tmp_path / "json").glob("part-*")) for x in p.read_text().splitlines()]
     assert [r["id"] for r in lines] == ["REC_2025_01", "REC_2025_1"] and all(r["judgment_gdrive_view_url"].startswith(str(shared)) and "category" in r for r in lines)
+    again = f"file://{tmp_path}/again"
+    assert run(capsys, "restore", "--root", again, "--source", str(tmp_path / "json")) == [{"restored": 2}]
+    (tmp_path / "array.json").write_text(json.dumps([*lines, lines[0] | {"case_info": "the last counts"}]))
+    assert run(capsys, "restore", "--root", again, "--source", str(tmp_path / "array.json")) == [{"restored": 2}]
+    run(capsys, "export", "--root", again, "--to", str(tmp_path / "json2"))
+    assert "the last counts" in "".join(p.read_text() for p in (tmp_path / "json2").glob("part-*"))
     assert run(capsys, "set_field", "--root", root, "--ids", "REC_2025_1", "--field", "category") == [{"patched": 1}]
     run(capsys, "export", "--root", root, "--to", str(tmp_path / "json"))
     assert [json.loads(x)["category"] for p in (tmp_path / "json").glob("part-*") for x in p.read_text().splitlines() if "REC_2025_1" in x] == [None]
