@@ -331,13 +331,13 @@ def brute_pages(hosts):
 def test_results_do_not_depend_on_how_a_host_is_dealt(spark, monkeypatch, pages):
     """Short menus and footers go; a notice is judged by different pages, so copies of a page do not make it rarer or more frequent."""
     monkeypatch.setattr(html_text, "PAGES", pages)
-    story = lambda i: f"unique story number {i} about thing {i * 7} that is told once only"
+    story = lambda i: f"story {i} of thing {i * 7} is number {i * 13} here told for {i * 17}"
     notice = "All times on this page are local ones always"
-    short = lambda i: f"<div>Home News Sport</div><div>{story(i)}</div><div>Yes</div><div>Copyright 2020 Foo Inc</div>" if i < 3 else f"<div>Home News Sport</div><div>{story(i)}</div><div>Copyright 2020 Foo Inc</div>"
+    short = lambda i: f"<div>Home News Sport</div><div>{story(i)}</div><div>Yes</div><div>{story(i + 30)}</div><div>Copyright 2020 Foo Inc</div>" if i < 3 else f"<div>Home News Sport</div><div>{story(i)}</div><div>Copyright 2020 Foo Inc</div>"
     rows = [(i, "http://short.example/", short(i)) for i in range(10)]
     rows += [(100 + i, "http://copies.example/", f"<main><p>{story(i)}</p><p>{notice}</p></main>" if i < 24 else f"<main><p>{story(50)}</p></main>") for i in range(80)]
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert [got[i] for i in range(10)] == [f"{story(i)}\nYes" if i < 3 else story(i) for i in range(10)]
+    assert [got[i] for i in range(10)] == [f"{story(i)}\nYes\n{story(i + 30)}" if i < 3 else story(i) for i in range(10)]
     assert [got[100 + i] for i in range(80)] == [story(i) if i < 24 else story(50) for i in range(80)]  # 24 of 25 different pages have the notice
 
 
