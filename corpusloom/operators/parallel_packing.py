@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import chunk_hash
 from ..functions.text import PARAGRAPH_BREAK, paragraphs
-from ..sources.scratch import discard, stored
+from ..sources.scratch import discard, stored, tidy
 from .chunking import chunk_texts
 
 #: Paragraphs of a block. Texts with no more of them are packed by one fold, which gives the same.
 BLOCK = 4_096
+#: Entries of blocks, one each, are broadcast to the paragraphs up to this count.
+BROADCAST_ENTRIES = 100_000
 
 
 def pointers(sizes: np.ndarray, target: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,18 +129,24 @@ def chunk_long_texts(docs: DataFrame, text_col: str, target: int = 380, overlap:
     keys = [c for c in docs.columns if c != text_col]
     cut = docs.withColumn("_n", F.size(F.split(F.col(text_col), breaks)))
     short = chunk_texts(cut.where(F.coalesce(F.col("_n") <= block, F.lit(False))).drop("_n"), text_col, target, overlap, breaks)
-    long = stored(cut.where(F.col("_n") > block).drop("_n").withColumn("_row", F.monotonically_increasing_id()), "long-texts")  # written once, so rows keep their numbers
-    if long.isEmpty():
-        return short
-    paras = stored(long.select(F.col("_row").alias("row"), F.posexplode(paragraphs(F.col(text_col), breaks)).alias("i", "words")).withColumn("i", F.col("i").cast("long")), "paragraphs")
-    sizes = _blocked(paras.select("row", "i", F.size("words").cast("long").alias("n")), block, target, overlap)
-    exits = stored(sizes.groupBy("row", "blk").applyInArrow(_exits(block, target, overlap), "row long, i long, to long"), "exits")
-    met = entries(exits)
-    marked = paras.join(met.withColumn("enter", F.lit(True)), ["row", "i"], "left").withColumn("enter", F.coalesce("enter", F.lit(False)))
-    chunks = stored(_blocked(marked, block, target, overlap).groupBy("row", "blk").applyInArrow(_chunks(block, target, overlap), "row long, blk long, k long, text string"), "long-chunks")
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("row").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each block
-    placed = chunks.groupBy("row", "blk").agg(F.count("*").alias("n")).select("row", "blk", before.alias("before"))
-    discard(exits, met)
-    own = long.select(F.col("_row").alias("row"), F.struct(*keys).alias("own"))
+    spark = docs.sparkSession
+    with tidy(spark):
+        # Written once, so rows keep their numbers; the columns of docs stand at the first paragraph only.
+        numbered = cut.where(F.col("_n") > block).select(F.monotonically_increasing_id().alias("row"), F.struct(*keys).alias("own"), paragraphs(F.col(text_col), breaks).alias("paras"))
+        every = numbered.select("row", "own", F.posexplode("paras").alias("i", "words"))
+        paras = stored(every.select("row", F.when(F.col("i") == 0, F.col("own")).alias("own"), F.col("i").cast("long").alias("i"), "words"), "paragraphs")
+        if paras.isEmpty():
+            return short
+        sizes = _blocked(paras.select("row", "i", F.size("words").cast("long").alias("n")), block, target, overlap)
+        exits = stored(sizes.groupBy("row", "blk").applyInArrow(_exits(block, target, overlap), "row long, i long, to long"), "exits")
+        met = entries(exits)
+        entered = met.withColumn("enter", F.lit(True))
+        entered = F.broadcast(entered) if met.count() <= BROADCAST_ENTRIES else entered
+        marked = paras.select("row", "i", "words").join(entered, ["row", "i"], "left").withColumn("enter", F.coalesce("enter", F.lit(False)))
+        chunks = stored(_blocked(marked, block, target, overlap).groupBy("row", "blk").applyInArrow(_chunks(block, target, overlap), "row long, blk long, k long, text string"), "long-chunks")
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("row").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each block
+        placed = chunks.groupBy("row", "blk").agg(F.count("*").alias("n")).select("row", "blk", before.alias("before"))
+        own = stored(paras.where("i = 0").select("row", "own"), "long-texts")
+        discard(exits, met, paras)
     rows = chunks.join(placed, ["row", "blk"]).join(own, "row")
     return short.unionByName(rows.select("own.*", (F.col("before") + F.col("k")).cast("int").alias("chunk_index"), "text", chunk_hash(F.col("text")).alias("chunk_hash")))
