@@ -88,17 +88,16 @@ def entries(exits: DataFrame) -> DataFrame:
 
 
 def _chunks(block: int, target: int, overlap: int):
-    """A block's paragraphs (row, blk, i, words, enter) → its chunks (row, blk, k, text), in order."""
+    """A block's paragraphs (row, blk, i, n, text, enter) → its chunks (row, blk, k, text), in order."""
     step = target - overlap
 
     def run(table: pa.Table) -> pa.Table:
         row, blk = table.column("row")[0].as_py(), table.column("blk")[0].as_py()
         order = np.argsort(table.column("i").to_numpy())
         table = table.take(pa.array(order))
-        i, words = table.column("i").to_numpy(), table.column("words").combine_chunks()
-        sizes = np.diff(words.offsets.to_numpy())
+        i, sizes = table.column("i").to_numpy(), table.column("n").to_numpy()
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        flat = words.flatten()
+        flat = [w for text in table.column("text").to_pylist() for w in text.split(" ")]
         end, carried = pointers(sizes, target, overlap)
         out: list[str] = []
         entered = np.flatnonzero(table.column("enter").to_numpy(zero_copy_only=False).astype(bool) & (i >= blk * block))
@@ -106,10 +105,10 @@ def _chunks(block: int, target: int, overlap: int):
         while at < len(i) and i[at] < (blk + 1) * block:
             a, b = int(upto[at]), int(upto[end[at]])
             if sizes[at] > target:
-                out += [" ".join(flat.slice(s, min(target, b - s)).to_pylist()) for s in range(a, b, step)]
+                out += [" ".join(flat[s : min(s + target, b)]) for s in range(a, b, step)]
             else:
                 a -= int(carried[at])
-                out.append(" ".join(flat.slice(a, b - a).to_pylist()))
+                out.append(" ".join(flat[a:b]))
             at = int(end[at])
         n = len(out)
         return pa.table({"row": pa.array([row] * n, pa.int64()), "blk": pa.array([blk] * n, pa.int64()), "k": pa.array(range(n), pa.int64()), "text": pa.array(out, pa.string())})
@@ -134,15 +133,15 @@ def chunk_long_texts(docs: DataFrame, text_col: str, target: int = 380, overlap:
         # Written once, so rows keep their numbers; the columns of docs stand at the first paragraph only.
         numbered = cut.where(F.col("_n") > block).select(F.monotonically_increasing_id().alias("row"), F.struct(*keys).alias("own"), paragraphs(F.col(text_col), breaks).alias("paras"))
         every = numbered.select("row", "own", F.posexplode("paras").alias("i", "words"))
-        paras = stored(every.select("row", F.when(F.col("i") == 0, F.col("own")).alias("own"), F.col("i").cast("long").alias("i"), "words"), "paragraphs")
+        paras = stored(every.select("row", F.when(F.col("i") == 0, F.col("own")).alias("own"), F.col("i").cast("long").alias("i"), F.size("words").cast("long").alias("n"), F.array_join("words", " ").alias("text")), "paragraphs")
         if paras.isEmpty():
             return short
-        sizes = _blocked(paras.select("row", "i", F.size("words").cast("long").alias("n")), block, target, overlap)
+        sizes = _blocked(paras.select("row", "i", "n"), block, target, overlap)
         exits = stored(sizes.groupBy("row", "blk").applyInArrow(_exits(block, target, overlap), "row long, i long, to long"), "exits")
         met = entries(exits)
         entered = met.withColumn("enter", F.lit(True))
         entered = F.broadcast(entered) if met.count() <= BROADCAST_ENTRIES else entered
-        marked = paras.select("row", "i", "words").join(entered, ["row", "i"], "left").withColumn("enter", F.coalesce("enter", F.lit(False)))
+        marked = paras.select("row", "i", "n", "text").join(entered, ["row", "i"], "left").withColumn("enter", F.coalesce("enter", F.lit(False)))
         chunks = stored(_blocked(marked, block, target, overlap).groupBy("row", "blk").applyInArrow(_chunks(block, target, overlap), "row long, blk long, k long, text string"), "long-chunks")
         before = F.coalesce(F.sum("n").over(Window.partitionBy("row").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each block
         placed = chunks.groupBy("row", "blk").agg(F.count("*").alias("n")).select("row", "blk", before.alias("before"))
