@@ -20,7 +20,7 @@ import html
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
@@ -292,20 +292,9 @@ def content_hash(blocks: list[tuple[int, str]]) -> int:
     return int.from_bytes(h.digest(), "little", signed=True)
 
 
-def undecided(zones: Iterable[int]) -> bool:
-    """Is there a block whose repetition matters?"""
-    return not {OPEN, MAIN}.isdisjoint(zones)
-
-
-def article_text(zones: Iterable[int], texts: Iterable[str]) -> str:
-    return "\n".join(text for zone, text in zip(zones, texts) if zone == ARTICLE)
-
-
 def main_texts(pages: list[list[tuple[int, str]]], elsewhere: dict[int, int] | None = None, n_pages: int | None = None, host: str = "") -> list[str]:
     """The main text of each page, given the blocks of pages of one host and, if these are not all, how many different pages of
     the host have each hashed run or short block, if two or more do, and how many there are."""
-    if not any(undecided(zone for zone, _ in blocks) for blocks in pages):
-        return [article_text(*zip(*blocks)) if blocks else "" for blocks in pages]
     streams = [outside(blocks) for blocks in pages]
     contents = [content_hash(blocks) for blocks in pages]
     counts = [c.copy() for c in page_counts(streams, contents)]
@@ -348,10 +337,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     share a nameless host. Null and empty html give an empty text. Ids and urls may be null or repeat. Pages of a host with equal blocks are
     copies: each has its text, and what only copies of one page share is not repeated. Other columns are not read.
 
-    Pages are parsed once, and their blocks stored. Hosts without a block to decide need nothing else: a map gives their texts. The blocks
-    of the others are shuffled once, by host and, for hosts of more than PAGES pages, a number, so that a hot host is many small groups. A task
-    holds one group of about PAGES pages at a time. What the groups of a hot host share is counted before: the different pages that have each hashed run
-    or short block; each group with blocks to decide gets the counts of its own that two or more pages of the host have.
+    Every host's pages go through its suffix array, whatever their markup. Hosts are counted by their urls; blocks are shuffled once, by host and, for
+    hosts of more than PAGES pages, a number, so that a hot host is many small groups. A task holds one group of about PAGES pages at a time. What the groups of
+    a hot host share is counted before: the different pages that have each hashed run or short block; each group gets the counts of its own that two or more
+    pages of the host have. Pages of hot hosts are parsed for the counts and again for the groups, as blocks of all pages, stored and shuffled, would be on disk twice.
     """
     kind, url_kind = pages.schema[id_col].dataType.simpleString(), pages.schema[url_col].dataType.simpleString()
     host = F.coalesce(F.regexp_extract(F.col(url_col), r"//([^/?#]*)", 1), F.lit(""))
@@ -361,15 +350,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for b in batches:
             found = [blocks_of(x) for x in b.column(2).to_pylist()]
             content = pa.array(map(content_hash, found), pa.int64())
-            opens = pa.array([undecided(z for z, _ in f) for f in found], pa.bool_())
             zones = pa.array([[z for z, _ in f] for f in found], pa.list_(pa.int8()))
             texts = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), content, opens, zones, texts], names=["id", "url", "host", "content", "opens", "zones", "texts"])
-
-    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [article_text(z, t) for z, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[id_col, url_col, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), content, zones, texts], names=["id", "url", "host", "parts", "content", "zones", "texts"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
@@ -382,11 +365,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             return out
 
         for b in batches:
-            for h, p, content, opens, zones, texts in zip(*(c.to_pylist() for c in b.columns)):
-                asks = (h, p) if opens else (None, None)
+            for h, p, content, zones, texts in zip(*(c.to_pylist() for c in b.columns)):
                 blocks = list(zip(zones, texts))
-                own = [*np.unique(run_hashes(h, outside(blocks), known)).tolist(), *(block_hash(h, t) for t in short_blocks(blocks))]
-                seen.update((r, content, *asks) for r in own)
+                own = [*np.unique(run_hashes(h, outside(blocks), known)).tolist(), *(block_hash(h, t) for t in short_blocks(blocks)), block_hash(h, _BREAK)]
+                seen.update((r, content, h, p) for r in own)
                 if len(seen) > 100_000:
                     yield rows()
         if seen:
@@ -399,7 +381,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield from zip(*(c.to_pylist() for c in b.columns))
 
         def batch(group: list[tuple], elsewhere: dict[int, int]) -> pa.RecordBatch:
-            texts = main_texts([list(zip(x[4], x[5])) for x in group], elsewhere, group[0][8], group[0][2])
+            host, hot = group[0][2], group[0][8] > 1
+            n_pages = elsewhere.get(block_hash(host, _BREAK), 1) if hot else None  # a break stands for the whole page
+            texts = main_texts([list(zip(x[4], x[5])) for x in group], elsewhere, n_pages, host)
             return pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in group], kinds[0]), pa.array([g[1] for g in group], kinds[1]), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=[id_col, url_col, "text", "n_chars"],
@@ -413,36 +397,33 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     elsewhere[x[6]] = x[7]
                     continue
                 group.append(x)
-                if len(group) == 4 * PAGES and x[9] > 1:  # a group of a hot host, dealt unevenly; its runs are counted by host
+                if len(group) == 4 * PAGES and x[8] > 1:  # a group of a hot host, dealt unevenly; its runs are counted by host
                     yield batch(group, elsewhere)
                     group = []
             if group:
                 yield batch(group, elsewhere)
 
-    blocks = "host string, content long, opens boolean, zones array<tinyint>, texts array<string>"
-    out_schema = f"`{id_col}` {kind}, `{url_col}` {url_kind}, text string, n_chars long"
-    with tidy(pages.sparkSession):
-        parsed = stored(rows.mapInArrow(parse, f"id {kind}, url {url_kind}, {blocks}"), "page-blocks")
-        by_content = parsed.groupBy("host", "content").agg(F.count("*").alias("n"), F.max("opens").alias("opens"))
-        hosts = by_content.groupBy("host").agg(F.count("*").alias("n_pages"), F.sum("n").alias("n"), F.max("opens").alias("opens"))
-        asked = stored(hosts.where("opens").select(F.col("host").alias("h"), F.ceil(F.col("n") / PAGES).cast("long").alias("parts"), "n_pages"), "open-hosts")
-        n_asked, n_hot = asked.agg(F.count("*"), F.count_if(F.col("parts") > 1)).head()
-    if not n_asked:
-        return parsed.select("id", "url", "zones", "texts").mapInArrow(plain, out_schema)
-    asked = F.broadcast(asked) if n_asked <= BROADCAST_HOSTS else asked
-    same = F.col("host") == F.col("h")
-    decided = parsed.join(asked, same, "left_anti").select("id", "url", "zones", "texts").mapInArrow(plain, out_schema)
-    parsed = parsed.join(asked, same)
-    part = F.pmod(F.xxhash64("id", "url", "content"), F.col("parts"))
     columns = ["id", "url", "host", "part", "zones", "texts"]
-    dealt = parsed.select(*columns[:3], part.alias("part"), *columns[4:], F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("n"), "n_pages", "parts")
+    part = F.pmod(F.xxhash64("id", "url", "content"), F.col("parts")).alias("part")
+
+    def parsed(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(parse, f"id {kind}, url {url_kind}, host string, parts long, content long, zones array<tinyint>, texts array<string>")
+
+    with tidy(pages.sparkSession):
+        sizes = rows.groupBy(F.col("host").alias("h")).agg(F.ceil(F.count("*") / PAGES).cast("long").alias("parts"))
+        hot = stored(sizes.where("parts > 1"), "hot-hosts")
+        n_hot = hot.count()
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_HOSTS else hot
+        same = F.col("host") == F.col("h")
+        if n_hot:
+            own = parsed(rows.join(hot, same).select("id", "url", "html", "host", "parts")).select("host", part, "content", "zones", "texts").mapInArrow(runs, "run long, content long, host string, part long")
+            by_page = own.groupBy("run", "content").agg(F.collect_set(F.struct("host", "part")).alias("asking"))
+            shared = by_page.groupBy("run").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_list("asking"))).alias("asking")).where("n > 1")
+            told = stored(shared.select("run", "n", F.explode("asking").alias("to")).select("run", "n", "to.host", "to.part"), "shared-runs")
+    every = rows.join(hot, same, "left").select("id", "url", "html", "host", F.coalesce("parts", F.lit(1)).alias("parts")) if n_hot else rows.withColumn("parts", F.lit(1).cast("long"))
+    dealt = parsed(every).select(*columns[:3], part, *columns[4:], F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("n"), "parts")
     if n_hot:
-        own = parsed.where(F.col("parts") > 1).select("host", part.alias("part"), "content", "opens", "zones", "texts").mapInArrow(runs, "run long, content long, host string, part long")
-        asking = F.when(F.col("host").isNotNull(), F.struct("host", "part"))
-        by_page = own.groupBy("run", "content").agg(F.collect_set(asking).alias("asking"))
-        shared = by_page.groupBy("run").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_list("asking"))).alias("asking")).where("n > 1")
-        told = shared.select("run", "n", F.explode("asking").alias("to")).select("run", "n", "to.host", "to.part")
         nothing = [F.lit(None).cast(dealt.schema[c].dataType).alias(c) for c in columns]
-        dealt = dealt.unionByName(told.select(*nothing[:2], "host", "part", *nothing[4:], "run", "n", *(F.lit(None).cast("long").alias(c) for c in ("n_pages", "parts"))))
+        dealt = dealt.unionByName(told.select(*nothing[:2], "host", "part", *nothing[4:], "run", "n", F.lit(None).cast("long").alias("parts")))
     dealt = dealt.repartition("host", "part").sortWithinPartitions("host", "part", F.desc_nulls_last("run"))
-    return decided.unionByName(dealt.mapInArrow(decide, out_schema))
+    return dealt.mapInArrow(decide, f"`{id_col}` {kind}, `{url_col}` {url_kind}, text string, n_chars long")

@@ -364,6 +364,16 @@ def test_pages_match_brute_force(spark, monkeypatch, seed, pages):
     assert got == want and any(t != "\n".join(x for z, x in hosts_blocks if z != 2) for own in hosts.values() for i, hosts_blocks in own.items() for t in [want[i]])
 
 
+def test_every_host_goes_through_its_suffix_array(spark, monkeypatch):
+    """Also where markup alone settles all blocks: no plainer path beside the array."""
+    pages = ["<article><p>a story of its own</p></article><nav>Home News</nav>", "<article><p>another</p></article><nav>Home News</nav>"]
+    calls, counts = [], html_text.page_counts
+    monkeypatch.setattr(html_text, "page_counts", lambda *a: calls.append(len(a[0])) or counts(*a))
+    assert html_text.main_texts([html_text.blocks_of(p) for p in pages]) == ["a story of its own", "another"] and calls == [2]
+    got = html_text.extract(spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string"))
+    assert "hashpartitioning(host" in got._jdf.queryExecution().toString() and sorted(r.text for r in got.collect()) == ["a story of its own", "another"]
+
+
 @pytest.mark.skipif(not HAS_DATA, reason="no test tables here")
 def test_articles_of_the_tables(spark, monkeypatch):
     monkeypatch.setattr(html_text, "PAGES", 4)
