@@ -428,7 +428,7 @@ def knn_topk(spark, sf_dir):
 @query
 def knn_filtered(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    return retrieval.top_k_batch(vectors, _questions(vectors), 5, on=F.col("label") == F.col("question_label"))
+    return retrieval.top_k_batch(vectors, _questions(vectors), 5, same=("label", "question_label"))
 
 
 @query
@@ -448,7 +448,7 @@ def knn_coded(spark, sf_dir):
 @query
 def cited_sources(spark, sf_dir):
     """The answers' documents as numbered sources with snippets."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", F.col("source").alias("source_url"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), text.snippet(F.col("text"), 280).alias("snippet"), F.col("source").alias("source_url"))  # whole texts do not travel
     hits = knn_topk(spark, sf_dir).join(docs, "vec_id").withColumns({"record_id": F.col("vec_id"), "chunk_type": F.lit("judgment_pdf")})
     return retrieval.sources(hits, keep=("question_id",))
 

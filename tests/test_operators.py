@@ -163,6 +163,27 @@ def test_batches_of_questions_agree(spark, monkeypatch):
     assert sorted(map(tuple, retrieval.top_k_batch(v, q, 3).collect())) == whole and len(whole) == 21
 
 
+def test_sources_take_snippets_that_were_cut_before_a_join(spark):
+    hits = spark.createDataFrame([(1, "r", "judgment_pdf", "u", 0.5, "x" * 280 + "...")], "rank int, record_id string, chunk_type string, source_url string, score double, snippet string")
+    assert retrieval.sources(hits).head().snippet == "x" * 280 + "..."
+
+
+def test_questions_meet_rows_in_matrix_products(spark, monkeypatch):
+    """With the same answers as the expressions, to the last bit, for odd vectors and copies too; pairs never become rows of a join."""
+    nan, inf, vec = float("nan"), float("inf"), [[(7 * i * j + j) % 11 - 5.0 for j in range(4)] for i in range(60)]
+    odd = [None, [], [0.0] * 4, [1.0, None, 2.0, 3.0], [nan, 1.0, 1.0, 1.0], [inf, 1.0, 0.0, 0.0], [1.0, 2.0, 3.0], [1e-30] * 4]
+    rows = [(f"k{i}", v, i % 3 if i % 7 else None) for i, v in enumerate(vec + odd + [vec[1]] * 40 + [[x * 3 for x in vec[2]]] * 9)] + [(None, vec[1], 1)]
+    index = spark.createDataFrame(rows, "key string, embedding array<double>, label int").repartition(3)
+    q = index.selectExpr("key AS question_id", "embedding AS question_embedding", "label AS question_label")
+    for same, on in ((None, F.lit(True)), (("label", "question_label"), F.col("label") == F.col("question_label"))):
+        want = sorted(map(repr, retrieval.top_k_batch(index, q, 3, "key", on=on).collect()))
+        for chunk in (2, 1_000):
+            monkeypatch.setattr(retrieval, "BROADCAST_QUESTIONS", 16 * chunk)
+            got = retrieval.top_k_batch(index, q, 3, "key", same=same)
+            assert sorted(map(repr, got.collect())) == want
+        assert "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
 def test_summary(spark):
     rows = spark.createDataFrame([(2010, "inserted"), (2010, "updated"), (2011, "unchanged")], "year int, outcome string")
     c = summary.yearly_counters(rows, "year", "outcome", ["inserted", "updated", "unchanged"])
