@@ -16,7 +16,7 @@ from .plans.service import convert_documents
 from .sources.downloads import write_files
 from .sources.files import binary_files, page_texts, text_listing, to_convert, whole_texts
 from .sources.html import anchors, listing_records, page_shortfalls
-from .sources.json_array import read_json_array
+from .sources.json_array import read_json_array, split_bytes
 from .sources.keyed import KeyedStore
 from .sources.layout import BucketedTable
 from .sources.scratch import shared_dir
@@ -500,15 +500,15 @@ def page_shortfall(spark, sf_dir):
 
 @query
 def json_array(spark, sf_dir):
-    """The events written as one JSON array in one file, with brackets and quotes inside strings, and read back in splits of 64 KB."""
+    """The events written as one JSON array in one file, with brackets and quotes inside strings, and read back in splits: of 64 KB, of a large file no more than a few for each core."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.concat("props", F.lit(' }],[{ "\\" é')).alias("props"))
     path = f"{shared_dir(spark)}/corpusloom/array-{uuid.uuid4().hex}"
     line = lambda of: spark.range(1).select(F.lit(of).alias("value"))
     rows = events.select(F.concat(F.lit(","), F.to_json(F.struct(*events.columns))).alias("value"))
     line('[{"event_type": "head"}').union(rows).union(line("]")).coalesce(1).write.text(path)  # one file is what is read
-    key, size = "spark.sql.files.maxPartitionBytes", 1 << 16
+    key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    spark.conf.set(key, size)
+    spark.conf.set(key, split_bytes(spark, path, 1 << 16))
     try:
         return read_json_array(spark, path, events.schema).where("event_id IS NOT NULL").select(*events.columns)
     finally:

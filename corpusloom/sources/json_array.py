@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,24 +19,27 @@ from pyspark.sql.types import StructType
 
 from .scratch import stored
 
-_SIGN = re.compile(r'\\.|["{}\[\]]', re.S)
-_MARK = re.compile(r'\\.|["{}\[\],]', re.S)
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NO_SIGN = re.compile(rf"{_STRING}|\\.", re.S)
+#: What is left of a string in which a text begins.
+_REST = re.compile(_STRING[1:], re.S)
+_MARK = re.compile(rf'{_STRING}|\\.|["{{}}\[\],]', re.S)
+#: All up to the next bracket, or the quote of a string that does not end.
+_DEEP = re.compile(rf'(?:[^"\\{{}}\[\]]++|{_STRING}|\\.|\\\Z)*+(["{{}}\[\]])?', re.S)
+_OTHERS = bytes(set(range(256)) - set(b"{}[]"))
 
 
 def effect(text: str, inside: bool) -> tuple[bool, int, int]:
     """(inside a string after it, change of depth, least depth on the way) of a text that begins inside a string or not."""
-    depth = least = 0
-    for m in _SIGN.finditer(text):
-        sign = m[0]
-        if sign == '"':
-            inside = not inside
-        elif not inside:
-            if sign in "{[":
-                depth += 1
-            elif sign in "}]":
-                depth -= 1
-                least = min(least, depth)
-    return inside, depth, least
+    if inside:
+        m = _REST.match(text)
+        if not m:
+            return True, 0, 0
+        text = text[m.end() :]
+    plain, quote, _ = _NO_SIGN.sub("", text).partition('"')
+    signs = np.frombuffer(plain.encode("utf-8", "surrogatepass").translate(None, _OTHERS), np.uint8)
+    depths = np.cumsum(np.where((signs == ord("{")) | (signs == ord("[")), 1, -1))
+    return bool(quote), int(depths[-1]) if len(depths) else 0, min(0, int(depths.min(initial=0)))
 
 
 def then(a: tuple[bool, int, int], b: tuple[bool, int, int]) -> tuple[bool, int, int]:
@@ -56,38 +60,47 @@ def elements(texts: Iterator[str], inside: bool, depth: int) -> Iterator[tuple[b
     held: list[str] = []
     began = depth < 2
     for text in texts:
-        at = 0
-        for m in _MARK.finditer(text):
-            sign = m[0]
-            if sign == '"':
+        at = pos = 0
+        if inside:
+            m = _REST.match(text)
+            if m and depth < 2:
+                raise ValueError("not an array of objects")
+            inside, pos = not m, m.end() if m else len(text)
+        while not inside:
+            m = _DEEP.match(text, pos) if depth >= 2 else _MARK.search(text, pos)
+            sign = m and m[m.lastindex or 0]
+            if not sign or depth >= 2 and not m.lastindex:
+                break
+            pos, begin = m.end(), m.end() - len(sign)
+            if sign[0] == '"':
                 if depth < 2:
                     raise ValueError("not an array of objects")
-                inside = not inside
-            elif inside or len(sign) > 1 or depth >= 2 and sign == ",":
+                inside = True
+            elif len(sign) > 1:
                 continue
             elif sign == ",":
-                _blank(text[at : m.start()] if depth else ",")
-                at = m.end()
+                _blank(text[at:begin] if depth else ",")
+                at = pos
             elif sign in "{[":
                 if depth < 2:
-                    _blank(text[at : m.start()])
+                    _blank(text[at:begin])
                     if sign != "[{"[depth]:
                         raise ValueError("not an array of objects")
-                    at = m.start() if depth else m.end()
+                    at = begin if depth else pos
                 depth += 1
             else:
                 depth -= 1
                 if depth == 1:
-                    held.append(text[at : m.end()])
+                    held.append(text[at:pos])
                     yield began, True, "".join(held)
                     held, began = [], True
                 elif depth == 0:
-                    _blank(text[at : m.start()])
+                    _blank(text[at:begin])
                 elif depth < 0:
                     raise ValueError("a bracket too many")
                 else:
                     continue
-                at = m.end()
+                at = pos
         if depth >= 2:
             held.append(text[at:])
         else:
@@ -96,10 +109,30 @@ def elements(texts: Iterator[str], inside: bool, depth: int) -> Iterator[tuple[b
         yield began, False, "".join(held)
 
 
+#: Splits of a file for each core, and bytes of a split, at most.
+SPLITS_A_CORE, SPLIT_BYTES = 8, 128 << 20
+
+
+def split_bytes(spark: SparkSession, path: str, least: int) -> int:
+    """How large splits of the files at path should be: at least so large, and so that their number does not grow with the files until they are of SPLIT_BYTES."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    length = at.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    return max(least, min(SPLIT_BYTES, -(-length // (SPLITS_A_CORE * sc.defaultParallelism))))
+
+
 def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[str]]]:
-    """(where a split begins, its texts) of rows (start, text) that come split by split."""
-    rows = ((start, text) for b in batches for start, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-    for start, own in groupby(rows, key=lambda x: x[0]):
+    """(where a split begins, its texts) of rows (start, text) that come split by split; the texts of a batch are one, with the braces that parted them."""
+
+    def rows() -> Iterator[tuple[int, str]]:
+        for b in batches:
+            starts, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
+            cuts = [0, *(np.flatnonzero(np.diff(starts)) + 1).tolist(), len(texts)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i < j:
+                    yield int(starts[i]), "}".join(texts[i:j])
+
+    for start, own in groupby(rows(), key=lambda x: x[0]):
         yield start, (text for _, text in own)
 
 

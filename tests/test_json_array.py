@@ -74,3 +74,10 @@ def test_empty_array(spark, tmp_path):
     (tmp_path / "a.json").write_text("[ ]\n")
     assert json_elements(spark, str(tmp_path / "a.json")).collect() == []
     assert json_array.effect('"a\\"{', False) == (True, 0, 0)
+
+
+def test_splits_of_large_files_are_larger(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for size, want in ((10, 64), (64 * 8 * cores, 64), (6_400 * 8 * cores, 6_400)):
+        (tmp_path / "part").write_bytes(b" " * size)
+        assert json_array.split_bytes(spark, str(tmp_path), 64) == want
