@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -57,6 +58,31 @@ class _Listing(HTMLParser):
                 self.rows[-1][-1]["text"].append(s)
 
 
+#: Markup of plain tags only: names of letters and digits, attributes with values that hold no reference, no declaration, comment or raw text. Each part is tried once.
+_PLAIN = re.compile(r"""[^<&]*+(?:<(?:/[a-zA-Z][a-zA-Z0-9]*+|[a-zA-Z][a-zA-Z0-9]*+(?:[ ]++[a-zA-Z]++=(?:"[^"<>&]*+"|[^\s"'=<>`&/\x00-\x1f]++))*+)[ ]*+>[^<&]*+)*+""")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z0-9]+)([^>]*)>([^<]*)")
+_PLAIN_ATTR = re.compile(r"""([a-zA-Z]+)=(?:"([^"]*)"|(\S+))""")
+#: Elements whose content the parser does not read as markup.
+_RAW = re.compile(r"<(?:script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|plaintext)", re.I)
+
+
+def _fed(page: _Listing, html: str) -> None:
+    """What the parser does with the markup; plain tags are found by one expression, as most pages have no others."""
+    if _RAW.search(html) or not _PLAIN.fullmatch(html):
+        page.feed(html)
+        page.close()
+        return
+    page.handle_data(html.partition("<")[0])
+    start, end, data = page.handle_starttag, page.handle_endtag, page.handle_data
+    for closing, tag, attrs, text in _PLAIN_TAG.findall(html):
+        if closing:
+            end(tag.lower())
+        else:
+            start(tag.lower(), [(name.lower(), a or b) for name, a, b in _PLAIN_ATTR.findall(attrs)] if attrs else ())
+        if text:
+            data(text)
+
+
 def listing_cells(html: str, table_id: str) -> list[tuple]:
     """(nine texts, download href, second href) of the rows with at least nine cells.
 
@@ -64,8 +90,7 @@ def listing_cells(html: str, table_id: str) -> list[tuple]:
     first anchor's, and a blank one is none.
     """
     page = _Listing(table_id)
-    page.feed(html)
-    page.close()
+    _fed(page, html)
     out = []
     for cells in page.rows:
         if len(cells) < N_CELLS:

@@ -392,3 +392,22 @@ def test_only_blank_pages_are_recognised(spark):
     assert {(r.path, r.page): r.ocr_text for r in got.collect()} == {("a", 1): None, ("a", 2): "scan 2", ("b", 1): None, ("c", 0): None}
     texts = {r.path: (r.text, r.any_ocr) for r in files.page_texts(got, "path", "page", F.col("text"), F.col("ocr_text")).collect()}
     assert texts["a"] == ("own\n\nscan 2", True) and texts["b"] == ("", False)
+
+
+def test_plain_markup_is_not_parsed_sign_by_sign(monkeypatch):
+    """And gives what the parser gives, whatever the markup."""
+    import random
+
+    r, fed = random.Random(3), []
+    parts = ["<table id=t>", '<TABLE ID="t">', "<tr>", "<td>", "<td> ", "</td>", " a  b ", "<a href=x.pdf>", '<a href=" /y " HREF="z">', "</a>", "<b>", "</ b>", "<td/>", "</table>", "<!-- c -->", "&amp;", "<script>", "</script>", "<a href>", "<", ">", "<td class='q'>", "</tr >", "é\n"]
+    feed = html._Listing.feed
+    for i in range(4_000):
+        page = "<table id=t>" * (i % 2) + "".join(r.choice(parts[:12] if i % 3 else parts) for _ in range(r.randint(0, 60)))
+        a, b = html._Listing("t"), html._Listing("t")
+        html._fed(a, page)
+        b.feed(page)
+        b.close()
+        assert (a.rows, a.text, a.depth) == (b.rows, b.text, b.depth), page
+    monkeypatch.setattr(html._Listing, "feed", lambda self, x: fed.append(x) or feed(self, x))
+    row = "<tr>" + "<td> x </td>" * 8 + '<td><a href="k.pdf">PDF</a></td></tr>'
+    assert html.listing_cells(f"<table id=t>{row}</table>", "t")[0][8] == "k.pdf" and not fed
