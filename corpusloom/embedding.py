@@ -10,9 +10,12 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sources.scratch import small_batches
+
 
 class Embedder(Protocol):
     dim: int
@@ -92,20 +95,38 @@ def loaded(name: str) -> object:
     return getattr(import_module(module), cls)()
 
 
+#: Bytes of files whose pages are handed on together.
+PAGES_BYTES = 1 << 20
+
+
 def extracted(files: DataFrame, extractor: PdfExtractor) -> DataFrame:
-    """(path, content) → (path, page, text, error): a file that fails is a row with its error, not a failed task."""
+    """(path, content) → (path, page, text, error): a file that fails is a row with its error, not a failed task.
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in parts:
-            rows = []
-            for path, content in zip(df["path"], df["content"]):
+    A worker holds a small batch of files and the pages of one file, or of small files together, at a time.
+    """
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = pa.string(), pa.int32(), pa.string(), pa.string()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "page", "text", "error"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, held = [], 0
+            for path, content in zip(b.column(0), b.column(1)):
+                path, content = path.as_py(), content.as_py()
                 try:
                     rows += [(path, i, t, None) for i, t in enumerate(extractor.pages(content), 1)]
                 except Exception as e:  # any extractor, any file
                     rows.append((path, 0, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "page", "text", "error"])
-
-    return files.select("path", "content").mapInPandas(run, "path string, page int, text string, error string")
+                held += len(content or b"")
+                if held > PAGES_BYTES or len(rows) > 10_000:
+                    if rows:
+                        yield batch(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch(rows)
+
+    return small_batches(files.select("path", "content")).mapInArrow(run, "path string, page int, text string, error string")
 
 
 class Recognizer(Protocol):

@@ -9,9 +9,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import discard, shared_dir, stored, tidy
+from ..sources.scratch import BATCH_BYTES, discard, shared_dir, small_batches, stored, tidy
 
-__all__ = ["WORD", "WORD_SQL", "crc_mod", "discard", "release", "shared_dir", "shuffle_partitions", "small_batches", "stored", "table", "tidy"]
+__all__ = ["BATCH_BYTES", "WORD", "WORD_SQL", "crc_mod", "discard", "release", "shared_dir", "shuffle_partitions", "small_batches", "stored", "table", "tidy"]
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -32,21 +32,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Bytes of an Arrow batch between Spark and a Python worker.
-BATCH_BYTES = 4 << 20
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """Sees to it that the session sends batches of at most BATCH_BYTES (or one row) to Python workers, so that long texts do not add
-    up to batches of thousands; a smaller setting stays."""
-    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
-    given = conf.get(key, "64m").lower()
-    unit = given.rstrip("b").lstrip("0123456789")
-    if int(given.rstrip("bkmgt") or -1) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1 << 40) > BATCH_BYTES or given.startswith("-"):
-        conf.set(key, str(BATCH_BYTES))
-    return df
-
-
 #: Bytes that a task has handled, below which its end is not worth a clean-up.
 LITTLE = 8 << 20
 

@@ -73,3 +73,30 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Sees to it that the session sends batches of at most BATCH_BYTES (or one row) to Python workers, so that long texts do not add
+    up to batches of thousands; a smaller setting stays."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    given = conf.get(key, "64m").lower()
+    unit = given.rstrip("b").lstrip("0123456789")
+    if int(given.rstrip("bkmgt") or -1) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1 << 40) > BATCH_BYTES or given.startswith("-"):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+@contextmanager
+def many_files(spark: SparkSession) -> Iterator[None]:
+    """While jobs read very many small files: thousands of them are one task, as opening one is not reckoned like reading 4 MB. Small numbers still go to all cores."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 16))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

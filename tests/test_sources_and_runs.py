@@ -411,3 +411,26 @@ def test_plain_markup_is_not_parsed_sign_by_sign(monkeypatch):
     monkeypatch.setattr(html._Listing, "feed", lambda self, x: fed.append(x) or feed(self, x))
     row = "<tr>" + "<td> x </td>" * 8 + '<td><a href="k.pdf">PDF</a></td></tr>'
     assert html.listing_cells(f"<table id=t>{row}</table>", "t")[0][8] == "k.pdf" and not fed
+
+
+def test_pages_are_handed_on_in_small_batches(spark):
+    """Neither a batch of files nor their pages add up to tens of megabytes in a worker."""
+
+    class Pages:
+        def pages(self, content):
+            with open("/proc/self/statm") as f:
+                return [f.read().split()[1], *content.decode().split("|")]
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(256 << 20))
+    try:
+        files = spark.range(0, 600, 1, 1).select(F.col("id").cast("string").alias("path"), F.repeat(F.lit("x" * 99 + "|"), 1_000).cast("binary").alias("content"))
+        got = embedding.extracted(files, Pages())
+        assert int(spark.conf.get(key)) <= 4 << 20
+        pages = got.cache()
+        assert pages.count() == 600 * 1_002
+        resident = [int(r.text) >> 8 for r in pages.where("page = 1").select("text").collect()]  # MB
+        assert max(resident) - min(resident) < 100
+    finally:
+        spark.conf.set(key, before)
