@@ -13,7 +13,7 @@ from ..embedding import Answerer, Embedder, PdfExtractor, Recognizer, extracted,
 from ..sources.downloads import publish_copies, write_texts
 from ..sources.files import page_texts
 from ..sources.keyed import KeyedStore
-from ..sources.scratch import stored
+from ..sources.scratch import many_files, stored
 from ..sources.store import Pointed
 from .pipeline import answer, retrieve
 from .scrape import document_paths
@@ -59,7 +59,8 @@ def convert_documents(wanted: DataFrame, files: DataFrame, folder: str, extracto
     fails is a row with its error, and has no text. Running it again for the same documents writes the same files.
     """
     own = files.join(wanted.select("path").distinct(), "path", "left_semi")
-    pages = stored(extracted(own, extractor), "pages")
+    with many_files(files.sparkSession):
+        pages = stored(extracted(own, extractor), "pages")
     read = pages.where("error IS NULL")
     read = with_ocr(read, own, recognizer) if recognizer else read.withColumn("ocr_text", F.lit(None).cast("string"))
     texts = page_texts(read, "path", "page", F.col("text"), F.col("ocr_text"))

@@ -19,7 +19,7 @@ from .sources.html import anchors, listing_records, page_shortfalls
 from .sources.json_array import read_json_array, split_bytes
 from .sources.keyed import KeyedStore
 from .sources.layout import BucketedTable
-from .sources.scratch import shared_dir
+from .sources.scratch import many_files, shared_dir, small_batches, stored
 from .streaming.ingest import upsert_stream
 from .streaming.outcomes import with_outcomes, write_outcomes
 
@@ -343,12 +343,15 @@ def converted_texts(spark, sf_dir):
     at = f"{shared_dir(spark)}/corpusloom/convert-{uuid.uuid4().hex}"
     key, kind = F.col("page_id").cast("string"), F.lit("judgment_pdf")
     made = table(spark, sf_dir, "pages").select(key.alias("record_id"), kind.alias("kind"), F.concat(F.lit("files/"), key, F.lit(".pdf")).alias("path"), F.concat(F.lit("%PDF-1.4\n"), "url", F.lit("\f"), "html").alias("content"))
-    write_files(made, at).count()
-    files = binary_files(spark, f"{at}/files").select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("path"), "length", "modificationTime", "content")
+    write_files(small_batches(made), at).count()
     documents = made.select("record_id", "kind", "path")
-    done = convert_documents(documents, files.select("path", "content"), f"{at}/texts", PlainPages())
-    again = to_convert(documents, files.select("path", "length", "modificationTime"), text_listing(spark, f"{at}/texts")).select("record_id", F.lit(True).alias("again"))
-    texts = whole_texts(spark, f"{at}/texts").select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("record_id"), F.sha2("text", 256).alias("text_sha"))
+    with many_files(spark):
+        files = binary_files(spark, f"{at}/files").select(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("path"), "length", "modificationTime", "content")
+        done = convert_documents(documents, files.select("path", "content"), f"{at}/texts", PlainPages())
+        again = to_convert(documents, files.select("path", "length", "modificationTime"), text_listing(spark, f"{at}/texts"))
+        again = stored(again.select("record_id", F.lit(True).alias("again")), "again")
+        texts = whole_texts(spark, f"{at}/texts").select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("record_id"), F.sha2("text", 256).alias("text_sha"))
+        texts = stored(texts, "text-hashes")
     return done.select("record_id", "error").join(texts, "record_id", "left").join(again, "record_id", "left").withColumn("again", F.coalesce("again", F.lit(False)))
 
 

@@ -434,3 +434,15 @@ def test_pages_are_handed_on_in_small_batches(spark):
         assert max(resident) - min(resident) < 100
     finally:
         spark.conf.set(key, before)
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    from corpusloom.sources import scratch
+
+    for i in range(400):
+        (tmp_path / f"{i}.md").write_text(f"text {i}")
+    read = lambda: files.whole_texts(spark, str(tmp_path)).rdd.getNumPartitions()
+    before = read()
+    with scratch.many_files(spark):
+        assert read() <= 2 * spark.sparkContext.defaultParallelism < before
+    assert read() == before
